@@ -58,3 +58,18 @@ def valid_vector(v: Column) -> Column:
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def places(text: Column, regex: Column, measure: Callable[[Column], Column] = F.length) -> Column:
+    """Leftmost matches of a regex that do not overlap: array of start, end, match. measure gives the length of a piece as an int."""
+    found = F.regexp_extract_all(text, regex, F.lit(0))
+    between = F.slice(F.split(text, regex, -1), 1, F.size(found))
+    steps = F.zip_with(between, found, lambda b, m: F.struct(measure(b).alias("skip"), measure(m).alias("n"), m.alias("match")))
+    kind = "struct<start:int,end:int,match:string>"
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+
+    def step(a: Column, s: Column) -> Column:
+        begin, end = a["at"] + s["skip"], a["at"] + s["skip"] + s["n"]
+        return F.struct(end.alias("at"), F.concat(a["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), s["match"].alias("match")).cast(kind))).alias("out"))
+
+    return F.aggregate(steps, start, step, lambda a: a["out"])
