@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import ann, bpe, chat, licenses, mixing, pii, simhash, topk, warc
+from trailmark.llm import ann, bpe, chat, licenses, mixing, pii, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels"))).select("doc_id", "score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -66,4 +72,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_warc": op3_warc, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_pii": op6_pii, "op8_mixing": op8_mixing, "op9_topk": op9_topk, "op10_simhash": op10_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_warc": op3_warc, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_pii": op6_pii, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing, "op9_topk": op9_topk, "op10_simhash": op10_simhash}
