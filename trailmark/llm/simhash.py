@@ -122,13 +122,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class: the one with the smallest id; of rows that repeat that id, the smallest text."""
-    keep = near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    keep = keep.select(F.col(id_col).alias("_keep")).distinct()
-    rows = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
-    twice = rows.groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(id_col).alias("_twice"))
-    lone = rows.join(twice, F.col(id_col).eqNullSafe(F.col("_twice")), "left_anti")
-    rest = rows.join(twice, F.col(id_col).eqNullSafe(F.col("_twice")), "left_semi")
-    whole = F.struct(*[F.col(c) for c in [text_col, *[c for c in docs.columns if c not in (id_col, text_col)]]])
-    first = rest.groupBy(id_col).agg(F.min(whole).alias("_row")).select(id_col, "_row.*")
-    return lone.unionByName(first.select(*docs.columns))
+    """docs with one row of each class: the one with the smallest id; of rows that repeat that id, the smallest by all columns."""
+    kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    kept = materialise(kept.groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("_n")), "kept")
+    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")))
+    if kept.where("_n > 1").isEmpty():
+        return rows.select(*docs.columns)
+    once = rows.where("_n = 1").select(*docs.columns)
+    rest = [c for c in docs.columns if c != id_col]
+    first = rows.where("_n > 1").groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row")).select(id_col, "_row.*")
+    return once.unionByName(first.select(*docs.columns))
