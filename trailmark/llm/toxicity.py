@@ -30,7 +30,7 @@ from trailmark.llm.shared import materialise
 EXAMPLES = 6000
 TERMS = 4096
 #: Least likelihood ratio of a term is this and twice the log of the number of examples, as more examples bring more terms to test.
-G2_OFFSET, LEAST_LIFT = 3.6, 2.0
+G2_OFFSET, LEAST_LIFT = 3.6, 4.0
 WORD_CHARS, STEMS = 10, (4, 5, 6)
 BLOCK = 64
 NEIGHBOURS = 16
@@ -183,9 +183,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     class_weight = (totals.get(0, 0) / n0 if n0 else 1.0, totals.get(1, 0) / n1 if n1 else 1.0)
 
-    stats = chosen.select("y", "text").mapInArrow(_term_counts, "term string, n0 long, n1 long, docs long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs")])
-    g2, lift = _association(F.col("n0"), F.col("n1"), n0, n1)
-    best = stats.where("docs >= 2").withColumn("g2", g2).where((F.col("g2") >= G2_OFFSET + 2 * np.log(max(1, n0 + n1))) & (lift >= LEAST_LIFT)).orderBy(F.col("g2").desc(), "term").limit(TERMS).select("term").collect()
+    stats = chosen.select("y", "text").mapInArrow(_term_counts, "term string, n0 long, n1 long, docs0 long, docs1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs0", "docs1")])
+    g2 = _association(F.col("n0"), F.col("n1"), n0, n1)
+    lift = (F.col("docs1") + 0.5) / (n1 + 1) / ((F.col("docs0") + 0.5) / (n0 + 1))
+    best = stats.where("docs1 >= 2").withColumn("g2", g2).where((F.col("g2") >= G2_OFFSET + 2 * np.log(max(1, n0 + n1))) & (lift >= LEAST_LIFT)).orderBy(F.col("g2").desc(), "term").limit(TERMS).select("term").collect()
     vocabulary = {r["term"]: i for i, r in enumerate(best)}
 
     # Document frequencies over all documents: one row per task and term.
@@ -230,30 +231,30 @@ def _empty(n: int) -> Index:
     return Index.of(np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), n)
 
 
-def _association(a0: Column, a1: Column, n0: int, n1: int) -> tuple[Column, Column]:
-    """Likelihood ratio of a term's rates in the two classes, and its lift in the toxic class."""
+def _association(a0: Column, a1: Column, n0: int, n1: int) -> Column:
+    """Likelihood ratio of a term's rates in the two classes."""
     n, x = max(1, n0 + n1), a0 + a1
     part = lambda o, e: F.when(o > 0, o * F.log(o / F.greatest(e, F.lit(1e-9)))).otherwise(0.0)
-    return 2 * (part(a1, x * n1 / n) + part(a0, x * n0 / n)), (a1 + 0.5) / (n1 + 1) / ((a0 + 0.5) / (n0 + 1))
+    return 2 * (part(a1, x * n1 / n) + part(a0, x * n0 / n))
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per term: different words that have it, at most three a text, in clean and toxic texts, and the toxic texts."""
+    """Per term: different words that have it, at most three a text, in clean and toxic texts, and the texts of each."""
     held: dict[str, list[int]] = {}
 
     def flush() -> Iterator[pa.RecordBatch]:
         rows = list(held.items())
         for i in range(0, len(rows), 50_000):
             part = rows[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in part], pa.string()), *[pa.array([n[c] for _, n in part], pa.int64()) for c in range(3)]], names=["term", "n0", "n1", "docs"])
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in part], pa.string()), *[pa.array([n[c] for _, n in part], pa.int64()) for c in range(4)]], names=["term", "n0", "n1", "docs0", "docs1"])
         held.clear()
 
     for b in batches:
         for y, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
             for term, n in Counter(chain.from_iterable(map(terms_of, set(_words((text.as_py() or "").lower()))))).items():
-                row = held.setdefault(term, [0, 0, 0])
+                row = held.setdefault(term, [0, 0, 0, 0])
                 row[y] += min(n, 3)
-                row[2] += y
+                row[2 + y] += 1
             if len(held) > 500_000:
                 yield from flush()
     yield from flush()
