@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from trailmark.plans import traffic
+
+QUERIES = {**traffic.Q}
+ORACLE = {**traffic.SQL}
