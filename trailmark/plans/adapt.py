@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,9 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Behaviour events: a user is a device, one of five apps; views are pages, all else events."""
-    e = table(spark, sf_dir, "events")
+    return table(spark, sf_dir, "events").select(*columns_of_events())
+
+
+def columns_of_events() -> list[Column]:
     user, at = F.col("user_id"), F.col("event_id")
-    return e.select(
+    return [
         at.alias("event_id"),
         user.alias("user_id"),
         F.md5(user.cast("string")).alias("uuid"),
@@ -31,7 +34,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get(F.array(*[F.lit(x) for x in (1080, 750, 1920)]), (user % 3).cast("int")).cast("long").alias("sw"),
         F.get(F.array(*[F.lit(x) for x in (1920, 1334, 0, 1200)]), (at % 4).cast("int")).cast("long").alias("sh"),
         F.col("value"),
-    )
+    ]
 
 
 #: The same in DuckDB, to stand behind WITH.
