@@ -161,16 +161,15 @@ def search_engine(url: Column) -> Column:
     return F.coalesce(*[F.when(F.contains(h, F.lit(k)), F.lit(k)) for k in ENGINES])
 
 
-def search_keyword(url: Column) -> Column:
-    """The words that a search engine's url asks for, decoded; null where it hides them or is none.
-
-    Text that does not decode as UTF-8 is read as GBK, which Sogou used by default.
-    """
+def raw_keyword(url: Column) -> Column:
+    """The words that a search engine's url asks for, still percent-encoded; null where it hides them or is none."""
     asked = query_map(url)
-    raw = F.coalesce(*[F.when(search_engine(url) == e, F.coalesce(*[F.get(F.array(asked[k]), 0) for k in keys])) for e, keys in ENGINES.items() if keys])
-    utf8 = F.try_url_decode(raw)
-    gbk = F.decode(F.try_to_binary(F.regexp_replace(raw, "%", ""), F.lit("hex")), "GBK")
-    return F.when(utf8.isNull() | garbled(utf8), F.when(raw.rlike("^(?:%[0-9A-Fa-f]{2})+$"), gbk).otherwise(utf8)).otherwise(utf8)
+    return F.coalesce(*[F.when(search_engine(url) == e, F.coalesce(*[F.try_element_at(asked, F.lit(k)) for k in keys])) for e, keys in ENGINES.items() if keys])
+
+
+def search_keyword(url: Column) -> Column:
+    """raw_keyword decoded as UTF-8. See operators.lookup.keywords for engines that used GBK."""
+    return F.try_url_decode(raw_keyword(url))
 
 
 def own_keyword(url: Column, key: str) -> Column:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.functions.scalars import ip_number, rule_holds
+from trailmark.functions.scalars import garbled, ip_number, mac_prefix, raw_keyword, rule_holds
 
 #: A rule table with more rows than this is never broadcast.
 FEW_RULES = 20_000
@@ -88,7 +89,21 @@ def not_denied(rows: DataFrame, exact: DataFrame, prefixes: list[str], ip: str =
 
 def brands(rows: DataFrame, mac_brands: DataFrame, mac: str = "mac") -> DataFrame:
     """rows with the brand of the MAC prefix, null if unknown; mac_brands: prefix, brand."""
-    from trailmark.functions.scalars import mac_prefix
-
     known = mac_brands.where(F.length("prefix") == 6).select(F.upper("prefix").alias("_prefix"), "brand")
     return rows.withColumn("_prefix", mac_prefix(F.col(mac))).join(_sized(known), "_prefix", "left").drop("_prefix")
+
+
+def _from_gbk(raw: pd.Series) -> pd.Series:
+    from urllib.parse import unquote_to_bytes
+
+    return raw.map(lambda x: unquote_to_bytes(x.replace("+", " ")).decode("gbk", "replace"), na_action="ignore")
+
+
+def keywords(rows: DataFrame, url: str) -> DataFrame:
+    """rows with keyword, the words their url asked a search engine for. Words that are no UTF-8 are read as GBK.
+
+    Spark decodes no GBK itself, so the few rows that need it go through an Arrow function, all others stay in the JVM.
+    """
+    raw = rows.withColumn("_raw", raw_keyword(F.col(url))).withColumn("keyword", F.try_url_decode("_raw"))
+    odd = F.col("_raw").isNotNull() & (F.col("keyword").isNull() | garbled(F.col("keyword")))
+    return raw.where(~odd).unionByName(raw.where(odd).withColumn("keyword", F.pandas_udf(_from_gbk, "string")("_raw"))).drop("_raw")
