@@ -4,7 +4,7 @@ import base64
 
 from pyspark.sql import functions as F
 
-from trailmark.operators import clean, lookup, places, probe, profile, recommend, sessions, state
+from trailmark.operators import clean, documents, lookup, places, probe, profile, recommend, sessions, state
 from trailmark.sources import tables
 from trailmark.streaming import flows
 
@@ -231,3 +231,21 @@ def test_label_increments_and_words(spark, rows):
     b = spark.createDataFrame([(1, "u", 0, "50", 1, "x"), (2, "u", 20_000, "40", 1, None)], "event_id long, uuid string, time long, logtype string, company_id int, label string")
     assert [round(v, 6) for (v,) in rows(flows.label_increments(b).select("value"))] == [1.0]
     assert sorted(rows(flows.words(spark.createDataFrame([("a b a",), ("",)], "value string")))) == [("a", 2), ("b", 1)]
+
+
+def test_maps_and_histories(spark, rows):
+    m = spark.createDataFrame([({"a": 1, "b": 3, "c": 3}, {"a": 9, "z": 0})], "x map<string,int>, y map<string,int>")
+    r = m.select(documents.top_entries(F.col("x"), 2).alias("t"), documents.preferred(F.col("x"), F.col("y"), True).alias("n"), documents.preferred(F.col("x"), F.col("y"), False).alias("o"), documents.kept_entries(F.col("x"), 3).alias("k")).first()
+    assert [tuple(e) for e in r["t"]] == [("b", 3), ("c", 3)]
+    assert (r["n"]["a"], r["o"]["a"], r["n"]["z"], r["k"]) == (9, 1, 0, {"b": 3, "c": 3})
+    log = spark.createDataFrame([("u", 1, ["a", "b"], []), ("u", 2, ["c"], ["a"])], "uuid string, time long, added array<string>, removed array<string>")
+    r = documents.app_history(log).first()
+    assert [c["time"] for c in r["log"]] == [2, 1] and r["apps"] == ["b", "c"]
+
+
+def test_eqids_and_costs(spark, rows):
+    v = spark.createDataFrame([("https://www.baidu.com/link?eqid=e1",), ("https://www.baidu.com/link?eqid=e2",)], "ref string")
+    out = documents.browse_log(v, [(1, "baidu", "baidu")], spark.createDataFrame([("e1", "sofa")], "eqid string, keyword string"))
+    assert sorted(rows(out.select("source", "keyword"))) == [("baidu", "e2"), ("baidu", "sofa")]
+    lines = spark.createDataFrame([('{"day": "2024-01-02", "keyword": "sofa", "cost": 1.5}',), ("junk",)], "value string")
+    assert rows(documents.keyword_costs(lines).select("keyword", "cost")) == [("sofa", 1.5)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trailmark.plans import offers, people, streams, traffic
+from trailmark.plans import lookups, offers, people, streams, traffic
 
-QUERIES = {**traffic.Q, **people.Q, **offers.Q, **streams.Q}
-ORACLE = {**traffic.SQL, **people.SQL, **offers.SQL, **streams.SQL}
+QUERIES = {**traffic.Q, **people.Q, **offers.Q, **lookups.Q, **streams.Q}
+ORACLE = {**traffic.SQL, **people.SQL, **offers.SQL, **lookups.SQL, **streams.SQL}
