@@ -86,7 +86,7 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
     Components become floor(scale * x). Queries are the rows whose id is divisible by `every`; candidates are all rows with
     another id. Vectors that are null, empty or hold null or non-finite components, and rows with a null id, take no part;
     vectors of different length do not meet. A query with fewer than k candidates returns them all, one without any returns
-    nothing. Repeated rows of one id are candidates each, and as queries count once. Scores are 64-bit.
+    nothing. Repeated rows of one id are candidates each; as a query, the smallest vector of an id counts. Scores are 64-bit.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(F.col("id").isNotNull() & valid_vector(F.col("v")))
     v = v.withColumn("low", F.lit(0).cast("long"))
@@ -97,7 +97,7 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
     most = int(seen["most"] or 0) + 1
     groups = (1 + seen["asked"] // QUERIES_A_BLOCK, 1 + seen["n"] // CANDIDATES_A_BLOCK)
     width = -(-(2 * most + 1) // BINS)
-    asked = materialise(v.where(F.col("id") % every == 0).dropDuplicates(["id"]).withColumn("low", F.lit(-most).cast("long")), "asked")
+    asked = materialise(v.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).withColumn("low", F.lit(-most).cast("long")), "asked")
     while True:
         blocks = pack(asked, QUERIES_A_BLOCK, scale)
         counts = paired(blocks, candidates, *groups).mapInArrow(_counts(k, width), "query_id long, bin long, n long")
