@@ -222,6 +222,15 @@ def test_repeated_ids_keep_one_row(spark):
     assert simhash.near_duplicates(d.limit(0)).count() == 0
 
 
+def test_null_and_shared_ids_keep_one_row_of_each_class(spark):
+    a, b, c = ("alpha beta gamma delta epsilon", "one two three four five six", "red green blue black white")
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "w"), (None, c, "x"), (7, "north east south west", "x"), (7, "spring summer autumn winter", "x"), (8, c, "z"), (8, c, "y"), (9, a, "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = {(None, b, "w"), (7, "north east south west", "x"), (7, "spring summer autumn winter", "x"), (8, c, "y"), (9, a, "x")}
+    got = [tuple(r) for r in simhash.deduplicated(d).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 # --- mixing ----------------------------------------------------------------------------------------------------------
 
 

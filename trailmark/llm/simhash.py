@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.components import components
-from trailmark.llm.shared import flushed, materialise
+from trailmark.llm.shared import materialise
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -49,15 +49,16 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fp long) of each row, in one pass without a shuffle."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id_col, columns to keep, fp long) of each row, in one pass without a shuffle."""
+    kept = docs.select(id_col, *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            schema = pa.schema([pa.field(id_col, b.schema.field(0).type), pa.field("fp", pa.int64())])
-            yield from flushed(((k.as_py(), fingerprint(t.as_py())) for k, t in zip(b.column(0), b.column(1), strict=True)), schema, lambda r: 16)
+            fps = pa.array([fingerprint(t.as_py()) for t in b.columns[-1]], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], fps], names=[*b.schema.names[:-1], "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())]))
+    return docs.select(id_col, *keep, text_col).mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("fp", T.LongType())]))
 
 
 def _differ(a: Column, b: Column) -> Column:
@@ -101,6 +102,15 @@ def links(fps: DataFrame) -> DataFrame:
     return few.unionByName(_pairs(many, ["key", "part", "value"])).distinct()
 
 
+def classes(prints: DataFrame) -> DataFrame:
+    """(fp, component) of each distinct fingerprint: the smallest fingerprint that links reach."""
+    groups = materialise(prints.select("fp").distinct(), "groups")
+    found = materialise(links(groups), "links")
+    # Only linked fingerprints go through the rounds.
+    linked = components(found).withColumnRenamed("node", "fp") if not found.isEmpty() else found.select(F.col("a").alias("fp"), F.col("b").alias("component"))
+    return materialise(groups.join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")), "components")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint and class of each document: (id_col, fp long, fingerprint hex string, component_id).
 
@@ -110,11 +120,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty result. Texts are taken whole.
     """
     prints = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
-    groups = materialise(prints.groupBy("fp").agg(F.min(id_col).alias("least")), "groups")
-    found = materialise(links(groups.select("fp")), "links")
-    # Only linked fingerprints go through the rounds.
-    classes = components(found).withColumnRenamed("node", "fp") if not found.isEmpty() else found.select(F.col("a").alias("fp"), F.col("b").alias("component"))
-    joined = groups.join(classes, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    joined = prints.groupBy("fp").agg(F.min(id_col).alias("least")).join(classes(prints), "fp")
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     of = materialise(joined.join(least, "component").select("fp", "component_id"), "classes")
     # A fingerprint of very many copies makes a hot key here; the join of two shuffled sides lets Spark split it.
@@ -123,12 +129,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class: the one with the smallest id; of rows that repeat that id, the smallest by all columns."""
-    kept = near_duplicates(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    kept = materialise(kept.groupBy(F.col(id_col).alias("_id")).agg(F.count("*").alias("_n")), "kept")
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_id")))
-    if kept.where("_n > 1").isEmpty():
-        return rows.select(*docs.columns)
-    once = rows.where("_n = 1").select(*docs.columns)
+    marked = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    prints = materialise(fingerprints(marked, id_col, text_col, ("_row",)), "fingerprints")
+    return one_of_each(docs, prints, classes(prints), id_col)
+
+
+def one_of_each(docs: DataFrame, prints: DataFrame, of: DataFrame, id_col: str) -> DataFrame:
+    """One row of docs of each class, the smallest by id (null last) and then by all columns.
+
+    prints has id_col, _row (a hash of all columns) and fp of each row; of has the component of each fp. Rows are told apart by
+    id and hash, so equal or null ids never join different classes.
+    """
+    rows = prints.join(of, "fp").groupBy("component", F.col(id_col).alias("_id")).agg(F.count("*").alias("_n"), F.min("_row").alias("_least"))
+    least = rows.groupBy("component").agg(F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_n", "_least")).alias("r")).select("component", "r._id", "r._n", "r._least")
+    least = materialise(least, "kept")
+    hashed = docs.withColumn("_row", F.xxhash64(*docs.columns))
+    same = F.col(id_col).eqNullSafe(F.col("_id"))
+    single = hashed.join(least.where("_n = 1"), same & (F.col("_row") == F.col("_least"))).select(*docs.columns)
+    if least.where("_n > 1").isEmpty():
+        return single
+    tied = prints.join(of, "fp").join(least.where("_n > 1").select(F.col("component").alias("_c"), "_id"), same & (F.col("component") == F.col("_c")))
+    tied = tied.select(F.col("component").alias("_c"), "_id", F.col("_row").alias("_least")).distinct()
     rest = [c for c in docs.columns if c != id_col]
-    first = rows.where("_n > 1").groupBy(id_col).agg(F.min(F.struct(*rest)).alias("_row")).select(id_col, "_row.*")
-    return once.unionByName(first.select(*docs.columns))
+    first = hashed.join(tied, same & (F.col("_row") == F.col("_least"))).groupBy("_c", id_col).agg(F.min(F.struct(*rest)).alias("_row")).select(id_col, "_row.*")
+    return single.unionByName(first.select(*docs.columns))
