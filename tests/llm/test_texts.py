@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from trailmark.llm import bpe, chat, licenses, mixing, pii, simhash, toxicity
+from trailmark.llm import bpe, chat, licenses, mixing, pii, simhash, similar, toxicity
 from trailmark.llm.components import components
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -231,6 +231,49 @@ def test_null_and_shared_ids_keep_one_row_of_each_class(spark):
     assert len(got) == len(want) and set(got) == want
 
 
+# --- near-duplicates by similarity ------------------------------------------------------------------------------------
+
+
+def jaccard(a, b):
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for t in (a, b))]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0
+
+
+def test_similar_texts_match_brute_force(spark, monkeypatch):
+    rng = random.Random(23)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(rng.choice([3, 30, 60, 150, 400]))] for _ in range(25)]
+    texts = [None, "", " "] + [" ".join(w) for w in base]
+    for w in base:
+        for n in (1, 1, 2, 4, 8):
+            v = list(w)
+            for _ in range(n):
+                v[rng.randrange(len(v))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(v))
+    root = list(range(len(texts)))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a in range(len(texts)):
+        for b in range(a):
+            if jaccard(texts[a], texts[b]) >= 0.8:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = sorted({find(i) for i in range(len(texts))})
+    assert len(want) < len(texts) - 30
+    for hot in (256, 3):
+        monkeypatch.setattr(similar, "HOT_BAND", hot)
+        assert sorted(r["doc_id"] for r in similar.deduplicated(docs_of(spark, texts)).collect()) == want
+    assert similar.deduplicated(docs_of(spark, texts).limit(0)).count() == 0
+
+
+def test_pipeline_stage_drops_near_copies(spark):
+    import corpus_pipeline
+
+    rng = random.Random(29)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(80)] for _ in range(30)]
+    copies = [w[:40] + ["changed"] + w[41:] for w in base]  # similarity 71 / 81
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs_of(spark, [" ".join(w) for w in base + copies]), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(30))
+
+
 # --- mixing ----------------------------------------------------------------------------------------------------------
 
 
