@@ -373,6 +373,29 @@ def test_toxicity_without_labels_or_text(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 
+def test_toxicity_searches_every_text_with_known_words(spark):
+    docs, labels, texts, _ = toxic_fixture(spark, 300)
+    model = toxicity.fit(docs, labels)
+    learned = {int(i) for i in model.index.ids}
+    assert len(learned) == labels.where(~toxicity.held_out(F.col("doc_id"))).count()
+    assert all(r["evidence"] for r in toxicity.score(docs, model).collect())
+
+
+def test_long_postings_are_pruned_exactly():
+    import numpy as np
+
+    rng = np.random.default_rng(31)
+    n, t = 3000, 120
+    x = rng.random((n, t)) * (rng.random((n, t)) < np.linspace(0.02, 0.6, t)) * np.linspace(5, 0.05, t)
+    x /= np.maximum(1e-12, np.linalg.norm(x, axis=1, keepdims=True))
+    row, term = np.nonzero(x)
+    index = toxicity.Index.of(np.arange(n), np.zeros(n, bool), row, term, x[row, term], t)
+    for i in range(60):
+        terms, q = index.vector(i)
+        rows, near = index.nearest(terms, q, 16)
+        assert near == pytest.approx(np.sort(x @ x[i])[::-1][:16]) and rows[0] == i
+
+
 def test_sha_of_spans_helper(spark):
     d = pii.detect(docs_of(spark, ["a@b.co 1.2.3.4"])).select(F.sha2(pii.listed(F.col("spans")), 256).alias("h")).first()
     assert d["h"] == hashlib.sha256(b"email:0:6,ip:7:14").hexdigest()

@@ -1,10 +1,12 @@
 """Toxicity by the nearest labelled examples.
 
-Texts are TF-IDF vectors over terms that the labels single out: words and word beginnings whose counts in toxic and other
-examples differ by a likelihood-ratio test. Examples lie in an inverted index in blocks, with each term's largest weight in a
-block; a search adds up these maxima per block, visits blocks from the highest bound down and stops where no block can reach the
-k-th best, so its cosines are exact. Distance-weighted votes of the nearest examples, calibrated on votes that leave an example
-itself out, give the score; the examples are the evidence.
+Texts are TF-IDF vectors over all words of the examples and over terms that the labels single out: words and word beginnings
+whose counts in toxic and other examples differ by a likelihood-ratio test. These terms weigh more, but no word is left out, so
+every text that shares a word with an example is searched for. Examples lie in an inverted index; long postings also have their
+largest weight in each block of examples. A search adds up postings from the largest possible share down and stops where, by
+these maxima, only few examples can still be among the nearest; those are then summed whole, so its cosines are exact.
+Distance-weighted votes of the nearest examples, calibrated on votes that leave an example itself out, give the score; the
+examples are the evidence.
 
 Terms, index and calibration are fitted on at most EXAMPLES labelled rows of each class, picked by a hash of the id. Document
 frequencies are counted over all documents.
@@ -20,19 +22,25 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.shared import materialise
 
-#: Bounds of the fit: labelled rows of each class, and terms.
+#: Bounds of the fit: labelled rows of each class, and terms that are singled out.
 EXAMPLES = 6000
 TERMS = 4096
 #: Least likelihood ratio of a term is this and twice the log of the number of examples, as more examples bring more terms to test.
 G2_OFFSET, LEAST_LIFT = 3.6, 4.0
-WORD_CHARS, STEMS = 10, (4, 5, 6)
+STEMS = (4, 5, 6)
+#: Weight of a word that is not singled out.
+NEUTRAL = 0.25
 BLOCK = 64
+#: Postings of at least so many examples have block maxima.
+LONG = 64
 NEIGHBOURS = 16
 #: Weight of the prior in a vote.
 PRIOR_WEIGHT = 0.05
@@ -42,8 +50,8 @@ _words = re.compile(r"[^\W_]+").findall
 
 
 def terms_of(word: str) -> list[str]:
-    """The word itself unless long, and its beginnings, marked with a star."""
-    return [word[:n] + "*" for n in STEMS if len(word) > n] + ([word] if len(word) <= WORD_CHARS else [])
+    """The word itself and its beginnings, marked with a star."""
+    return [word[:n] + "*" for n in STEMS if len(word) > n] + [word]
 
 
 class _Known(dict):
@@ -54,7 +62,7 @@ class _Known(dict):
         self.vocabulary = vocabulary
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         out = self[word] = tuple(i for t in terms_of(word) if (i := self.vocabulary.get(t)) is not None)
         return out
@@ -71,59 +79,104 @@ def counts(text: str | None, known: _Known) -> dict[int, int]:
 
 @dataclass
 class Index:
-    """Postings by term, then block, then example; best[t, b] is the largest weight of t in block b."""
+    """Postings by term, then example; block maxima of long postings by term, then block; the same weights by example."""
 
     ids: np.ndarray
     toxic: np.ndarray
     start: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    best: np.ndarray
+    most: np.ndarray
+    cell_start: np.ndarray
+    cell_block: np.ndarray
+    cell_best: np.ndarray
+    row_start: np.ndarray
+    by_row: np.ndarray
+    row_term: np.ndarray
 
     @staticmethod
     def of(ids: np.ndarray, toxic: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
-        blocks = max(1, -(-len(ids) // BLOCK))
-        order = np.lexsort((row, row // BLOCK, term))
-        row, term, weight = row[order], term[order], weight[order]
-        cell = term * blocks + row // BLOCK
-        start = np.searchsorted(cell, np.arange(n_terms * blocks + 1))
-        best = np.zeros(n_terms * blocks)
-        np.maximum.at(best, cell, weight)
-        return Index(ids, toxic, start, row % BLOCK, weight, best.reshape(n_terms, blocks))
+        order = np.lexsort((row, term))
+        row, term, weight = row[order].astype(np.int32), term[order].astype(np.int32), weight[order]
+        start = np.searchsorted(term, np.arange(n_terms + 1))
+        most = np.zeros(n_terms)
+        np.maximum.at(most, term, weight)
+        long = np.flatnonzero(np.diff(start)[term] >= LONG)
+        cells, of = np.unique(term[long].astype(np.int64) << 32 | row[long] // BLOCK, return_inverse=True)
+        best = np.zeros(len(cells))
+        np.maximum.at(best, of, weight[long])
+        by_row = np.lexsort((term, row)).astype(np.int32)
+        row_start = np.searchsorted(row[by_row], np.arange(len(ids) + 1))
+        return Index(ids, toxic, start, row, weight, most, np.searchsorted(cells >> 32, np.arange(n_terms + 1)), (cells & 0xFFFFFFFF).astype(np.int32), best, row_start, by_row, term[by_row])
+
+    def vector(self, row: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.row_start[row], self.row_start[row + 1])
+        return self.row_term[at], self.weight[self.by_row[at]]
 
     def nearest(self, terms: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the k examples nearest to a normed vector, exact, nearest first, ties to the earlier row."""
-        blocks = self.best.shape[1]
-        bound = q @ self.best[terms]
-        rows, scores, least = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < least - 1e-12:
-                break
-            cell = terms * blocks + b
-            lo, n = self.start[cell], self.start[cell + 1] - self.start[cell]
-            at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
-            sums = np.bincount(self.example[at], np.repeat(q, n) * self.weight[at], BLOCK)
-            hit = np.flatnonzero(sums > 0)
-            rows, scores = np.concatenate([rows, b * BLOCK + hit]), np.concatenate([scores, sums[hit]])
-            if len(rows) > k:
-                keep = np.lexsort((rows, -scores))[:k]
-                rows, scores = rows[keep], scores[keep]
-                least = scores[-1]
-            elif len(rows) == k:
-                least = scores.min()
-        order = np.lexsort((rows, -scores))
+        n = len(self.ids)
+        sums = np.zeros(n)
+        lo, size = self.start[terms], self.start[terms + 1] - self.start[terms]
+        short = size < LONG
+        at, _ = _ranges(lo[short], size[short])
+        if len(at):
+            sums += np.bincount(self.example[at], np.repeat(q[short], size[short]) * self.weight[at], n)
+        far = np.flatnonzero(~short)
+        far = far[np.argsort(-q[far] * self.most[terms[far]], kind="stable")]
+        left = int(size[far].sum())
+        pause = left // 2
+        for i, j in enumerate(far.tolist()):
+            a, m = lo[j], size[j]
+            sums[self.example[a : a + m]] += q[j] * self.weight[a : a + m]
+            left -= int(m)
+            if left <= pause and left > 8192 and n > k:
+                rest = far[i + 1 :]
+                rows = self._may_win(sums, terms[rest], q[rest], k)
+                if len(rows) * 64 < left:
+                    # Only these can be among the nearest: the rest of their sums comes from their own vectors.
+                    full = np.zeros(len(self.most))
+                    full[terms[rest]] = q[rest]
+                    at, m = _ranges(self.row_start[rows], self.row_start[rows + 1] - self.row_start[rows])
+                    add = np.bincount(np.repeat(np.arange(len(rows)), m), full[self.row_term[at]] * self.weight[self.by_row[at]], len(rows))
+                    return self._first(rows, sums[rows] + add, k)
+                pause = left // 2
+        rows = np.flatnonzero(sums > 0)
+        return self._first(rows, sums[rows], k)
+
+    def _may_win(self, sums: np.ndarray, terms: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
+        """Rows whose sums so far, with the block maxima of the terms still to come, reach the k-th best sum so far."""
+        lo, size = self.cell_start[terms], self.cell_start[terms + 1] - self.cell_start[terms]
+        at, _ = _ranges(lo, size)
+        blocks = -(-len(sums) // BLOCK)
+        bound = np.bincount(self.cell_block[at], np.repeat(q, size) * self.cell_best[at], blocks)
+        least = np.partition(sums, len(sums) - k)[len(sums) - k]
+        return np.flatnonzero(sums + np.repeat(bound, BLOCK)[: len(sums)] >= least - 1e-12)
+
+    @staticmethod
+    def _first(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(rows) > 4 * k:
+            keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            rows, scores = rows[keep], scores[keep]
+        order = np.lexsort((rows, -scores))[:k]
+        order = order[scores[order] > 0]
         return rows[order], scores[order]
 
 
+def _ranges(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of ranges one after the other, and their sizes."""
+    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum()), size
+
+
 @dataclass
 class Model:
-    """What a fit gives; bounded by EXAMPLES and TERMS."""
+    """What a fit gives; bounded by the words of EXAMPLES texts of each class and by TERMS."""
 
     vocabulary: dict[str, int]
     idf: np.ndarray
     index: Index
     class_weight: tuple[float, float]
-    silent: float  # the score of texts without any term
+    silent: float  # the score of texts without any known word
     knots: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
     levels: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
@@ -132,9 +185,9 @@ class Model:
         w = (1 + np.log([found[t] for t in terms])) * self.idf[terms]
         return terms, w / max(1e-300, np.sqrt(w @ w))
 
-    def vote(self, found: dict[int, int], leave_out: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+    def vote(self, terms: np.ndarray, q: np.ndarray, leave_out: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         """Share of the nearest examples' weight that is toxic, and those examples with their cosines."""
-        rows, near = self.index.nearest(*self.vector(found), NEIGHBOURS + (leave_out is not None))
+        rows, near = self.index.nearest(terms, q, NEIGHBOURS + (leave_out is not None))
         if leave_out is not None:
             rows, near = rows[rows != leave_out], near[rows != leave_out]
         y = self.index.toxic[rows]
@@ -147,7 +200,7 @@ class Model:
     def score(self, found: dict[int, int]) -> tuple[float, list[dict]]:
         if not found:
             return self.silent, []
-        vote, rows, near = self.vote(found)
+        vote, rows, near = self.vote(*self.vector(found))
         return self.calibrated(vote), [{"example_id": int(self.index.ids[r]), "similarity": float(s), "toxic": bool(self.index.toxic[r])} for r, s in zip(rows, near, strict=True)]
 
 
@@ -184,42 +237,60 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     class_weight = (totals.get(0, 0) / n0 if n0 else 1.0, totals.get(1, 0) / n1 if n1 else 1.0)
 
     stats = chosen.select("y", "text").mapInArrow(_term_counts, "term string, n0 long, n1 long, docs0 long, docs1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs0", "docs1")])
+    stats = materialise(stats, "terms")
     g2 = _association(F.col("n0"), F.col("n1"), n0, n1)
     lift = (F.col("docs1") + 0.5) / (n1 + 1) / ((F.col("docs0") + 0.5) / (n0 + 1))
     best = stats.where("docs1 >= 2").withColumn("g2", g2).where((F.col("g2") >= G2_OFFSET + 2 * np.log(max(1, n0 + n1))) & (lift >= LEAST_LIFT)).orderBy(F.col("g2").desc(), "term").limit(TERMS).select("term").collect()
     vocabulary = {r["term"]: i for i, r in enumerate(best)}
+    words = stats.where(~F.col("term").endswith("*")).select("term").toArrow().column(0).to_pylist()
+    for word in sorted(w for w in words if w not in vocabulary):
+        vocabulary[word] = len(vocabulary)
+    told = spark.sparkContext.broadcast(vocabulary)
 
     # Document frequencies over all documents: one row per task and term.
-    counted = docs.select(text_col).mapInArrow(_frequencies(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df = {r["term"]: r["n"] for r in counted}
-    n_docs = df.pop(-1, 0)
-    idf = np.array([np.log((n_docs + 1) / (df.get(i, 0) + 1)) + 1e-3 for i in range(len(vocabulary))])
-
-    found = [(r["id"], r["y"], dict(zip(r["terms"], r["tf"], strict=True))) for r in chosen.orderBy("id").mapInArrow(_features(vocabulary, chosen.schema["id"].dataType), T.StructType([chosen.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("tf", T.ArrayType(T.IntegerType()))])).collect()]
-    found.sort(key=lambda x: x[0])
-    silent_w = [class_weight[y] * sum(1 for _, z, f in found if z == y and not f) for y in (0, 1)]
+    counted = docs.select(text_col).mapInArrow(_frequencies(told), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    at, n = counted.column(0).to_numpy(), counted.column(1).to_numpy()
+    n_docs = int(n[at < 0].sum())
+    df = np.zeros(len(vocabulary))
+    df[at[at >= 0]] = n[at >= 0]
+    idf = np.log((n_docs + 1) / (df + 1)) + 1e-3
+    idf[len(best) :] *= NEUTRAL
+
+    got = chosen.mapInArrow(_features(told, chosen.schema["id"].dataType), T.StructType([chosen.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("tf", T.ArrayType(T.IntegerType()))])).toArrow().sort_by("id")
+    ids, y = np.array(got["id"].to_pylist()), np.array(got["y"].to_pylist(), bool)
+    n_terms = np.array(pc.list_value_length(got["terms"]).to_pylist(), np.int64)
+    silent_w = [class_weight[c] * int(((y == c) & (n_terms == 0)).sum()) for c in (0, 1)]
     model = Model(vocabulary, idf, _empty(len(vocabulary)), class_weight, (silent_w[1] + 0.5) / (sum(silent_w) + 10))
-    held = [x for x in found if x[2]]
-    # Examples with the same rarest term lie together, so that blocks have few terms and tight bounds.
-    held.sort(key=lambda x: (x[1], max(x[2], key=lambda t: (idf[t], t)), x[0]))
-    if held:
-        vectors = [model.vector(f) for _, _, f in held]
-        row = np.repeat(np.arange(len(held)), [len(t) for t, _ in vectors])
-        model.index = Index.of(np.array([x[0] for x in held]), np.array([x[1] for x in held], bool), row, np.concatenate([t for t, _ in vectors]), np.concatenate([w for _, w in vectors]), len(vocabulary))
-        _calibrate(model, held, spark)
+    held = np.flatnonzero(n_terms)
+    if len(held):
+        term, tf = (pc.list_flatten(got[c]).to_numpy().astype(np.int64) for c in ("terms", "tf"))
+        weight = (1 + np.log(tf)) * idf[term]
+        row = np.repeat(np.arange(len(ids)), n_terms)
+        weight /= np.maximum(1e-300, np.sqrt(np.bincount(row, weight * weight, len(ids))))[row]
+        # Examples with the same weightiest term lie together, so that blocks have few long terms and tight bounds.
+        top = np.zeros(len(ids), np.int64)
+        by = np.argsort(weight, kind="stable")
+        top[row[by]] = term[by]
+        order = held[np.lexsort((held, top[held], y[held]))]
+        place = np.full(len(ids), -1)
+        place[order] = np.arange(len(order))
+        model.index = Index.of(ids[order], y[order], place[row], term, weight, len(vocabulary))
+        _calibrate(model, spark)
     return model
 
 
-def _calibrate(model: Model, held: list, spark) -> None:
+def _calibrate(model: Model, spark) -> None:
     """Levels of the votes that leave an example itself out, in bins, made non-decreasing."""
     shared = spark.sparkContext.broadcast(model)
-    rows = spark.createDataFrame([(i, y, list(f), list(f.values())) for i, (_, y, f) in enumerate(held)], "row int, y int, terms array<int>, tf array<int>").repartition(max(1, len(held) // 500), "row")
+    n = len(model.index.ids)
+    rows = spark.range(n, numPartitions=max(1, n // 500))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value.index
         for b in batches:
-            r = b.to_pylist()
-            votes = [shared.value.vote(dict(zip(x["terms"], x["tf"], strict=True)), x["row"])[0] for x in r]
-            yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(v * BINS)) for v in votes], pa.int32()), pa.array([x["y"] for x in r], pa.int32()), pa.array(votes)], names=["bin", "y", "vote"])
+            r = b.column(0).to_pylist()
+            votes = [shared.value.vote(*index.vector(i), i)[0] for i in r]
+            yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(v * BINS)) for v in votes], pa.int32()), pa.array([int(index.toxic[i]) for i in r], pa.int32()), pa.array(votes, pa.float64())], names=["bin", "y", "vote"])
 
     got = rows.mapInArrow(run, "bin int, y int, vote double").groupBy("bin").agg(F.sum(F.col("y")).alias("n1"), F.sum(1 - F.col("y")).alias("n0"), F.avg("vote").alias("at")).orderBy("bin").collect()
     w = np.array([[g["n0"] * model.class_weight[0], g["n1"] * model.class_weight[1]] for g in got])
@@ -260,23 +331,23 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def _frequencies(vocabulary: dict[str, int]):
+def _frequencies(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total, df = _Known(vocabulary), 0, np.zeros(len(vocabulary) + 1, np.int64)
+        known, total, df = _Known(told.value), 0, np.zeros(len(told.value) + 1, np.int64)
         for b in batches:
             total += b.num_rows
             for text in b.column(0):
                 for i in {i for w in set(_words((text.as_py() or "").lower())) for i in known[w]}:
                     df[i] += 1
         at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([total, *df[at].tolist()], pa.int64())], names=["term", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], at]), pa.int32()), pa.array(np.concatenate([[total], df[at]]), pa.int64())], names=["term", "n"])
 
     return run
 
 
-def _features(vocabulary: dict[str, int], id_type: T.DataType):
+def _features(told: Broadcast, id_type: T.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(vocabulary)
+        known = _Known(told.value)
         for b in batches:
             c = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             got = [counts(t.as_py(), known) for t in c["text"]]
@@ -291,7 +362,7 @@ EVIDENCE = "array<struct<example_id:bigint,similarity:double,toxic:boolean>>"
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with score (0 to 1) and evidence (the nearest examples with their cosines), columns of those names replaced.
 
-    Only the text is an input. Null and empty texts, and texts without a known term, have the score of such examples and no
+    Only the text is an input. Null and empty texts, and texts without a known word, have the score of such examples and no
     evidence. Repeated rows score alike. Without any labels no term is known and all texts have the same low score.
     """
     docs = docs.drop("score", "evidence")
