@@ -39,8 +39,8 @@ STEMS = (4, 5, 6)
 #: Weight of a word that is not singled out.
 NEUTRAL = 0.25
 BLOCK = 64
-#: Postings of at least so many examples have block maxima.
-LONG = 64
+#: Postings of at least so many examples have block maxima; they are asked where at least so many postings are still to be added.
+LONG, WORTH_ASKING = 64, 1 << 16
 NEIGHBOURS = 16
 #: Weight of the prior in a vote.
 PRIOR_WEIGHT = 0.05
@@ -97,7 +97,7 @@ class Index:
     @staticmethod
     def of(ids: np.ndarray, toxic: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
         order = np.lexsort((row, term))
-        row, term, weight = row[order].astype(np.int32), term[order].astype(np.int32), weight[order]
+        row, term, weight = row[order].astype(np.int64), term[order].astype(np.int32), weight[order]
         start = np.searchsorted(term, np.arange(n_terms + 1))
         most = np.zeros(n_terms)
         np.maximum.at(most, term, weight)
@@ -130,10 +130,10 @@ class Index:
             a, m = lo[j], size[j]
             sums[self.example[a : a + m]] += q[j] * self.weight[a : a + m]
             left -= int(m)
-            if left <= pause and left > 8192 and n > k:
+            if left <= pause and left > WORTH_ASKING and n > k:
                 rest = far[i + 1 :]
                 rows = self._may_win(sums, terms[rest], q[rest], k)
-                if len(rows) * 64 < left:
+                if 4 * int((self.row_start[rows + 1] - self.row_start[rows]).sum()) < left:
                     # Only these can be among the nearest: the rest of their sums comes from their own vectors.
                     full = np.zeros(len(self.most))
                     full[terms[rest]] = q[rest]
