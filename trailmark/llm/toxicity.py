@@ -96,17 +96,22 @@ class Index:
 
     @staticmethod
     def of(ids: np.ndarray, toxic: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
-        order = np.lexsort((row, term))
-        row, term, weight = row[order].astype(np.int64), term[order].astype(np.int32), weight[order]
+        key = term.astype(np.int64) << 32 | row
+        order = np.argsort(key, kind="stable")
+        key, weight = key[order], weight[order]
+        del order
+        term, row = (key >> 32).astype(np.int32), key & 0xFFFFFFFF
         start = np.searchsorted(term, np.arange(n_terms + 1))
         most = np.zeros(n_terms)
         np.maximum.at(most, term, weight)
-        long = np.flatnonzero(np.diff(start)[term] >= LONG)
-        cells, of = np.unique(term[long].astype(np.int64) << 32 | row[long] // BLOCK, return_inverse=True)
-        best = np.zeros(len(cells))
-        np.maximum.at(best, of, weight[long])
-        by_row = np.lexsort((term, row)).astype(np.int32)
-        row_start = np.searchsorted(row[by_row], np.arange(len(ids) + 1))
+        # Sorted by term and row, so the postings of a term in a block lie together.
+        long = np.flatnonzero((np.diff(start) >= LONG)[term])
+        cell = key[long] >> 32 << 32 | row[long] // BLOCK
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        cells, best = cell[first], np.maximum.reduceat(weight[long], first) if len(first) else np.empty(0)
+        del key, long, cell
+        by_row = np.argsort(row, kind="stable").astype(np.int32)
+        row_start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ids)))])
         return Index(ids, toxic, start, row, weight, most, np.searchsorted(cells >> 32, np.arange(n_terms + 1)), (cells & 0xFFFFFFFF).astype(np.int32), best, row_start, by_row, term[by_row])
 
     def vector(self, row: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,8 +248,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     best = stats.where("docs1 >= 2").withColumn("g2", g2).where((F.col("g2") >= G2_OFFSET + 2 * np.log(max(1, n0 + n1))) & (lift >= LEAST_LIFT)).orderBy(F.col("g2").desc(), "term").limit(TERMS).select("term").collect()
     vocabulary = {r["term"]: i for i, r in enumerate(best)}
     words = stats.where(~F.col("term").endswith("*")).select("term").toArrow().column(0).to_pylist()
-    for word in sorted(w for w in words if w not in vocabulary):
+    words.sort()
+    for word in (w for w in words if w not in vocabulary):
         vocabulary[word] = len(vocabulary)
+    del words
     told = spark.sparkContext.broadcast(vocabulary)
 
     # Document frequencies over all documents: one row per task and term.
@@ -263,14 +270,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model(vocabulary, idf, _empty(len(vocabulary)), class_weight, (silent_w[1] + 0.5) / (sum(silent_w) + 10))
     held = np.flatnonzero(n_terms)
     if len(held):
-        term, tf = (pc.list_flatten(got[c]).to_numpy().astype(np.int64) for c in ("terms", "tf"))
+        term, tf = (pc.list_flatten(got[c]).to_numpy() for c in ("terms", "tf"))
         weight = (1 + np.log(tf)) * idf[term]
-        row = np.repeat(np.arange(len(ids)), n_terms)
+        del got, tf
+        row = np.repeat(np.arange(len(ids), dtype=np.int32), n_terms)
         weight /= np.maximum(1e-300, np.sqrt(np.bincount(row, weight * weight, len(ids))))[row]
         # Examples with the same weightiest term lie together, so that blocks have few long terms and tight bounds.
         top = np.zeros(len(ids), np.int64)
         by = np.argsort(weight, kind="stable")
         top[row[by]] = term[by]
+        del by
         order = held[np.lexsort((held, top[held], y[held]))]
         place = np.full(len(ids), -1)
         place[order] = np.arange(len(order))
