@@ -12,6 +12,8 @@ from trailmark.plans.adapt import EV, columns_of_events, table
 from trailmark.streaming import flows
 
 Q, SQL = {}, {}
+#: flows.LATE in milliseconds.
+LATE_MS = 600_000
 
 
 def query(name: str, sql: str | None = None):
@@ -35,6 +37,10 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(*columns_of_events(), F.col("ts").cast("timestamp").alias("ts"))
 
 
+def event_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(*columns_of_events(), F.col("ts").cast("timestamp").alias("ts"))
+
+
 def _last(df: DataFrame, *keys: str) -> DataFrame:
     """The latest state of each key among the batches of an update stream."""
     w = W.partitionBy(*keys).orderBy(F.col("batch").desc())
@@ -47,14 +53,26 @@ def stream_flow(spark, sf_dir):
     return out.select(F.unix_millis("start").alias("start_ms"), "appid", "pv", "last_time")
 
 
+def _with_open(closed: DataFrame, everything: DataFrame, events: DataFrame, keys: list[str], shut_ms) -> DataFrame:
+    """Windows a stream has closed, and those still open at its end, shut_ms later than the watermark, from a batch aggregate."""
+    seen = events.agg(F.max(F.unix_millis("ts")).alias("_seen"))
+    still = everything.crossJoin(F.broadcast(seen)).where(shut_ms >= F.col("_seen") - LATE_MS).drop("_seen")
+    return closed.unionByName(still.join(closed, keys, "left_anti"))
+
+
 @query("stream_users")
 def stream_users(spark, sf_dir):
-    return flows.run_to_end(flows.exact_users(event_stream(spark, sf_dir), "1 hour"), folder(spark)).select(F.unix_millis("start").alias("start_ms"), "appid", "uv")
+    ms = lambda df: df.select(F.unix_millis("start").alias("start_ms"), "appid", "uv")
+    e = event_batch(spark, sf_dir)
+    closed = ms(flows.run_to_end(flows.exact_users(event_stream(spark, sf_dir), "1 hour"), folder(spark)))
+    return _with_open(closed, ms(flows.exact_users(e, "1 hour")), e, ["start_ms", "appid"], F.col("start_ms") + 3_600_000)
 
 
 @query("stream_sessions")
 def stream_sessions(spark, sf_dir):
-    return flows.run_to_end(flows.sessions(event_stream(spark, sf_dir)), folder(spark)).drop("batch")
+    e = event_batch(spark, sf_dir)
+    closed = flows.run_to_end(flows.sessions(event_stream(spark, sf_dir)), folder(spark)).drop("batch")
+    return _with_open(closed, flows.sessions(e), e, ["appid", "uuid", "start"], F.col("end") + 600_000)
 
 
 @query("stream_last_time", f"WITH {EV} SELECT appid, max(time) AS last_time FROM ev GROUP BY appid")
