@@ -114,6 +114,10 @@ class Index:
         row_start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ids)))])
         return Index(ids, toxic, start, row, weight, most, np.searchsorted(cells >> 32, np.arange(n_terms + 1)), (cells & 0xFFFFFFFF).astype(np.int32), best, row_start, by_row, term[by_row])
 
+    def __reduce__(self):
+        # Only the postings travel; what is made from them is made again.
+        return _restored, (self.ids, self.toxic, np.diff(self.start).astype(np.int32), self.example.astype(np.int32), self.weight)
+
     def vector(self, row: int) -> tuple[np.ndarray, np.ndarray]:
         at = slice(self.row_start[row], self.row_start[row + 1])
         return self.row_term[at], self.weight[self.by_row[at]]
@@ -168,6 +172,10 @@ class Index:
         return rows[order], scores[order]
 
 
+def _restored(ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, row: np.ndarray, weight: np.ndarray) -> Index:
+    return Index.of(ids, toxic, row, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), weight, len(sizes))
+
+
 def _ranges(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of ranges one after the other, and their sizes."""
     return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum()), size
@@ -264,6 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     idf[len(best) :] *= NEUTRAL
 
     got = chosen.mapInArrow(_features(told, chosen.schema["id"].dataType), T.StructType([chosen.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("tf", T.ArrayType(T.IntegerType()))])).toArrow().sort_by("id")
+    told.destroy()
     ids, y = np.array(got["id"].to_pylist()), np.array(got["y"].to_pylist(), bool)
     n_terms = np.array(pc.list_value_length(got["terms"]).to_pylist(), np.int64)
     silent_w = [class_weight[c] * int(((y == c) & (n_terms == 0)).sum()) for c in (0, 1)]
@@ -302,6 +311,7 @@ def _calibrate(model: Model, spark) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(v * BINS)) for v in votes], pa.int32()), pa.array([int(index.toxic[i]) for i in r], pa.int32()), pa.array(votes, pa.float64())], names=["bin", "y", "vote"])
 
     got = rows.mapInArrow(run, "bin int, y int, vote double").groupBy("bin").agg(F.sum(F.col("y")).alias("n1"), F.sum(1 - F.col("y")).alias("n0"), F.avg("vote").alias("at")).orderBy("bin").collect()
+    shared.destroy()
     w = np.array([[g["n0"] * model.class_weight[0], g["n1"] * model.class_weight[1]] for g in got])
     level = isotonic((w[:, 1] + 0.5 * model.silent) / (w.sum(axis=1) + 0.5), w.sum(axis=1))
     model.knots, model.levels = np.array([0.0, *[g["at"] for g in got], 1.0]), np.array([min(model.silent, level[0]), *level, max(level[-1], 0.999)])
