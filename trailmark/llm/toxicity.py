@@ -1,15 +1,14 @@
 """Toxicity by the nearest labelled examples.
 
-Texts are TF-IDF vectors over all words of the examples and over terms that the labels single out: words and word beginnings
-whose counts in toxic and other examples differ by a likelihood-ratio test. These terms weigh more, but no word is left out, so
-every text that shares a word with an example is searched for. Examples lie in an inverted index; long postings also have their
-largest weight in each block of examples. A search adds up postings from the largest possible share down and stops where, by
-these maxima, only few examples can still be among the nearest; those are then summed whole, so its cosines are exact.
-Distance-weighted votes of the nearest examples, calibrated on votes that leave an example itself out, give the score; the
-examples are the evidence.
-
-Terms, index and calibration are fitted on at most EXAMPLES labelled rows of each class, picked by a hash of the id. Document
-frequencies are counted over all documents.
+Texts are TF-IDF vectors over all their words that any example has: (1 + ln tf) * idf, idf over all documents. A word that leans to
+toxic examples weighs more, by a smooth function of its likelihood ratio (`lean`); no word is left out. Examples lie in an inverted
+index whose postings are cut into blocks of examples, each with its largest weight. A search takes the blocks by the largest
+cosine that these maxima allow and stops where no block can hold a nearer example, so its neighbours are exact. Distance-weighted
+votes of the nearest examples, calibrated on votes that leave an example itself out, give the score; the examples are the
+evidence.
+
+The fit takes at most EXAMPLES labelled rows of each class with at most EXAMPLE_BYTES of text, picked by a hash of the id: that
+bounds the vocabulary, the index and what is broadcast. Document frequencies are counted over all documents.
 """
 
 from __future__ import annotations
@@ -18,203 +17,195 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.shared import materialise
 
-#: Bounds of the fit: labelled rows of each class, and terms that are singled out.
-EXAMPLES = 6000
-TERMS = 4096
-#: Least likelihood ratio of a term is this and twice the log of the number of examples, as more examples bring more terms to test.
-G2_OFFSET, LEAST_LIFT = 3.6, 4.0
-STEMS = (4, 5, 6)
-#: Weight of a word that is not singled out.
-NEUTRAL = 0.25
-BLOCK = 64
-#: Postings of at least so many examples have block maxima; they are asked where at least so many postings are still to be added.
-LONG, WORTH_ASKING = 64, 1 << 16
+#: Bounds of the fit, for each class.
+EXAMPLES, EXAMPLE_BYTES = 6000, 64 << 20
+#: A word that surely leans to toxic weighs 1 + LEAN times its idf; a likelihood ratio of DOUBT is half sure.
+LEAN, DOUBT = 8.0, 8.0
+#: Examples a block, and blocks that a search takes before it asks which others may hold a nearer example.
+BLOCK, FIRST = 64, 8
+#: A word that more than one in DENSE examples has is a dense column. Texts are searched for SEARCHES at a time.
+DENSE, SEARCHES = 16, 64
 NEIGHBOURS = 16
 #: Weight of the prior in a vote.
 PRIOR_WEIGHT = 0.05
 THRESHOLD = 0.3
 BINS = 50
+#: Examples by whose nearness the others are ordered, so that blocks hold examples that are alike.
+PIVOTS = 16
 _words = re.compile(r"[^\W_]+").findall
 
 
-def terms_of(word: str) -> list[str]:
-    """The word itself and its beginnings, marked with a star."""
-    return [word[:n] + "*" for n in STEMS if len(word) > n] + [word]
-
-
-class _Known(dict):
-    """Word to the numbers of its terms; emptied when large."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 200_000:
-            self.clear()
-        out = self[word] = tuple(i for t in terms_of(word) if (i := self.vocabulary.get(t)) is not None)
-        return out
-
-
-def counts(text: str | None, known: _Known) -> dict[int, int]:
-    """How often each known term occurs in a text."""
-    out: dict[int, int] = {}
-    for word, n in Counter(_words((text or "").lower())).items():
-        for i in known[word]:
-            out[i] = out.get(i, 0) + n
-    return out
+def words(text: str | None) -> Counter:
+    return Counter(_words((text or "").lower()))
 
 
 @dataclass
 class Index:
-    """Postings by term, then example; block maxima of long postings by term, then block; the same weights by example."""
+    """Postings sorted by word, then example, in cells: what a word has in one block of examples, with the largest weight there.
 
-    ids: np.ndarray
-    toxic: np.ndarray
-    start: np.ndarray
+    Words that many examples have are kept as dense columns by block; that is the same index, added up by matrix products.
+    """
+
+    n: int
+    sizes: np.ndarray  # postings of each word
     example: np.ndarray
     weight: np.ndarray
-    most: np.ndarray
-    cell_start: np.ndarray
-    cell_block: np.ndarray
-    cell_best: np.ndarray
-    row_start: np.ndarray
-    by_row: np.ndarray
-    row_term: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.blocks = -(-self.n // BLOCK)
+        self.start = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)])
+        often = np.flatnonzero(self.sizes * DENSE > self.n)
+        self.head = np.full(len(self.sizes), -1, np.int32)
+        self.head[often] = np.arange(len(often))
+        heads = np.zeros((self.blocks, len(often), BLOCK))
+        post = _ranges(self.start[often], self.sizes[often])
+        heads[self.example[post] // BLOCK, np.repeat(np.arange(len(often)), self.sizes[often]), self.example[post] % BLOCK] = self.weight[post]
+        self.heads, self.head_best = heads, np.ascontiguousarray(heads.max(axis=2).T) if self.n else np.zeros((0, 0))
+        block = self.example // BLOCK
+        fresh = np.ones(len(block), bool)
+        fresh[1:] = block[1:] != block[:-1]
+        fresh[self.start[:-1][self.sizes > 0]] = True
+        first = np.flatnonzero(fresh)
+        self.cell_block = block[first]
+        self.cell_best = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.cell_start = np.searchsorted(first, self.start)
 
     @staticmethod
-    def of(ids: np.ndarray, toxic: np.ndarray, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
-        key = term.astype(np.int64) << 32 | row
-        order = np.argsort(key, kind="stable")
-        key, weight = key[order], weight[order]
-        del order
-        term, row = (key >> 32).astype(np.int32), key & 0xFFFFFFFF
-        start = np.searchsorted(term, np.arange(n_terms + 1))
-        most = np.zeros(n_terms)
-        np.maximum.at(most, term, weight)
-        # Sorted by term and row, so the postings of a term in a block lie together.
-        long = np.flatnonzero((np.diff(start) >= LONG)[term])
-        cell = key[long] >> 32 << 32 | row[long] // BLOCK
-        first = np.flatnonzero(np.diff(cell, prepend=-1))
-        cells, best = cell[first], np.maximum.reduceat(weight[long], first) if len(first) else np.empty(0)
-        del key, long, cell
-        by_row = np.argsort(row, kind="stable").astype(np.int32)
-        row_start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(ids)))])
-        return Index(ids, toxic, start, row, weight, most, np.searchsorted(cells >> 32, np.arange(n_terms + 1)), (cells & 0xFFFFFFFF).astype(np.int32), best, row_start, by_row, term[by_row])
+    def of(n: int, n_words: int, row: np.ndarray, word: np.ndarray, weight: np.ndarray) -> Index:
+        order = np.argsort(word.astype(np.int64) << 32 | row, kind="stable")
+        return Index(n, np.bincount(word, minlength=n_words).astype(np.int32), row[order].astype(np.int32), weight[order].astype(np.float32))
 
     def __reduce__(self):
         # Only the postings travel; what is made from them is made again.
-        return _restored, (self.ids, self.toxic, np.diff(self.start).astype(np.int32), self.example.astype(np.int32), self.weight)
-
-    def vector(self, row: int) -> tuple[np.ndarray, np.ndarray]:
-        at = slice(self.row_start[row], self.row_start[row + 1])
-        return self.row_term[at], self.weight[self.by_row[at]]
-
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k examples nearest to a normed vector, exact, nearest first, ties to the earlier row."""
-        n = len(self.ids)
-        sums = np.zeros(n)
-        lo, size = self.start[terms], self.start[terms + 1] - self.start[terms]
-        short = size < LONG
-        at, _ = _ranges(lo[short], size[short])
-        if len(at):
-            sums += np.bincount(self.example[at], np.repeat(q[short], size[short]) * self.weight[at], n)
-        far = np.flatnonzero(~short)
-        far = far[np.argsort(-q[far] * self.most[terms[far]], kind="stable")]
-        left = int(size[far].sum())
-        pause = left // 2
-        for i, j in enumerate(far.tolist()):
-            a, m = lo[j], size[j]
-            sums[self.example[a : a + m]] += q[j] * self.weight[a : a + m]
-            left -= int(m)
-            if left <= pause and left > WORTH_ASKING and n > k:
-                rest = far[i + 1 :]
-                rows = self._may_win(sums, terms[rest], q[rest], k)
-                if 4 * int((self.row_start[rows + 1] - self.row_start[rows]).sum()) < left:
-                    # Only these can be among the nearest: the rest of their sums comes from their own vectors.
-                    full = np.zeros(len(self.most))
-                    full[terms[rest]] = q[rest]
-                    at, m = _ranges(self.row_start[rows], self.row_start[rows + 1] - self.row_start[rows])
-                    add = np.bincount(np.repeat(np.arange(len(rows)), m), full[self.row_term[at]] * self.weight[self.by_row[at]], len(rows))
-                    return self._first(rows, sums[rows] + add, k)
-                pause = left // 2
-        rows = np.flatnonzero(sums > 0)
-        return self._first(rows, sums[rows], k)
-
-    def _may_win(self, sums: np.ndarray, terms: np.ndarray, q: np.ndarray, k: int) -> np.ndarray:
-        """Rows whose sums so far, with the block maxima of the terms still to come, reach the k-th best sum so far."""
-        lo, size = self.cell_start[terms], self.cell_start[terms + 1] - self.cell_start[terms]
-        at, _ = _ranges(lo, size)
-        blocks = -(-len(sums) // BLOCK)
-        bound = np.bincount(self.cell_block[at], np.repeat(q, size) * self.cell_best[at], blocks)
-        least = np.partition(sums, len(sums) - k)[len(sums) - k]
-        return np.flatnonzero(sums + np.repeat(bound, BLOCK)[: len(sums)] >= least - 1e-12)
-
-    @staticmethod
-    def _first(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(rows) > 4 * k:
-            keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-            rows, scores = rows[keep], scores[keep]
-        order = np.lexsort((rows, -scores))[:k]
-        order = order[scores[order] > 0]
-        return rows[order], scores[order]
-
-
-def _restored(ids: np.ndarray, toxic: np.ndarray, sizes: np.ndarray, row: np.ndarray, weight: np.ndarray) -> Index:
-    return Index.of(ids, toxic, row, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), weight, len(sizes))
+        return Index, (self.n, self.sizes, self.example, self.weight)
+
+    def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Rows and cosines of the k examples nearest to each normed vector (words, weights): exact, nearest first, ties to the earlier row."""
+        m, n = len(vectors), self.blocks * BLOCK
+        at, q = (np.concatenate(x) for x in zip(*vectors, strict=True))
+        who = np.repeat(np.arange(m), [len(x) for x, _ in vectors])
+        head = self.head[at]
+        often, rare = head >= 0, head < 0
+        heads = np.zeros((m, len(self.head_best)))
+        heads[who[often], head[often]] = q[often]
+        at, q, who = at[rare], q[rare], who[rare]
+        size = self.cell_start[at + 1] - self.cell_start[at]
+        cell = _ranges(self.cell_start[at], size)
+        bound = np.bincount(np.repeat(who * self.blocks, size) + self.cell_block[cell], np.repeat(q, size) * self.cell_best[cell], m * self.blocks).reshape(m, -1) + heads @ self.head_best
+        size = self.sizes[at]
+        post = _ranges(self.start[at], size)
+        sums = np.bincount(np.repeat(who * n, size) + self.example[post], np.repeat(q, size) * self.weight[post], m * n).astype(float).reshape(m, self.blocks, BLOCK)
+        # The most promising blocks first; what they give leaves few others that may hold a nearer example.
+        order = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
+        first, kth, whole = np.zeros((m, self.blocks), bool), np.zeros((m, 1)), np.zeros((m, self.blocks), bool)
+        np.put_along_axis(first, order, True, 1)
+        for now in (first, ~first):
+            now &= (bound >= kth - 1e-9) & (bound > 0)
+            for b in np.flatnonzero(now.any(axis=0)).tolist():
+                some = np.flatnonzero(now[:, b])
+                sums[some, b] += heads[some] @ self.heads[b]
+            whole |= now
+            if order.shape[1] * BLOCK > k:
+                best = np.where(first[:, :, None] & whole[:, :, None], sums, 0.0)[np.arange(m)[:, None], order].reshape(m, -1)
+                kth = np.maximum(kth, np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k, None])
+        sums[~whole] = 0.0
+        sums = sums.reshape(m, n)
+        who, row = np.nonzero((sums >= kth - 1e-9) & (sums > 0))
+        value = sums[who, row].round(12)  # which texts are searched for together must not show
+        by = np.lexsort((row, -value, who))
+        who, row, value = who[by], row[by], value[by]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        cut = np.searchsorted(who[place < k], np.arange(1, m))
+        return list(zip(np.split(row[place < k], cut), np.split(value[place < k], cut), strict=True))
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of ranges, one range after the other."""
+    end = np.cumsum(size)
+    out = np.repeat(start - end + size, size)
+    out += np.arange(len(out), dtype=out.dtype)
+    return out
 
 
-def _ranges(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The places of ranges one after the other, and their sizes."""
-    return np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum()), size
+def lean(d0: np.ndarray, d1: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """How much more than others the words weigh that d0 clean and d1 toxic examples have: 1 to 1 + LEAN."""
+    n, x = max(1, n0 + n1), d0 + d1
+    part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1) / np.maximum(e, 1e-9)), 0.0)
+    ratio = np.maximum(0.0, 2 * (part(d1, x * n1 / n) + part(d0, x * n0 / n)))
+    toxic = (d1 + 0.5) * (n0 + 1) > (d0 + 0.5) * (n1 + 1)
+    return 1 + LEAN * np.where(toxic, ratio / (ratio + DOUBT), 0.0)
 
 
 @dataclass
 class Model:
-    """What a fit gives; bounded by the words of EXAMPLES texts of each class and by TERMS."""
+    """What a fit gives; its size is bounded by the words of the examples."""
 
-    vocabulary: dict[str, int]
+    vocabulary: pa.Array  # words in order
     idf: np.ndarray
+    d0: np.ndarray  # clean and toxic examples that have each word
+    d1: np.ndarray
+    ids: list
+    toxic: np.ndarray
     index: Index
     class_weight: tuple[float, float]
     silent: float  # the score of texts without any known word
     knots: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
     levels: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
-    def vector(self, found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        terms = np.array(sorted(found), np.int64)
-        w = (1 + np.log([found[t] for t in terms])) * self.idf[terms]
-        return terms, w / max(1e-300, np.sqrt(w @ w))
+    def __post_init__(self) -> None:
+        self.n1 = int(self.toxic.sum())
+        self.n0 = len(self.toxic) - self.n1
+        self.worth = self.idf * lean(self.d0, self.d1, self.n0, self.n1)
+
+    def vector(self, at: np.ndarray, tf: np.ndarray, own: bool | None = None) -> np.ndarray:
+        """The normed vector of a text; own: the class of an example whose share in its words' leaning is left out."""
+        worth = self.worth[at] if own is None else self.idf[at] * lean(self.d0[at] - (not own), self.d1[at] - own, self.n0 - (not own), self.n1 - own)
+        w = (1 + np.log(tf)) * worth
+        return w / max(1e-300, np.sqrt(w @ w))
+
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], leave_out: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each vector the share of the nearest examples' weight that is toxic, and those examples with their cosines."""
+        out = []
+        for i, (rows, near) in enumerate(self.index.nearest(vectors, NEIGHBOURS + (leave_out is not None)) if vectors else []):
+            if leave_out is not None:
+                other = rows != leave_out[i]
+                rows, near = rows[other][:NEIGHBOURS], near[other][:NEIGHBOURS]
+            y = self.toxic[rows]
+            w = near**2 * np.where(y, self.class_weight[1], self.class_weight[0])
+            out.append((round(float((w @ y + PRIOR_WEIGHT * self.silent) / (w.sum() + PRIOR_WEIGHT)), 9), rows, near))
+        return out
+
+    def scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[dict]]]:
+        """Score and evidence of texts given as numbers and counts of their known words."""
+        out: list[tuple[float, list[dict]]] = [(self.silent, [])] * len(found)
+        asked = [i for i, (at, _) in enumerate(found) if len(at)]
+        for i, (vote, rows, near) in zip(asked, self.votes([(found[i][0], self.vector(*found[i])) for i in asked]), strict=True):
+            evidence = [{"example_id": self.ids[r], "similarity": s, "toxic": bool(self.toxic[r])} for r, s in zip(rows.tolist(), near.tolist(), strict=True)]
+            out[i] = float(np.interp(vote, self.knots, self.levels)), evidence
+        return out
+
 
-    def vote(self, terms: np.ndarray, q: np.ndarray, leave_out: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        """Share of the nearest examples' weight that is toxic, and those examples with their cosines."""
-        rows, near = self.index.nearest(terms, q, NEIGHBOURS + (leave_out is not None))
-        if leave_out is not None:
-            rows, near = rows[rows != leave_out], near[rows != leave_out]
-        y = self.index.toxic[rows]
-        w = near**2 * np.where(y, self.class_weight[1], self.class_weight[0])
-        return float((w @ y + PRIOR_WEIGHT * self.silent) / (w.sum() + PRIOR_WEIGHT)), rows, near
+def looked_up(text: str | None, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and counts of the known words of a text."""
+    found = words(text)
+    known = sorted(numbers.keys() & found.keys())
+    return np.array([numbers[w] for w in known], np.int64), np.array([found[w] for w in known], float)
 
-    def calibrated(self, vote: float) -> float:
-        return float(np.interp(vote, self.knots, self.levels))
 
-    def score(self, found: dict[int, int]) -> tuple[float, list[dict]]:
-        if not found:
-            return self.silent, []
-        vote, rows, near = self.vote(*self.vector(found))
-        return self.calibrated(vote), [{"example_id": int(self.index.ids[r]), "similarity": float(s), "toxic": bool(self.index.toxic[r])} for r, s in zip(rows, near, strict=True)]
+def numbered(vocabulary: pa.Array) -> dict[str, int]:
+    return {word: i for i, word in enumerate(vocabulary.to_pylist())}
 
 
 def isotonic(y: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -233,167 +224,157 @@ def held_out(id_: Column) -> Column:
     return F.coalesce(F.crc32(id_.cast("string")) % 4 == 2, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Learn from the labelled rows of docs that are not held out. Conflicting labels of an id count as toxic."""
-    spark = docs.sparkSession
+def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, dict[int, int]]:
+    """(id, y, text) of the examples, and the labelled rows of each class. Copies of a text are one example, toxic if any is."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     known = materialise(known.groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("y")), "labels")
     totals = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     # At most EXAMPLES ids of each class, so the chosen ids may be broadcast at any size of the labels.
     picked = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(EXAMPLES) for y in (0, 1)]
     picked = materialise(picked[0].unionByName(picked[1]), "picked")
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id").groupBy("id", "y").agg(F.max("text").alias("text"))
-    # Copies of a text are one example, or each of its words would look like a term of its class.
-    chosen = materialise(chosen.groupBy(F.sha2("text", 256).alias("copy")).agg(F.min("id").alias("id"), F.max("y").alias("y"), F.first("text").alias("text")).drop("copy"), "examples")
-    sizes = {r["y"]: r["count"] for r in chosen.groupBy("y").count().collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    class_weight = (totals.get(0, 0) / n0 if n0 else 1.0, totals.get(1, 0) / n1 if n1 else 1.0)
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), "id")
+    rows = rows.groupBy("id", "y").agg(F.max("text").alias("text"))
+    rows = materialise(rows.groupBy(F.sha2("text", 256).alias("copy")).agg(F.min("id").alias("id"), F.max("y").alias("y"), F.first("text").alias("text")).drop("copy"), "examples")
+    upto = F.sum(F.octet_length("text")).over(W.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
+    fits = rows.select("id", "y", upto.alias("upto")).where(F.col("upto") <= EXAMPLE_BYTES).select("id")
+    return materialise(rows.join(F.broadcast(fits), "id"), "examples"), totals
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Learn from the labelled rows of docs that are not held out.
 
-    stats = chosen.select("y", "text").mapInArrow(_term_counts, "term string, n0 long, n1 long, docs0 long, docs1 long").groupBy("term").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "docs0", "docs1")])
-    stats = materialise(stats, "terms")
-    g2 = _association(F.col("n0"), F.col("n1"), n0, n1)
-    lift = (F.col("docs1") + 0.5) / (n1 + 1) / ((F.col("docs0") + 0.5) / (n0 + 1))
-    best = stats.where("docs1 >= 2").withColumn("g2", g2).where((F.col("g2") >= G2_OFFSET + 2 * np.log(max(1, n0 + n1))) & (lift >= LEAST_LIFT)).orderBy(F.col("g2").desc(), "term").limit(TERMS).select("term").collect()
-    vocabulary = {r["term"]: i for i, r in enumerate(best)}
-    words = stats.where(~F.col("term").endswith("*")).select("term").toArrow().column(0).to_pylist()
-    words.sort()
-    for word in (w for w in words if w not in vocabulary):
-        vocabulary[word] = len(vocabulary)
-    del words
+    Conflicting labels of an id count as toxic, and so do copies of a text if one is toxic. Labels without a document, null labels
+    and null ids teach nothing; of rows that repeat an id, the largest text counts.
+    """
+    spark = docs.sparkSession
+    examples, totals = _examples(docs, labels, id_col, text_col, label_col)
+    vocabulary = examples.select("text").mapInArrow(_distinct, "word string").distinct().toArrow().column(0).combine_chunks()
+    vocabulary = vocabulary.take(pc.sort_indices(vocabulary)) if len(vocabulary) else pa.array([], pa.string())
     told = spark.sparkContext.broadcast(vocabulary)
 
-    # Document frequencies over all documents: one row per task and term.
-    counted = docs.select(text_col).mapInArrow(_frequencies(told), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counted = docs.select(text_col).mapInArrow(_frequencies(told), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
     at, n = counted.column(0).to_numpy(), counted.column(1).to_numpy()
-    n_docs = int(n[at < 0].sum())
-    df = np.zeros(len(vocabulary))
+    n_docs, df = int(n[at < 0].sum()), np.zeros(len(vocabulary))
     df[at[at >= 0]] = n[at >= 0]
     idf = np.log((n_docs + 1) / (df + 1)) + 1e-3
-    idf[len(best) :] *= NEUTRAL
 
-    got = chosen.mapInArrow(_features(told, chosen.schema["id"].dataType), T.StructType([chosen.schema["id"], T.StructField("y", T.IntegerType()), T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("tf", T.ArrayType(T.IntegerType()))])).toArrow().sort_by("id")
+    id_type = examples.schema["id"].dataType
+    kept = T.StructType([T.StructField("id", id_type), T.StructField("y", T.IntegerType()), T.StructField("at", T.ArrayType(T.LongType())), T.StructField("tf", T.ArrayType(T.DoubleType()))])
+    vectors = materialise(examples.select("id", "y", "text").mapInArrow(_vectors(told), kept), "vectors")
+    got = vectors.select("id", "y", F.col("at").cast("array<int>").alias("at"), F.col("tf").cast("array<float>").alias("tf")).toArrow().sort_by("id")
     told.destroy()
-    ids, y = np.array(got["id"].to_pylist()), np.array(got["y"].to_pylist(), bool)
-    n_terms = np.array(pc.list_value_length(got["terms"]).to_pylist(), np.int64)
-    silent_w = [class_weight[c] * int(((y == c) & (n_terms == 0)).sum()) for c in (0, 1)]
-    model = Model(vocabulary, idf, _empty(len(vocabulary)), class_weight, (silent_w[1] + 0.5) / (sum(silent_w) + 10))
-    held = np.flatnonzero(n_terms)
-    if len(held):
-        term, tf = (pc.list_flatten(got[c]).to_numpy() for c in ("terms", "tf"))
-        weight = (1 + np.log(tf)) * idf[term]
-        del got, tf
-        row = np.repeat(np.arange(len(ids), dtype=np.int32), n_terms)
-        weight /= np.maximum(1e-300, np.sqrt(np.bincount(row, weight * weight, len(ids))))[row]
-        # Examples with the same weightiest term lie together, so that blocks have few long terms and tight bounds.
-        top = np.zeros(len(ids), np.int64)
-        by = np.argsort(weight, kind="stable")
-        top[row[by]] = term[by]
-        del by
-        order = held[np.lexsort((held, top[held], y[held]))]
-        place = np.full(len(ids), -1)
-        place[order] = np.arange(len(order))
-        model.index = Index.of(ids[order], y[order], place[row], term, weight, len(vocabulary))
-        _calibrate(model, spark)
+    ids, y = got["id"].to_pylist(), np.array(got["y"].to_pylist(), bool)
+    n_words = np.array([len(x) for x in got["at"]], np.int64)
+    word, tf = (got[c].combine_chunks().flatten().to_numpy() if len(ids) else np.empty(0) for c in ("at", "tf"))
+    del got
+    n0, n1 = int((~y).sum()), int(y.sum())
+    class_weight = (totals.get(0, 0) / n0 if n0 else 1.0, totals.get(1, 0) / n1 if n1 else 1.0)
+    silent = [class_weight[c] * int(((y == bool(c)) & (n_words == 0)).sum()) for c in (0, 1)]
+    row = np.repeat(np.arange(len(ids), dtype=np.int32), n_words)
+    word = word.astype(np.int32)
+    d = [np.bincount(word[y[row] == bool(c)], minlength=len(vocabulary)).astype(np.int32) for c in (0, 1)]
+    weight = ((1 + np.log(tf)) * (idf * lean(*d, n0, n1))[word]).astype(np.float32)
+    weight /= np.maximum(1e-30, np.sqrt(np.bincount(row, weight.astype(float) ** 2, len(ids))))[row].astype(np.float32)
+    order = _alike(len(ids), len(vocabulary), row, word, weight)
+    place = np.empty(len(ids), np.int32)
+    place[order] = np.arange(len(ids))
+    index = Index.of(len(ids), len(vocabulary), place[row], word, weight)
+    model = Model(vocabulary, idf, *d, [ids[i] for i in order], y[order], index, class_weight, (silent[1] + 0.5) / (sum(silent) + 10))
+    del row, word, weight, tf
+    if len(ids):
+        _calibrate(model, vectors)
     return model
 
 
-def _calibrate(model: Model, spark) -> None:
+def _alike(n: int, n_words: int, row: np.ndarray, word: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """An order of the examples by the nearest of PIVOTS of them."""
+    pivots = np.unique(np.linspace(0, max(0, n - 1), PIVOTS).astype(int))
+    near, best = np.zeros(n, np.int32), np.full(n, -1.0)
+    for i, p in enumerate(pivots if n else []):
+        own = row == p
+        of = np.zeros(n_words, np.float32)
+        of[word[own]] = weight[own]
+        cosine = np.bincount(row, of[word] * weight, n)
+        near, best = np.where(cosine > best, i, near), np.maximum(cosine, best)
+    return np.lexsort((np.arange(n), np.bincount(row, minlength=n), near))
+
+
+def _calibrate(model: Model, vectors: DataFrame) -> None:
     """Levels of the votes that leave an example itself out, in bins, made non-decreasing."""
-    shared = spark.sparkContext.broadcast(model)
-    n = len(model.index.ids)
-    rows = spark.range(n, numPartitions=max(1, n // 500))
+    shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value.index
+        model = shared.value
+        place = {id_: i for i, id_ in enumerate(model.ids)}
         for b in batches:
-            r = b.column(0).to_pylist()
-            votes = [shared.value.vote(*index.vector(i), i)[0] for i in r]
-            yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(v * BINS)) for v in votes], pa.int32()), pa.array([int(index.toxic[i]) for i in r], pa.int32()), pa.array(votes, pa.float64())], names=["bin", "y", "vote"])
-
-    got = rows.mapInArrow(run, "bin int, y int, vote double").groupBy("bin").agg(F.sum(F.col("y")).alias("n1"), F.sum(1 - F.col("y")).alias("n0"), F.avg("vote").alias("at")).orderBy("bin").collect()
+            for i in range(0, b.num_rows, SEARCHES):
+                rows = [r for r in zip(*(b.column(c)[i : i + SEARCHES].to_pylist() for c in range(4)), strict=True) if r[2]]
+                asked = [(np.array(at), model.vector(np.array(at), np.array(tf), bool(y))) for _, y, at, tf in rows]
+                votes = [v for v, _, _ in model.votes(asked, [place[r[0]] for r in rows])]
+                yield pa.RecordBatch.from_arrays([pa.array([min(BINS - 1, int(v * BINS)) for v in votes], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array(votes, pa.float64())], names=["bin", "y", "vote"])
+
+    dealt = vectors.repartition(max(1, len(model.ids) // 500))
+    got = dealt.mapInArrow(run, "bin int, y int, vote double").groupBy("bin").agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0"), F.avg("vote").alias("at")).orderBy("bin").collect()
     shared.destroy()
-    w = np.array([[g["n0"] * model.class_weight[0], g["n1"] * model.class_weight[1]] for g in got])
-    level = isotonic((w[:, 1] + 0.5 * model.silent) / (w.sum(axis=1) + 0.5), w.sum(axis=1))
-    model.knots, model.levels = np.array([0.0, *[g["at"] for g in got], 1.0]), np.array([min(model.silent, level[0]), *level, max(level[-1], 0.999)])
-
-
-def _empty(n: int) -> Index:
-    return Index.of(np.empty(0, np.int64), np.empty(0, bool), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), n)
-
+    if got:
+        w = np.array([[g["n0"] * model.class_weight[0], g["n1"] * model.class_weight[1]] for g in got])
+        level = isotonic((w[:, 1] + 0.5 * model.silent) / (w.sum(axis=1) + 0.5), w.sum(axis=1))
+        model.knots, model.levels = np.array([0.0, *[g["at"] for g in got], 1.0]), np.array([min(model.silent, level[0]), *level, max(level[-1], 0.999)])
 
-def _association(a0: Column, a1: Column, n0: int, n1: int) -> Column:
-    """Likelihood ratio of a term's rates in the two classes."""
-    n, x = max(1, n0 + n1), a0 + a1
-    part = lambda o, e: F.when(o > 0, o * F.log(o / F.greatest(e, F.lit(1e-9)))).otherwise(0.0)
-    return 2 * (part(a1, x * n1 / n) + part(a0, x * n0 / n))
-
-
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per term: different words that have it, at most three a text, in clean and toxic texts, and the texts of each."""
-    held: dict[str, list[int]] = {}
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        rows = list(held.items())
-        for i in range(0, len(rows), 50_000):
-            part = rows[i : i + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in part], pa.string()), *[pa.array([n[c] for _, n in part], pa.int64()) for c in range(4)]], names=["term", "n0", "n1", "docs0", "docs1"])
-        held.clear()
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for y, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            for term, n in Counter(chain.from_iterable(map(terms_of, set(_words((text.as_py() or "").lower()))))).items():
-                row = held.setdefault(term, [0, 0, 0, 0])
-                row[y] += min(n, 3)
-                row[2 + y] += 1
-            if len(held) > 500_000:
-                yield from flush()
-    yield from flush()
+        for i in range(0, b.num_rows, 256):
+            found = set().union(*(words(t.as_py()) for t in b.column(0)[i : i + 256]))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["word"])
 
 
 def _frequencies(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total, df = _Known(told.value), 0, np.zeros(len(told.value) + 1, np.int64)
+        numbers, total = numbered(told.value), 0
+        df: Counter = Counter()
         for b in batches:
             total += b.num_rows
             for text in b.column(0):
-                for i in {i for w in set(_words((text.as_py() or "").lower())) for i in known[w]}:
-                    df[i] += 1
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], at]), pa.int32()), pa.array(np.concatenate([[total], df[at]]), pa.int64())], names=["term", "n"])
+                df.update(numbers.keys() & set(_words((text.as_py() or "").lower())))
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *[numbers[w] for w in df]], pa.int32()), pa.array([total, *df.values()], pa.int64())], names=["word", "n"])
 
     return run
 
 
-def _features(told: Broadcast, id_type: T.DataType):
+def _vectors(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(told.value)
+        numbers = numbered(told.value)
         for b in batches:
-            c = {n: b.column(i) for i, n in enumerate(b.schema.names)}
-            got = [counts(t.as_py(), known) for t in c["text"]]
-            yield pa.RecordBatch.from_arrays([c["id"], c["y"], pa.array([list(g) for g in got], pa.list_(pa.int32())), pa.array([list(g.values()) for g in got], pa.list_(pa.int32()))], names=["id", "y", "terms", "tf"])
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                got = [looked_up(t.as_py(), numbers) for t in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array([g[j] for g in got], t) for j, t in enumerate((pa.list_(pa.int64()), pa.list_(pa.float64())))]], names=["id", "y", "at", "tf"])
 
     return run
 
 
-EVIDENCE = "array<struct<example_id:bigint,similarity:double,toxic:boolean>>"
-
-
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with score (0 to 1) and evidence (the nearest examples with their cosines), columns of those names replaced.
+def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "score", evidence_col: str = "evidence") -> DataFrame:
+    """docs with score_col (0 to 1) and evidence_col (the nearest examples with their cosines); columns of these names are replaced.
 
     Only the text is an input. Null and empty texts, and texts without a known word, have the score of such examples and no
-    evidence. Repeated rows score alike. Without any labels no term is known and all texts have the same low score.
+    evidence. Repeated rows score alike. Without any labels no word is known and all texts have the same low score. Texts are taken
+    whole; an empty table gives an empty result.
     """
-    docs = docs.drop("score", "evidence")
+    docs = docs.drop(score_col, evidence_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
+    id_type = pa.array(model.ids[:1]).type if model.ids else pa.int64()
+    evidence = pa.list_(pa.struct([("example_id", id_type), ("similarity", pa.float64()), ("toxic", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        known = _Known(model.vocabulary)
-        evidence = pa.list_(pa.struct([("example_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.bool_())]))
+        numbers = numbered(model.vocabulary)
         for b in batches:
-            got = [model.score(counts(t.as_py(), known)) for t in b.column(at)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], evidence)], names=[*b.schema.names, "score", "evidence"])
+            got = []
+            for i in range(0, b.num_rows, SEARCHES):
+                got += model.scores([looked_up(t.as_py(), numbers) for t in b.column(at)[i : i + SEARCHES]])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], evidence)], names=[*b.schema.names, score_col, evidence_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("evidence", T._parse_datatype_string(EVIDENCE))]))
+    near = T.StructType().add("example_id", T.StringType() if pa.types.is_string(id_type) else T.LongType()).add("similarity", T.DoubleType()).add("toxic", T.BooleanType())
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()), T.StructField(evidence_col, T.ArrayType(near))]))
