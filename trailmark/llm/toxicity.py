@@ -17,6 +17,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +35,9 @@ EXAMPLES, EXAMPLE_BYTES = 6000, 64 << 20
 #: A word that surely leans to toxic weighs 1 + LEAN times its idf; a likelihood ratio of DOUBT is half sure.
 LEAN, DOUBT = 8.0, 8.0
 #: Examples a block, and blocks that a search takes before it asks which others may hold a nearer example.
-BLOCK, FIRST = 64, 8
+BLOCK, FIRST = 64, 16
 #: A word that more than one in DENSE examples has is a dense column. Texts are searched for SEARCHES at a time.
-DENSE, SEARCHES = 16, 64
+DENSE, SEARCHES = 16, 128
 NEIGHBOURS = 16
 #: Weight of the prior in a vote.
 PRIOR_WEIGHT = 0.05
@@ -51,6 +52,29 @@ def words(text: str | None) -> Counter:
     return Counter(_words((text or "").lower()))
 
 
+class Vocabulary:
+    """The words of the examples in order. It travels as one array; a worker makes its dictionary once."""
+
+    def __init__(self, listed: pa.Array):
+        self.listed = listed
+
+    def __reduce__(self):
+        return Vocabulary, (self.listed,)
+
+    def __len__(self) -> int:
+        return len(self.listed)
+
+    @cached_property
+    def numbers(self) -> dict[str, int]:
+        return {word: i for i, word in enumerate(self.listed.to_pylist())}
+
+    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and counts of the known words of a text."""
+        found = words(text)
+        known = sorted(found.keys() & self.numbers.keys())
+        return np.fromiter(map(self.numbers.__getitem__, known), np.int64, len(known)), np.fromiter(map(found.__getitem__, known), float, len(known))
+
+
 @dataclass
 class Index:
     """Postings sorted by word, then example, in cells: what a word has in one block of examples, with the largest weight there.
@@ -94,19 +118,21 @@ class Index:
     def nearest(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Rows and cosines of the k examples nearest to each normed vector (words, weights): exact, nearest first, ties to the earlier row."""
         m, n = len(vectors), self.blocks * BLOCK
-        at, q = (np.concatenate(x) for x in zip(*vectors, strict=True))
-        who = np.repeat(np.arange(m), [len(x) for x, _ in vectors])
-        head = self.head[at]
-        often, rare = head >= 0, head < 0
         heads = np.zeros((m, len(self.head_best)))
-        heads[who[often], head[often]] = q[often]
-        at, q, who = at[rare], q[rare], who[rare]
-        size = self.cell_start[at + 1] - self.cell_start[at]
-        cell = _ranges(self.cell_start[at], size)
-        bound = np.bincount(np.repeat(who * self.blocks, size) + self.cell_block[cell], np.repeat(q, size) * self.cell_best[cell], m * self.blocks).reshape(m, -1) + heads @ self.head_best
-        size = self.sizes[at]
-        post = _ranges(self.start[at], size)
-        sums = np.bincount(np.repeat(who * n, size) + self.example[post], np.repeat(q, size) * self.weight[post], m * n).astype(float).reshape(m, self.blocks, BLOCK)
+        bound, sums = np.zeros((m, self.blocks)), np.zeros((m, n))
+        for i, (at, q) in enumerate(vectors):
+            head = self.head[at]
+            rare = head < 0
+            heads[i, head[~rare]] = q[~rare]
+            at, q = at[rare], q[rare]
+            size = self.cell_start[at + 1] - self.cell_start[at]
+            cell = _ranges(self.cell_start[at], size)
+            bound[i] = np.bincount(self.cell_block[cell], np.repeat(q, size) * self.cell_best[cell], self.blocks)
+            size = self.sizes[at]
+            post = _ranges(self.start[at], size)
+            sums[i] = np.bincount(self.example[post], np.repeat(q, size) * self.weight[post], n)
+        bound += heads @ self.head_best
+        sums = sums.reshape(m, self.blocks, BLOCK)
         # The most promising blocks first; what they give leaves few others that may hold a nearer example.
         order = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST]
         first, kth, whole = np.zeros((m, self.blocks), bool), np.zeros((m, 1)), np.zeros((m, self.blocks), bool)
@@ -117,9 +143,9 @@ class Index:
                 some = np.flatnonzero(now[:, b])
                 sums[some, b] += heads[some] @ self.heads[b]
             whole |= now
-            if order.shape[1] * BLOCK > k:
-                best = np.where(first[:, :, None] & whole[:, :, None], sums, 0.0)[np.arange(m)[:, None], order].reshape(m, -1)
-                kth = np.maximum(kth, np.partition(best, best.shape[1] - k, axis=1)[:, best.shape[1] - k, None])
+            if now is first and order.shape[1] * BLOCK > k:
+                lead = sums[np.arange(m)[:, None], order].reshape(m, -1)
+                kth = np.partition(lead, lead.shape[1] - k, axis=1)[:, lead.shape[1] - k, None]
         sums[~whole] = 0.0
         sums = sums.reshape(m, n)
         who, row = np.nonzero((sums >= kth - 1e-9) & (sums > 0))
@@ -152,7 +178,7 @@ def lean(d0: np.ndarray, d1: np.ndarray, n0: int, n1: int) -> np.ndarray:
 class Model:
     """What a fit gives; its size is bounded by the words of the examples."""
 
-    vocabulary: pa.Array  # words in order
+    vocabulary: Vocabulary
     idf: np.ndarray
     d0: np.ndarray  # clean and toxic examples that have each word
     d1: np.ndarray
@@ -187,25 +213,14 @@ class Model:
             out.append((round(float((w @ y + PRIOR_WEIGHT * self.silent) / (w.sum() + PRIOR_WEIGHT)), 9), rows, near))
         return out
 
-    def scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[dict]]]:
-        """Score and evidence of texts given as numbers and counts of their known words."""
-        out: list[tuple[float, list[dict]]] = [(self.silent, [])] * len(found)
+    def scores(self, found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[float], list[np.ndarray], list[np.ndarray]]:
+        """Scores of texts given as numbers and counts of their known words, and the rows and cosines of their nearest examples."""
+        none = np.empty(0, np.int64), np.empty(0)
+        out = [(self.silent, *none)] * len(found)
         asked = [i for i, (at, _) in enumerate(found) if len(at)]
         for i, (vote, rows, near) in zip(asked, self.votes([(found[i][0], self.vector(*found[i])) for i in asked]), strict=True):
-            evidence = [{"example_id": self.ids[r], "similarity": s, "toxic": bool(self.toxic[r])} for r, s in zip(rows.tolist(), near.tolist(), strict=True)]
-            out[i] = float(np.interp(vote, self.knots, self.levels)), evidence
-        return out
-
-
-def looked_up(text: str | None, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and counts of the known words of a text."""
-    found = words(text)
-    known = sorted(numbers.keys() & found.keys())
-    return np.array([numbers[w] for w in known], np.int64), np.array([found[w] for w in known], float)
-
-
-def numbered(vocabulary: pa.Array) -> dict[str, int]:
-    return {word: i for i, word in enumerate(vocabulary.to_pylist())}
+            out[i] = float(np.interp(vote, self.knots, self.levels)), rows, near
+        return tuple(map(list, zip(*out, strict=True))) if out else ([], [], [])
 
 
 def isotonic(y: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -249,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     examples, totals = _examples(docs, labels, id_col, text_col, label_col)
     vocabulary = examples.select("text").mapInArrow(_distinct, "word string").distinct().toArrow().column(0).combine_chunks()
-    vocabulary = vocabulary.take(pc.sort_indices(vocabulary)) if len(vocabulary) else pa.array([], pa.string())
+    vocabulary = Vocabulary(vocabulary.take(pc.sort_indices(vocabulary)) if len(vocabulary) else pa.array([], pa.string()))
     told = spark.sparkContext.broadcast(vocabulary)
 
     counted = docs.select(text_col).mapInArrow(_frequencies(told), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
@@ -331,12 +346,12 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _frequencies(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, total = numbered(told.value), 0
+        numbers, total = told.value.numbers, 0
         df: Counter = Counter()
         for b in batches:
             total += b.num_rows
             for text in b.column(0):
-                df.update(numbers.keys() & set(_words((text.as_py() or "").lower())))
+                df.update(set(_words((text.as_py() or "").lower())) & numbers.keys())
         yield pa.RecordBatch.from_arrays([pa.array([-1, *[numbers[w] for w in df]], pa.int32()), pa.array([total, *df.values()], pa.int64())], names=["word", "n"])
 
     return run
@@ -344,11 +359,10 @@ def _frequencies(told: Broadcast):
 
 def _vectors(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = numbered(told.value)
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                got = [looked_up(t.as_py(), numbers) for t in part.column(2)]
+                got = [told.value.of(t.as_py()) for t in part.column(2)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *[pa.array([g[j] for g in got], t) for j, t in enumerate((pa.list_(pa.int64()), pa.list_(pa.float64())))]], names=["id", "y", "at", "tf"])
 
     return run
@@ -364,17 +378,18 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     docs = docs.drop(score_col, evidence_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
-    id_type = pa.array(model.ids[:1]).type if model.ids else pa.int64()
-    evidence = pa.list_(pa.struct([("example_id", id_type), ("similarity", pa.float64()), ("toxic", pa.bool_())]))
+    ids = pa.array(model.ids) if model.ids else pa.array([], pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        numbers = numbered(model.vocabulary)
         for b in batches:
-            got = []
             for i in range(0, b.num_rows, SEARCHES):
-                got += model.scores([looked_up(t.as_py(), numbers) for t in b.column(at)[i : i + SEARCHES]])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], evidence)], names=[*b.schema.names, score_col, evidence_col])
-
-    near = T.StructType().add("example_id", T.StringType() if pa.types.is_string(id_type) else T.LongType()).add("similarity", T.DoubleType()).add("toxic", T.BooleanType())
+                part = b.slice(i, SEARCHES)
+                scores, rows, near = model.scores([model.vocabulary.of(t.as_py()) for t in part.column(at)])
+                flat = np.concatenate(rows)
+                found = pa.StructArray.from_arrays([ids.take(pa.array(flat)), pa.array(np.concatenate(near)), pa.array(model.toxic[flat])], names=["example_id", "similarity", "toxic"])
+                starts = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in rows])]), pa.int32())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.ListArray.from_arrays(starts, found)], names=[*b.schema.names, score_col, evidence_col])
+
+    near = T.StructType().add("example_id", T.StringType() if pa.types.is_string(ids.type) else T.LongType()).add("similarity", T.DoubleType()).add("toxic", T.BooleanType())
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()), T.StructField(evidence_col, T.ArrayType(near))]))
