@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ LEAN, DOUBT = 8.0, 8.0
 #: Examples a block, and blocks that a search takes before it asks which others may hold a nearer example.
 BLOCK, FIRST = 64, 16
 #: A word that more than one in DENSE examples has is a dense column. Texts are searched for SEARCHES at a time.
-DENSE, SEARCHES = 16, 128
+DENSE, SEARCHES = 16, 256
 NEIGHBOURS = 16
 #: Weight of the prior in a vote.
 PRIOR_WEIGHT = 0.05
@@ -71,8 +72,12 @@ class Vocabulary:
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and counts of the known words of a text."""
         found = words(text)
-        known = sorted(found.keys() & self.numbers.keys())
-        return np.fromiter(map(self.numbers.__getitem__, known), np.int64, len(known)), np.fromiter(map(found.__getitem__, known), float, len(known))
+        at = self.numbers_of(found)
+        return at[at >= 0], np.fromiter(found.values(), float, len(found))[at >= 0]
+
+    def numbers_of(self, found: Collection[str]) -> np.ndarray:
+        """The number of each word, -1 for one that no example has."""
+        return np.fromiter(map(self.numbers.get, found, repeat(-1)), np.int64, len(found))
 
 
 @dataclass
@@ -346,13 +351,14 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _frequencies(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, total = told.value.numbers, 0
-        df: Counter = Counter()
+        vocabulary, total = told.value, 0
+        df = np.zeros(len(vocabulary) + 1, np.int64)  # the last place stands for -1
         for b in batches:
             total += b.num_rows
             for text in b.column(0):
-                df.update(set(_words((text.as_py() or "").lower())) & numbers.keys())
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *[numbers[w] for w in df]], pa.int32()), pa.array([total, *df.values()], pa.int64())], names=["word", "n"])
+                df[vocabulary.numbers_of(set(_words((text.as_py() or "").lower())))] += 1
+        word = np.flatnonzero(df[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], word]), pa.int32()), pa.array(np.concatenate([[total], df[word]]), pa.int64())], names=["word", "n"])
 
     return run
 
