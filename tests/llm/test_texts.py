@@ -487,6 +487,49 @@ def test_toxicity_examples_are_bounded(spark, monkeypatch):
         assert 0 < len(own) <= 40 and sum(map(len, own)) <= 5000
 
 
+def test_many_matches_take_time_in_proportion(spark):
+    import time
+
+    texts = ["card 4111 1111 1111 1111; " + "12, " * 200_000, "write a@b.co " * 40_000, "Mr. John Smith 1.2.3.4 " * 20_000, "under the mit license " * 30_000]
+    d = docs_of(spark, texts).repartition(4).cache()
+    assert d.count() == 4
+    began = time.perf_counter()
+    found = {r["doc_id"]: r["spans"] for r in pii.detect(d).collect()}
+    assert [len(found[i]) for i in (0, 1)] == [1, 40_000] and len(found[2]) >= 20_000
+    assert found[1][39_999]["start"] == 13 * 39_999 + 6 and found[2][-1]["end"] == 23 * 20_000 - 1
+    hidden = {r["doc_id"]: r["text"] for r in pii.redact(d).collect()}
+    assert hidden[0] == "card <CARD>; " + "12, " * 200_000 and hidden[1] == "write <EMAIL> " * 40_000 and hidden[2].count("<IP>") == 20_000
+    labels = {r["doc_id"]: r for r in licenses.scan(d).collect()}
+    assert labels[3]["n_base"] == 30_000 and labels[3]["last_word"] == 4 * 29_999
+    assert time.perf_counter() - began < 120
+    turns = spark.range(20_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("turn "), "id").alias("text"))
+    row = chat.format_conversations(turns).select("n_turns", F.length(chat.read_loss(F.col("formatted"), F.col("loss_mask"))).alias("n")).first()
+    assert row["n_turns"] == 20_000 and row["n"] == sum(len(f"turn {i}") for i in range(1, 20_000, 2))
+    assert time.perf_counter() - began < 150
+
+
+def test_spans_that_touch_and_overlap(spark):
+    """Further spans go where they overlap a base span, before it or behind it, and stay where they only touch."""
+    cell = lambda start, end, kind, base: (start, end, kind, base, 1, 0, 0, 0, 0)
+    rng = random.Random(5)
+    rows = []
+    for i in range(200):
+        at, spans = 0, []
+        for _ in range(rng.randrange(0, 90)):
+            at += rng.randrange(0, 4)
+            spans.append(cell(at, at + rng.randrange(1, 6), rng.randrange(4), True))
+            at = spans[-1][1] if rng.random() < 0.8 else at
+        for _ in range(rng.randrange(0, 90)):
+            start = rng.randrange(0, 300)
+            spans.append(cell(start, start + rng.randrange(1, 12), 6, False))
+        rows.append((i, spans))
+    d = spark.createDataFrame(rows, f"i int, spans array<{pii.SPAN}>")
+    for r in d.select("i", pii._lone(F.col("spans")).alias("left")).collect():
+        base = [s for s in rows[r["i"]][1] if s[3]]
+        want = [s for s in rows[r["i"]][1] if s[3] or not any(b[0] < s[1] and s[0] < b[1] for b in base)]
+        assert sorted(tuple(s) for s in r["left"]) == sorted(want)
+
+
 def test_sha_of_spans_helper(spark):
     d = pii.detect(docs_of(spark, ["a@b.co 1.2.3.4"])).select(F.sha2(pii.listed(F.col("spans")), 256).alias("h")).first()
     assert d["h"] == hashlib.sha256(b"email:0:6,ip:7:14").hexdigest()

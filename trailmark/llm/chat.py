@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.llm.shared import cut_out, let, pieces, running_sum
+
 START, END = "<|im_start|>", "<|im_end|>"
 #: Tokens that one unit of an attachment becomes: an image's patches, an audio's seconds, a document's pages.
 TOKENS_A_UNIT = {"image": 1, "audio": 25, "document": 500}
@@ -66,16 +68,9 @@ def _assembled(grouped: DataFrame, conv_col: str) -> DataFrame:
     piece = lambda t: F.concat(F.lit(START), t["role"], F.lit("\n"), t["body"], F.lit(END + "\n"))
     grouped = grouped.withColumn("formatted", F.array_join(F.transform("t", piece), ""))
     lengths = F.transform("t", lambda t: F.struct(F.length(piece(t)).alias("all"), (F.lit(len(START) + 1) + F.length(t["role"])).alias("head"), F.length(t["body"]).alias("body"), (t["role"] == "assistant").alias("own")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    walked = F.aggregate(
-        lengths,
-        empty,
-        lambda a, n: F.struct(
-            (a["at"] + n["all"]).alias("at"),
-            F.when(n["own"], F.concat(a["spans"], F.array(F.struct((a["at"] + n["head"]).alias("start"), n["body"].alias("length"))))).otherwise(a["spans"]).alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
+    span = lambda at, n: F.struct((at + n["head"]).alias("start"), n["body"].alias("length"), n["own"].alias("own"))
+    spans = let(lengths, lambda ns: F.zip_with(running_sum(F.transform(ns, lambda n: n["all"])), ns, span))
+    walked = F.transform(F.filter(spans, lambda s: s["own"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
     placed = F.flatten(F.transform("t", lambda t, i: F.transform(t["attached"], lambda a: F.struct(i.alias("turn"), a["kind"].alias("kind"), a["ref"].alias("ref"), a["tokens"].alias("tokens")))))
     return grouped.select(conv_col, F.size("t").cast("long").alias("n_turns"), "formatted", walked.alias("loss_mask"), placed.alias("attachments"))
 
@@ -90,4 +85,4 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, mask: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(mask, lambda s: unescape(F.substr(formatted, s["start"] + 1, s["length"]))), "")
+    return F.array_join(let(pieces(formatted), lambda of: F.transform(mask, lambda s: unescape(cut_out(of, s["start"], s["start"] + s["length"])))), "")

@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import ascii_lower, places
+from trailmark.llm.shared import ascii_lower, let, places, running_max
 
 #: Base phrases and their labels (fixed values).
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -161,20 +161,27 @@ def detections(words: Column) -> Column:
         F.filter(table, lambda r: F.contains(words, r["keyword"])),
         lambda r: F.transform(places(words, r["regex"], _count), lambda p: F.struct(p["start"].alias("start"), (-p["end"]).alias("minus_end"), r["rank"].alias("rank"), r["label"].alias("label"), r["sure"].alias("sure"))),
     )
-    return F.sort_array(F.array_distinct(F.flatten(hit)))
+    # Equal detections follow each other once sorted.
+    return let(F.sort_array(F.flatten(hit)), lambda ds: F.filter(ds, lambda d, i: (i == 0) | (d != F.get(ds, i - 1))))
 
 
 def unsuppressed(found: Column) -> Column:
-    """Detections that lie in no other of the same or a better rank. Sorted by start, the longest first, one pass decides."""
-    start = F.struct(F.array(*[F.lit(-1)] * RANKS).alias("reach"), F.array().cast("array<struct<start:int,minus_end:int,rank:int,label:string,sure:double>>").alias("out"))
+    """Detections that lie in no other of the same or a better rank.
+
+    Sorted by start, the longest first, one lies in another if some before it of such a rank ends at or after its end: a running
+    maximum of the ends for each rank.
+    """
+
+    def of(ds: Column) -> Column:
+        left = lambda reach: F.filter(ds, lambda d, i: F.get(F.get(reach, d["rank"]), i) < -d["minus_end"])
+        return let(F.array(*[running_max(_ends(ds, r)) for r in range(RANKS)]), left)
+
+    return let(found, of)
 
-    def step(a: Column, d: Column) -> Column:
-        end = -d["minus_end"]
-        inside = F.exists(F.slice(a["reach"], F.lit(1), d["rank"] + 1), lambda r: r >= end)
-        reach = F.transform(a["reach"], lambda r, i: F.when(i == d["rank"], F.greatest(r, end)).otherwise(r))
-        return F.struct(reach.alias("reach"), F.when(inside, a["out"]).otherwise(F.concat(a["out"], F.array(d))).alias("out"))
 
-    return F.aggregate(found, start, step, lambda a: a["out"])
+def _ends(ds: Column, rank: int) -> Column:
+    """The end of each detection of this rank or a better one, -1 for others."""
+    return F.transform(ds, lambda d: F.when(d["rank"] <= rank, -d["minus_end"]).otherwise(-1))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import materialise
+from trailmark.llm.shared import materialise, private
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -53,18 +53,12 @@ def targets(sizes: DataFrame) -> DataFrame:
     return t.select("source", "source_size", F.when(F.col("stops"), F.col("most").cast("double")).otherwise(share).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Each row of docs with size, source_size, target and copies (how often the mix takes it).
+MADE = ["size", "source_size", "target", "copies"]
 
-    A null text has size 0; a null source is a source of its own; a null id draws like the text "null"; repeated rows draw
-    alike. A source without words has target 0 and is not taken. Columns named as a result column are replaced. An empty
-    table gives an empty result. The result depends on ids, sources and texts alone, so reruns agree.
 
-    The draw of a document is a Bernoulli trial; of SEEDS seeds a source uses the one whose total is nearest to its target,
-    so a few very long documents do not throw a source off.
-    """
-    made = ["size", "source_size", "target", "copies"]
-    docs = docs.drop(*[c for c in made if c in docs.columns and c not in (id_col, text_col, source_col)])
+def _planned(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, dict[str, str]]:
+    """docs with the columns MADE under names of their own, so none of the caller's is touched; those names."""
+    own = {n: private(n) for n in [*MADE, "source", "times", "odds", "seed"]}
     sized = docs.select(F.col(id_col).alias("key"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
     sized = materialise(sized, "sizes")
     goal = materialise(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
@@ -76,13 +70,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     totals = joined.groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("times")).alias("whole"), *extra)
     miss = F.array(*[F.struct(F.abs(F.col("whole") + F.col(f"s{s}") - F.col("target")).alias("miss"), F.lit(s).alias("seed")) for s in range(SEEDS)])
     best = totals.select(F.col("source").alias("s"), F.array_min(miss)["seed"].alias("seed"))
-    plan = materialise(rated.join(best, rated["source"].eqNullSafe(best["s"])).select(F.col("source").alias("_source"), "source_size", "target", "times", "odds", "seed"), "rates")
-    out = docs.withColumn("size", words(F.col(text_col))).join(plan, F.col(source_col).eqNullSafe(F.col("_source")))
-    again = (draw(F.col(id_col), F.col("seed")) < F.col("odds")).cast("long")
-    return out.withColumn("copies", (F.col("times") + again)).drop("_source", "times", "odds", "seed")
+    plan = materialise(rated.join(best, rated["source"].eqNullSafe(best["s"])).select("source", "source_size", "target", "times", "odds", "seed"), "rates")
+    plan = plan.select(*[F.col(c).alias(own[c]) for c in plan.columns])
+    out = docs.withColumn(own["size"], words(F.col(text_col))).join(plan, F.col(source_col).eqNullSafe(F.col(own["source"])))
+    again = (draw(F.col(id_col), F.col(own["seed"])) < F.col(own["odds"])).cast("long")
+    return out.withColumn(own["copies"], F.col(own["times"]) + again), own
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Each row of docs with size, source_size, target and copies (how often the mix takes it).
+
+    A null text has size 0; a null source is a source of its own; a null id draws like the text "null"; repeated rows draw
+    alike. A source without words has target 0 and is not taken. Columns named as a result column are replaced. An empty
+    table gives an empty result. The result depends on ids, sources and texts alone, so reruns agree. Texts are measured whole.
+
+    The draw of a document is a Bernoulli trial; of SEEDS seeds a source uses the one whose total is nearest to its target,
+    so a few very long documents do not throw a source off.
+    """
+    out, own = _planned(docs, id_col, text_col, source_col)
+    return out.select(*[c for c in docs.columns if c not in MADE or c in (id_col, text_col, source_col)], *[F.col(own[c]).alias(c) for c in MADE])
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix itself: the rows of docs, each as often as it is taken."""
-    out = mix(docs, id_col, text_col, source_col)
-    return out.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """The mix itself: the rows of docs, each as often as it is taken, with all columns as they are, whatever their names. See mix."""
+    out, own = _planned(docs, id_col, text_col, source_col)
+    taken = out.where(F.col(own["copies"]) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(own["copies"]))).alias(own["seed"]))
+    return taken.select(*docs.columns)

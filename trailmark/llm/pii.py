@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import places
+from trailmark.llm.shared import cut_out, let, materialise, pieces, places, private, running_max
 
 #: Kinds in order; the first four have base patterns.
 KINDS = ["email", "ip", "card", "phone", "ssn", "iban", "name"]
@@ -100,11 +100,11 @@ def _vote(yes: Column) -> Column:
     return F.when(yes, 1).otherwise(-1)
 
 
-def _described(text: Column, kind: str, base: bool, p: Column) -> Column:
-    """A span with its votes and features."""
-    before = F.substr(text, F.greatest(p["start"] - CONTEXT_CHARS + 1, F.lit(1)), F.least(p["start"], F.lit(CONTEXT_CHARS)))
+def _described(cut: Column, kind: str, base: bool, p: Column) -> Column:
+    """A span with its votes and features; cut is the text in pieces."""
     known = GAZETTEER[kind]
-    context = F.when(before.rlike(AGAINST), -1).when(before.rlike(FOR[kind]), 1).otherwise(0)
+    told = lambda before: F.when(before.rlike(AGAINST), -1).when(before.rlike(FOR[kind]), 1).otherwise(0)
+    context = let(cut_out(cut, F.greatest(p["start"] - CONTEXT_CHARS, F.lit(0)), p["start"]), told)
     return F.struct(
         p["start"].alias("start"),
         p["end"].alias("end"),
@@ -118,25 +118,45 @@ def _described(text: Column, kind: str, base: bool, p: Column) -> Column:
     ).cast(SPAN)
 
 
-def candidates(text: Column) -> Column:
-    """All candidate spans of a text: base spans, and others that overlap no base span."""
-    none = F.array().cast(f"array<{SPAN}>")
-
-    def of(kind: str, regex: str, gate: str, base: bool) -> Column:
-        found = places(text, F.lit(regex))
-        held = F.filter(found, lambda p: _holds(kind, p["match"])) if base else found
-        return F.when(text.rlike(gate), F.transform(held, lambda p: _described(text, kind, base, p))).otherwise(none)
+def _matches(text: Column) -> list[tuple[str, bool, Column]]:
+    """Of each kind, what the base pattern finds and holds, and what the further pattern finds: null where the gate is shut."""
+    held = lambda kind: F.filter(places(text, F.lit(BASE_REGEX[kind])), lambda p: _holds(kind, p["match"]))
+    return [(k, True, F.when(text.rlike(BASE_GATE[k]), held(k))) for k in BASE_KINDS] + [(k, False, F.when(text.rlike(MORE_GATE[k]), places(text, F.lit(MORE_REGEX[k])))) for k in MORE_REGEX]
 
-    base = F.concat(*[of(k, BASE_REGEX[k], BASE_GATE[k], True) for k in BASE_KINDS])
-    more = F.concat(*[of(k, MORE_REGEX[k], MORE_GATE[k], False) for k in MORE_REGEX])
-    return F.struct(base.alias("base"), more.alias("more"))
 
+def _lone(spans: Column) -> Column:
+    """Spans without those that overlap a base span and are none themselves.
 
-def with_candidates(docs: DataFrame, text_col: str) -> DataFrame:
-    """docs with _spans, the candidates of the text."""
-    kept = docs.withColumn("_c", candidates(F.coalesce(F.col(text_col), F.lit("")))).withColumn("_base", F.col("_c.base")).withColumn("_more", F.col("_c.more"))
-    lone = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return kept.withColumn("_spans", F.when(F.size("_more") == 0, F.col("_base")).otherwise(F.concat("_base", lone))).drop("_c", "_base", "_more")
+    In order of their starts, a span overlaps a base span before it if one of those ends after its start, and one after it if the
+    first of those starts before its end: two running maxima, one of them from the back.
+    """
+    far = (1 << 31) - 2
+
+    def of(spans: Column) -> Column:
+        reach = running_max(F.transform(spans, lambda s: F.when(s["base"], s["end"]).otherwise(-1)))
+        after = F.reverse(running_max(F.reverse(F.transform(spans, lambda s: F.when(s["base"], far - s["start"]).otherwise(-1)))))
+        clear = F.zip_with(reach, after, lambda r, a: F.struct(r.alias("ends"), (F.lit(far) - a).alias("starts")))
+        both = F.zip_with(spans, clear, lambda s, c: F.struct(s.alias("s"), (s["base"] | ((c["ends"] <= s["start"]) & (c["starts"] >= s["end"]))).alias("stays")))
+        return F.transform(F.filter(both, lambda b: b["stays"]), lambda b: b["s"])
+
+    # Base spans come first of those with the same start and end, so the order decides nothing else.
+    return F.when(F.exists(spans, lambda s: ~s["base"]) & F.exists(spans, lambda s: s["base"]), let(F.sort_array(spans), of)).otherwise(spans)
+
+
+def with_candidates(docs: DataFrame, text_col: str, spans_col: str) -> DataFrame:
+    """docs with spans_col, all candidate spans of the text: base spans, and others that overlap no base span."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    matches, cut = private("matches"), private("cut")
+    found = _matches(text)
+    kept = docs.withColumn(matches, F.struct(*[m.alias(f"m{i}") for i, (_, _, m) in enumerate(found)]))
+    some = F.lit(False)
+    for i in range(len(found)):
+        some = some | (F.size(F.col(matches)[f"m{i}"]) > 0)
+    kept = kept.withColumn(cut, F.when(some, pieces(text)))
+    none = F.array().cast(f"array<{SPAN}>")
+    described = lambda i, kind, base: F.transform(F.col(matches)[f"m{i}"], lambda p: _described(F.col(cut), kind, base, p))
+    told = [F.coalesce(described(i, k, base), none) for i, (k, base, _) in enumerate(found)]
+    return kept.withColumn(spans_col, F.when(some, F.concat(*told)).otherwise(none)).withColumn(spans_col, _lone(F.col(spans_col))).drop(matches, cut)
 
 
 @dataclass(frozen=True)
@@ -165,12 +185,12 @@ def _row_features(row: tuple) -> list[float]:
     return [1.0, *[float(kind == k) for k in range(len(KINDS))], *[float(v == x) for v in votes for x in (-1, 1)], float(short), float(flat)]
 
 
-def fit(spans: DataFrame, rounds: int = 50) -> Model:
-    """Model from a frame with _spans. Every candidate of every text counts.
+def fit(spans: DataFrame, spans_col: str, rounds: int = 50) -> Model:
+    """Model from a frame with candidate spans. Every candidate of every text counts.
 
     What is brought to the driver is one count per kind, votes and features: at most 7 * 27 * 4 rows at any size.
     """
-    counted = spans.select(F.explode("_spans").alias("s")).groupBy(*[F.col(f"s.{c}").alias(c) for c in PATTERN]).count().orderBy(*PATTERN).collect()
+    counted = spans.select(F.explode(spans_col).alias("s")).groupBy(*[F.col(f"s.{c}").alias(c) for c in PATTERN]).count().orderBy(*PATTERN).collect()
     rows, n = [tuple(r[:-1]) for r in counted], np.array([r[-1] for r in counted], float)
     # Without candidates the priors below stand.
     votes = np.array([r[1:4] for r in rows], int).reshape(-1, 3) + 1
@@ -212,11 +232,12 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
     Spans are in code points, the end exclusive, ordered by start, then kind. Base spans always stay; further ones where the
     classifier says so. A null or empty text has none. Other columns are left out; repeated rows return once each. Without a
-    model one is fitted to docs.
+    model one is fitted to docs. An empty table gives an empty result. The work grows with the text and its matches.
     """
-    spans = with_candidates(docs.select(id_col, text_col), text_col).select(id_col, "_spans")
-    model = model or fit(spans)
-    return spans.select(id_col, _kept(F.col("_spans"), model).alias("spans"))
+    found = private("spans")
+    spans = materialise(with_candidates(docs.select(id_col, text_col), text_col, found).select(id_col, found), "spans")
+    model = model or fit(spans, found)
+    return spans.select(id_col, _kept(F.col(found), model).alias("spans"))
 
 
 def _kept(spans: Column, model: Model) -> Column:
@@ -231,18 +252,21 @@ def listed(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """docs with each span in the text replaced by its kind in angle brackets; overlapping spans become the first one's kind."""
-    spans = with_candidates(docs, text_col)
-    model = model or fit(spans)
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    text = F.col(text_col)
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        put = F.concat(a["out"], F.array(F.substr(text, a["at"] + 1, s["start"] - a["at"]), F.get(names, s["kind"])))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], put).otherwise(a["out"]).alias("out"))
-
-    # At the end, what follows the last span.
-    whole = F.aggregate("_kept", begin, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substr(text, a["at"] + 1, F.length(text))))
-    kept = spans.withColumn("_kept", _kept(F.col("_spans"), model)).drop("_spans")
-    return kept.withColumn(text_col, F.when(F.size("_kept") > 0, whole).otherwise(text)).drop("_kept")
+    """docs with each span in the text replaced by its kind in angle brackets; overlapping spans become the first one's kind.
+
+    Null and empty texts, repeated rows and all other columns, whatever their names, stay as they are; an empty table gives an
+    empty result. Without a model one is fitted to docs.
+    """
+    found, kept, cut = private("spans"), private("kept"), private("cut")
+    spans = materialise(with_candidates(docs, text_col, found), "spans")
+    model = model or fit(spans, found)
+    text, names = F.col(text_col), F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+
+    def whole(of: Column) -> Column:
+        reach = lambda upto: F.transform(upto, lambda r: F.greatest(r, F.lit(0)))
+        put = lambda s, r: F.when(s["start"] >= r, F.concat(cut_out(F.col(cut), r, s["start"]), F.get(names, s["kind"]))).otherwise("")
+        body = F.array_join(F.zip_with(of, reach(running_max(F.transform(of, lambda s: s["end"]))), put), "")
+        return F.concat(body, cut_out(F.col(cut), F.array_max(F.transform(of, lambda s: s["end"])), F.length(text)))
+
+    out = spans.withColumn(kept, _kept(F.col(found), model)).withColumn(cut, F.when(F.size(kept) > 0, pieces(text)))
+    return out.withColumn(text_col, F.when(F.size(kept) > 0, whole(F.col(kept))).otherwise(text)).select(*docs.columns)

@@ -60,16 +60,68 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def places(text: Column, regex: Column, measure: Callable[[Column], Column] = F.length) -> Column:
-    """Leftmost matches of a regex that do not overlap: array of start, end, match. measure gives the length of a piece as an int."""
-    found = F.regexp_extract_all(text, regex, F.lit(0))
-    between = F.slice(F.split(text, regex, -1), 1, F.size(found))
-    steps = F.zip_with(between, found, lambda b, m: F.struct(measure(b).alias("skip"), measure(m).alias("n"), m.alias("match")))
-    kind = "struct<start:int,end:int,match:string>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+def private(name: str) -> str:
+    """A column name that no caller's column can have."""
+    return f"_{name}_{uuid.uuid4().hex}"
+
+
+def comparable(df: DataFrame, column: str) -> Column:
+    """A column as a value that can be hashed and ordered: what holds maps becomes JSON."""
+    return F.to_json(F.struct(F.col(column))) if "map<" in df.schema[column].dataType.simpleString() else F.col(column)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value made once. A lambda makes what it refers to anew at each call, if that is not a variable."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+#: Elements of a piece in `running`, and code points of a piece of a text in `pieces`.
+PIECE = 64
+
+
+def running(values: Column, op: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each element of an int array, op over all elements before it; op is associative and zero its neutral element.
+
+    A fold that appends to an array copies it at each step. Here folds run over pieces of PIECE elements, and over the pieces'
+    totals, so the work grows with the array and not with its square.
+    """
+
+    def scan(xs: Column, start: Column) -> Column:
+        begin = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(xs, begin, lambda a, x: F.struct(op(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
 
-    def step(a: Column, s: Column) -> Column:
-        begin, end = a["at"] + s["skip"], a["at"] + s["skip"] + s["n"]
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), s["match"].alias("match")).cast(kind))).alias("out"))
+    def by_pieces(values: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.size(values), F.lit(PIECE)), lambda i: F.slice(values, i, F.lit(PIECE)))
+        totals = lambda cut: F.transform(cut, lambda xs: F.aggregate(xs, zero, op))
+        return let(cut, lambda cut: F.flatten(F.zip_with(cut, scan(totals(cut), zero), scan)))
 
-    return F.aggregate(steps, start, step, lambda a: a["out"])
+    return let(values, lambda v: F.when(F.size(v) <= PIECE, scan(v, zero)).otherwise(by_pieces(v)))
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, lambda a, b: a + b, F.lit(0))
+
+
+def running_max(values: Column) -> Column:
+    """Values are at least -1, which stands for none."""
+    return running(values, lambda a, b: F.greatest(a, b), F.lit(-1))
+
+
+def pieces(text: Column) -> Column:
+    """A text in pieces of PIECE code points, so that places far from its start are found at once."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut_out(of: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end (exclusive) of a text in pieces."""
+    first = F.floor(start / PIECE).cast("int")
+    some = F.slice(of, first + 1, F.floor(end / PIECE).cast("int") - first + 1)
+    return F.substr(F.array_join(some, ""), start - first * PIECE + 1, end - start)
+
+
+def places(text: Column, regex: Column, measure: Callable[[Column], Column] = F.length) -> Column:
+    """Leftmost matches of a regex that do not overlap: array of start, end, match. measure gives the length of a piece as an int."""
+    found = lambda m: F.zip_with(F.slice(F.split(text, regex, -1), 1, F.size(m)), m, lambda b, m: F.struct(measure(b).alias("skip"), measure(m).alias("n"), m.alias("match")))
+    steps = let(F.regexp_extract_all(text, regex, F.lit(0)), found)
+    at = lambda b, s: F.struct((b + s["skip"]).alias("start"), (b + s["skip"] + s["n"]).alias("end"), s["match"].alias("match"))
+    return let(steps, lambda steps: F.zip_with(running_sum(F.transform(steps, lambda s: s["skip"] + s["n"])), steps, at))

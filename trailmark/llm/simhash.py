@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.components import components
-from trailmark.llm.shared import materialise
+from trailmark.llm.shared import comparable, materialise, private
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -129,27 +129,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class: the one with the smallest id; of rows that repeat that id, the smallest by all columns."""
-    marked = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    prints = materialise(fingerprints(marked, id_col, text_col, ("_row",)), "fingerprints")
+    prints = docs.select(F.col(id_col).alias("id"), row_hash(docs).alias("row"), F.col(text_col).alias("text"))
+    prints = materialise(fingerprints(prints, "id", "text", ("row",)), "fingerprints")
     return one_of_each(docs, prints, classes(prints), id_col)
 
 
+def row_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(*[comparable(docs, c) for c in docs.columns])
+
+
 def one_of_each(docs: DataFrame, prints: DataFrame, of: DataFrame, id_col: str) -> DataFrame:
     """One row of docs of each class, the smallest by id (null last) and then by all columns.
 
-    prints has id_col, _row (a hash of all columns) and fp of each row; of has the component of each fp. Rows are told apart by
-    id and hash, so equal or null ids never join different classes.
+    prints has id, row (row_hash) and fp of each row of docs; of has the component of each fp. Rows are told apart by id and
+    hash, so equal or null ids never join different classes. Rows that are equal in all columns are one. Columns of docs may
+    have any name and type.
     """
-    rows = prints.join(of, "fp").groupBy("component", F.col(id_col).alias("_id")).agg(F.count("*").alias("_n"), F.min("_row").alias("_least"))
-    least = rows.groupBy("component").agg(F.min(F.struct(F.isnull("_id").alias("none"), "_id", "_n", "_least")).alias("r")).select("component", "r._id", "r._n", "r._least")
+    own = {n: private(n) for n in ("id", "row", "component")}
+    rows = prints.join(of, "fp").groupBy("component", "id").agg(F.count("*").alias("n"), F.min("row").alias("row"))
+    least = rows.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "n", "row")).alias("r")).select("component", "r.id", "r.n", "r.row")
     least = materialise(least, "kept")
-    hashed = docs.withColumn("_row", F.xxhash64(*docs.columns))
-    same = F.col(id_col).eqNullSafe(F.col("_id"))
-    single = hashed.join(least.where("_n = 1"), same & (F.col("_row") == F.col("_least"))).select(*docs.columns)
-    if least.where("_n > 1").isEmpty():
+    hashed = docs.withColumn(own["row"], row_hash(docs))
+    named = lambda df, cols: df.select(*[F.col(c).alias(own[c] + "k") for c in cols])
+    same = F.col(id_col).eqNullSafe(F.col(own["id"] + "k")) & (F.col(own["row"]) == F.col(own["row"] + "k"))
+    single = hashed.join(named(least.where("n = 1"), ["id", "row"]), same).select(*docs.columns)
+    if least.where("n > 1").isEmpty():
         return single
-    tied = prints.join(of, "fp").join(least.where("_n > 1").select(F.col("component").alias("_c"), "_id"), same & (F.col("component") == F.col("_c")))
-    tied = tied.select(F.col("component").alias("_c"), "_id", F.col("_row").alias("_least")).distinct()
-    rest = [c for c in docs.columns if c != id_col]
-    first = hashed.join(tied, same & (F.col("_row") == F.col("_least"))).groupBy("_c", id_col).agg(F.min(F.struct(*rest)).alias("_row")).select(id_col, "_row.*")
-    return single.unionByName(first.select(*docs.columns))
+    many = least.where("n > 1").select(F.col("component").alias("c"), F.col("id").alias("i"))
+    tied = prints.join(of, "fp").join(many, F.col("id").eqNullSafe(F.col("i")) & (F.col("component") == F.col("c"))).select("component", "id", "row").distinct()
+    order = F.struct(*[comparable(docs, c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    first = hashed.join(named(tied, ["component", "id", "row"]), same).groupBy(own["component"] + "k").agg(F.min_by(F.struct(*docs.columns), order).alias(own["row"]))
+    return single.unionByName(first.select(*[F.col(own["row"])[c].alias(c) for c in docs.columns]))
