@@ -84,3 +84,25 @@ def test_nearest_with_copies_and_odd_rows(spark):
     assert {r["query_id"] for r in got} == {*range(0, 300, 20), 9120, 9140}
     assert [(r["vec_id"], r["score"]) for r in got if r["query_id"] == 9120] == [(9140, 7.0)]
     assert ann.nearest(frame(spark, []), 20, 20).count() == 0
+
+
+def test_neighbours_across_shards_and_repeated_ids(spark, monkeypatch):
+    """Seven shards against brute force; rows that repeat an id are candidates each, a query's own rows are none."""
+    import numpy as np
+
+    monkeypatch.setattr(ann, "ROWS_A_SHARD", 150)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1050, 12))
+    ids = [*range(1000), *range(0, 1000, 20)]
+    frame = spark.createDataFrame([(i, v.tolist(), 0.5) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>, score double")
+    got = {}
+    for r in ann.nearest(frame, k=20, every=20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    assert sorted(got) == list(range(0, 1000, 20))
+    hits = 0
+    for q, found in got.items():
+        own = min((x[i].tolist() for i in range(1050) if ids[i] == q))
+        best = sorted(((-float(np.dot(own, x[i])), ids[i]) for i in range(1050) if ids[i] != q))[:20]
+        assert [r for r, _, _ in sorted(found)] == list(range(1, 21)) and q not in {v for _, v, _ in found}
+        hits += len({round(-s, 9) for s, _ in best} & {round(s, 9) for _, _, s in found})
+    assert hits >= 0.9 * 20 * len(got)

@@ -29,7 +29,7 @@ EF_BUILD = 64
 EF_SEARCH = 128
 #: Candidates expanded in a step.
 BEAM = 4
-INDEX = "shard long, dim int, n int, ids binary, starts binary, vectors binary, layers binary, sizes binary"
+INDEX = "shard long, dim int, n int, ids binary, rows binary, starts binary, vectors binary, layers binary, sizes binary"
 
 
 def search_layer(x: np.ndarray, links: np.ndarray, q: np.ndarray, entry: np.ndarray, ef: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +154,7 @@ def _index(part: pd.DataFrame) -> pd.DataFrame:
     out = []
     for dim, rows in part.groupby(part["v"].map(len)):
         v, where = np.unique(np.stack(rows["v"].to_numpy()).astype(np.float64), axis=0, return_inverse=True)
-        order = np.lexsort((rows["id"].to_numpy(), where.ravel()))
+        order = np.lexsort((rows["row"].to_numpy(), rows["id"].to_numpy(), where.ravel()))
         starts = np.searchsorted(where.ravel()[order], np.arange(len(v) + 1))
         square = (v * v).sum(axis=1)
         # One more component makes all norms equal; with 0 there for queries, inner products stay as they are.
@@ -163,19 +163,19 @@ def _index(part: pd.DataFrame) -> pd.DataFrame:
         layers = build(x)
         sizes = np.array([a.shape[1] for a in layers], np.int64)
         flat = np.concatenate([a[:-1].astype(np.int32).ravel() for a in layers])
-        out.append((int(rows["shard"].iloc[0]), int(dim), len(v), rows["id"].to_numpy().astype(np.int64)[order].tobytes(), starts.astype(np.int64).tobytes(), x.tobytes(), flat.tobytes(), sizes.tobytes()))
+        out.append((int(rows["shard"].iloc[0]), int(dim), len(v), rows["id"].to_numpy().astype(np.int64)[order].tobytes(), rows["row"].to_numpy().astype(np.int64)[order].tobytes(), starts.astype(np.int64).tobytes(), x.tobytes(), flat.tobytes(), sizes.tobytes()))
     return pd.DataFrame(out, columns=[c.split()[0] for c in INDEX.split(", ")])
 
 
 def build_index(vectors: DataFrame) -> DataFrame:
-    """(id, v) of valid, non-zero vectors to one row of flat arrays per shard. All rows are indexed."""
+    """(id, row, v) of valid, non-zero vectors to one row of flat arrays per shard. All rows are indexed; row numbers are unique."""
     shards = max(1, round(vectors.count() / ROWS_A_SHARD))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
     return dealt.groupBy("shard").applyInPandas(_index, INDEX)
 
 
 def _search(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("row", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -184,7 +184,7 @@ def _search(k: int):
                 if g["dim"] != g["q_dim"]:
                     continue
                 n, dim = g["n"], g["dim"]
-                ids, starts = np.frombuffer(g["ids"], np.int64), np.frombuffer(g["starts"], np.int64)
+                ids, numbers, starts = (np.frombuffer(g[c], np.int64) for c in ("ids", "rows", "starts"))
                 x = np.frombuffer(g["vectors"], np.float32).reshape(n, dim + 1)
                 flat, layers, at = np.frombuffer(g["layers"], np.int32), [], 0
                 for m in np.frombuffer(g["sizes"], np.int64):
@@ -197,12 +197,16 @@ def _search(k: int):
                 for links in layers[:0:-1]:
                     near, _ = search_layer(x, links, q, near, 8)
                 near, _ = search_layer(x, layers[0], q, near, max(EF_SEARCH, k + 1))
-                a, c = np.nonzero(near[:, : k + 1] >= 0)
+                # Of each node the rows with the smallest ids; then the query's own rows go, and k are left.
+                a, c = np.nonzero(near >= 0)
                 nodes = near[a, c]
-                many = np.minimum(starts[nodes + 1] - starts[nodes], k + 1)
-                who, found = np.repeat(a, many), ids[np.repeat(starts[nodes], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-                keep = q_ids[who] != found
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[who[keep]]), pa.array(found[keep])], schema=schema)
+                many = np.minimum(starts[nodes + 1] - starts[nodes], 2 * k)
+                at = np.repeat(starts[nodes], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                who = np.repeat(a, many)
+                other = q_ids[who] != ids[at]
+                who, at = who[other], at[other]
+                keep = np.arange(len(who)) - np.searchsorted(who, who) < k
+                yield pa.RecordBatch.from_arrays([pa.array(q_ids[who[keep]]), pa.array(numbers[at[keep]])], schema=schema)
 
     return run
 
@@ -212,17 +216,18 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vect
 
     Queries are the rows whose id is divisible by `every`; candidates are all rows with another id. Vectors that are null,
     empty, zero or hold null or non-finite components, and rows with a null id, take no part; vectors of different length do
-    not meet. Equal vectors are all candidates. A query with fewer than k candidates returns what there is. Of rows that
-    repeat an id, the first in the order of their vectors counts. Scores are double sums over the original components.
+    not meet. Equal vectors and rows that repeat an id are all candidates; as a query, the smallest vector of an id counts. A query
+    with fewer than k candidates returns what there is. Scores are double sums over the original components.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     v = v.where(F.col("id").isNotNull() & valid_vector(F.col("v"))).where(F.exists("v", lambda x: x != 0))
-    v = materialise(v.groupBy("id").agg(F.min("v").alias("v")), "vectors")
+    v = materialise(v.withColumn("row", F.monotonically_increasing_id()), "vectors")
     index = materialise(build_index(v), "index").withColumn("block", F.col("shard"))
-    queries = materialise(pack(v.where(F.col("id") % every == 0).withColumn("low", F.lit(0).cast("long")), QUERIES_A_BLOCK).drop("low"), "queries")
-    found = paired(queries, index, max(1, queries.count()), max(1, index.count())).mapInArrow(_search(k), "query_id long, vec_id long").distinct()
-    q, c = v.select(F.col("id").alias("query_id"), F.col("v").alias("q")), v.select(F.col("id").alias("vec_id"), "v")
+    asked = v.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
+    queries = materialise(pack(asked.withColumn("low", F.lit(0).cast("long")), QUERIES_A_BLOCK).drop("low"), "queries")
+    found = paired(queries, index, max(1, queries.count()), max(1, index.count())).mapInArrow(_search(k), "query_id long, row long")
+    q, c = asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), v.select("row", F.col("id").alias("vec_id"), "v")
     dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, x: a + x)
-    scored = found.join(c, "vec_id").join(q, "query_id").select("query_id", "vec_id", dot.alias("score"))
-    ranked = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    scored = found.join(c, "row").join(q, "query_id").select("query_id", "vec_id", "row", dot.alias("score"))
+    ranked = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "row")
     return scored.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -14,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Blocks of queries that a place takes before candidates are sent to a second one.
+BLOCKS_A_PLACE = 64
 BLOCK = "block long, dim int, ids binary, data binary, low binary"
 _SCHEMA = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.binary()), ("data", pa.binary()), ("low", pa.binary())])
 
@@ -65,12 +67,14 @@ def _upto(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def paired(queries: DataFrame, candidates: DataFrame, query_groups: int, groups: int) -> DataFrame:
+def paired(queries: DataFrame, candidates: DataFrame, query_blocks: int, groups: int) -> DataFrame:
     """Every block of queries beside every block of candidates: columns of queries with q_ before the name, and of candidates.
 
-    Both frames have a column block. Queries are sent to `groups` places and candidates to `query_groups`, about the numbers of
-    their blocks, so each pair meets once and the pairs are spread evenly.
+    Both frames have a column block. Candidates are heavy, so each is sent to one place for every BLOCKS_A_PLACE blocks of queries,
+    mostly once; the light queries are sent to each of the `groups` places, about the number of blocks of candidates. Each pair
+    meets once, and no place has more than about BLOCKS_A_PLACE blocks of queries for a block of candidates.
     """
+    query_groups = -(-query_blocks // BLOCKS_A_PLACE)
     q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns])
     q = q.withColumn("_q", F.pmod(F.xxhash64("q_block"), F.lit(query_groups))).withColumn("_c", F.explode(_upto(groups)))
     c = candidates.withColumn("_c", F.pmod(F.xxhash64("block"), F.lit(groups))).withColumn("_q", F.explode(_upto(query_groups)))

@@ -95,12 +95,12 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x.cast("double") * scale).cast("double") ** 2)
     seen = v.agg(F.max(square).alias("most"), F.count("*").alias("n"), F.count(F.when(F.col("id") % every == 0, 1)).alias("asked")).first()
     most = int(seen["most"] or 0) + 1
-    groups = (1 + seen["asked"] // QUERIES_A_BLOCK, 1 + seen["n"] // CANDIDATES_A_BLOCK)
+    sizes = (1 + seen["asked"] // QUERIES_A_BLOCK, 1 + seen["n"] // CANDIDATES_A_BLOCK)
     width = -(-(2 * most + 1) // BINS)
     asked = materialise(v.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).withColumn("low", F.lit(-most).cast("long")), "asked")
     while True:
         blocks = pack(asked, QUERIES_A_BLOCK, scale)
-        counts = paired(blocks, candidates, *groups).mapInArrow(_counts(k, width), "query_id long, bin long, n long")
+        counts = paired(blocks, candidates, *sizes).mapInArrow(_counts(k, width), "query_id long, bin long, n long")
         counts = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
         down = W.partitionBy("query_id").orderBy(F.col("bin").desc())
         # The bin where the sum from above reaches k holds the k-th value. A query with fewer candidates has none: all are kept.
@@ -110,6 +110,6 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
         if width == 1:
             break
         width = -(-width // BINS)
-    best = paired(pack(asked, QUERIES_A_BLOCK, scale), candidates, *groups).mapInArrow(_winners(k), "query_id long, vec_id long, score long")
+    best = paired(pack(asked, QUERIES_A_BLOCK, scale), candidates, *sizes).mapInArrow(_winners(k), "query_id long, vec_id long, score long")
     ranked = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
