@@ -10,6 +10,11 @@ DAY_MS, HOUR_MS, MINUTE_MS = 86_400_000, 3_600_000, 60_000
 ZONE_MS = 8 * HOUR_MS
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with value made once: a lambda makes what it refers to anew at each call, unless that is its variable."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 # --- time ------------------------------------------------------------------------------------------------------------
 
 

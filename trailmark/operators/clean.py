@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.functions.scalars import android_valid, cookie_valid, device_uuid, idfa_valid, imei_complete, imei_valid, unhex_escapes
+from trailmark.functions.scalars import android_valid, bound, cookie_valid, device_uuid, idfa_valid, imei_complete, imei_valid, unhex_escapes
 
 #: Status of a line (fixed values): good; bad JSON, missing fields, unknown app, bad device id, bad url, short line, bad frame, not found.
 OK, SHORT, BAD_JSON, NO_APP, MISSING, BAD_URL, BAD_ID, FAR, UNKNOWN = 200, 101, 102, 104, 105, 109, 120, 121, 404
@@ -80,10 +80,17 @@ def payload(body: Column, key: str, marker: str = "TGR") -> Column:
     Bytes are XORed by a fold over the decoded bytes' hex digits in the JVM; null where the marker or the base64 is missing.
     """
     digits = F.hex(F.try_to_binary(F.when(F.startswith(body, F.lit(marker)), F.substring(body, len(marker) + 1, 1 << 30)), F.lit("base64")))
+    return F.when(F.length(digits) > 0, F.decode(xored(digits, key), "UTF-8"))
+
+
+def xored(digits: Column, key: str) -> Column:
+    """Bytes given as hex digits, XORed with a repeating key."""
     keys = F.array(*[F.lit(b) for b in key.encode()])
-    n = (F.length(digits) / 2).cast("int")
-    out = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.lpad(F.hex(F.conv(F.substr(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("long").bitwiseXOR(F.get(keys, i % len(key)).cast("long"))), 2, "0"))
-    return F.when(n > 0, F.decode(F.unhex(F.array_join(out, "")), "UTF-8"))
+
+    def byte(pair: Column, i: Column) -> Column:
+        return F.lpad(F.hex(F.conv(pair, 16, 10).cast("long").bitwiseXOR(F.get(keys, i % len(key)).cast("long"))), 2, "0")
+
+    return F.unhex(F.array_join(bound(F.regexp_extract_all(digits, F.lit(".."), F.lit(0)), lambda pairs: F.transform(pairs, byte)), ""))
 
 
 def _android(imei: Column, android_id: Column) -> Column:
@@ -176,6 +183,22 @@ def leads(events: DataFrame) -> DataFrame:
     return events.where(F.col("subtype") == LEAD).withColumn("_d", data).select("appid", "uuid", "time", pick("name", "nickname").alias("name"), pick("phone", "mobile").alias("phone"), pick("city").alias("city"), pick("area").alias("area"), pick("style").alias("style"), pick("flats").alias("flats")).where(F.length("phone") > 0)
 
 
+#: Events that tell where a device was or what a finger did (fixed values): none of them is a step of a visit.
+NO_STEP = ["click_point", "location", "applist", "page_action"]
+NO_REPORT = ["location", "click_point", "enter_foreground", "enter_background"]
+
+
+def steps(events: DataFrame, titled: bool = False) -> DataFrame:
+    """Pages and events that are steps of a visit; for labels only those with a title."""
+    out = events.where((F.col("logtype") == "50") | ~F.coalesce(F.col("subtype").isin(NO_STEP), F.lit(False)))
+    return out.where(F.coalesce(F.length("title") > 0, F.lit(False))) if titled else out
+
+
+def reported(events: DataFrame) -> DataFrame:
+    """Events that event reports count."""
+    return events.where((F.col("logtype") != "50") & ~F.coalesce(F.col("subtype").isin(NO_REPORT), F.lit(False)))
+
+
 def installed_apps(events: DataFrame) -> DataFrame:
     """(uuid, time, pkg, name) of app lists; nameless apps are left out."""
     rows = events.where(F.col("subtype") == "applist").select("uuid", "time", F.explode(F.from_json("data", "array<struct<pkg:string,name:string>>")).alias("a"))

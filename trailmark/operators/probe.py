@@ -47,6 +47,12 @@ def venue_report(visited: DataFrame, first: DataFrame) -> DataFrame:
     return v.groupBy("venue", "day").agg(F.count("*").alias("visits"), F.countDistinct("mac").alias("devices"), F.sum(F.col("end") - F.col("start")).alias("stay"), new.alias("new_devices"))
 
 
+def brand_report(visited: DataFrame, first: DataFrame, brands: DataFrame) -> DataFrame:
+    """Per venue and whether the device's brand is known: visits, stay and new devices. brands: mac, brand (null where unknown)."""
+    v = visited.join(first, ["venue", "mac"]).join(brands, "mac", "left").withColumn("known", F.col("brand").isNotNull().cast("int"))
+    return v.groupBy("venue", "known").agg(F.count("*").alias("visits"), F.sum(F.col("end") - F.col("start")).alias("stay"), F.countDistinct(F.when(F.col("first_time") == F.col("start"), F.col("mac"))).alias("new_devices"))
+
+
 def grid(readings: DataFrame, unit: str) -> DataFrame:
     """Distinct devices of each venue, day and hour or minute, with zeros."""
     slots, slot = {"hour": (24, hour_of_day), "minute": (1440, minute_of_day)}[unit]

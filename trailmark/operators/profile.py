@@ -69,6 +69,12 @@ def base_weight(events: DataFrame, bonuses: dict[str, float]) -> DataFrame:
     return per.groupBy("uuid", "company_id").agg(F.sum("w").alias("base_weight"))
 
 
+def app_users(habits: DataFrame) -> DataFrame:
+    """Two levels: each user's visits, pages and stay in an app, then users and sums of each app. habits: appid, uuid, visit, page, stay."""
+    users = habits.groupBy("appid", "uuid").agg(F.max("visit").alias("visit"), F.sum("page").alias("page"), F.sum("stay").alias("stay"))
+    return users.groupBy("appid").agg(F.count("*").alias("users"), *[F.sum(c).alias(c) for c in ("visit", "page", "stay")])
+
+
 def merged_labels(labels: DataFrame) -> DataFrame:
     return labels.groupBy("uuid", "company_id", "name", "weight").agg(F.sum("times").alias("times"), F.sum("stay").alias("stay"))
 

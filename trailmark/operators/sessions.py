@@ -71,30 +71,20 @@ def app_stay_on_close(events: DataFrame, foreground: str = "enter_foreground") -
 def app_visit_index(events: DataFrame, gap_rule: bool = True, foreground: str = "enter_foreground") -> DataFrame:
     """visitindex of app rows with staytime, by a switch that a long stay or gap arms and a page or foreground event fires.
 
-    A row that arms the switch keeps its index. gap_rule=False leaves gaps out, as mini-programs do. Users are sorted within
-    partitions and read as a stream, so no user's rows are held together.
+    A row that arms the switch keeps its index. gap_rule=False leaves gaps out, as mini-programs do. The switch is armed before a
+    row if the last row that arms it is not before the last row that could have fired it, so windows tell it without state.
     """
-    schema = T.StructType([*events.schema.fields, T.StructField("visitindex", T.IntegerType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, index, armed, up = None, 1, False, 0
-        for pdf in batches:
-            indexes, stays = [], []
-            for uuid, appid, time, stay, logtype, subtype in zip(pdf["uuid"], pdf["appid"], pdf["time"], pdf["staytime"], pdf["logtype"], pdf["subtype"], strict=True):
-                if (uuid, appid) != key:
-                    key, index, armed, up = (uuid, appid), 1, False, time
-                if armed and (logtype == PAGE or subtype == foreground):
-                    index, armed = index + 1, False
-                indexes.append(index)
-                if stay >= GAP_MS:
-                    stay, armed = 0, True
-                elif gap_rule and time - up >= GAP_MS:
-                    armed = True
-                stays.append(stay)
-                up = time
-            yield pdf.assign(staytime=stays, visitindex=pd.array(indexes, "int32"))
-
-    return events.repartition("uuid", "appid").sortWithinPartitions("uuid", "appid", *ORDER).mapInPandas(run, schema)
+    user = W.partitionBy("uuid", "appid").orderBy(*ORDER)
+    before = user.rowsBetween(W.unboundedPreceding, -1)
+    stay = F.coalesce(F.col("staytime"), F.lit(0))
+    gap = F.coalesce(F.col("time") - F.lag("time").over(user), F.lit(0)) >= GAP_MS
+    arms = (stay >= GAP_MS) | gap if gap_rule else stay >= GAP_MS
+    fires = F.coalesce(is_page() | (F.col("subtype") == foreground), F.lit(False))
+    rows = events.withColumn("_at", F.row_number().over(user)).withColumn("_arms", arms).withColumn("_fires", fires)
+    armed, fired = F.max(F.when(F.col("_arms"), F.col("_at"))).over(before), F.max(F.when(F.col("_fires"), F.col("_at"))).over(before)
+    opens = F.col("_fires") & armed.isNotNull() & (armed >= F.coalesce(fired, F.lit(0)))
+    rows = rows.withColumn("_opens", opens.cast("int")).withColumn("visitindex", (1 + F.sum("_opens").over(user.rowsBetween(W.unboundedPreceding, 0))).cast("int"))
+    return rows.withColumn("staytime", F.when(stay >= GAP_MS, F.lit(0)).otherwise(stay).cast(events.schema["staytime"].dataType)).drop("_at", "_arms", "_fires", "_opens")
 
 
 def visits(events: DataFrame) -> DataFrame:

@@ -71,17 +71,18 @@ def visit_documents(spark, sf_dir):
 
 
 @query("label_lookup", f"""WITH {PAGE_LABEL_SQL} SELECT uuid, name, round(sum(CASE WHEN {TODAY} - day BETWEEN 0 AND 59 THEN (times * 0.7::DOUBLE + stay / 20000::DOUBLE * 0.3::DOUBLE) * 1.5::DOUBLE * (60 - ({TODAY} - day)) / 60::DOUBLE ELSE 0 END), 6) AS value
-FROM pl WHERE day BETWEEN {TODAY} - 10 AND {TODAY} AND uuid IN (SELECT uuid FROM ev WHERE user_id % 10 = 0) GROUP BY ALL""")
+FROM pl WHERE day BETWEEN {TODAY} - 59 AND {TODAY} AND uuid IN (SELECT uuid FROM ev WHERE subtype = 'purchase') GROUP BY ALL""")
 def label_lookup(spark, sf_dir):
-    keys = events(spark, sf_dir).where("user_id % 10 = 0").select("uuid").distinct()
-    return documents.labels_of(label_days(spark, sf_dir), keys, TODAY - 10, TODAY, TODAY).withColumn("value", F.round("value", 6))
+    keys = events(spark, sf_dir).where("subtype = 'purchase'").select("uuid").distinct()
+    return documents.labels_of(label_days(spark, sf_dir), keys, TODAY - 59, TODAY, TODAY).withColumn("value", F.round("value", 6))
 
 
-@query("interests")
+@query("interests", f"""WITH {PAGE_LABEL_SQL}, v AS (SELECT uuid, name, sum((times * 0.7::DOUBLE + stay / 20000::DOUBLE * 0.3::DOUBLE) * 1.5::DOUBLE * (60 - ({TODAY} - day)) / 60::DOUBLE) AS value FROM pl WHERE day BETWEEN {TODAY} - 59 AND {TODAY} GROUP BY uuid, name, company_id HAVING value > 0.001),
+s AS (SELECT uuid, name, sum(value) AS value FROM v GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY round(value, 9) DESC, name) AS k FROM s) SELECT uuid, string_agg(name || ':' || CAST(CAST(CAST(round(value, 9) AS DECIMAL(18, 9)) AS DECIMAL(18, 3)) AS VARCHAR), ',' ORDER BY k) AS interests FROM r WHERE k <= 10 GROUP BY uuid""")
 def interests(spark, sf_dir):
     from trailmark.operators import profile
 
-    sums = profile.label_sum(label_days(spark, sf_dir), TODAY).groupBy("uuid", "name").agg(F.sum("value").alias("value"))
+    sums = profile.label_sum(label_days(spark, sf_dir), TODAY).groupBy("uuid", "name").agg(F.round(F.sum("value"), 9).alias("value"))
     return documents.interests(sums)
 
 

@@ -48,11 +48,11 @@ def rated(spark, sf_dir) -> DataFrame:
     return ratings(spark, sf_dir).select("user", "item", F.when(F.col("item") % 4 == 0, 0).otherwise(1).alias("stay"))
 
 
-TOP_SQL = f"{SCORE_SQL}, tp AS (SELECT * FROM (SELECT \"user\", item_type, item, score, CAST(row_number() OVER (PARTITION BY \"user\", item_type ORDER BY score DESC, item) AS INTEGER) AS rank FROM sg WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM re WHERE re.\"user\" = sg.\"user\" AND re.item = sg.item AND re.stay > 0)) WHERE rank <= CASE item_type WHEN 1 THEN 10 ELSE 5 END)"
+TOP_SQL = f"{SCORE_SQL}, tp AS (SELECT * FROM (SELECT \"user\", item_type, item, score, CAST(row_number() OVER (PARTITION BY \"user\", item_type ORDER BY score DESC, item) AS INTEGER) AS rank FROM sg WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM re WHERE re.\"user\" = sg.\"user\" AND re.item = sg.item AND re.stay > 0)) WHERE rank <= CASE item_type WHEN 1 THEN 250 ELSE 125 END)"
 
 
 def _top(spark, sf_dir) -> DataFrame:
-    return recommend.top_items(scores(spark, sf_dir), rated(spark, sf_dir), {1: 10, 2: 5})
+    return recommend.top_items(scores(spark, sf_dir), rated(spark, sf_dir), {1: 250, 2: 125})
 
 
 @query("recommend_topn", f'WITH {TOP_SQL} SELECT "user", item_type, item, rank, CAST(trunc(score * 100000) AS BIGINT) AS points FROM tp')
@@ -72,11 +72,12 @@ def recommend_user(spark, sf_dir):
 
 
 @query("recommend_area", f"""WITH {SCORE_SQL}, m AS (SELECT r_name || '@' || n_name AS area, item_type, item, avg(score) AS score FROM sg JOIN customer ON "user" = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
-SELECT area, item_type, item, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY area, item_type ORDER BY score DESC, item) AS INTEGER) AS rank FROM m) WHERE rank <= 10""")
+SELECT area, item_type, item, rank FROM (SELECT *, CAST(row_number() OVER (PARTITION BY area, item_type ORDER BY score DESC, item) AS INTEGER) AS rank FROM m) WHERE rank <= CASE item_type WHEN 1 THEN 250 ELSE 125 END""")
 def recommend_area(spark, sf_dir):
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     areas = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("user"), F.concat_ws("@", "r_name", "n_name").alias("area"))
-    return recommend.by_area(scores(spark, sf_dir), areas, 10).select("area", "item_type", "item", "rank")
+    best = recommend.by_area(scores(spark, sf_dir), areas, 250).where(F.col("rank") <= F.when(F.col("item_type") == 1, 250).otherwise(125))
+    return best.select("area", "item_type", "item", "rank")
 
 
 EFFECT_SQL = f"""{EV}, l AS (SELECT DISTINCT uuid FROM ev WHERE logtype = '50' AND pageid < 40), r AS (SELECT DISTINCT uuid FROM ev WHERE user_id % 3 = 0), pg AS (SELECT uuid, pageid, lead(pageid) OVER (PARTITION BY uuid ORDER BY time, event_id) AS nx FROM ev WHERE logtype = '50'),
@@ -101,10 +102,10 @@ def item_rating(spark, sf_dir):
     return recommend.item_rating(e.withColumn("data", data).withColumn("subtype", kind)).withColumn("score", F.round("score", 6))
 
 
-@query("click_through", f"WITH {EV} SELECT subtype AS origin_type, CAST(pageid % 10 AS VARCHAR) AS origin_id, CAST(pageid AS VARCHAR) AS hit_id, count(*) AS hits, count(DISTINCT uuid) AS users FROM ev WHERE event_id % 2 = 0 GROUP BY ALL")
+@query("click_through", f"WITH {EV} SELECT subtype AS origin_type, CAST(pageid % 10 AS VARCHAR) AS origin_id, CAST(pageid AS VARCHAR) AS hit_id, count(*) AS hits, count(DISTINCT uuid) AS users FROM ev WHERE logtype <> '50' GROUP BY ALL")
 def click_through(spark, sf_dir):
     from trailmark.operators import reports
 
-    data = F.to_json(F.struct((F.col("event_id") % 2).cast("string").alias("alg"), (F.col("pageid") % 10).cast("string").alias("from"), F.col("pageid").cast("string").alias("to")))
+    data = F.to_json(F.struct(F.when(F.col("logtype") == "50", "1").otherwise("0").alias("alg"), (F.col("pageid") % 10).cast("string").alias("from"), F.col("pageid").cast("string").alias("to")))
     e = events(spark, sf_dir).withColumn("data", data).where(F.get_json_object("data", "$.alg") == "0")
     return reports.click_through(e.select("uuid", F.col("subtype").alias("origin_type"), F.get_json_object("data", "$.from").alias("origin_id"), F.get_json_object("data", "$.to").alias("hit_id")))

@@ -47,10 +47,12 @@ def _last(df: DataFrame, *keys: str) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "batch")
 
 
-@query("stream_flow", f"WITH {EV} SELECT CAST(time // 60000 * 60000 AS BIGINT) AS start_ms, appid, CAST(count(*) AS BIGINT) AS pv, max(time) AS last_time FROM ev GROUP BY ALL")
+@query("stream_flow", f"WITH {EV} SELECT CAST(time // 60000 * 60000 AS BIGINT) AS start_ms, appid, CAST(count(*) AS BIGINT) AS pv, count(DISTINCT uuid) AS uv, count(DISTINCT ip) AS ip, max(time) AS last_time FROM ev GROUP BY ALL")
 def stream_flow(spark, sf_dir):
-    out = _last(flows.run_to_end(flows.windowed_flow(event_stream(spark, sf_dir)), folder(spark), "update"), "start", "appid")
-    return out.select(F.unix_millis("start").alias("start_ms"), "appid", "pv", "last_time")
+    closed = flows.run_to_end(flows.windowed_flow(event_stream(spark, sf_dir)), folder(spark)).drop("batch")
+    e = event_batch(spark, sf_dir)
+    ms = lambda df: df.select(F.unix_millis("start").alias("start_ms"), "appid", "pv", "uv", "ip", "last_time")
+    return _with_open(ms(closed), ms(flows.windowed_flow(e)), e, ["start_ms", "appid"], F.col("start_ms") + 60_000)
 
 
 def _with_open(closed: DataFrame, everything: DataFrame, events: DataFrame, keys: list[str], shut_ms) -> DataFrame:
@@ -60,7 +62,7 @@ def _with_open(closed: DataFrame, everything: DataFrame, events: DataFrame, keys
     return closed.unionByName(still.join(closed, keys, "left_anti"))
 
 
-@query("stream_users")
+@query("stream_users", f"WITH {EV} SELECT CAST(time // 3600000 * 3600000 AS BIGINT) AS start_ms, appid, count(DISTINCT uuid) AS uv FROM ev GROUP BY ALL")
 def stream_users(spark, sf_dir):
     ms = lambda df: df.select(F.unix_millis("start").alias("start_ms"), "appid", "uv")
     e = event_batch(spark, sf_dir)
@@ -68,7 +70,8 @@ def stream_users(spark, sf_dir):
     return _with_open(closed, ms(flows.exact_users(e, "1 hour")), e, ["start_ms", "appid"], F.col("start_ms") + 3_600_000)
 
 
-@query("stream_sessions")
+@query("stream_sessions", f"""WITH {EV}, t AS (SELECT ev.*, epoch_us(ts) AS us FROM ev JOIN events USING (event_id)), g AS (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY appid, uuid ORDER BY us, event_id) < 600000000 THEN 0 ELSE 1 END AS cut FROM t),
+s AS (SELECT *, sum(cut) OVER (PARTITION BY appid, uuid ORDER BY us, event_id) AS k FROM g) SELECT appid, uuid, min(time) AS start, max(time) AS "end", count(*) AS n, count(*) FILTER (WHERE logtype = '50') AS pages FROM s GROUP BY appid, uuid, k""")
 def stream_sessions(spark, sf_dir):
     e = event_batch(spark, sf_dir)
     closed = flows.run_to_end(flows.sessions(event_stream(spark, sf_dir)), folder(spark)).drop("batch")
@@ -96,7 +99,7 @@ def stream_idle(spark, sf_dir):
     return flows.run_to_end(flows.idle(event_stream(spark, sf_dir)), folder(spark)).drop("batch")
 
 
-@query("stream_tap", f"WITH {EV} SELECT event_id, uuid FROM ev WHERE user_id % 25 = 0")
+@query("stream_tap", f"WITH {EV} SELECT event_id, uuid FROM ev WHERE uuid IN (SELECT uuid FROM ev WHERE subtype = 'purchase')")
 def stream_tap(spark, sf_dir):
-    devices = table(spark, sf_dir, "events").where("user_id % 25 = 0").select(F.md5(F.col("user_id").cast("string")).alias("uuid")).distinct()
+    devices = table(spark, sf_dir, "events").where("event_type = 'purchase'").select(F.md5(F.col("user_id").cast("string")).alias("uuid")).distinct()
     return flows.run_to_end(flows.marked(event_stream(spark, sf_dir), devices), folder(spark)).select("event_id", "uuid")

@@ -247,7 +247,11 @@ def app_stay_v2(spark, sf_dir):
     return sessions.app_stay_on_close(events(spark, sf_dir), foreground="signup").select("event_id", "time", "staytime", "recent_page")
 
 
-@query("app_visit_index")
+@query("app_visit_index", f"""WITH {EV}, cl AS (SELECT *, CASE WHEN logtype = '50' OR subtype = 'error' THEN time END AS shut FROM ev),
+ws AS (SELECT *, CASE WHEN logtype = '50' THEN coalesce(first_value(shut IGNORE NULLS) OVER (PARTITION BY uuid, appid ORDER BY time, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - time, 0) ELSE 0 END AS staytime FROM cl),
+w AS (SELECT *, row_number() OVER u AS k, staytime >= 600000 OR coalesce(time - lag(time) OVER u, 0) >= 600000 AS arms, logtype = '50' OR subtype = 'signup' AS fires FROM ws WINDOW u AS (PARTITION BY uuid, appid ORDER BY time, event_id)),
+x AS (SELECT *, max(CASE WHEN arms THEN k END) OVER b AS armed, max(CASE WHEN fires THEN k END) OVER b AS fired FROM w WINDOW b AS (PARTITION BY uuid, appid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT event_id, uuid, appid, CAST(CASE WHEN staytime >= 600000 THEN 0 ELSE staytime END AS BIGINT) AS staytime, CAST(1 + sum(CASE WHEN fires AND armed >= coalesce(fired, 0) THEN 1 ELSE 0 END) OVER (PARTITION BY uuid, appid ORDER BY k) AS INTEGER) AS visitindex FROM x""")
 def app_visit_index(spark, sf_dir):
     e = sessions.app_stay_on_open(events(spark, sf_dir), background="error")
     return sessions.app_visit_index(e, foreground="signup").select("event_id", "uuid", "appid", "staytime", "visitindex")

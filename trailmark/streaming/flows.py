@@ -21,10 +21,14 @@ GAP_MS = 600_000
 
 
 def windowed_flow(events: DataFrame, size: str = "1 minute", late: str = LATE) -> DataFrame:
-    """Page views, about how many users and addresses, and the latest time, per app and window."""
-    w = F.window("ts", size)
-    out = events.withWatermark("ts", late).groupBy(w, "appid").agg(F.count("*").alias("pv"), F.approx_count_distinct("uuid").alias("uv"), F.approx_count_distinct("ip").alias("ip"), F.max("time").alias("last_time"))
-    return out.select(F.col("window.start").alias("start"), "appid", "pv", "uv", "ip", "last_time")
+    """Exact page views, users, addresses and the latest time per app and window, when the window closes.
+
+    Each pair of user and address of a window is one small state row, and windows past the watermark leave the state.
+    """
+    keyed = events.withWatermark("ts", late).withColumn("w", F.window("ts", size))
+    pairs = keyed.groupBy("w", "appid", "uuid", "ip").agg(F.count("*").alias("n"), F.max("time").alias("last"))
+    out = pairs.groupBy("w", "appid").agg(F.sum("n").alias("pv"), F.size(F.collect_set("uuid")).cast("long").alias("uv"), F.size(F.collect_set("ip")).cast("long").alias("ip"), F.max("last").alias("last_time"))
+    return out.select(F.col("w.start").alias("start"), "appid", "pv", "uv", "ip", "last_time")
 
 
 def exact_users(events: DataFrame, size: str = "1 minute", late: str = LATE) -> DataFrame:
@@ -136,7 +140,12 @@ def idle(events: DataFrame, late: str = "0 seconds", hours: tuple[int, int] = (8
 
         if held.hasTimedOut:
             settle()
-            held.update((day, pages, first, last, lead, pushed))
+            day_ends = (day * 86_400_000) - 28_800_000  # the day's end in UTC+8; after it nothing of this user matters
+            if held.getCurrentWatermarkMs() >= day_ends:
+                held.remove()
+            else:
+                held.update((day, pages, first, last, lead, pushed))
+                held.setTimeoutTimestamp(day_ends)
         else:
             for t, _, kind, sub in sorted((t, e, k, s) for b in batches for t, e, k, s in zip(b["time"], b["event_id"], b["logtype"], b["subtype"], strict=True)):
                 today = (t + 28_800_000) // 86_400_000 + 1
