@@ -36,6 +36,11 @@ def _path(spark, name: str) -> str:
     return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _at() -> Column:
+    """The number of an event, by which lines are broken."""
+    return F.col("event_id")
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -43,7 +48,6 @@ def _text(c: Column) -> Column:
 # --- cleaners ----------------------------------------------------------------------------------------------------------
 
 KEY = "a key that repeats"
-E = F.col("event_id")
 
 
 def _hidden(json: Column) -> Column:
@@ -56,19 +60,24 @@ def _mobile_lines(spark, sf_dir, json: Column) -> DataFrame:
     second = F.floor(F.col("time") / 1000)
     exact = F.concat(_text(second), F.lit("."), F.lpad(_text(F.col("time") % 1000), 3, "0"))
     server = F.date_format(F.timestamp_seconds(second), "dd/MMM/yyyy:HH:mm:ss")
-    at = F.when(E % 2 == 0, exact).otherwise(F.concat(server, F.lit(" +0000")))
-    data = F.when(E % 41 == 0, F.lit("nothing")).otherwise(_hidden(json))
+    at = F.when(_at() % 2 == 0, exact).otherwise(F.concat(server, F.lit(" +0000")))
+    data = F.when(_at() % 41 == 0, F.lit("nothing")).otherwise(_hidden(json))
     return events(spark, sf_dir).select(F.concat(F.col("ip"), F.lit(" - - ["), at, F.lit('] "GET /l?data='), data, F.lit(' HTTP/1.1" 200')).alias("value"))
 
 
-IDFA = F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(F.col("user_id").cast("string"), 12, "0"))
+
+
+def _idfa() -> Column:
+    return F.concat(F.lit("00000000-0000-4000-8000-"), F.lpad(F.col("user_id").cast("string"), 12, "0"))
+
+
 IDFA_SQL = "'00000000-0000-4000-8000-' || lpad(CAST(user_id AS VARCHAR), 12, '0')"
 SENT_SQL = "CASE WHEN event_id % 2 = 0 THEN time ELSE time // 1000 * 1000 END"
 
 
 @query("mobile_envelope", f"WITH {EV} SELECT ip, CAST({SENT_SQL} AS BIGINT) AS time, CASE WHEN event_id % 41 = 0 THEN NULL ELSE 'é' || event_id || '}}' END AS json FROM ev")
 def mobile_envelope(spark, sf_dir):
-    lines = clean.envelope(_mobile_lines(spark, sf_dir, F.concat(F.lit("é"), _text(E), F.lit("}"))))
+    lines = clean.envelope(_mobile_lines(spark, sf_dir, F.concat(F.lit("é"), _text(_at()), F.lit("}"))))
     return lines.select("ip", "time", clean.payload(F.col("body"), KEY).alias("json"))
 
 
@@ -76,9 +85,9 @@ def mobile_envelope(spark, sf_dir):
 CAST(CASE WHEN event_id % 11 = 0 THEN 105 WHEN event_id % 7 = 0 AND event_id % 5 <> 0 THEN 120 ELSE 200 END AS INTEGER) AS status FROM ev WHERE event_id % 41 <> 0
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, CAST({SENT_SQL} AS BIGINT), NULL, CAST(102 AS INTEGER) FROM ev WHERE event_id % 41 = 0""")
 def clean_mobile_v2(spark, sf_dir):
-    ids = F.struct(F.when((E % 5 != 0) & (E % 7 != 0), IDFA).alias("idfa"), F.when((E % 5 != 0) & (E % 7 == 0), F.lit(None).cast("string")).otherwise(F.lpad(_text(F.col("user_id")), 15, "1")).alias("imei"), F.when(E % 5 == 0, F.concat(F.lit("a"), _text(F.col("user_id")))).alias("android_id"))
-    ids = F.when((E % 5 != 0) & (E % 7 == 0), F.struct(F.lit("zero").alias("idfa"), F.lit(None).cast("string").alias("imei"), F.lit(None).cast("string").alias("android_id"))).otherwise(ids)
-    json = F.to_json(F.struct(F.lit("2").alias("ja_version"), F.when(E % 11 != 0, "1.0").alias("app_version"), F.lit("pkg").alias("app_packagename"), "appid", "logtype", "subtype", _text(F.col("pageid")).alias("pageid"), F.lit("").alias("userid"), F.col("time"), ids.alias("device_info")))
+    ids = F.struct(F.when((_at() % 5 != 0) & (_at() % 7 != 0), _idfa()).alias("idfa"), F.when((_at() % 5 != 0) & (_at() % 7 == 0), F.lit(None).cast("string")).otherwise(F.lpad(_text(F.col("user_id")), 15, "1")).alias("imei"), F.when(_at() % 5 == 0, F.concat(F.lit("a"), _text(F.col("user_id")))).alias("android_id"))
+    ids = F.when((_at() % 5 != 0) & (_at() % 7 == 0), F.struct(F.lit("zero").alias("idfa"), F.lit(None).cast("string").alias("imei"), F.lit(None).cast("string").alias("android_id"))).otherwise(ids)
+    json = F.to_json(F.struct(F.lit("2").alias("ja_version"), F.when(_at() % 11 != 0, "1.0").alias("app_version"), F.lit("pkg").alias("app_packagename"), "appid", "logtype", "subtype", _text(F.col("pageid")).alias("pageid"), F.lit("").alias("userid"), F.col("time"), ids.alias("device_info")))
     lines = clean.envelope(_mobile_lines(spark, sf_dir, json)).withColumn("json", clean.payload(F.col("body"), KEY))
     return clean.mobile_v2(lines).select("appid", F.when(F.col("status") == 200, F.col("uuid")).alias("uuid"), "logtype", "subtype", "pageid", "time", "localTime", "status")
 
@@ -94,8 +103,8 @@ def clean_mobile_v1(spark, sf_dir):
     sub, none = F.col("subtype"), F.lit(None).cast("string")
     kind = F.when(sub == "view", "50").when(sub == "click", "30").when(sub == "signup", "20").when(sub == "purchase", "40").otherwise("99")
     inner = F.when(sub == "signup", "3").when(sub.isin("view", "click"), "1")
-    event = F.struct("time", F.when(sub == "purchase", "get_user_clue").otherwise(_text(F.col("pageid"))).alias("id"), kind.alias("type"), inner.alias("sub_type"), F.lit("t").alias("title"), none.alias("data"), (F.col("time") - (E % 700 + 1) * 1000).alias("open_time"), F.when(sub == "click", "1,2").alias("x_y"))
-    common = F.struct(F.col("appid").alias("app_identifier"), F.lit("1").alias("app_version"), F.col("channel").alias("app_channel"), F.lit("os").alias("os_name"), IDFA.alias("device_uuid"))
+    event = F.struct("time", F.when(sub == "purchase", "get_user_clue").otherwise(_text(F.col("pageid"))).alias("id"), kind.alias("type"), inner.alias("sub_type"), F.lit("t").alias("title"), none.alias("data"), (F.col("time") - (_at() % 700 + 1) * 1000).alias("open_time"), F.when(sub == "click", "1,2").alias("x_y"))
+    common = F.struct(F.col("appid").alias("app_identifier"), F.lit("1").alias("app_version"), F.col("channel").alias("app_channel"), F.lit("os").alias("os_name"), _idfa().alias("device_uuid"))
     # Lines of many events: those of a user and minute come in one.
     e = events(spark, sf_dir).select("ip", (F.floor(F.col("time") / 60_000) * 60_000).alias("minute"), common.alias("common"), event.alias("event"))
     bodies = e.groupBy("common", "minute").agg(F.min("ip").alias("ip"), F.collect_list("event").alias("events")).select("ip", F.col("minute").alias("time"), F.to_json(F.struct("common", "events")).alias("json"))
@@ -112,9 +121,9 @@ def _apps(spark):
 @query("clean_mini_program", f"""WITH {EV} SELECT CASE WHEN event_id % 19 = 0 THEN NULL ELSE appid END AS appid, CASE WHEN event_id % 19 = 0 OR event_id % 13 = 0 THEN NULL ELSE uuid END AS uuid, CASE WHEN event_id % 19 = 0 THEN NULL ELSE time END AS time,
 CAST(CASE WHEN event_id % 19 = 0 THEN 101 WHEN appid = '1204' THEN 104 WHEN event_id % 13 = 0 THEN 105 WHEN event_id % 17 = 0 THEN 102 ELSE 200 END AS INTEGER) AS status FROM ev""")
 def clean_mini_program(spark, sf_dir):
-    data = F.when(E % 17 == 0, "{broken").otherwise('{"a":"é"}')
-    body = F.struct(F.lit("1").alias("ja_version"), F.lit("1.0").alias("app_version"), F.col("appid").alias("app_identifier"), "logtype", "subtype", _text(F.col("pageid")).alias("pageid"), "time", data.alias("data"), F.struct(F.when(E % 13 != 0, F.col("uuid")).alias("ja_uuid")).alias("device_info"))
-    text = F.replace(F.when(E % 19 == 0, F.lit("{}")).otherwise(F.to_json(body)), F.lit("é"), F.lit(r"\xC3\xA9"))
+    data = F.when(_at() % 17 == 0, "{broken").otherwise('{"a":"é"}')
+    body = F.struct(F.lit("1").alias("ja_version"), F.lit("1.0").alias("app_version"), F.col("appid").alias("app_identifier"), "logtype", "subtype", _text(F.col("pageid")).alias("pageid"), "time", data.alias("data"), F.struct(F.when(_at() % 13 != 0, F.col("uuid")).alias("ja_uuid")).alias("device_info"))
+    text = F.replace(F.when(_at() % 19 == 0, F.lit("{}")).otherwise(F.to_json(body)), F.lit("é"), F.lit(r"\xC3\xA9"))
     return clean.mini_program(events(spark, sf_dir).select(F.concat(F.col("ip"), F.lit(' - ""'), text, F.lit(' EOF"')).alias("value")), _apps(spark)).select("appid", "uuid", "time", "status")
 
 
@@ -122,16 +131,16 @@ def clean_mini_program(spark, sf_dir):
 SELECT 'p' || box AS "probeId", uuid AS mac, CAST(time // 1000 * 1000 AS BIGINT) AS time, CAST(CASE WHEN event_id % 29 = 0 THEN 105 WHEN s = '000' THEN 121 WHEN box = 3 THEN 404 WHEN event_id % 100 >= 90 THEN 121 ELSE 200 END AS INTEGER) AS status FROM p""")
 def clean_probe(spark, sf_dir):
     at = F.date_format(F.timestamp_seconds(F.floor(F.col("time") / 1000)), "yyyy-MM-dd HH:mm:ss")
-    box, signal = F.concat(F.lit("p"), _text(F.col("user_id") % 4)), F.when(E % 23 == 0, "000").otherwise(_text(-(E % 100)))
+    box, signal = F.concat(F.lit("p"), _text(F.col("user_id") % 4)), F.when(_at() % 23 == 0, "000").otherwise(_text(-(_at() % 100)))
     cells = F.array(box, F.col("uuid"), signal, F.lit("f"), at)
-    lines = events(spark, sf_dir).select(F.array_join(F.when(E % 29 == 0, F.concat(cells, F.array(F.lit("x")))).otherwise(cells), "|").alias("value"))
+    lines = events(spark, sf_dir).select(F.array_join(F.when(_at() % 29 == 0, F.concat(cells, F.array(F.lit("x")))).otherwise(cells), "|").alias("value"))
     probes = spark.createDataFrame([(f"p{i}", i, f"u{i}", i) for i in range(3)], "probeId string, id int, uuid string, venueId int")
     return clean.probe(lines, probes, 90).select("probeId", "mac", "time", "status")
 
 
 @query("odd_ids", f"WITH {EV} SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'short' ELSE uuid END AS uuid, CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'seen' END AS note FROM ev")
 def odd_ids(spark, sf_dir):
-    e = events(spark, sf_dir).select("event_id", F.when(E % 3 == 0, "short").otherwise(F.col("uuid")).alias("uuid"))
+    e = events(spark, sf_dir).select("event_id", F.when(_at() % 3 == 0, "short").otherwise(F.col("uuid")).alias("uuid"))
     return clean.with_odd_ids(e, lambda good: good.withColumn("note", F.lit("seen")))
 
 
@@ -147,7 +156,7 @@ def installed_apps(spark, sf_dir):
 @query("visit_steps", f"WITH {EV} SELECT appid, count(*) AS steps, count(*) FILTER (WHERE event_id % 4 > 0) AS titled FROM ev WHERE subtype NOT IN ('click', 'error') GROUP BY appid")
 def visit_steps(spark, sf_dir):
     sub = F.when(F.col("subtype") == "click", "click_point").when(F.col("subtype") == "error", "page_action").otherwise(F.col("subtype"))
-    e = events(spark, sf_dir).withColumn("subtype", sub).withColumn("title", F.when(E % 4 > 0, "t").otherwise(""))
+    e = events(spark, sf_dir).withColumn("subtype", sub).withColumn("title", F.when(_at() % 4 > 0, "t").otherwise(""))
     titled = clean.steps(e, titled=True).groupBy("appid").agg(F.count("*").alias("titled"))
     return clean.steps(e).groupBy("appid").agg(F.count("*").alias("steps")).join(titled, "appid")
 
@@ -175,7 +184,7 @@ def device_ids_valid(spark, sf_dir):
     u = events(spark, sf_dir).select("user_id").distinct().withColumn("m", F.lpad(_text(F.col("user_id") * 7919), 14, "35"))
     short = F.lpad(F.concat(F.lit("f"), _text(F.col("user_id"))), 30, "0")
     imei = scalars.imei_complete(F.col("m"))
-    return u.select("user_id", F.when(scalars.imei_valid(imei), imei).alias("imei"), scalars.device_uuid(F.lit("idfa"), IDFA).alias("by_idfa"), scalars.device_uuid(F.lit("cookie"), F.concat(F.col("m"), F.lit("=_"))).alias("by_none"), scalars.normal_uuid(short).alias("normal"), scalars.salted(F.col("m")).alias("salted"))
+    return u.select("user_id", F.when(scalars.imei_valid(imei), imei).alias("imei"), scalars.device_uuid(F.lit("idfa"), _idfa()).alias("by_idfa"), scalars.device_uuid(F.lit("cookie"), F.concat(F.col("m"), F.lit("=_"))).alias("by_none"), scalars.normal_uuid(short).alias("normal"), scalars.salted(F.col("m")).alias("salted"))
 
 
 @query("ip_text", f"WITH {EV} SELECT DISTINCT ip, true AS ok, lower(hex(10)) || 'x' AS bad, '0a' || lpad(lower(to_hex(0)), 2, '0') || lpad(lower(to_hex(CAST(split_part(ip, '.', 3) AS BIGINT))), 2, '0') || lpad(lower(to_hex(CAST(split_part(ip, '.', 4) AS BIGINT))), 2, '0') AS hex FROM ev".replace("lower(hex(10)) || 'x' AS bad", "false AS bad"))
@@ -226,7 +235,7 @@ def mac_brands(spark, sf_dir):
 
 def _app_rows(spark, sf_dir) -> DataFrame:
     e, none = events(spark, sf_dir), F.lit("")
-    return e.select(F.lit("2").alias("ja_version"), F.lit("1.0").alias("app_version"), "appid", F.when(E % 3 == 0, "short").otherwise(F.col("uuid")).alias("uuid"), none.alias("userid"), "logtype", _text(F.col("pageid")).alias("pageid"), "subtype", "time", F.col("time").alias("localTime"), F.lit("a\tb").alias("title"), none.alias("data"), F.lit(0).cast("long").alias("staytime"), F.lit(1).alias("visitindex"), none.alias("recentPage"), "ip", F.create_map(F.lit("sw"), _text(F.col("sw"))).alias("device"))
+    return e.select(F.lit("2").alias("ja_version"), F.lit("1.0").alias("app_version"), "appid", F.when(_at() % 3 == 0, "short").otherwise(F.col("uuid")).alias("uuid"), none.alias("userid"), "logtype", _text(F.col("pageid")).alias("pageid"), "subtype", "time", F.col("time").alias("localTime"), F.lit("a\tb").alias("title"), none.alias("data"), F.lit(0).cast("long").alias("staytime"), F.lit(1).alias("visitindex"), none.alias("recentPage"), "ip", F.create_map(F.lit("sw"), _text(F.col("sw"))).alias("device"))
 
 
 @query("clean_app_files", f"""WITH {EV} SELECT 'all' AS part, count(*) AS n, CAST(sum(time % 1000) AS BIGINT) AS ms, CAST(sum(sw) AS BIGINT) AS sw FROM ev UNION ALL SELECT 'full', count(*), CAST(sum(time % 1000) AS BIGINT), CAST(sum(sw) AS BIGINT) FROM ev WHERE event_id % 3 <> 0
@@ -265,7 +274,7 @@ def tagged_sources(spark, sf_dir):
 def day_partitions(spark, sf_dir):
     """The last day is written again with other values; the other days stay. Seven days are read."""
     path = _path(spark, "days")
-    d = events(spark, sf_dir).select(F.timestamp_millis("time").cast("date").alias("day"), F.when(E % 2 == 0, 2).otherwise(1).alias("v"))
+    d = events(spark, sf_dir).select(F.timestamp_millis("time").cast("date").alias("day"), F.when(_at() % 2 == 0, 2).otherwise(1).alias("v"))
     last = d.agg(F.max("day")).first()[0]
     tables.write_day(d, path, "day")
     if last is None:
@@ -284,7 +293,7 @@ def document_sink(spark, sf_dir):
 @query("score_files", f"WITH {EV} SELECT uuid, CAST(pageid AS INTEGER) AS \"itemId\", count(*) AS n FROM ev WHERE event_id % 9 > 0 GROUP BY ALL")
 def score_files(spark, sf_dir):
     path = _path(spark, "scores")
-    rows = events(spark, sf_dir).select(F.concat_ws("\t", "uuid", _text(F.col("pageid")), F.when(E % 9 > 0, "1"), F.lit("0.5")).alias("value"))
+    rows = events(spark, sf_dir).select(F.concat_ws("\t", "uuid", _text(F.col("pageid")), F.when(_at() % 9 > 0, "1"), F.lit("0.5")).alias("value"))
     rows.write.text(path)
     return tables.scores(spark, path).groupBy("uuid", "itemId").agg(F.count("*").alias("n"))
 
@@ -292,7 +301,7 @@ def score_files(spark, sf_dir):
 @query("rating_files", f"WITH {EV} SELECT uuid, CAST(pageid AS INTEGER) AS itemid, CAST(sum(event_id % 5) AS DOUBLE) AS score FROM ev GROUP BY ALL")
 def rating_files(spark, sf_dir):
     path = _path(spark, "ratings")
-    events(spark, sf_dir).select(F.concat_ws("\t", _text(F.col("user_id")), _text(F.col("pageid")), _text(E % 5), "uuid", _text(F.col("pageid"))).alias("value")).write.text(path)
+    events(spark, sf_dir).select(F.concat_ws("\t", _text(F.col("user_id")), _text(F.col("pageid")), _text(_at() % 5), "uuid", _text(F.col("pageid"))).alias("value")).write.text(path)
     return tables.item_ratings(spark, path).groupBy("uuid", "itemid").agg(F.sum("score").alias("score"))
 
 
@@ -324,7 +333,7 @@ def run_log(spark, sf_dir):
 
 @query("quality_log", f"WITH {EV}, s AS (SELECT CASE WHEN event_id % 5 = 0 THEN 105 WHEN event_id % 7 = 0 THEN 120 ELSE 200 END AS status FROM ev), c AS (SELECT status, count(*) AS n FROM s GROUP BY 1) SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) FILTER (WHERE status <> 200) AS BIGINT) AS errors, string_agg(status || ':' || n, ',' ORDER BY status) AS statuses FROM c")
 def quality_log(spark, sf_dir):
-    q = reports.quality(events(spark, sf_dir).select(F.when(E % 5 == 0, 105).when(E % 7 == 0, 120).otherwise(200).alias("status")))
+    q = reports.quality(events(spark, sf_dir).select(F.when(_at() % 5 == 0, 105).when(_at() % 7 == 0, 120).otherwise(200).alias("status")))
     found = F.array_sort(F.map_entries(F.from_json("statuses", "map<string,bigint>")))
     return q.select("total", "errors", F.array_join(F.transform(found, lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",").alias("statuses"))
 
@@ -333,7 +342,7 @@ def quality_log(spark, sf_dir):
 
 
 def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    per = lambda odd: events(spark, sf_dir).where(E % 2 == odd).groupBy("uuid", "appid").agg(F.count("*").alias("n"), F.min("time").alias("first_time"))
+    per = lambda odd: events(spark, sf_dir).where(_at() % 2 == odd).groupBy("uuid", "appid").agg(F.count("*").alias("n"), F.min("time").alias("first_time"))
     return per(0), per(1)
 
 
@@ -377,8 +386,8 @@ def device_documents(spark, sf_dir):
 @query("device_ids_first", f"WITH {EV} SELECT uuid, 'ip' AS kind, ip AS id, min(time) AS first_time FROM ev GROUP BY ALL")
 def device_ids_first(spark, sf_dir):
     e = events(spark, sf_dir)
-    old = state.device_ids(e.where(E % 2 == 0), {"ip": F.col("ip")})
-    return state.device_ids(e.where(E % 2 == 1), {"ip": F.col("ip")}, old)
+    old = state.device_ids(e.where(_at() % 2 == 0), {"ip": F.col("ip")})
+    return state.device_ids(e.where(_at() % 2 == 1), {"ip": F.col("ip")}, old)
 
 
 @query("newest_rows", f"WITH {EV}, m AS (SELECT CAST(floor(avg(time)) AS BIGINT) AS mid FROM ev), k AS (SELECT DISTINCT uuid FROM ev WHERE subtype = 'purchase') SELECT uuid, event_id, rank FROM (SELECT uuid, event_id, CAST(row_number() OVER (PARTITION BY uuid ORDER BY time DESC, event_id DESC) AS INTEGER) AS rank FROM ev, m WHERE time <= mid AND uuid IN (SELECT uuid FROM k)) WHERE rank <= 3")
@@ -413,7 +422,7 @@ def first_seen_keys(spark, sf_dir):
 
 @query("app_users", f"WITH {EV}, h AS (SELECT appid, uuid, count(*) FILTER (WHERE logtype = '50') AS page, max(event_id % 9) AS visit, CAST(sum(event_id % 100) AS BIGINT) AS stay FROM ev GROUP BY appid, uuid) SELECT appid, count(*) AS users, CAST(sum(visit) AS BIGINT) AS visit, CAST(sum(page) AS BIGINT) AS page, CAST(sum(stay) AS BIGINT) AS stay FROM h GROUP BY appid")
 def app_users(spark, sf_dir):
-    days = events(spark, sf_dir).groupBy("appid", "uuid", scalars.day_number(F.col("time")).alias("day")).agg(F.count(F.when(F.col("logtype") == "50", 1)).alias("page"), F.max(E % 9).alias("visit"), F.sum(E % 100).alias("stay"))
+    days = events(spark, sf_dir).groupBy("appid", "uuid", scalars.day_number(F.col("time")).alias("day")).agg(F.count(F.when(F.col("logtype") == "50", 1)).alias("page"), F.max(_at() % 9).alias("visit"), F.sum(_at() % 100).alias("stay"))
     return profile.app_users(days)
 
 
@@ -467,7 +476,7 @@ def guide_labels(spark, sf_dir):
 
 @query("labels_merged", f"WITH {EV} SELECT uuid, appid AS company_id, subtype AS name, CAST(1 AS INTEGER) AS weight, count(*) AS times, CAST(sum(event_id % 10) AS BIGINT) AS stay FROM ev GROUP BY ALL")
 def labels_merged(spark, sf_dir):
-    days = events(spark, sf_dir).groupBy("uuid", F.col("appid").alias("company_id"), F.col("subtype").alias("name"), F.lit(1).alias("weight"), scalars.day_number(F.col("time")).alias("day")).agg(F.count("*").alias("times"), F.sum(E % 10).alias("stay"))
+    days = events(spark, sf_dir).groupBy("uuid", F.col("appid").alias("company_id"), F.col("subtype").alias("name"), F.lit(1).alias("weight"), scalars.day_number(F.col("time")).alias("day")).agg(F.count("*").alias("times"), F.sum(_at() % 10).alias("stay"))
     return profile.merged_labels(days)
 
 
@@ -501,7 +510,7 @@ def visits_newest_first(spark, sf_dir):
 def count_maps(spark, sf_dir):
     """Two count maps of each device merged, new values first, and small entries dropped."""
     half = lambda odd: F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("odd") == odd, F.struct("subtype", "n")))))
-    c = events(spark, sf_dir).groupBy("uuid", "subtype", (E % 2).alias("odd")).agg(F.count("*").alias("n"))
+    c = events(spark, sf_dir).groupBy("uuid", "subtype", (_at() % 2).alias("odd")).agg(F.count("*").alias("n"))
     m = c.groupBy("uuid").agg(half(0).alias("old"), half(1).alias("new")).withColumn("m", documents.kept_entries(documents.preferred(F.col("old"), F.col("new"), True), 2))
     return m.select("uuid", F.array_join(F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("kept"))
 
