@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Tables of ids and hashes are broadcast up to so many rows (under 100 MB in memory), and joined by shuffle beyond that.
+BROADCAST_ROWS = 1_000_000
 #: Rows are handed back to Spark in batches of about so many bytes.
 BATCH_BYTES = 8 << 20
 
@@ -31,6 +33,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """A written table of two or three numbers a row, marked for broadcast where a count shows that it is small."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def flushed(rows: Iterable[tuple], schema: pa.Schema, weigh: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
     """Batches of rows, cut whenever their weight in bytes passes BATCH_BYTES."""
     held: list[tuple] = []

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.components import components
-from trailmark.llm.shared import comparable, materialise, private
+from trailmark.llm.shared import comparable, materialise, private, sent_if_small
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -146,17 +146,21 @@ def one_of_each(docs: DataFrame, prints: DataFrame, of: DataFrame, id_col: str)
     have any name and type.
     """
     own = {n: private(n) for n in ("id", "row", "component")}
-    rows = prints.join(of, "fp").groupBy("component", "id").agg(F.count("*").alias("n"), F.min("row").alias("row"))
-    least = rows.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "n", "row")).alias("r")).select("component", "r.id", "r.n", "r.row")
-    least = materialise(least, "kept")
+    classed = prints.join(of, "fp").select("component", "id", "row")
+    rows = classed.groupBy("component", "id").agg(F.count("*").alias("n"), F.min("row").alias("row"))
+    least = rows.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "n", "row")).alias("r"), F.sum("n").alias("total"))
+    kept = materialise(least.where("total > 1").select(F.col("component").alias("c"), F.col("r.id").alias("i"), F.col("r.n").alias("n"), F.col("r.row").alias("k")), "kept")
+    # Only rows of classes of several rows are looked at: all but the one that is kept go, and few rows need to be joined to docs.
+    again = classed.join(kept, F.col("component") == F.col("c")).withColumn("least", F.col("id").eqNullSafe(F.col("i")))
+    again = materialise(again.where(~((F.col("n") == 1) & F.col("least") & (F.col("row") == F.col("k")))).groupBy("component", "id", "row").agg(F.first(F.col("least") & (F.col("n") > 1)).alias("tied")), "repeats")
     hashed = docs.withColumn(own["row"], row_hash(docs))
     named = lambda df, cols: df.select(*[F.col(c).alias(own[c] + "k") for c in cols])
     same = F.col(id_col).eqNullSafe(F.col(own["id"] + "k")) & (F.col(own["row"]) == F.col(own["row"] + "k"))
-    single = hashed.join(named(least.where("n = 1"), ["id", "row"]), same).select(*docs.columns)
-    if least.where("n > 1").isEmpty():
+    single = hashed.join(sent_if_small(named(again, ["id", "row"])), same, "left_anti").select(*docs.columns)
+    tied = again.where("tied").select("component", "id", "row")
+    if tied.isEmpty():
         return single
-    many = least.where("n > 1").select(F.col("component").alias("c"), F.col("id").alias("i"))
-    tied = prints.join(of, "fp").join(many, F.col("id").eqNullSafe(F.col("i")) & (F.col("component") == F.col("c"))).select("component", "id", "row").distinct()
     order = F.struct(*[comparable(docs, c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    first = hashed.join(named(tied, ["component", "id", "row"]), same).groupBy(own["component"] + "k").agg(F.min_by(F.struct(*docs.columns), order).alias(own["row"]))
+    tied = sent_if_small(named(tied, ["component", "id", "row"]))
+    first = hashed.join(tied, same).groupBy(own["component"] + "k").agg(F.min_by(F.struct(*docs.columns), order).alias(own["row"]))
     return single.unionByName(first.select(*[F.col(own["row"])[c].alias(c) for c in docs.columns]))
