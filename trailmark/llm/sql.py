@@ -55,4 +55,21 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op3_warc": OP3, "op5_chat": OP5, "op8_mixing": OP8, "op9_topk": OP9}
+OP11 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM i, (VALUES (1), (2), (3), (4)) x(m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM g WHERE m > 1 AND f >= 30),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, h.f AS l, r.f AS r, (2000000 * k.a::HUGEINT) // (h.f + r.f) AS score FROM k
+  JOIN g h ON h.lang = k.lang AND h.phrase = array_to_string(k.w[1:k.k], ' ') JOIN g r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:k.m], ' ')),
+b AS (SELECT lang, phrase, a, min_by((l, r, score), (score, k)) AS x FROM s GROUP BY lang, phrase, a),
+o AS (SELECT lang, array_to_string(w[i:i + y - 1], ' ') AS phrase, max(a) AS a FROM (SELECT *, unnest(range(1, m)) AS i FROM c WHERE m > 2), (VALUES (2), (3)) z(y) WHERE y < m AND i + y - 1 <= m GROUP BY ALL),
+q AS (SELECT b.* FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.a IS NULL OR 100 * o.a::HUGEINT < 80 * b.a::HUGEINT),
+z AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY x[3] DESC, a DESC, phrase) AS rank, phrase, a, x[1] AS l, x[2] AS r, x[3] AS score FROM q)
+SELECT z.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z JOIN t ON t.lang = z.lang WHERE rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": OP3, "op5_chat": OP5, "op8_mixing": OP8, "op9_topk": OP9, "op11_collocations": OP11}
