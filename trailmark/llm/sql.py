@@ -72,4 +72,16 @@ z AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY x[3] DESC, a DE
 SELECT z.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM z JOIN t ON t.lang = z.lang WHERE rank <= 2000
 """
 
-ORACLE: dict[str, str] = {"op3_warc": OP3, "op5_chat": OP5, "op8_mixing": OP8, "op9_topk": OP9, "op11_collocations": OP11}
+OP13 = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS N_docs, CAST(sum(n) AS BIGINT) AS L FROM s),
+p AS (SELECT doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * N_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, c GROUP BY term, N_docs),
+i AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * N_docs) // L))) AS impact FROM p JOIN s USING (doc_id) JOIN w USING (term), c),
+r AS (SELECT item_id, doc_id, CAST(sum(times * impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY ALL HAVING sum(times * impact) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r QUALIFY rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": OP3, "op5_chat": OP5, "op8_mixing": OP8, "op9_topk": OP9, "op11_collocations": OP11, "op13_lexical": OP13}
