@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm import ann, bpe, chat, collocations, lexical, licenses, mixing, pii, simhash, topk, toxicity, warc
+from trailmark.llm import ann, bpe, chat, collocations, fingerprints, lexical, licenses, mixing, pii, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,8 +76,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.report(_table(spark, sf_dir, "documents"))
+
+
 def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_warc": op3_warc, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_pii": op6_pii, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing, "op9_topk": op9_topk, "op10_simhash": op10_simhash, "op11_collocations": op11_collocations, "op13_lexical": op13_lexical}
+QUERIES = {"op1_bpe": op1_bpe, "op2_ann": op2_ann, "op3_warc": op3_warc, "op4_licenses": op4_licenses, "op5_chat": op5_chat, "op6_pii": op6_pii, "op7_toxicity": op7_toxicity, "op8_mixing": op8_mixing, "op9_topk": op9_topk, "op10_simhash": op10_simhash, "op11_collocations": op11_collocations, "op12_fingerprints": op12_fingerprints, "op13_lexical": op13_lexical}
