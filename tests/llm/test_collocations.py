@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,13 @@ def test_border_failures_are_mended(spark):
     assert found.count() == 6 + 5 + 4 + 3
 
 
+def test_phrases_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "_mixed", lambda x: x % np.uint64(7))
+    rows = corpus(5, 60)
+    got = collocations.collocations(spark.createDataFrame(rows, SCHEMA), 50, 12, sample=2, bits=1 << 16).collect()
+    assert sorted(map(tuple, got)) == brute(rows, 12, 50)
+
+
 def test_very_long_text_and_empty_table(spark):
     text = "alpha beta gamma. " * 60_000 + "x" * 100_000
     docs = spark.createDataFrame([(1, text, "en")], SCHEMA)

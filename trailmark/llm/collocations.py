@@ -1,17 +1,20 @@
 """Phrase collocations by Toivonen's mining.
 
-A sample of the documents proposes phrases that may be frequent, by a lowered bar. A full pass counts exactly every word, every
+A sample of the documents proposes words and phrases that may be frequent, by a lowered bar. A full pass counts every word, every
 proposed phrase and the negative border: phrases that were not proposed although both of their parts, all words but the last and
-all but the first, were. If no phrase of the border is frequent, none was missed. Otherwise further passes count the phrases whose
+all but the first, were. If nothing of the border is frequent, nothing was missed. Otherwise further passes count the phrases whose
 parts are frequent only now, until a pass adds nothing. Lengths end at MOST_WORDS, so that takes MOST_WORDS - 1 further passes at most.
 
-What is proposed is told to the tasks as a bitmap of FILTER_BITS hashed places, so its size does not depend on the data. A phrase
-that shares a place with a proposed one counts as proposed: then more is counted, never less, and counts stay exact. A part is told
-from the bitmap when a pass counts and when the border is examined alike, so the closing test holds for what was really counted.
+These passes count 64-bit hashes, which are cheap to shuffle. Phrases that share a hash add up, so what is frequent by its hash holds
+all that is frequent; a last pass counts just that by its text, which gives exact counts. What is proposed, and what is frequent by
+its hash, is told to the tasks as a bitmap of FILTER_BITS places, so its size does not depend on the data. A phrase that shares
+a place with a proposed one counts as proposed: then more is counted, never less. The same bitmap says what a pass counts and what
+of it belongs to the border, so the closing test holds for what was really counted.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +32,8 @@ LEAST_COUNT = 30
 ABSORBED = 80
 LISTED = 2000
 NO_LANG = "und"
-#: One in so many documents is in the sample, and a sampled phrase of so many hundredths of its due count is proposed.
-SAMPLE, LOWERED = 8, 50
+#: One in so many documents is in the sample. A phrase is proposed that it has so many hundredths of the due count, and so many times at least.
+SAMPLE, LOWERED, LEAST_SAMPLED = 8, 50, 2
 #: Places of the bitmap, a power of two; 2^27 are 16 MB.
 FILTER_BITS = 1 << 27
 #: Bytes of text whose phrases a task counts at a time.
@@ -39,35 +42,37 @@ CHUNK = 4 << 20
 SALTS = 64
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 _BREAK = b"\n"
-_COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int8()), ("inside", pa.bool_()), ("n", pa.int64())])
-COUNTS = "lang string, phrase string, words tinyint, inside boolean, n long"
+#: Factors of the phrases' hashes, odd.
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+HASHED = "a long, open boolean, n long"
+COUNTED = "lang string, phrase string, words tinyint, n long"
+_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int8()), ("n", pa.int64())])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(32)) * _MIX
+    return x ^ x >> np.uint64(29)
 
 
 class Filter:
-    """A set of hashed phrases; None as the bits stands for all phrases."""
+    """A set of hashes by their places in a bitmap; None as the bits stands for all."""
 
     def __init__(self, bits: np.ndarray | None, size: int):
         self.bits, self.size = bits, size
 
-    def holds(self, lang: bytes, phrases: list[bytes]) -> np.ndarray:
+    def holds(self, a: np.ndarray) -> np.ndarray:
         if self.bits is None:
-            return np.ones(len(phrases), bool)
-        seed, digest = xxhash.xxh64_intdigest(lang, 42), xxhash.xxh64_intdigest
-        at = np.fromiter((digest(p, seed) for p in phrases), np.uint64, len(phrases)) & np.uint64(self.size - 1)
+            return np.ones(len(a), bool)
+        at = a & np.uint64(self.size - 1)
         return (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
     def joined(self, other: Filter) -> Filter:
-        return Filter(self.bits | other.bits, self.size)
-
-
-def _place(size: int) -> Column:
-    """The place that Filter.holds looks up: Spark hashes columns one after the other, each with the hash before as its seed."""
-    return F.xxhash64("lang", "phrase").bitwiseAND(F.lit(size - 1).cast("long"))
+        return other if self.bits is None else Filter(self.bits | other.bits, self.size)
 
 
-def filter_of(phrases: DataFrame, size: int) -> Filter:
-    """The filter of (lang, phrase). At most size / 8 bytes come to the driver, whatever the number of phrases."""
-    at = phrases.select((_place(size) + 1).alias("at"))  # Spark's buckets are cut after multiples of their size, and count from 1
+def filter_of(hashes: DataFrame, size: int) -> Filter:
+    """The filter of a column a of hashes. At most size / 8 bytes come to the driver, however many hashes there are."""
+    at = hashes.select((F.col("a").bitwiseAND(F.lit(size - 1).cast("long")) + 1).alias("at"))  # Spark cuts buckets after multiples of their size
     made = at.groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
     bits = np.zeros(size // 8, np.uint8)
     for r in made.collect():
@@ -97,101 +102,136 @@ class _Ids(dict):
         return n
 
 
-def _phrases(lang: bytes, data: bytes, carried: list[bytes], inside: Filter, before: Filter | None) -> tuple[list[tuple], list[bytes]]:
-    """Counts of the phrases that end in data, and the last words, which the next part of the same text carries on.
+class _Words:
+    """The words of a part of a language's text: number and hash of each, in order, a break between pieces; the first ones are carried."""
+
+    def __init__(self, lang: bytes, data: bytes, carried: list[bytes]):
+        ids = _Ids({_BREAK: 0, b"": 1})
+        tokens = [*carried, *data.replace(_BREAK, b" \n ").split(b" ")]
+        at = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
+        real = at != 1
+        self.lang, self.old, self.at, self.names = lang, int(real[: len(carried)].sum()), at[real], list(ids)
+        seed, digest = xxhash.xxh3_64_intdigest(lang), xxhash.xxh3_64_intdigest
+        self.hashes = np.fromiter((digest(w, seed) for w in self.names), np.uint64, len(ids))
+
+    @property
+    def carried(self) -> list[bytes]:
+        return [self.names[i] for i in self.at[-(MOST_WORDS - 1) :].tolist()]
+
+    def levels(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For 1 to MOST_WORDS words: the hash of what begins at each place, and whether that is a phrase."""
+        word, is_word = self.hashes[self.at], self.at != 0
+        a, real = _mixed(word), is_word
+        for n in range(1, min(MOST_WORDS, len(self.at)) + 1):
+            if n > 1:
+                a, real = _mixed(a[:-1] * _STEP + word[n - 1 :]), real[:-1] & is_word[n - 1 :]
+            yield n, a, real
 
-    Counted are phrases whose two parts are inside, and, if before is given, not both in it. Words are counted if it is not.
+    def fresh(self, found: np.ndarray, n: int) -> np.ndarray:
+        """Places of phrases of n words but for those that end in the carried words, which were counted with them."""
+        found[: max(0, self.old - n + 1)] = False
+        return np.flatnonzero(found)
+
+
+def _hashed(words: _Words, inside: Filter, before: Filter | None, lengths: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
+    """Counts of phrases whose two parts are inside and, if before is given, not both in it; all words if it is not.
+
+    open: a phrase that is not inside, so that its continuations are not counted.
     """
-    ids = _Ids({_BREAK: 0, b"": 1})
-    tokens = [*carried, *data.replace(_BREAK, b" \n ").split(b" ")]
-    at = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-    real = at != 1
-    old = int(real[: len(carried)].sum())
-    at = at[real]
-    names = list(ids)
-    out: list[tuple] = []
-    # Of each place: the number of the phrase of `length` words that begins there, or -1; and whether it passes the filters.
-    number, label = np.where(at == 0, -1, at), names
-    wide = narrow = np.zeros(0, bool)
-    for length in range(1, MOST_WORDS + 1):
-        if length > 1:
-            ok = (number[:-1] >= 0) & (number[1:] >= 0) if len(number) > 1 else np.zeros(0, bool)
-            ok[ok] &= wide[number[:-1][ok]] & wide[number[1:][ok]]
-            n = len(ok)
-            key = np.where(ok, number[:n] << 31 | at[length - 1 : length - 1 + n], -1)
-            first = np.flatnonzero(ok)
-            found, where, again = np.unique(key[first], return_index=True, return_inverse=True)
-            if before is not None:
-                fresh = ~(narrow[number[:-1][first[where]]] & narrow[number[1:][first[where]]])
-            heads, tails = label, names
-            label = [heads[h] + b" " + tails[t] for h, t in zip((found >> 31).tolist(), (found & 0x7FFFFFFF).tolist(), strict=True)]
-            number = np.full(n, -1, np.int64)
-            number[first] = again
-        if not len(number):
-            break
-        ended = number[max(0, old - length + 1) :]  # phrases that end in the carried words were counted with them
-        count = np.bincount(ended[ended >= 0], minlength=len(label))
-        if length < MOST_WORDS:
-            wide = inside.holds(lang, label)
-            narrow = before.holds(lang, label) if before is not None else wide
-        else:
-            wide = np.ones(len(label), bool)
-        told = count > 0
-        if before is not None:
-            told &= fresh if length > 1 else False
-        out += [(lang.decode(), label[i].decode(), length, bool(wide[i]), int(count[i])) for i in np.flatnonzero(told).tolist()]
-    tail = [names[i] for i in at[-(MOST_WORDS - 1) :].tolist()]
-    return out, tail
-
-
-def _counted(shared, before):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside, was = shared.value, before.value if before is not None else None
-        held: dict[bytes, tuple[list[bytes], int]] = {}
-
-        def rows() -> Iterator[tuple]:
-            total = 0
-            for b in batches:
-                for lang, text in zip(b.column(0), b.column(1), strict=True):
-                    name, data = lang.as_py().encode(), (text.as_py() or "").encode().translate(_FOLD)
-                    if len(data) > CHUNK:
-                        carried: list[bytes] = []
-                        for part in _chunks(data, CHUNK):
-                            out, carried = _phrases(name, part, carried, inside, was)
-                            yield from out
-                        continue
-                    parts, n = held.get(name, ([], 0))
-                    parts.append(data)
-                    held[name] = parts, n + len(data)
-                    total += len(data)
-                    if n + len(data) > CHUNK:
-                        yield from _phrases(name, _BREAK.join(parts), [], inside, was)[0]
-                        total -= held.pop(name)[1]
-                    elif total > 4 * CHUNK:  # many languages: none may hold much
-                        for k in list(held):
-                            yield from _phrases(k, _BREAK.join(held.pop(k)[0]), [], inside, was)[0]
-                        total = 0
-            for k in list(held):
-                yield from _phrases(k, _BREAK.join(held.pop(k)[0]), [], inside, was)[0]
-
-        yield from flushed(rows(), _COUNTS, lambda r: len(r[1]))
-
-    return run
-
-
-def count_phrases(docs: DataFrame, least: int, inside: Filter, before: Filter | None = None) -> DataFrame:
-    """(lang, phrase, words, inside, n) of docs (lang, text): exact counts of the phrases that `_phrases` counts, from `least` on, written."""
+    wide = narrow = None
+    for n, a, real in words.levels():
+        ok = real if n == 1 else real & wide[:-1] & wide[1:]
+        was = ok if n == 1 else real & narrow[:-1] & narrow[1:]
+        wide = ok & inside.holds(a)
+        narrow = was & before.holds(a) if before is not None else wide
+        if n in lengths and (n > 1 or before is None):
+            at = words.fresh(ok & ~was if before is not None else ok.copy(), n)
+            found, where, count = np.unique(a[at], return_index=True, return_counts=True)
+            shut = wide[at[where]] | (n == MOST_WORDS)
+            for i in range(0, len(found), 1 << 16):
+                s = slice(i, i + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(found[s].view(np.int64)), pa.array(~shut[s]), pa.array(count[s])], names=["a", "open", "n"])
+
+
+def _exact(words: _Words, frequent: Filter) -> Iterator[tuple]:
+    """(lang, phrase, words, n) of the phrases whose hash is in the filter, told apart by their words."""
+    lang, names = words.lang.decode(), words.names
+    for n, a, real in words.levels():
+        at = words.fresh(real & frequent.holds(a), n)
+        _, where, which = np.unique(a[at], return_index=True, return_inverse=True)
+        numbers = words.at[at[:, None] + np.arange(n)]
+        same = (numbers == numbers[where[which]]).all(axis=1)
+        counts = Counter(map(tuple, numbers[~same].tolist()))  # phrases that share a hash with another one here
+        for t, c in zip(map(tuple, numbers[where].tolist()), np.bincount(which[same], minlength=len(where)).tolist(), strict=True):
+            counts[t] += c
+        for t, c in counts.items():
+            yield lang, b" ".join([names[i] for i in t]).decode(), n, c
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
+    """The texts of a task's rows (lang, text), those of a language together, in parts of about CHUNK bytes."""
+    held: dict[bytes, list[bytes]] = {}
+    sizes: Counter = Counter()
+    take = lambda lang: (sizes.pop(lang), _Words(lang, _BREAK.join(held.pop(lang)), []))[1]
+    for b in batches:
+        for lang, text in zip(b.column(0), b.column(1), strict=True):
+            name, data = lang.as_py().encode(), (text.as_py() or "").encode().translate(_FOLD)
+            if len(data) > CHUNK:
+                carried: list[bytes] = []
+                for part in _chunks(data, CHUNK):
+                    words = _Words(name, part, carried)
+                    carried = words.carried
+                    yield words
+                continue
+            held.setdefault(name, []).append(data)
+            sizes[name] += len(data)
+            if sizes[name] > CHUNK:
+                yield take(name)
+            elif sizes.total() > 4 * CHUNK:  # many languages: none may hold much
+                yield from map(take, list(held))
+    yield from map(take, list(held))
+
+
+def hash_counts(docs: DataFrame, least: int, inside: Filter, before: Filter | None = None, lengths: tuple[int, ...] = tuple(range(1, MOST_WORDS + 1))) -> DataFrame:
+    """(a, open, n) of docs (lang, text): the hashes that `_hashed` counts, from `least` on, written."""
     sc = docs.sparkSession.sparkContext
-    told, was = sc.broadcast(inside), sc.broadcast(before) if before is not None else None
-    got = docs.select("lang", "text").mapInArrow(_counted(told, was), COUNTS)
-    got = got.groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.max("inside").alias("inside"), F.sum("n").alias("n")).where(F.col("n") >= least)
-    got = materialise(got, "phrases")
+    told, was = sc.broadcast(inside), sc.broadcast(before)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _parts(batches):
+            yield from _hashed(words, told.value, was.value, lengths)
+
+    got = docs.select("lang", "text").mapInArrow(run, HASHED).groupBy("a").agg(F.max("open").alias("open"), F.sum("n").alias("n"))
+    got = materialise(got.where(F.col("n") >= least), "hashes")
+    told.destroy()
+    was.destroy()
+    return got
+
+
+def exact_counts(docs: DataFrame, least: int, frequent: Filter) -> DataFrame:
+    """(lang, phrase, words, n) of docs (lang, text): the phrases whose hash is in the filter, from `least` on, written."""
+    told = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from flushed((row for words in _parts(batches) for row in _exact(words, told.value)), _COUNTED, lambda r: len(r[1]))
+
+    got = docs.select("lang", "text").mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
+    got = materialise(got.where(F.col("n") >= least), "phrases")
     told.destroy()
-    if was is not None:
-        was.destroy()
     return got
 
 
+def proposed(docs: DataFrame, bar: int, bits: int) -> Filter:
+    """What a sample proposes: words, pairs of words, and of longer phrases those whose parts are proposed, that it has `bar` times.
+
+    The longest phrases have no continuations, so they need not be proposed.
+    """
+    found = filter_of(hash_counts(docs, bar, Filter(None, bits), lengths=(1, 2)), bits)
+    for n in range(3, MOST_WORDS):
+        found = found.joined(filter_of(hash_counts(docs, bar, found, lengths=(n,)), bits))
+    return found
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE, bits: int = FILTER_BITS) -> DataFrame:
     """(lang, phrase, words, f): every phrase of 1 to MOST_WORDS words that occurs `least` times or more in its language, with its count.
 
@@ -200,18 +240,17 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, text_col: str =
     taken whole, very long ones in parts that carry their last words on. An empty table gives an empty result.
     """
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(sample)).alias("part"))
-    bar = max(1, least * LOWERED // (100 * sample))
-    proposed = count_phrases(rows.where("part = 0"), bar, Filter(None, bits))
-    inside = filter_of(proposed.where(F.col("words") < MOST_WORDS), bits)
-    found = new = count_phrases(rows, least, inside)
+    inside = proposed(rows.where("part = 0"), max(LEAST_SAMPLED, least * LOWERED // (100 * sample)), bits)
+    new = hash_counts(rows, least, inside)
+    frequent = filter_of(new, bits)
     while True:
-        # A frequent phrase outside the filter was in the border: what continues it has not been counted.
-        failed = new.where((F.col("words") < MOST_WORDS) & ~F.col("inside"))
+        # What is frequent and open was in the border: its continuations have not been counted.
+        failed = new.where("open")
         if failed.isEmpty():
-            return found.select("lang", "phrase", "words", F.col("n").alias("f"))
+            return exact_counts(rows, least, frequent).withColumnRenamed("n", "f")
         wider = inside.joined(filter_of(failed, bits))
-        new = count_phrases(rows, least, wider, inside)
-        found, inside = found.unionByName(new), wider
+        new = hash_counts(rows, least, wider, inside)
+        inside, frequent = wider, frequent.joined(filter_of(new, bits))
 
 
 def word_totals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
