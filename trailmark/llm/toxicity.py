@@ -17,12 +17,10 @@ import re
 from collections import Counter
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -54,20 +52,13 @@ def words(text: str | None) -> Counter:
 
 
 class Vocabulary:
-    """The words of the examples in order. It travels as one array; a worker makes its dictionary once."""
+    """The words of the examples as sorted 64-bit hashes: eight bytes a word in every worker. Words that share a hash are one word."""
 
-    def __init__(self, listed: pa.Array):
-        self.listed = listed
-
-    def __reduce__(self):
-        return Vocabulary, (self.listed,)
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
 
     def __len__(self) -> int:
-        return len(self.listed)
-
-    @cached_property
-    def numbers(self) -> dict[str, int]:
-        return {word: i for i, word in enumerate(self.listed.to_pylist())}
+        return len(self.hashes)
 
     def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and counts of the known words of a text."""
@@ -77,7 +68,16 @@ class Vocabulary:
 
     def numbers_of(self, found: Collection[str]) -> np.ndarray:
         """The number of each word, -1 for one that no example has."""
-        return np.fromiter(map(self.numbers.get, found, repeat(-1)), np.int64, len(found))
+        asked = hashes_of(found)
+        if not len(self):
+            return np.full(len(asked), -1, np.int64)
+        at = np.searchsorted(self.hashes, asked)
+        at[at == len(self)] = 0
+        return np.where(self.hashes[at] == asked, at, -1)
+
+
+def hashes_of(found: Collection[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
 @dataclass
@@ -255,6 +255,7 @@ def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(picked), "id")
     rows = rows.groupBy("id", "y").agg(F.max("text").alias("text"))
     rows = materialise(rows.groupBy(F.sha2("text", 256).alias("copy")).agg(F.min("id").alias("id"), F.max("y").alias("y"), F.first("text").alias("text")).drop("copy"), "examples")
+    rows = rows.where(F.octet_length("text") <= EXAMPLE_BYTES)  # a text beyond the bound keeps no other one out
     upto = F.sum(F.octet_length("text")).over(W.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
     fits = rows.select("id", "y", upto.alias("upto")).where(F.col("upto") <= EXAMPLE_BYTES).select("id")
     return materialise(rows.join(F.broadcast(fits), "id"), "examples"), totals
@@ -268,8 +269,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     spark = docs.sparkSession
     examples, totals = _examples(docs, labels, id_col, text_col, label_col)
-    vocabulary = examples.select("text").mapInArrow(_distinct, "word string").distinct().toArrow().column(0).combine_chunks()
-    vocabulary = Vocabulary(vocabulary.take(pc.sort_indices(vocabulary)) if len(vocabulary) else pa.array([], pa.string()))
+    hashes = examples.select("text").mapInArrow(_distinct, "word long").distinct().toArrow().column(0).to_numpy()
+    vocabulary = Vocabulary(np.sort(hashes.view(np.uint64)))
     told = spark.sparkContext.broadcast(vocabulary)
 
     counted = docs.select(text_col).mapInArrow(_frequencies(told), "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()
@@ -346,7 +347,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(0, b.num_rows, 256):
             found = set().union(*(words(t.as_py()) for t in b.column(0)[i : i + 256]))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], names=["word"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes_of(found)).view(np.int64))], names=["word"])
 
 
 def _frequencies(told: Broadcast):
@@ -356,7 +357,7 @@ def _frequencies(told: Broadcast):
         for b in batches:
             total += b.num_rows
             for text in b.column(0):
-                df[vocabulary.numbers_of(set(_words((text.as_py() or "").lower())))] += 1
+                df[np.unique(vocabulary.numbers_of(set(_words((text.as_py() or "").lower()))))] += 1
         word = np.flatnonzero(df[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], word]), pa.int32()), pa.array(np.concatenate([[total], df[word]]), pa.int64())], names=["word", "n"])
 
