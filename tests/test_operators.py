@@ -212,21 +212,6 @@ def test_stream_sessions_match_batch(spark, tmp_path, rows):
     assert sorted(rows(out.select("uuid", "start", "end", "n"))) == sorted(rows(twin.select("uuid", "start", "end", "n")))
 
 
-def test_stream_merge_is_idempotent(spark, tmp_path, rows):
-    put = flows.merging(str(tmp_path / "m"), ["k"], {"n": F.sum("n")})
-    a, b = (spark.createDataFrame([(k, 1)], "k string, n long") for k in "xx")
-    for batch, i in ((a, 0), (b, 1), (b, 1)):
-        put(batch, i)
-    assert rows(spark.read.parquet(str(tmp_path / "m/v1"))) == [("x", 2)]
-
-
-def test_stream_idle_pushes_once_a_day(spark, tmp_path, rows):
-    noon = 4 * 3_600_000  # 12:00 in UTC+8
-    e = [(1, "u", "a", noon, "50", "view"), (2, "u", "a", noon + 11 * M, "50", "view"), (3, "u", "a", noon + 30 * M, "50", "view"), (4, "v", "a", noon, "40", "purchase"), (5, "w", "a", noon + 600 * M, "50", "view")]
-    out = flows.run_to_end(flows.idle(stream_of(spark, tmp_path, [e], SCHEMA)), str(tmp_path / "o"))
-    assert sorted(rows(out.select("uuid", "pages"))) == [("u", 1)]
-
-
 def test_label_increments_and_words(spark, rows):
     b = spark.createDataFrame([(1, "u", 0, "50", 1, "x"), (2, "u", 20_000, "40", 1, None)], "event_id long, uuid string, time long, logtype string, company_id int, label string")
     assert [round(v, 6) for (v,) in rows(flows.label_increments(b).select("value"))] == [1.0]

@@ -34,6 +34,23 @@ def devices(events: DataFrame) -> DataFrame:
     return events.groupBy("uuid").agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"), F.min_by("system", first).alias("system"), F.min_by("sw", first).alias("sw"), F.min_by("sh", first).alias("sh"), F.max("acc").alias("acc"), F.countDistinct("appid").alias("apps"))
 
 
+def device_merge() -> dict[str, Column]:
+    """Aggregates of device rows; they may be taken again over what they gave, so a table of them takes batches."""
+    apps = F.sort_array(F.array_distinct(F.flatten(F.collect_list("apps"))))
+    return {"first": F.min("first"), "last_time": F.max("last_time"), "acc": F.max("acc"), "apps": apps}
+
+
+def device_rows(events: DataFrame) -> DataFrame:
+    """Each event as a device record of its own; first holds the time, event and attributes that the earliest row keeps."""
+    first = F.struct("time", "event_id", "system", "sw", "sh").alias("first")
+    return events.select("uuid", first, F.col("time").alias("last_time"), "acc", F.array("appid").alias("apps"))
+
+
+def device_records(merged: DataFrame) -> DataFrame:
+    """Device records as columns; apps as a list parted by commas."""
+    return merged.select("uuid", F.col("first.time").alias("first_time"), "last_time", "first.system", "first.sw", "first.sh", "acc", F.array_join("apps", ",").alias("apps"))
+
+
 def device_documents(records: DataFrame, ids: DataFrame) -> DataFrame:
     """Device records with their ids by kind, each kind a sorted array."""
     per = ids.groupBy("uuid", "kind").agg(F.sort_array(F.collect_set("id")).alias("ids"))

@@ -18,6 +18,7 @@ from trailmark.plans.streams import event_stream, folder
 from trailmark.plans.traffic import visited
 from trailmark.sources import tables
 from trailmark.streaming import flows
+from trailmark.streaming.tables import Keyed
 
 Q, SQL = {}, {}
 
@@ -366,14 +367,11 @@ def state_added(spark, sf_dir):
 
 @query("state_stream_sink", f"WITH {EV} SELECT appid, uuid, CAST(count(*) AS BIGINT) AS n, max(time) AS last_time FROM ev GROUP BY ALL")
 def state_stream_sink(spark, sf_dir):
-    """A stream that merges each batch into a table; the last version is read."""
-    path = _path(spark, "merged")
-    how = {"n": F.sum("n"), "last_time": F.max("last_time")}
+    """A stream that merges each batch into a table of buckets; the last version is read."""
+    kept = Keyed(_path(spark, "merged"), ["appid", "uuid"], {"n": F.sum("n"), "last_time": F.max("last_time")}, 16)
     rows = event_stream(spark, sf_dir).select("appid", "uuid", F.lit(1).cast("long").alias("n"), F.col("time").alias("last_time"))
-    run = rows.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(flows.merging(path, ["appid", "uuid"], how)).start()
-    run.awaitTermination()
-    last = max((p["batchId"] for p in run.recentProgress), default=0)
-    return spark.read.schema("appid string, uuid string, n long, last_time long").parquet(f"{path}/v{last}")
+    flows.fed(rows, kept.put, f"{kept.path}/checkpoint")
+    return kept.current(spark, "appid string, uuid string, n long, last_time long")
 
 
 @query("device_documents", f"WITH {EV}, i AS (SELECT DISTINCT uuid, ip FROM ev), j AS (SELECT uuid, string_agg(ip, ',' ORDER BY ip) AS ips FROM i GROUP BY uuid) SELECT uuid, min(time) AS first_time, max(time) AS last_time, any_value(ips) AS ips, any_value(appid) AS apps FROM ev JOIN j USING (uuid) GROUP BY uuid")

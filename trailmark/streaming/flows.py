@@ -1,20 +1,19 @@
-"""Streams: flows per minute, visits, online and idle users, and sinks that merge each batch into a table.
+"""Streams: flows per window, sessions, filters, and runs of streams to their end.
 
 Input streams have a timestamp column ts besides the canonical columns. Late data is bounded by a watermark, so state is too.
+Rolling counts, presence, visits and idle users are in `processors`, tables that streams keep in `tables`.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from trailmark.functions.scalars import day_number, hour_of_day, web_label_value
-from trailmark.operators import clean, state
+from trailmark.operators import clean
 
 LATE = "10 minutes"
 GAP_MS = 600_000
@@ -25,7 +24,12 @@ def windowed_flow(events: DataFrame, size: str = "1 minute", late: str = LATE) -
 
     Each pair of user and address of a window is one small state row, and windows past the watermark leave the state.
     """
-    keyed = events.withWatermark("ts", late).withColumn("w", F.window("ts", size))
+    return flow_of(events.withWatermark("ts", late), size)
+
+
+def flow_of(events: DataFrame, size: str) -> DataFrame:
+    """windowed_flow of events that have a watermark."""
+    keyed = events.withColumn("w", F.window("ts", size))
     pairs = keyed.groupBy("w", "appid", "uuid", "ip").agg(F.count("*").alias("n"), F.max("time").alias("last"))
     out = pairs.groupBy("w", "appid").agg(F.sum("n").alias("pv"), F.size(F.collect_set("uuid")).cast("long").alias("uv"), F.size(F.collect_set("ip")).cast("long").alias("ip"), F.max("last").alias("last_time"))
     return out.select(F.col("w.start").alias("start"), "appid", "pv", "uv", "ip", "last_time")
@@ -66,118 +70,37 @@ def leads(events: DataFrame) -> DataFrame:
     return clean.leads(events)
 
 
-VISIT = "appid string, uuid string, visit int, start long, end long, pages long, stay long, changed boolean"
+#: What the flow of several sources needs of each.
+FLOW = ["ts", "appid", "uuid", "ip", "time"]
 
 
-def visits(events: DataFrame, late: str = LATE) -> DataFrame:
-    """Visits with page stays while they go on: each batch gives a user's changed visits, the last time with changed = false.
+def of_web(lines: DataFrame) -> DataFrame:
+    """Flow columns of web lines: a JSON text in value, with the time in milliseconds."""
+    j = F.from_json("value", "t long, appid string, cookie string, ip string")
+    return lines.select(F.timestamp_millis(j["t"]).alias("ts"), j["appid"].alias("appid"), j["cookie"].alias("uuid"), j["ip"].alias("ip"), j["t"].alias("time"))
 
-    A row more than 10 minutes after the visit's last page opens a visit; a page gives the page before its stay. A user whose
-    event time is idle for 10 minutes past the watermark is dropped from state.
-    """
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        n, start, end, pages, stay, page_at = held.get if held.exists else (0, 0, 0, 0, 0, -1)
-        row = lambda changed: (*key, n, start, end, pages, stay, changed)
-        if held.hasTimedOut:
-            out = [row(False)]
-            held.remove()
-        else:
-            rows = sorted((t, e, k) for b in batches for t, e, k in zip(b["time"], b["event_id"], b["logtype"], strict=True))
-            out = []
-            for t, _, kind in rows:
-                if n == 0 or t - end > GAP_MS:
-                    if n:
-                        out.append(row(True))
-                    n, start, end, pages, stay, page_at = n + 1, t, t, 0, 0, -1
-                if kind == "50":
-                    if page_at >= 0:
-                        stay += t - page_at
-                    pages, page_at, end = pages + 1, t, t
-            out.append(row(True))
-            held.update((n, start, end, pages, stay, page_at))
-            held.setTimeoutTimestamp(max(held.getCurrentWatermarkMs() + 1, max(t for t, _, _ in rows) + GAP_MS))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in VISIT.split(", ")])
-
-    grouped = events.withWatermark("ts", late).groupBy("appid", "uuid")
-    return grouped.applyInPandasWithState(update, VISIT, "n int, start long, end long, pages long, stay long, page_at long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-ONLINE = "venue long, pv long, uv long, online long, entered long, left long"
-
-
-def online(readings: DataFrame, late: str = LATE, keep_ms: int = 60_000) -> DataFrame:
-    """Per venue and batch: readings and devices of the last minute, devices on line, and how many entered or left."""
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        times, before = held.get if held.exists else ([], [])
-        rows = [(int(t), m) for b in batches for t, m in zip(b["time"], b["mac"], strict=True)]
-        seen = sorted({m for _, m in rows})
-        last = max(t for t, _ in rows)
-        recent = [(t, m) for t, m in [*zip([int(x.split("|")[0]) for x in times], [x.split("|", 1)[1] for x in times], strict=True), *rows] if t > last - keep_ms]
-        held.update(([f"{t}|{m}" for t, m in recent], seen))
-        yield pd.DataFrame([(int(key[0]), len(recent), len({m for _, m in recent}), len(seen), len(set(seen) - set(before)), len(set(before) - set(seen)))], columns=[c.split()[0] for c in ONLINE.split(", ")])
-
-    return readings.withWatermark("ts", late).groupBy("venue").applyInPandasWithState(update, ONLINE, "times array<string>, macs array<string>", "append", GroupStateTimeout.NoTimeout)
-
-
-IDLE = "uuid string, appid string, day long, pages long, stay long, last_time long"
-
-
-def idle(events: DataFrame, late: str = "0 seconds", hours: tuple[int, int] = (8, 20)) -> DataFrame:
-    """One push row per user and day for users without a lead who have been idle for 10 minutes of event time within the hours."""
-
-    def update(key: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        day, pages, first, last, lead, pushed = held.get if held.exists else (0, 0, 0, 0, False, 0)
-        out = []
-
-        def settle() -> None:
-            nonlocal pushed
-            hour = (last + GAP_MS + 28_800_000) % 86_400_000 // 3_600_000
-            if day and not lead and pushed != day and hours[0] <= hour <= hours[1]:
-                pushed = day
-                out.append((key[0], key[1], day, pages, last - first, last))
-
-        if held.hasTimedOut:
-            settle()
-            day_ends = (day * 86_400_000) - 28_800_000  # the day's end in UTC+8; after it nothing of this user matters
-            if held.getCurrentWatermarkMs() >= day_ends:
-                held.remove()
-            else:
-                held.update((day, pages, first, last, lead, pushed))
-                held.setTimeoutTimestamp(day_ends)
-        else:
-            for t, _, kind, sub in sorted((t, e, k, s) for b in batches for t, e, k, s in zip(b["time"], b["event_id"], b["logtype"], b["subtype"], strict=True)):
-                today = (t + 28_800_000) // 86_400_000 + 1
-                if day and t - last >= GAP_MS:
-                    settle()
-                if today != day:
-                    day, pages, first, lead = today, 0, t, False
-                pages, last, lead = pages + (kind == "50"), t, lead or sub == "purchase"
-            held.update((day, pages, first, last, lead, pushed))
-            held.setTimeoutTimestamp(max(held.getCurrentWatermarkMs() + 1, last + GAP_MS))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in IDLE.split(", ")])
-
-    return events.withWatermark("ts", late).groupBy("uuid", "appid").applyInPandasWithState(update, IDLE, "day long, pages long, first long, last long, lead boolean, pushed long", "append", GroupStateTimeout.EventTimeTimeout)
+def of_app(records: DataFrame) -> DataFrame:
+    """Flow columns of app records: nested device and place, server time in ts."""
+    return records.select("ts", "appid", F.col("device.uuid").alias("uuid"), F.col("device.ip").alias("ip"), F.unix_millis("ts").alias("time"))
 
 
-# --- sinks -----------------------------------------------------------------------------------------------------------
+def of_mini(lines: DataFrame) -> DataFrame:
+    """Flow columns of mini-program lines: fields in value parted by `|`."""
+    f = F.split("value", r"\|")
+    return lines.select(F.timestamp_millis(f[3].cast("long")).alias("ts"), f[0].alias("appid"), f[1].alias("uuid"), f[2].alias("ip"), f[3].cast("long").alias("time"))
 
 
-def merging(path: str, keys: list[str], how: dict[str, Column]):
-    """A foreachBatch function that merges each batch into a Parquet table of one row per key.
+def merged_flow(sources: list[tuple[DataFrame, str]], size: str = "1 minute") -> DataFrame:
+    """windowed_flow of several sources in FLOW columns, each with the lateness of its own that it is given with.
 
-    A table version is named by its batch and made from the version before, so a batch that is run again writes the same one.
+    Spark's policy for several watermarks is to follow the slowest, so a source that lags loses no rows, and windows wait for it.
     """
+    each = [df.select(*FLOW).withWatermark("ts", late) for df, late in sources]
+    return flow_of(reduce(DataFrame.unionByName, each), size)
 
-    def put(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.groupBy(*keys).agg(*[c.alias(n) for n, c in how.items()])
-        if batch_id > 0:
-            new = state.merged(spark.read.schema(new.schema).parquet(f"{path}/v{batch_id - 1}"), new, keys, how)
-        new.write.mode("overwrite").parquet(f"{path}/v{batch_id}")
 
-    return put
+# --- sinks -----------------------------------------------------------------------------------------------------------
 
 
 def label_increments(batch: DataFrame, default_ms: int = 10_000) -> DataFrame:
@@ -190,7 +113,25 @@ def label_increments(batch: DataFrame, default_ms: int = 10_000) -> DataFrame:
     return batch.withColumn("value", value).where("logtype = '50' and label is not null").groupBy("uuid", "company_id", "label").agg(F.sum("value").alias("value"))
 
 
-def run_to_end(stream: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+#: State stores of typed processors.
+PROVIDER, ROCKSDB = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def fed(stream: DataFrame, put, checkpoint: str, typed: bool = False, mode: str = "append") -> None:
+    """Run a stream over what there is, each batch through put(batch, batch_id). typed: its state needs typed stores."""
+    spark: SparkSession = stream.sparkSession
+    before = spark.conf.get(PROVIDER, None)
+    if typed:
+        spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        run = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(put).start()
+        run.awaitTermination()
+    finally:
+        if typed:
+            spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+
+
+def run_to_end(stream: DataFrame, folder: str, mode: str = "append", typed: bool = False) -> DataFrame:
     """Run a stream over what there is and give all its batches: its columns and batch. Output and checkpoint lie in folder."""
     spark: SparkSession = stream.sparkSession
     base = f"{folder}/stream-{uuid.uuid4().hex}"
@@ -198,7 +139,7 @@ def run_to_end(stream: DataFrame, folder: str, mode: str = "append") -> DataFram
     def put(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
 
-    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(put).start().awaitTermination()
+    fed(stream, put, f"{base}/checkpoint", typed, mode)
     schema = stream.schema.add("batch", "long")
     return spark.read.schema(schema).parquet(f"{base}/out/*")
 
