@@ -2,8 +2,8 @@
 
 A sample of the documents proposes words and phrases that may be frequent, by a lowered bar. A full pass counts every word, every
 proposed phrase and the negative border: phrases that were not proposed although both of their parts, all words but the last and
-all but the first, were. If nothing of the border is frequent, nothing was missed. Otherwise further passes count the phrases whose
-parts are frequent only now, until a pass adds nothing. Lengths end at MOST_WORDS, so that takes MOST_WORDS - 1 further passes at most.
+all but the first, were. If nothing of the border is frequent, nothing was missed. Otherwise a further pass counts the phrases whose
+parts are frequent only now, with all their continuations, until a pass leaves nothing frequent whose continuations are not counted.
 
 These passes count 64-bit hashes, which are cheap to shuffle. Phrases that share a hash add up, so what is frequent by its hash holds
 all that is frequent; a last pass counts just that by its text, which gives exact counts. What is proposed, and what is frequent by
@@ -36,8 +36,8 @@ NO_LANG = "und"
 SAMPLE, LOWERED, LEAST_SAMPLED = 8, 50, 2
 #: Places of the bitmap, a power of two; 2^27 are 16 MB.
 FILTER_BITS = 1 << 27
-#: Bytes of text whose phrases a task counts at a time.
-CHUNK = 4 << 20
+#: Bytes of text whose phrases a task counts at a time, and phrases whose counts it adds up before it gives them.
+CHUNK, HELD = 4 << 20, 400_000
 #: Salts of a language when its best phrases are picked.
 SALTS = 64
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
@@ -134,18 +134,23 @@ class _Words:
 
 
 def _hashed(words: _Words, inside: Filter, before: Filter | None, lengths: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
-    """Counts of phrases whose two parts are inside and, if before is given, not both in it; all words if it is not.
+    """Counts of phrases whose two parts are inside. If before is given: of those of which it had not both, and of their continuations.
 
-    open: a phrase that is not inside, so that its continuations are not counted.
+    open: a phrase whose continuations are not counted.
     """
     wide = narrow = None
     for n, a, real in words.levels():
         ok = real if n == 1 else real & wide[:-1] & wide[1:]
         was = ok if n == 1 else real & narrow[:-1] & narrow[1:]
-        wide = ok & inside.holds(a)
-        narrow = was & before.holds(a) if before is not None else wide
+        wide, narrow = ok & inside.holds(a), None if before is None else was & before.holds(a)
+        told = ok.copy()
+        if before is None:
+            narrow = wide
+        else:
+            told &= ~was
+            wide |= told  # what is counted only now is followed at once, so this pass leaves nothing open
         if n in lengths and (n > 1 or before is None):
-            at = words.fresh(ok & ~was if before is not None else ok.copy(), n)
+            at = words.fresh(told, n)
             found, where, count = np.unique(a[at], return_index=True, return_counts=True)
             shut = wide[at[where]] | (n == MOST_WORDS)
             for i in range(0, len(found), 1 << 16):
@@ -153,19 +158,37 @@ def _hashed(words: _Words, inside: Filter, before: Filter | None, lengths: tuple
                 yield pa.RecordBatch.from_arrays([pa.array(found[s].view(np.int64)), pa.array(~shut[s]), pa.array(count[s])], names=["a", "open", "n"])
 
 
-def _exact(words: _Words, frequent: Filter) -> Iterator[tuple]:
-    """(lang, phrase, words, n) of the phrases whose hash is in the filter, told apart by their words."""
-    lang, names = words.lang.decode(), words.names
+def _exact(words: _Words, frequent: Filter, counts: Counter) -> None:
+    """Add to counts, by their text, the phrases whose hash is in the filter, told apart by their words, and all words under no text."""
+    names = words.names
     for n, a, real in words.levels():
+        if n == 1:
+            counts[b""] += len(words.fresh(real.copy(), 1))
         at = words.fresh(real & frequent.holds(a), n)
         _, where, which = np.unique(a[at], return_index=True, return_inverse=True)
         numbers = words.at[at[:, None] + np.arange(n)]
         same = (numbers == numbers[where[which]]).all(axis=1)
-        counts = Counter(map(tuple, numbers[~same].tolist()))  # phrases that share a hash with another one here
-        for t, c in zip(map(tuple, numbers[where].tolist()), np.bincount(which[same], minlength=len(where)).tolist(), strict=True):
-            counts[t] += c
-        for t, c in counts.items():
-            yield lang, b" ".join([names[i] for i in t]).decode(), n, c
+        for t, c in zip(numbers[where].tolist(), np.bincount(which[same], minlength=len(where)).tolist(), strict=True):
+            counts[b" ".join([names[i] for i in t])] += c
+        for t in numbers[~same].tolist():  # phrases that share a hash with another one here
+            counts[b" ".join([names[i] for i in t])] += 1
+
+
+def _named(parts: Iterator[_Words], frequent: Filter) -> Iterator[tuple]:
+    """(lang, phrase, words, n) of what `_exact` counts, added up while it fits in memory."""
+    held: dict[bytes, Counter] = {}
+
+    def given() -> Iterator[tuple]:
+        for lang, counts in held.items():
+            for p, n in counts.items():
+                yield lang.decode(), p.decode(), p.count(b" ") + 1 if p else 0, n
+        held.clear()
+
+    for words in parts:
+        _exact(words, frequent, held.setdefault(words.lang, Counter()))
+        if sum(map(len, held.values())) > HELD:
+            yield from given()
+    yield from given()
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
@@ -209,14 +232,17 @@ def hash_counts(docs: DataFrame, least: int, inside: Filter, before: Filter | No
 
 
 def exact_counts(docs: DataFrame, least: int, frequent: Filter) -> DataFrame:
-    """(lang, phrase, words, n) of docs (lang, text): the phrases whose hash is in the filter, from `least` on, written."""
+    """(lang, phrase, words, n) of docs (lang, text): the phrases whose hash is in the filter, from `least` on, written.
+
+    A row of no phrase and no words has the number of all words of a language.
+    """
     told = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from flushed((row for words in _parts(batches) for row in _exact(words, told.value)), _COUNTED, lambda r: len(r[1]))
+        yield from flushed(_named(_parts(batches), told.value), _COUNTED, lambda r: len(r[1]))
 
     got = docs.select("lang", "text").mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
-    got = materialise(got.where(F.col("n") >= least), "phrases")
+    got = materialise(got.where((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
     told.destroy()
     return got
 
@@ -235,6 +261,8 @@ def proposed(docs: DataFrame, bar: int, bits: int) -> Filter:
 def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE, bits: int = FILTER_BITS) -> DataFrame:
     """(lang, phrase, words, f): every phrase of 1 to MOST_WORDS words that occurs `least` times or more in its language, with its count.
 
+    An empty phrase of no words counts all words of its language.
+
     Words are `[^\\x20\\x09]+` of pieces that `[.,;:!?\\x0A-\\x0D]` parts, A-Z in lower case. Phrases lie within a piece; occurrences
     that overlap all count. A null language is NO_LANG, a null or empty text has no words, repeated rows count each. Texts are
     taken whole, very long ones in parts that carry their last words on. An empty table gives an empty result.
@@ -253,13 +281,6 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST_COUNT, text_col: str =
         inside, frequent = wider, frequent.joined(filter_of(new, bits))
 
 
-def word_totals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, n): all words of each language."""
-    bare = F.translate(F.col(text_col), ".,;:!?\n\x0b\x0c\r\t", " " * 11)
-    words = F.length(F.regexp_replace(F.regexp_replace(bare, "[^ ]+", "x"), " ", ""))
-    return docs.groupBy(F.coalesce(F.col(lang_col), F.lit(NO_LANG)).alias("lang")).agg(F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("n"))
-
-
 def _join(words: Column, start: Column, n: Column) -> Column:
     return F.array_join(F.slice(words, start, n), " ")
 
@@ -269,7 +290,7 @@ def scored(found: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
 
     A candidate is cut after each of its words; the cut of the lowest score counts, the first of equal ones. Products are decimals of 38 digits.
     """
-    parts = found.select("lang", F.col("phrase").alias("part"), F.col("f").alias("n"))
+    parts = found.where("words > 0").select("lang", F.col("phrase").alias("part"), F.col("f").alias("n"))
     of = F.split("phrase", " ")
     longer = found.where((F.col("words") > 1) & (F.col("f") >= least)).select("lang", "phrase", "words", F.col("f").alias("a"))
     words = F.col("words").cast("int")
@@ -303,6 +324,5 @@ def collocations(docs: DataFrame, listed: int = LISTED, least: int = LEAST_COUNT
     salted = best.withColumn(salt, F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     first = salted.withColumn(place, F.row_number().over(W.partitionBy("lang", salt).orderBy(*order))).where(F.col(place) <= listed).drop(place, salt)
     ranked = first.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= listed)
-    # One row a language that has candidates.
-    totals = word_totals(docs, text_col, lang_col)
+    totals = found.where("words = 0").select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
