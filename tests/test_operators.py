@@ -59,7 +59,7 @@ def test_clusters_and_labels(spark, rows):
     day, hour = 86_400_000, 3_600_000
     at = [(d * day + 14 * hour, 0.0) for d in range(3)] + [(d * day + 2 * hour, 1.0) for d in range(2)] + [(5 * day + 2 * hour, 2.0)]
     p = spark.createDataFrame([("u", i, t, x, 0.0) for i, (t, x) in enumerate(at)], "uuid string, event_id long, time long, lon double, lat double")
-    c = places.clusters(p, 10 * day)
+    c = places.clusters(p)
     hours = spark.createDataFrame([(22, 1.0)], "hour int, night double")
     calendar = spark.createDataFrame([(d, d == 6) for d in range(1, 9)], "day_num long, day_off boolean")
     assert rows(places.place_labels(c, hours, calendar).orderBy("lon").select("lon", "label", "n")) == [(0.0, "home", 3), (1.0, "work", 2), (2.0, "travel", 1)]

@@ -79,12 +79,21 @@ def not_listed(rows: DataFrame, listed: DataFrame, key: str) -> DataFrame:
     return rest.join(names, F.substring_index(F.col(key), "#", 1) == F.col("_listed"), "left_anti")
 
 
-def not_denied(rows: DataFrame, exact: DataFrame, prefixes: list[str], ip: str = "ip") -> DataFrame:
-    """Rows whose address is neither denied nor begins with a denied prefix."""
+def not_denied(rows: DataFrame, exact: DataFrame, prefixes: DataFrame, ip: str = "ip") -> DataFrame:
+    """Rows whose address is neither denied nor begins with a denied prefix; rows without an address stay.
+
+    An address is looked up by its beginnings of the lengths that prefixes have, each by equality, so their number does not
+    matter. Each different address is looked up once.
+    """
     kept = rows.join(exact.select(F.col(exact.columns[0]).alias("_denied")), F.col(ip) == F.col("_denied"), "left_anti")
-    for p in prefixes:
-        kept = kept.where(~F.coalesce(F.startswith(F.col(ip), F.lit(p)), F.lit(False)))
-    return kept
+    short = prefixes.select(F.col(prefixes.columns[0]).alias("_prefix")).where(F.length("_prefix") > 0)
+    lengths = sorted(r[0] for r in short.select(F.length("_prefix")).distinct().collect())  # at most the length of an address, or no address is longer
+    if not lengths:
+        return kept
+    starts = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("_ip"))
+    asked = kept.select(F.col(ip).alias("_ip")).where("_ip is not null").distinct().withColumn("_n", F.explode(starts))
+    found = asked.select("_ip", F.col("_ip").substr(F.lit(1), F.col("_n")).alias("_prefix")).join(short, "_prefix", "left_semi").select("_ip").distinct()
+    return kept.join(found, F.col(ip) == F.col("_ip"), "left_anti")
 
 
 def brands(rows: DataFrame, mac_brands: DataFrame, mac: str = "mac") -> DataFrame:

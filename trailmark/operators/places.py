@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -17,62 +18,93 @@ THIN_DEG, RADIUS_DEG, SAMPLES, DAYS = 0.0009, 0.05, 50, 60
 def thinned(points: DataFrame, least: float = THIN_DEG) -> DataFrame:
     """Points of each uuid by time: the first, then each whose distance |lon| + |lat| to the last kept is above the least.
 
-    What is kept depends on what was kept before, so users are sorted within partitions and read as a stream.
+    What is kept depends on what was kept before, so users are sorted within partitions and read as a stream. From a kept point
+    on, the next one is looked for in growing stretches of rows at once.
     """
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         user, lon, lat = None, 0.0, 0.0
         for pdf in batches:
-            keep = []
-            for u, x, y in zip(pdf["uuid"], pdf["lon"], pdf["lat"], strict=True):
-                take = u != user or abs(x - lon) + abs(y - lat) > least
-                if take:
-                    user, lon, lat = u, x, y
-                keep.append(take)
+            x, y = pdf["lon"].to_numpy(float), pdf["lat"].to_numpy(float)
+            starts = np.flatnonzero((pdf["uuid"] != pdf["uuid"].shift()).to_numpy())
+            keep = np.zeros(len(pdf), bool)
+            for begin, end in zip(starts.tolist(), [*starts.tolist()[1:], len(pdf)], strict=True):
+                i = begin
+                if pdf["uuid"].iat[begin] != user:
+                    user, lon, lat, i = pdf["uuid"].iat[begin], x[begin], y[begin], begin + 1
+                    keep[begin] = True
+                stretch = 16
+                while i < end:
+                    far = np.abs(x[i : min(end, i + stretch)] - lon) + np.abs(y[i : min(end, i + stretch)] - lat) > least
+                    if far.any():
+                        i += int(far.argmax())
+                        keep[i], lon, lat, stretch = True, x[i], y[i], 16
+                        i += 1
+                    else:
+                        i, stretch = i + len(far), 2 * stretch
             yield pdf[keep]
 
     return points.repartition("uuid").sortWithinPartitions("uuid", "time", "event_id").mapInPandas(run, points.schema)
 
 
-CLUSTER = "uuid string, cluster int, lon double, lat double, n long, min_time long, max_time long, hours map<int,int>, days map<long,int>"
+CLUSTER = "uuid string, cluster int, lon double, lat double, n long, min_time long, max_time long, hours map<int,int>, days map<long,int>, label_lon double, label_lat double"
 
 
-def clusters(points: DataFrame, now: int, radius: float = RADIUS_DEG) -> DataFrame:
-    """Clusters of each uuid's points of the last 60 days: a point joins the nearest centre within the radius, else opens one.
+class _Place:
+    """A cluster of a user's points: the running mean of them all, and the SAMPLES of them that stay near it."""
 
-    A centre is the mean of its SAMPLES points nearest to it. Points come sorted, and only a user's open clusters are held.
-    """
-    recent = points.where(F.col("time") > now - DAYS * 86_400_000)
-    timed = recent.select("uuid", "time", "event_id", "lon", "lat", hour_of_day(F.col("time")).alias("hour"), day_number(F.col("time")).alias("day"))
+    def __init__(self, time: int):
+        self.lon = self.lat = 0.0
+        self.n, self.first, self.last = 0, time, time
+        self.hours: dict[int, int] = {}
+        self.days: dict[int, int] = {}
+        self.points: list[tuple[float, float]] = []
+
+    def away(self, x: float, y: float) -> float:
+        return (self.lon - x) ** 2 + (self.lat - y) ** 2
+
+    def take(self, time: int, x: float, y: float, hour: int, day: int) -> None:
+        self.n, self.last = self.n + 1, time
+        self.lon, self.lat = self.lon + (x - self.lon) / self.n, self.lat + (y - self.lat) / self.n
+        self.hours[hour] = self.hours.get(hour, 0) + 1
+        self.days[day] = self.days.get(day, 0) + 1
+        self.points.append((x, y))
+        if len(self.points) > SAMPLES:
+            self.points.remove(max(self.points, key=lambda p: self.away(*p)))
 
-    def row(user: str, i: int, c: dict) -> tuple:
-        return user, i, c["lon"], c["lat"], c["n"], c["from"], c["to"], list(c["hours"].items()), list(c["days"].items())
+    def row(self, user: str, i: int) -> tuple:
+        near = min(self.points, key=lambda p: self.away(*p))
+        return user, i, self.lon, self.lat, self.n, self.first, self.last, self.hours, self.days, *near
+
+
+def clusters(points: DataFrame, radius: float = RADIUS_DEG, days: int = DAYS) -> DataFrame:
+    """Clusters of each uuid's points in order of time: a point joins the nearest centre within the radius, else opens a cluster.
+
+    A centre is the running mean of all points of its cluster. A cluster that took no point for `days` days takes none any more.
+    Clusters are numbered as they open; the label point is the stored sample nearest to the centre, the earliest of equals.
+    Points come sorted, and only a user's clusters are held, SAMPLES points each.
+    """
+    timed = points.select("uuid", "time", "event_id", "lon", "lat", hour_of_day(F.col("time")).alias("hour"), day_number(F.col("time")).alias("day"))
+    names = [c.split()[0] for c in CLUSTER.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         user, held, out = None, [], []
-        names = ["uuid", "cluster", "lon", "lat", "n", "min_time", "max_time", "hours", "days"]
-        frame = lambda rows: pd.DataFrame([(*r[:7], dict(r[7]), dict(r[8])) for r in rows], columns=names)
         for pdf in batches:
-            for u, t, x, y, hour, day in zip(pdf["uuid"], pdf["time"], pdf["lon"], pdf["lat"], pdf["hour"], pdf["day"], strict=True):
+            for u, t, x, y, hour, day in zip(*(pdf[c].tolist() for c in ("uuid", "time", "lon", "lat", "hour", "day")), strict=True):
                 if u != user:
-                    out += [row(user, i, c) for i, c in enumerate(held)]
+                    out += [c.row(user, i) for i, c in enumerate(held)]
                     user, held = u, []
-                near = min(held, key=lambda c: (c["lon"] - x) ** 2 + (c["lat"] - y) ** 2, default=None)
-                if near is None or (near["lon"] - x) ** 2 + (near["lat"] - y) ** 2 > radius**2:
-                    near = {"points": [], "n": 0, "from": t, "hours": {}, "days": {}, "lon": x, "lat": y}
+                near = min((c for c in held if t - c.last < days * 86_400_000), key=lambda c: c.away(x, y), default=None)
+                if near is None or near.away(x, y) >= radius**2:
+                    near = _Place(t)
                     held.append(near)
-                near["points"].append((x, y))
-                near["lon"], near["lat"] = (sum(p[i] for p in near["points"]) / len(near["points"]) for i in (0, 1))
-                if len(near["points"]) > SAMPLES:
-                    near["points"].remove(max(near["points"], key=lambda p: (p[0] - near["lon"]) ** 2 + (p[1] - near["lat"]) ** 2))
-                near["n"], near["to"] = near["n"] + 1, t
-                near["hours"][hour] = near["hours"].get(hour, 0) + 1
-                near["days"][day] = near["days"].get(day, 0) + 1
+                near.take(t, x, y, hour, day)
             if len(out) > 5000:
-                yield frame(out)
+                yield pd.DataFrame(out, columns=names)
                 out = []
-        out += [row(user, i, c) for i, c in enumerate(held)]
+        out += [c.row(user, i) for i, c in enumerate(held)]
         if out:
-            yield frame(out)
+            yield pd.DataFrame(out, columns=names)
 
     return timed.repartition("uuid").sortWithinPartitions("uuid", "time", "event_id").mapInPandas(run, CLUSTER)
 
@@ -91,4 +123,4 @@ def place_labels(found: DataFrame, hour_weight: DataFrame, calendar: DataFrame)
     home = scored.withColumn("_home", F.first(F.when(F.col("night") > 0, F.col("cluster")), ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
     work = home.withColumn("_work", F.first(F.when((F.col("dayoff") < 0) & ~F.col("cluster").eqNullSafe(F.col("_home")), F.col("cluster")), ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
     label = F.when(F.col("cluster") == F.col("_home"), "home").when(F.col("cluster") == F.col("_work"), "work").when(F.col("dayoff") < 0, "business").when(F.col("dayoff") > 0, "travel")
-    return work.withColumn("label", label).where("label is not null").select(*keys, "label", "lon", "lat", "n")
+    return work.withColumn("label", label).where("label is not null").select(*keys, "label", F.col("label_lon").alias("lon"), F.col("label_lat").alias("lat"), "n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,18 +28,42 @@ def habit_day(events: DataFrame) -> DataFrame:
     return numbers.join(maps, keys)
 
 
+HABIT_MAPS = ("events", "times", "ips")
+
+
+def summed_maps(rows: DataFrame, keys: list[str], maps: dict[str, Column]) -> DataFrame:
+    """For each key the maps (name: column of text to number) of its rows added up entry by entry, in order of their entries.
+
+    Entries are summed before any of them meet in one row, so a key's row holds its different entries only.
+    """
+    def entries(name: str, of: Column) -> Column:
+        some = F.transform(F.map_entries(of), lambda e: F.struct(F.lit(name).alias("of"), e["key"].alias("k"), e["value"].cast("long").alias("n")))
+        return F.coalesce(some, F.array())
+
+    every = F.concat(*[entries(m, c) for m, c in maps.items()])
+    counts = rows.select(*keys, F.explode(every).alias("x")).groupBy(*keys, "x.of", "x.k").agg(F.sum("x.n").alias("n"))
+    return counts.groupBy(*keys).agg(*[F.map_from_entries(F.sort_array(F.collect_list(F.when(F.col("of") == m, F.struct("k", "n"))))).alias(m) for m in maps])
+
+
+def listed(map_: Column) -> Column:
+    """A map as text, k=n parted by commas, in order; empty for null."""
+    return F.coalesce(F.array_join(F.transform(F.array_sort(F.map_entries(map_)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ","), F.lit(""))
+
+
 def habit_window(days: DataFrame, today: int, span: int = LABEL_DAYS) -> DataFrame:
-    """Sums over the days before today, today left out: visits, pages, stay, any lead, active days."""
+    """Sums over the days before today, today left out: visits, pages, stay, any lead, active days, and the maps added up."""
     back = days.where(F.col("day").between(today - span + 1, today - 1))
-    return back.groupBy("uuid", "appid").agg(F.sum("visit").alias("visit"), F.sum("page").alias("page"), F.sum("stay").alias("stay"), F.max("lead").alias("lead"), F.countDistinct("day").alias("active_days"))
+    numbers = back.groupBy("uuid", "appid").agg(F.sum("visit").alias("visit"), F.sum("page").alias("page"), F.sum("stay").alias("stay"), F.max("lead").alias("lead"), F.countDistinct("day").alias("active_days"))
+    return numbers.join(summed_maps(back, ["uuid", "appid"], {m: F.col(m) for m in HABIT_MAPS}), ["uuid", "appid"], "left")
 
 
 def habit_summary(days: DataFrame, today: int) -> DataFrame:
-    """A device over all its apps: active days, those of the last seven, and its busiest half hour (ties to the earlier)."""
-    slots = days.select("uuid", F.explode("times").alias("slot", "n")).groupBy("uuid", F.col("slot").cast("int").alias("slot")).agg(F.sum("n").alias("n"))
-    busy = slots.groupBy("uuid").agg(F.min_by("slot", F.struct(-F.col("n"), F.col("slot"))).alias("busiest"))
+    """A device over all its apps: active days, those of the last seven, its busiest half hour (ties to the earlier), events as `app#event`, addresses."""
+    own = F.transform_keys("events", lambda k, _: F.concat_ws("#", "appid", k))
+    maps = summed_maps(days, ["uuid"], {"events": own, "times": F.col("times"), "ips": F.col("ips")})
+    slots = F.transform(F.map_entries("times"), lambda e: F.struct((-e["value"]).alias("n"), e["key"].cast("int").alias("slot")))
     active = days.groupBy("uuid").agg(F.countDistinct("day").alias("active_days"), F.countDistinct(F.when(F.col("day") > today - 7, F.col("day"))).alias("active_week"), F.countDistinct("appid").alias("apps"))
-    return active.join(busy, "uuid")
+    return active.join(maps.select("uuid", F.array_min(slots)["slot"].alias("busiest"), "events", "ips"), "uuid")
 
 
 # --- labels ----------------------------------------------------------------------------------------------------------
@@ -127,17 +153,67 @@ def shaped(profile: DataFrame, tags: str, sex: str) -> DataFrame:
     return profile.withColumn("tag_keys", F.transform(entries, lambda e: e["k"])).withColumn("tag_values", F.transform(entries, lambda e: e["v"])).withColumn("sex_code", F.when(F.col(sex) > 0, 2).when(F.col(sex) < 0, 1).otherwise(0))
 
 
-#: How a search's parameter applies to its column.
-_TESTS = {"min": lambda c, v: c >= v, "max": lambda c, v: c <= v, "is": lambda c, v: c == v, "any": lambda c, v: c.isin(list(v)), "has": lambda c, v: F.contains(c, F.lit(v)), "holds": lambda c, v: F.array_contains(c, v), "all": lambda c, v: F.forall(F.array(*[F.lit(x) for x in v]), lambda x: F.array_contains(c, x))}
-
-
-def search(table: DataFrame, **wanted) -> DataFrame:
-    """Rows that meet all given conditions, written column__test=value; tests: min, max, is, any, has, holds, all. None is no condition."""
-    for name, value in wanted.items():
-        if value is not None:
-            column, _, test = name.partition("__")
-            table = table.where(F.coalesce(_TESTS[test or "is"](F.col(column), value), F.lit(False)))
-    return table
+#: How a search's parameter applies to its column. `some` and `every` take lists of array elements, `phrase` and `begins` texts.
+_TESTS = {
+    "min": lambda c, v: c >= v,
+    "max": lambda c, v: c <= v,
+    "above": lambda c, v: c > v,
+    "below": lambda c, v: c < v,
+    "between": lambda c, v: c.between(*v),
+    "is": lambda c, v: c == v,
+    "isnt": lambda c, v: c != v,
+    "any": lambda c, v: c.isin(list(v)),
+    "none": lambda c, v: ~c.isin(list(v)),
+    "known": lambda c, v: c.isNotNull() == F.lit(v),
+    "has": lambda c, v: F.contains(c, F.lit(v)),
+    "begins": lambda c, v: F.startswith(c, F.lit(v)),
+    "phrase": lambda c, v: F.contains(F.concat(F.lit(" "), F.regexp_replace(F.lower(c), r"\s+", " "), F.lit(" ")), F.lit(f" {' '.join(v.lower().split())} ")),
+    "holds": lambda c, v: F.array_contains(c, v),
+    "some": lambda c, v: F.arrays_overlap(c, F.array(*[F.lit(x) for x in v])),
+    "every": lambda c, v: F.size(F.array_except(F.array(*[F.lit(x) for x in v]), c)) == 0,
+    "sized": lambda c, v: F.size(c).between(*v),
+}
+_TESTS["all"] = _TESTS["every"]
+
+
+def condition(asked: dict | list) -> Column:
+    """One predicate of a tree of conditions. It is never null: what cannot be told is false.
+
+    A dict holds conditions that must all hold: column__test: value, the test `is` by default. A list of values for a column
+    without a test means any of them. The keys `and` and `or` hold lists of trees, `not` a tree, and `each` a dict of columns and
+    trees: an element of the column, an array of structs, must meet the tree, whose columns are the element's fields. A value of None is no condition, an empty `and` holds, an empty `or` does not. A list is its trees under `and`.
+    """
+    return _tree(asked, F.col)
+
+
+def _tree(asked: dict | list, column) -> Column:
+    if isinstance(asked, list):
+        asked = {"and": asked}
+    parts = []
+    for name, value in asked.items():
+        if name in ("and", "or"):
+            each = [_tree(t, column) for t in value]
+            parts.append(reduce(Column.__and__ if name == "and" else Column.__or__, each, F.lit(name == "and")))
+        elif name == "not":
+            parts.append(~_tree(value, column))
+        elif name == "each":
+            parts += [F.coalesce(F.exists(column(c), _element(t)), F.lit(False)) for c, t in value.items()]
+        elif value is not None:
+            of, _, test = name.partition("__")
+            test = test or ("any" if isinstance(value, (list, tuple, set)) else "is")
+            if test not in _TESTS:
+                raise ValueError(f"unknown test: {name}")
+            parts.append(F.coalesce(_TESTS[test](column(of), value), F.lit(False)))
+    return reduce(Column.__and__, parts, F.lit(True))
+
+
+def _element(asked: dict | list):
+    return lambda e: _tree(asked, lambda field: e[field])
+
+
+def search(table: DataFrame, asked: dict | list | None = None, **wanted) -> DataFrame:
+    """Rows that meet a tree of conditions and all others given as column__test=value; see condition."""
+    return table.where(condition([asked or {}, wanted]))
 
 
 def paged(rows: DataFrame, order: list[Column], page: int, size: int) -> tuple[DataFrame, int, int]:

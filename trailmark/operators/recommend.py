@@ -19,31 +19,46 @@ def item_rating(events: DataFrame, fixed: float = 5.0) -> DataFrame:
     return rated.groupBy("uuid", "item", "item_type").agg(F.sum("score").alias("score"))
 
 
-def _pairs(ratings: DataFrame, most: int | None) -> DataFrame:
-    """Items of a user side by side. Users with more than `most` items give their best ones only, if a bound is asked for."""
+#: Items of a block of a user's items. A user's pairs are made by pairs of blocks, so none of them makes more than the square of this.
+BLOCK = 512
+
+
+def _pairs(ratings: DataFrame, most: int | None, block: int = BLOCK) -> DataFrame:
+    """Items a < b that a user rated, with their scores x and y.
+
+    A user's items are dealt over blocks of about `block` by a hash, and each pair of blocks is a key of the join of its own: a
+    user of m items is spread over about (m / block)^2 / 2 keys, and no pair is lost. Only if `most` is given, users with more items
+    give their best ones alone.
+    """
     r = ratings
     if most is not None:
         w = W.partitionBy("user").orderBy(F.col("score").desc(), "item")
         r = r.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
-    a = r.select("user", F.col("item").alias("a"), F.col("score").alias("x"))
-    b = r.select("user", F.col("item").alias("b"), F.col("score").alias("y"))
-    return a.join(b, "user").where("a < b")
+    blocks = r.groupBy("user").agg(F.ceil(F.count("*") / block).cast("int").alias("_of"))
+    r = r.join(blocks, "user").withColumn("_own", F.pmod(F.xxhash64("item"), F.col("_of")).cast("int"))
+    a = r.select("user", F.col("_own").alias("_p"), F.explode(F.sequence("_own", F.col("_of") - 1)).alias("_q"), F.col("item").alias("a"), F.col("score").alias("x"))
+    b = r.select("user", F.explode(F.sequence(F.lit(0), "_own")).alias("_p"), F.col("_own").alias("_q"), F.col("item").alias("b"), F.col("score").alias("y"))
+    both = a.join(b, ["user", "_p", "_q"]).where((F.col("_p") < F.col("_q")) | (F.col("a") < F.col("b")))
+    turned = F.col("a") > F.col("b")
+    swapped = lambda one, other: F.when(turned, F.col(other)).otherwise(F.col(one))
+    return both.where("a <> b").select("user", swapped("a", "b").alias("a"), swapped("x", "y").alias("x"), swapped("b", "a").alias("b"), swapped("y", "x").alias("y"))
 
 
-def cosine(ratings: DataFrame, least: float = 0.2, most: int | None = None) -> DataFrame:
+def cosine(ratings: DataFrame, least: float = 0.2, most: int | None = None, block: int = BLOCK) -> DataFrame:
     """(a, b, similarity) of items: cosine of scores less their user's mean, norms over all raters; items without a norm drop out."""
-    centred = ratings.withColumn("score", F.col("score") - F.avg("score").over(W.partitionBy("user")))
+    means = ratings.groupBy("user").agg(F.avg("score").alias("_mean"))
+    centred = ratings.join(means, "user").withColumn("score", F.col("score") - F.col("_mean")).drop("_mean")
     norms = centred.groupBy("item").agg(F.sum(F.col("score") * F.col("score")).alias("sq"))
-    dots = _pairs(centred, most).groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    dots = _pairs(centred, most, block).groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     out = dots.join(norms.select(F.col("item").alias("a"), F.col("sq").alias("sa")), "a").join(norms.select(F.col("item").alias("b"), F.col("sq").alias("sb")), "b")
     sim = F.col("dot") / F.sqrt(F.col("sa") * F.col("sb"))
     return out.where("sa > 0 and sb > 0").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= least)
 
 
-def pearson(ratings: DataFrame, most: int | None = None) -> DataFrame:
+def pearson(ratings: DataFrame, most: int | None = None, block: int = BLOCK) -> DataFrame:
     """(a, b, n, similarity): correlation over the users who rated both; 0 where it has no value."""
     x, y, n = F.col("x"), F.col("y"), F.count("*")
-    s = _pairs(ratings, most).groupBy("a", "b").agg(n.alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+    s = _pairs(ratings, most, block).groupBy("a", "b").agg(n.alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
     below = F.sqrt(F.greatest(F.col("sxx") - F.col("sx") ** 2 / F.col("n"), F.lit(0.0))) * F.sqrt(F.greatest(F.col("syy") - F.col("sy") ** 2 / F.col("n"), F.lit(0.0)))
     return s.select("a", "b", "n", F.when(below > 1e-4, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / below).otherwise(0.0).alias("similarity"))
 

@@ -29,9 +29,9 @@ def item_cosine(spark, sf_dir):
 
 
 @query("item_pearson", f"""WITH {RATINGS}, s AS (SELECT a.item AS a, b.item AS b, count(*) AS n, sum(a.score) AS sx, sum(b.score) AS sy, sum(a.score * a.score) AS sxx, sum(b.score * b.score) AS syy, sum(a.score * b.score) AS sxy FROM rt a JOIN rt b ON a."user" = b."user" AND a.item < b.item GROUP BY ALL),
-d AS (SELECT *, sqrt(greatest(sxx - sx * sx / n, 0)) * sqrt(greatest(syy - sy * sy / n, 0)) AS below FROM s) SELECT a, b, n, round(CASE WHEN below > 1e-4 THEN (sxy - sx * sy / n) / below ELSE 0 END, 6) AS similarity FROM d WHERE n >= 3""")
+d AS (SELECT *, sqrt(greatest(sxx - sx * sx / n, 0)) * sqrt(greatest(syy - sy * sy / n, 0)) AS below FROM s) SELECT a, b, n, round(CASE WHEN below > 1e-4 THEN (sxy - sx * sy / n) / below ELSE 0 END, 6) AS similarity FROM d""")
 def item_pearson(spark, sf_dir):
-    return recommend.pearson(ratings(spark, sf_dir)).where("n >= 3").withColumn("similarity", F.round("similarity", 6))
+    return recommend.pearson(ratings(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
 
 
 SCORE_SQL = f"{RATINGS}, sc AS (SELECT \"user\", (item * 7 + 11) % 2000 AS item, 1 + item % 2 AS item_type, score FROM rt), sg AS (SELECT \"user\", item, item_type, max(score) AS score FROM sc GROUP BY ALL), re AS (SELECT \"user\", item, CASE WHEN item % 4 = 0 THEN 0 ELSE 1 END AS stay FROM rt)"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trailmark.functions import scalars
@@ -29,22 +30,38 @@ def query(name: str, sql: str | None = None):
 HABIT_SQL = f"""{VISIT_SQL}, hb AS (SELECT uuid, appid, {DAY} AS day, CAST(max(visitindex) AS BIGINT) AS visit, count(*) FILTER (WHERE logtype = '50') AS page, CAST(sum(staytime) AS BIGINT) AS stay, CAST(max(CASE WHEN subtype = 'purchase' THEN 1 ELSE 0 END) AS INTEGER) AS lead FROM wv GROUP BY ALL)"""
 
 
-@query("habit_day", f"WITH {HABIT_SQL}, k AS (SELECT uuid, appid, {DAY} AS day, count(DISTINCT (time + 28800000) % 86400000 // 1800000) AS n_slots, count(DISTINCT subtype) FILTER (WHERE logtype <> '50') AS n_kinds FROM ev GROUP BY ALL) SELECT hb.*, n_slots, n_kinds FROM hb JOIN k USING (uuid, appid, day)")
+#: Counts of a key as text, in order: events, half hours and addresses of a day's habit.
+MAPS_SQL = f"""hd AS (SELECT uuid, appid, {DAY} AS day, unnest([('events', CASE WHEN logtype <> '50' THEN subtype END), ('times', CAST((time + 28800000) % 86400000 // 1800000 AS VARCHAR)), ('ips', ip)]) AS x FROM ev),
+hc AS (SELECT uuid, appid, day, x[1] AS of, x[2] AS k, count(*) AS n FROM hd WHERE x[2] IS NOT NULL GROUP BY ALL)"""
+
+
+def _maps_sql(keys: str, where: str = "true", name: str = "k") -> str:
+    """The maps of MAPS_SQL added up by keys."""
+    of = lambda m: f"coalesce(string_agg(k || '=' || n, ',' ORDER BY k) FILTER (WHERE of = '{m}'), '') AS {m}"
+    return f"(SELECT {keys}, {of('events')}, {of('times')}, {of('ips')} FROM (SELECT {keys}, of, {name} AS k, sum(n) AS n FROM hc WHERE {where} GROUP BY ALL) GROUP BY ALL)"
+
+
+def _listed(habits: DataFrame, *maps: str) -> DataFrame:
+    return habits.withColumns({m: profile.listed(F.col(m)) for m in maps})
+
+
+@query("habit_day", f"WITH {HABIT_SQL}, {MAPS_SQL} SELECT hb.*, events, times, ips FROM hb JOIN {_maps_sql('uuid, appid, day')} USING (uuid, appid, day)")
 def habit_day(spark, sf_dir):
-    h = profile.habit_day(visited(spark, sf_dir))
-    return h.select("uuid", "appid", "day", "visit", "page", F.col("stay").cast("long").alias("stay"), "lead", F.size("times").cast("long").alias("n_slots"), F.coalesce(F.size("events"), F.lit(0)).cast("long").alias("n_kinds"))
+    return _listed(profile.habit_day(visited(spark, sf_dir)).withColumn("stay", F.col("stay").cast("long")), *profile.HABIT_MAPS)
 
 
-@query("habit_60d", f"WITH {HABIT_SQL} SELECT uuid, appid, CAST(sum(visit) AS BIGINT) AS visit, CAST(sum(page) AS BIGINT) AS page, CAST(sum(stay) AS BIGINT) AS stay, max(lead) AS lead, count(DISTINCT day) AS active_days FROM hb WHERE day BETWEEN {TODAY} - 59 AND {TODAY} - 1 GROUP BY ALL")
+@query("habit_60d", f"""WITH {HABIT_SQL}, {MAPS_SQL}, n AS (SELECT uuid, appid, CAST(sum(visit) AS BIGINT) AS visit, CAST(sum(page) AS BIGINT) AS page, CAST(sum(stay) AS BIGINT) AS stay, max(lead) AS lead, count(DISTINCT day) AS active_days FROM hb WHERE day BETWEEN {TODAY} - 59 AND {TODAY} - 1 GROUP BY ALL)
+SELECT n.*, events, times, ips FROM n JOIN {_maps_sql('uuid, appid', f'day BETWEEN {TODAY} - 59 AND {TODAY} - 1')} USING (uuid, appid)""")
 def habit_60d(spark, sf_dir):
-    return profile.habit_window(profile.habit_day(visited(spark, sf_dir)), TODAY).withColumn("stay", F.col("stay").cast("long"))
+    return _listed(profile.habit_window(profile.habit_day(visited(spark, sf_dir)), TODAY).withColumn("stay", F.col("stay").cast("long")), *profile.HABIT_MAPS)
 
 
-@query("habit_summary", f"""WITH {EV}, d AS (SELECT uuid, appid, {DAY} AS day, CAST((time + 28800000) % 86400000 // 1800000 AS INTEGER) AS slot FROM ev),
-s AS (SELECT uuid, slot, count(*) AS n FROM d GROUP BY ALL), b AS (SELECT uuid, arg_min(slot, (-n, slot)) AS busiest FROM s GROUP BY uuid)
-SELECT uuid, count(DISTINCT day) AS active_days, count(DISTINCT day) FILTER (WHERE day > {TODAY} - 7) AS active_week, count(DISTINCT appid) AS apps, any_value(busiest) AS busiest FROM d JOIN b USING (uuid) GROUP BY uuid""")
+@query("habit_summary", f"""WITH {EV}, {MAPS_SQL}, d AS (SELECT uuid, appid, {DAY} AS day, CAST((time + 28800000) % 86400000 // 1800000 AS INTEGER) AS slot FROM ev),
+s AS (SELECT uuid, slot, count(*) AS n FROM d GROUP BY ALL), b AS (SELECT uuid, arg_min(slot, (-n, slot)) AS busiest FROM s GROUP BY uuid),
+a AS (SELECT uuid, count(DISTINCT day) AS active_days, count(DISTINCT day) FILTER (WHERE day > {TODAY} - 7) AS active_week, count(DISTINCT appid) AS apps, any_value(busiest) AS busiest FROM d JOIN b USING (uuid) GROUP BY uuid)
+SELECT a.*, events, ips FROM a JOIN {_maps_sql('uuid', name="CASE WHEN of = 'events' THEN appid || '#' || k ELSE k END")} USING (uuid)""")
 def habit_summary(spark, sf_dir):
-    return profile.habit_summary(profile.habit_day(visited(spark, sf_dir)), TODAY)
+    return _listed(profile.habit_summary(profile.habit_day(visited(spark, sf_dir)), TODAY), "events", "ips")
 
 
 # --- labels: rules on page titles, which here are part names ------------------------------------------------------------
@@ -171,10 +188,43 @@ def profile_(spark, sf_dir):
     return profile.profiles(state.devices(e), habits, labels, areas).select("uuid", "first_time", "active_days", "pages", "country", "province")
 
 
-@query("audience_search", f"WITH {EV}, p AS (SELECT uuid, count(*) AS n, min(system) AS system, max(value) AS most FROM ev GROUP BY uuid) SELECT uuid, n, system FROM p WHERE n >= 60 AND n <= 80 AND system IN ('ios', 'android') AND most >= 50")
+AUDIENCE_SQL = f"""{EV}, au AS (SELECT uuid, count(*) AS n, count(*) FILTER (WHERE logtype = '50') AS pages, min(system) AS system, min(channel) AS channel, min(time) AS first_time, max(time) AS last_time, max(value) AS most, avg(value) AS mean,
+ list_sort(list(DISTINCT subtype)) AS kinds, list_sort(list(DISTINCT browser)) AS browsers, min(sw) AS sw, max(sh) AS sh, max(acc) AS acc, count(DISTINCT {DAY}) AS days, any_value(p_name) AS title, any_value(p_brand) AS brand FROM ev LEFT JOIN part ON p_partkey = 1 + user_id % 50 GROUP BY uuid)"""
+
+
+def audience(spark, sf_dir) -> DataFrame:
+    """A row a device with what searches ask for."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("title"), F.col("p_brand").alias("brand"))
+    e = events(spark, sf_dir)
+    e = e.join(p, F.col("p_partkey") == 1 + F.col("user_id") % 50, "left")
+    kind = F.struct(F.col("subtype").alias("name"), F.count("*").over(W.partitionBy("uuid", "subtype")).alias("times"))
+    return e.withColumn("kind", kind).groupBy("uuid").agg(
+        F.count("*").alias("n"), F.count(F.when(sessions.is_page(), 1)).alias("pages"), F.min("system").alias("system"), F.min("channel").alias("channel"),
+        F.min("time").alias("first_time"), F.max("time").alias("last_time"), F.max("value").alias("most"), F.avg("value").alias("mean"),
+        F.sort_array(F.collect_set("subtype")).alias("kinds"), F.sort_array(F.collect_set("browser")).alias("browsers"), F.min("sw").alias("sw"), F.max("sh").alias("sh"),
+        F.max("acc").alias("acc"), F.countDistinct(scalars.day_number(F.col("time"))).alias("days"), F.min("title").alias("title"), F.min("brand").alias("brand"), F.collect_set("kind").alias("counts"),
+    )
+
+
+@query("audience_search", f"WITH {AUDIENCE_SQL} SELECT uuid, n, system FROM au WHERE n >= 50 AND n <= 90 AND system IN ('ios', 'android') AND most >= 50")
 def audience_search(spark, sf_dir):
-    p = events(spark, sf_dir).groupBy("uuid").agg(F.count("*").alias("n"), F.min("system").alias("system"), F.max("value").alias("most"))
-    return profile.search(p, n__min=60, n__max=80, system__any=["ios", "android"], most__min=50, uuid__has=None).select("uuid", "n", "system")
+    return profile.search(audience(spark, sf_dir), n__min=50, n__max=90, system=["ios", "android"], most__min=50, uuid__has=None).select("uuid", "n", "system")
+
+
+@query("audience_tree", f"""WITH {AUDIENCE_SQL}, c AS (SELECT uuid FROM ev GROUP BY uuid, subtype HAVING subtype = 'view' AND count(*) >= 12)
+SELECT uuid, n, pages, channel FROM au WHERE n >= 20 AND pages BETWEEN 5 AND 40 AND system IN ('ios', 'android', 'windows') AND channel <> 'ch9' AND most > 20 AND mean < 90 AND list_contains(kinds, 'click')
+ AND len(list_intersect(browsers, ['Chrome', 'UC'])) > 0 AND len(list_intersect(kinds, ['view', 'signup'])) = 2 AND sw IS NOT NULL AND acc = 1 AND len(kinds) BETWEEN 3 AND 5 AND days > 3 AND brand NOT IN ('Brand#99')
+ AND ((contains(title, ' ') AND starts_with(brand, 'Brand#')) OR sh >= 1900)
+ AND NOT (channel = 'ch3' AND system = 'ios') AND (uuid IN (FROM c) OR (last_time >= {(TODAY - 1) * 86_400_000} AND (first_time < {(TODAY + 5) * 86_400_000} OR sh < 500)))""")
+def audience_tree(spark, sf_dir):
+    """Some twenty conditions over devices: ranges, lists, phrases, flags, elements, alternatives and exclusions."""
+    asked = {
+        "n__min": 20, "pages__between": (5, 40), "system": ["ios", "android", "windows"], "channel__isnt": "ch9", "most__above": 20, "mean__below": 90, "kinds__holds": "click",
+        "browsers__some": ["Chrome", "UC"], "kinds__every": ["view", "signup"], "sw__known": True, "acc": 1, "kinds__sized": (3, 5), "days__above": 3, "brand__none": ["Brand#99"], "title__has": None,
+        "and": [{"or": [{"title__has": " ", "brand__begins": "Brand#"}, {"sh__min": 1900}]}, {"not": {"channel": "ch3", "system": "ios"}}],
+        "or": [{"each": {"counts": {"name": "view", "times__min": 12}}}, {"last_time__min": (TODAY - 1) * scalars.DAY_MS, "or": [{"first_time__below": (TODAY + 5) * scalars.DAY_MS}, {"sh__below": 500}]}],
+    }
+    return profile.search(audience(spark, sf_dir), asked).select("uuid", "n", "pages", "channel")
 
 
 FEATURE_SQL = f"""{VISIT_SQL}, ft AS (SELECT uuid, greatest(0, {TODAY} + 20 - min({DAY})) AS tenure, count(*) FILTER (WHERE logtype = '50') AS pages, count(*) FILTER (WHERE pageid % 10 = 0) AS special, sum(staytime) / 1000.0::DOUBLE AS stay, max(CASE WHEN subtype = 'purchase' THEN 1 ELSE 0 END) AS actions, count(DISTINCT {DAY}) AS days FROM wv GROUP BY uuid)"""
@@ -280,25 +330,41 @@ def gcj_to_bd(spark, sf_dir):
     return p.select(F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), F.round(x, 6).alias("bd_lon"), F.round(y, 6).alias("bd_lat"))
 
 
-@query("gps_thin")
+@query("gps_thin", f"""WITH RECURSIVE {POINT_SQL}, r AS (SELECT uuid, event_id, time, lon, lat, row_number() OVER (PARTITION BY uuid ORDER BY time, event_id) AS i FROM pt),
+s AS (SELECT uuid, event_id, time, lon, lat, i, lon AS x, lat AS y, true AS kept FROM r WHERE i = 1
+  UNION ALL SELECT r.uuid, r.event_id, r.time, r.lon, r.lat, r.i, CASE WHEN far THEN r.lon ELSE x END, CASE WHEN far THEN r.lat ELSE y END, far
+  FROM (SELECT r.*, s.x, s.y, abs(r.lon - s.x) + abs(r.lat - s.y) > 0.0009 AS far FROM s JOIN r ON r.uuid = s.uuid AND r.i = s.i + 1) r)
+SELECT uuid, event_id, time, lon, lat FROM s WHERE kept""")
 def gps_thin(spark, sf_dir):
     return places.thinned(points(spark, sf_dir).select("uuid", "event_id", "time", "lon", "lat"))
 
 
-def _clusters(spark, sf_dir) -> DataFrame:
-    return places.clusters(points(spark, sf_dir), (TODAY + 25) * scalars.DAY_MS)
+#: Each point with the cluster that takes it; c holds the clusters of its user: centre, points and the time of the last one.
+CLUSTER_SQL = f"""{POINT_SQL}, po AS (SELECT uuid, lon, lat, time, row_number() OVER (PARTITION BY uuid ORDER BY time, event_id) AS i FROM pt),
+cl AS (SELECT uuid, lon, lat, time, i, [{{'x': lon, 'y': lat, 'n': 1, 't': time}}] AS c, 1 AS own FROM po WHERE i = 1
+  UNION ALL SELECT uuid, lon, lat, time, i,
+    CASE WHEN k IS NULL THEN list_append(c, {{'x': lon, 'y': lat, 'n': 1, 't': time}}) ELSE list_transform(c, lambda z, j: CASE WHEN j = k THEN {{'x': z.x + (lon - z.x) / (z.n + 1), 'y': z.y + (lat - z.y) / (z.n + 1), 'n': z.n + 1, 't': time}} ELSE z END) END,
+    CAST(coalesce(k, len(c) + 1) AS INTEGER)
+  FROM (SELECT q.*, q.near.j AS k FROM (SELECT p.*, s.c, list_sort(list_filter(list_transform(s.c, lambda z, j: {{'d': (z.x - p.lon) ** 2 + (z.y - p.lat) ** 2, 'j': j, 't': z.t}}), lambda w: p.time - w.t < 5184000000 AND w.d < 0.05 ** 2))[1] AS near FROM cl s JOIN po p ON p.uuid = s.uuid AND p.i = s.i + 1) q) q),
+ce AS (SELECT uuid, own - 1 AS cluster, count(*) AS n, arg_max(c[own].x, i) AS x, arg_max(c[own].y, i) AS y FROM cl GROUP BY ALL)"""
 
 
-@query("gps_cluster")
+@query("gps_cluster", f"WITH RECURSIVE {CLUSTER_SQL} SELECT uuid, CAST(cluster AS INTEGER) AS cluster, round(x, 6) AS lon, round(y, 6) AS lat, n FROM ce")
 def gps_cluster(spark, sf_dir):
-    return _clusters(spark, sf_dir).select("uuid", "cluster", "lon", "lat", "n")
+    return places.clusters(points(spark, sf_dir)).select("uuid", "cluster", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "n")
 
 
-@query("place_labels")
+@query("place_labels", f"""WITH RECURSIVE {CLUSTER_SQL}, t AS (SELECT uuid, own - 1 AS cluster, sum(CASE WHEN (time + 28800000) % 86400000 // 3600000 < 7 OR (time + 28800000) % 86400000 // 3600000 > 20 THEN 1.0 ELSE -0.5 END) AS night FROM cl GROUP BY ALL),
+d AS (SELECT DISTINCT uuid, own - 1 AS cluster, {DAY} AS day FROM cl), o AS (SELECT uuid, cluster, sum(CASE WHEN (day + 2) % 7 >= 5 THEN 1 ELSE -1 END) AS dayoff FROM d GROUP BY ALL),
+s AS (SELECT * FROM ce JOIN t USING (uuid, cluster) JOIN o USING (uuid, cluster)),
+h AS (SELECT uuid, arg_min(cluster, (-n, cluster)) AS home FROM s WHERE night > 0 GROUP BY uuid),
+w AS (SELECT s.uuid, arg_min(cluster, (-n, cluster)) AS work FROM s LEFT JOIN h USING (uuid) WHERE dayoff < 0 AND cluster IS DISTINCT FROM home GROUP BY s.uuid),
+l AS (SELECT s.*, CASE WHEN cluster = home THEN 'home' WHEN cluster = work THEN 'work' WHEN dayoff < 0 THEN 'business' WHEN dayoff > 0 THEN 'travel' END AS label FROM s LEFT JOIN h USING (uuid) LEFT JOIN w USING (uuid))
+SELECT uuid, CAST(cluster AS INTEGER) AS cluster, label, n FROM l WHERE label IS NOT NULL""")
 def place_labels(spark, sf_dir):
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"), F.when((F.col("id") < 7) | (F.col("id") > 20), 1.0).otherwise(-0.5).alias("night"))
     calendar = events(spark, sf_dir).select(scalars.day_number(F.col("time")).alias("day_num")).distinct().withColumn("day_off", (F.col("day_num") + 2) % 7 >= 5)
-    return places.place_labels(_clusters(spark, sf_dir), hours, calendar)
+    return places.place_labels(places.clusters(points(spark, sf_dir)), hours, calendar).select("uuid", "cluster", "label", "n")
 
 
 # --- texts and urls ----------------------------------------------------------------------------------------------------

@@ -314,10 +314,13 @@ def dimension_rules(spark, sf_dir):
     return tables.dimension(spark, "source", path).drop("active")
 
 
-@query("denied_visitors", f"WITH {EV} SELECT event_id FROM ev WHERE NOT (ip LIKE '10.0.3.%') AND ip NOT IN ('10.0.1.1', '10.0.2.2') AND uuid NOT IN (SELECT md5(CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_custkey % 2 = 0)")
+@query("denied_visitors", f"WITH {EV}, x AS (SELECT DISTINCT '10.0.3.' AS p UNION SELECT '10.0.' || CAST(o_custkey % 7 AS VARCHAR) || '.' || CAST(20 + o_orderkey % 3 AS VARCHAR) FROM orders WHERE o_orderkey % 4 = 0) SELECT event_id FROM ev WHERE NOT EXISTS (FROM x WHERE starts_with(ip, p)) AND ip NOT IN ('10.0.1.1', '10.0.2.2') AND uuid NOT IN (SELECT md5(CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_custkey % 2 = 0)")
 def denied_visitors(spark, sf_dir):
+    """Denied beginnings are a line of each fourth order here, so their number grows with the tables."""
     path = _path(spark, "lists")
-    spark.createDataFrame([("10.0.1.1",), ("10.0.2.2 ",), ("10.0.3.*",), ("",)], "value string").write.text(f"{path}/ips")
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+    lines = orders.select(F.concat(F.lit("10.0."), _text(F.col("o_custkey") % 7), F.lit("."), _text(20 + F.col("o_orderkey") % 3), F.lit("*")).alias("value"))
+    lines.unionByName(spark.createDataFrame([("10.0.1.1",), ("10.0.2.2 ",), ("10.0.3.*",), ("",)], "value string")).write.text(f"{path}/ips")
     table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.concat(F.md5(_text(F.col("c_custkey"))), F.lit(" ")).alias("value")).write.text(f"{path}/ids")
     kept = lookup.not_denied(events(spark, sf_dir), *tables.denied_addresses(spark, f"{path}/ips"))
     return lookup.not_listed(kept, tables.registered(spark, f"{path}/ids"), "uuid").select("event_id")
@@ -485,6 +488,17 @@ def label_increments(spark, sf_dir):
     return flows.label_increments(e).withColumn("value", F.round("value", 6))
 
 
+@query("jdbc_flow", f"WITH {EV} SELECT {DAY} AS day, appid, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT uuid) AS BIGINT) AS uv, 'flow-' || CAST({DAY} % 2 AS VARCHAR) AS run_key FROM ev GROUP BY ALL")
+def jdbc_flow(spark, sf_dir):
+    """Flow by day and app appended to a JDBC table in two runs, of which one is made again, and read back by spans of days."""
+    url, name = f"jdbc:derby:memory:x{uuid.uuid4().hex};create=true", "FLOW"
+    e = events(spark, sf_dir).withColumn("day", scalars.day_number(F.col("time")))
+    flow = e.groupBy("day", "appid").agg(F.count("*").alias("n"), F.countDistinct("uuid").alias("uv"))
+    for part in (0, 1, 0):
+        tables.append_jdbc_once(flow.where(F.col("day") % 2 == part), url, name, f"flow-{part}", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    return tables.jdbc_parts(spark, url, name, '"day"', 4, driver="org.apache.derby.jdbc.EmbeddedDriver")
+
+
 @query("profile_shape", f"WITH {EV}, l AS (SELECT uuid, subtype AS name, count(*) AS n FROM ev GROUP BY ALL), a AS (SELECT uuid, string_agg(name, ',' ORDER BY n DESC, name) AS tag_keys, string_agg(CAST(n AS VARCHAR), ',' ORDER BY n DESC, name) AS tag_values FROM l GROUP BY uuid) SELECT uuid, tag_keys, tag_values, CAST(CASE WHEN user_id % 3 = 2 THEN 2 WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS sex_code FROM a JOIN (SELECT DISTINCT uuid, user_id FROM ev) USING (uuid)")
 def profile_shape(spark, sf_dir):
     counts = events(spark, sf_dir).groupBy("uuid", "user_id", "subtype").agg(F.count("*").alias("n"))
