@@ -51,6 +51,21 @@ def test_top_k_is_exact_with_ties(spark, monkeypatch, bins):
     assert {q: v for q, v in small.items() if q < 9000} == {q: [(i, int(s)) for i, s in v] for q, v in want.items()}
 
 
+@pytest.mark.parametrize("size", [1e6, 1e7, 1e8, 1e14, 1e200, 1.7e308])
+def test_top_k_of_huge_components(spark, size):
+    """Whole numbers of any size, cut off at the ends of a long."""
+    x = np.random.default_rng(8).normal(size=(120, 6))
+    x[::7] *= size
+    x[::7] = np.clip(x[::7], -1.79e308, 1.79e308)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = topk.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 50).collect()
+    with np.errstate(over="ignore"):
+        z = [[int(v) for v in np.clip(np.floor(row * 256), -np.finfo(float).max, np.finfo(float).max)] for row in x]
+    score = lambda i, j: max(-topk.MOST, min(topk.MOST, sum(a * b for a, b in zip(z[i], z[j], strict=True))))
+    want = [(q, r, j, -s) for q in (0, 50, 100) for r, (s, j) in enumerate(sorted((-score(q, j), j) for j in range(120) if j != q)[:5], 1)]
+    assert sorted(tuple(r) for r in got) == want
+
+
 def test_top_k_of_few_rows(spark):
     got = topk.exact_top_k(frame(spark, [(0, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (50, [-1.0, 0.0], 0), (100, [1.0], 0)]), 5, 50).collect()
     assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [(0, 1, 1, 32768), (0, 2, 50, -65536), (50, 1, 1, -32768), (50, 2, 0, -65536)]
@@ -86,6 +101,26 @@ def test_nearest_with_copies_and_odd_rows(spark):
     assert ann.nearest(frame(spark, []), 20, 20).count() == 0
 
 
+def test_nearest_when_a_querys_own_rows_crowd_a_vector(spark):
+    v, w = [1.0, 2.0, 0.5], [0.2, 0.1, 0.0]
+    rows = [(0, v)] * 60 + [(7, v), (8, v), (9, w)]
+    got = sorted((r["rank"], r["vec_id"]) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 20, 20).collect())
+    assert got == [(1, 7), (2, 8), (3, 9)]
+    many = [(i, v) for i in range(200)] + [(0, v)] * 50 + [(0, w)] * 50
+    got = [r["vec_id"] for r in ann.nearest(spark.createDataFrame(many, "vec_id long, embedding array<double>"), 20, 1000).orderBy("rank").collect()]
+    assert got == list(range(1, 21))
+
+
+@pytest.mark.parametrize("size", [1e-200, 1e150, 1e200])
+def test_nearest_of_very_large_and_small_vectors(spark, size):
+    x = vectors(60, 5, 9).astype(float) * size
+    got = ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), 3, 20).collect()
+    assert len(got) == 9
+    near = {q: [j for j in np.argsort(-((x / size) @ (x[q] / size))) if j != q][:3] for q in (0, 20, 40)}
+    if 1e-150 < size < 1e160:  # else products pass the doubles, and ties go by id
+        assert all([r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == near[q] for q in near)
+
+
 def test_neighbours_across_shards_and_repeated_ids(spark, monkeypatch):
     """Seven shards against brute force; rows that repeat an id are candidates each, a query's own rows are none."""
     import numpy as np

@@ -156,6 +156,7 @@ def _index(part: pd.DataFrame) -> pd.DataFrame:
         v, where = np.unique(np.stack(rows["v"].to_numpy()).astype(np.float64), axis=0, return_inverse=True)
         order = np.lexsort((rows["row"].to_numpy(), rows["id"].to_numpy(), where.ravel()))
         starts = np.searchsorted(where.ravel()[order], np.arange(len(v) + 1))
+        v = v / np.abs(v).max()  # squares of the largest doubles would not be finite
         square = (v * v).sum(axis=1)
         # One more component makes all norms equal; with 0 there for queries, inner products stay as they are.
         scale = max(float(square.max()) ** 0.5, 1e-300)
@@ -197,12 +198,17 @@ def _search(k: int):
                 for links in layers[:0:-1]:
                     near, _ = search_layer(x, links, q, near, 8)
                 near, _ = search_layer(x, layers[0], q, near, max(EF_SEARCH, k + 1))
-                # Of each node the rows with the smallest ids; then the query's own rows go, and k are left.
+                # Of each node the k rows with the smallest ids that are not the query's own; then k in all are left.
                 a, c = np.nonzero(near >= 0)
                 nodes = near[a, c]
-                many = np.minimum(starts[nodes + 1] - starts[nodes], 2 * k)
-                at = np.repeat(starts[nodes], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                who = np.repeat(a, many)
+                first, last = starts[nodes], starts[nodes + 1]
+                own = np.zeros((2, len(nodes)), np.int64)
+                for i in np.flatnonzero(last - first > k).tolist():  # nodes of many copies, whose ids are sorted
+                    own[:, i] = np.searchsorted(ids[first[i] : last[i]], q_ids[a[i]], "left"), np.searchsorted(ids[first[i] : last[i]], q_ids[a[i]], "right")
+                size = np.minimum(last - first - (own[1] - own[0]), k)
+                place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                at = np.repeat(first, size) + place + np.where(place >= np.repeat(own[0], size), np.repeat(own[1] - own[0], size), 0)
+                who = np.repeat(a, size)
                 other = q_ids[who] != ids[at]
                 who, at = who[other], at[other]
                 keep = np.arange(len(who)) - np.searchsorted(who, who) < k
@@ -217,7 +223,8 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vect
     Queries are the rows whose id is divisible by `every`; candidates are all rows with another id. Vectors that are null,
     empty, zero or hold null or non-finite components, and rows with a null id, take no part; vectors of different length do
     not meet. Equal vectors and rows that repeat an id are all candidates; as a query, the smallest vector of an id counts. A query
-    with fewer than k candidates returns what there is. Scores are double sums over the original components.
+    with fewer than k candidates returns what there is. Scores are double sums over the original components, and infinite where
+    those pass the doubles.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     v = v.where(F.col("id").isNotNull() & valid_vector(F.col("v"))).where(F.exists("v", lambda x: x != 0))

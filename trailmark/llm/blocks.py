@@ -14,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A component that scaling takes beyond the doubles is the largest of them.
+LARGEST = np.finfo(np.float64).max
 #: Blocks of queries that a place takes before candidates are sent to a second one.
 BLOCKS_A_PLACE = 64
 BLOCK = "block long, dim int, ids binary, data binary, low binary"
@@ -33,7 +35,7 @@ def pack(vectors: DataFrame, rows: int, scale: float | None = None) -> DataFrame
         def block(dim: int, ids: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
             nonlocal count
             count += 1
-            data = np.floor(data * scale) if scale else data
+            data = np.clip(np.floor(data * scale), -LARGEST, LARGEST) if scale else data
             row = ([(part << 32) + count], [dim], [ids[:, 0].tobytes()], [data.tobytes()], [ids[:, 1].tobytes()])
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _SCHEMA, strict=True)], schema=_SCHEMA)
 

@@ -23,8 +23,13 @@ def escape(text: Column) -> Column:
     return F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<|"), F.lit("&lt;|"))
 
 
+def _inner(text: Column) -> Column:
+    """An escaped text that another part follows: a `<` at its end is escaped too, so that no control string begins across parts."""
+    return F.regexp_replace(escape(text), r"<\z", "&lt;")
+
+
 def unescape(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("&lt;|"), F.lit("<|")), F.lit("&amp;"), F.lit("&"))
+    return F.replace(F.replace(text, F.lit("&lt;"), F.lit("<")), F.lit("&amp;"), F.lit("&"))
 
 
 def _escape_role(role: Column) -> Column:
@@ -45,7 +50,8 @@ def visit(parts: Column) -> tuple[Column, Column]:
     media = list(TOKENS_A_UNIT)
     rate = F.create_map(*[F.lit(x) for kv in TOKENS_A_UNIT.items() for x in kv])
     known = lambda p: F.coalesce(p["kind"].isin(media), F.lit(False))
-    body = F.array_join(F.transform(parts, lambda p: F.when(known(p), F.concat(F.lit("<|"), p["kind"], F.lit("|>"))).otherwise(escape(p["text"]))), "")
+    text = lambda p, i: F.when(i < F.size(parts) - 1, _inner(p["text"])).otherwise(escape(p["text"]))
+    body = F.array_join(F.transform(parts, lambda p, i: F.when(known(p), F.concat(F.lit("<|"), p["kind"], F.lit("|>"))).otherwise(text(p, i))), "")
     attached = F.transform(F.filter(parts, known), lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), (F.coalesce(p["units"], F.lit(1)) * rate[p["kind"]]).cast("bigint").alias("tokens")))
     return body, attached
 
@@ -75,12 +81,31 @@ def _assembled(grouped: DataFrame, conv_col: str) -> DataFrame:
     return grouped.select(conv_col, F.size("t").cast("long").alias("n_turns"), "formatted", walked.alias("loss_mask"), placed.alias("attachments"))
 
 
-def read_turns(formatted: Column) -> Column:
-    """The turns of a formatted conversation: array of role and text, unescaped; placeholders stay in the text."""
+def _turns(formatted: Column, read) -> Column:
+    """read(role, body) of each turn of a formatted conversation, both still escaped."""
     pieces = F.filter(F.split(formatted, r"<\|im_start\|>"), lambda p: p != "")
     cut = lambda p: F.substring_index(p, "\n", 1)
     body = lambda p: F.substr(p, F.length(cut(p)) + 2, F.length(p) - F.length(cut(p)) - 1 - F.lit(len(END) + 1))
-    return F.transform(pieces, lambda p: F.struct(_unescape_role(cut(p)).alias("role"), unescape(body(p)).alias("text")))
+    return F.transform(pieces, lambda p: read(cut(p), body(p)))
+
+
+def read_turns(formatted: Column) -> Column:
+    """The turns of a formatted conversation: array of role and text, unescaped; placeholders stay in the text."""
+    return _turns(formatted, lambda role, body: F.struct(_unescape_role(role).alias("role"), unescape(body).alias("text")))
+
+
+def read_parts(formatted: Column) -> Column:
+    """The turns of a formatted conversation: array of role and parts (kind, text), so that a placeholder is told from a text that says it.
+
+    Neighbouring texts are one part, and empty ones none.
+    """
+    placeholder = rf"<\|({'|'.join(TOKENS_A_UNIT)})\|>"
+    text = lambda t: F.struct(F.lit("text").alias("kind"), unescape(t).alias("text"))
+    media = lambda k: F.struct(k.alias("kind"), F.lit(None).cast("string").alias("text"))
+    both = lambda t, k: F.when(k.isNull(), F.array(text(t))).otherwise(F.array(text(t), media(k)))
+    parts = lambda body: F.flatten(F.zip_with(F.split(body, placeholder, -1), F.regexp_extract_all(body, F.lit(placeholder), F.lit(1)), both))
+    some = lambda body: F.filter(parts(body), lambda p: (p["kind"] != "text") | (F.length(p["text"]) > 0))
+    return _turns(formatted, lambda role, body: F.struct(_unescape_role(role).alias("role"), some(body).alias("parts")))
 
 
 def read_loss(formatted: Column, mask: Column) -> Column:

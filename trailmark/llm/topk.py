@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,11 +26,19 @@ QUERIES_A_BLOCK = 512
 SLICE = 128
 
 
+#: Scores are longs; those beyond are the nearest of these ends.
+MOST = 2**63 - 1
+
+
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer inner products. Doubles are exact below 2^53; larger ones are taken in 64-bit integers."""
-    if np.abs(q).sum(axis=1).max(initial=0) * np.abs(c).max(initial=0) < 2**53:
+    """Integer inner products. Doubles are exact below 2^53; larger ones are taken in 64-bit integers, and beyond those in whole numbers of any size."""
+    bound = np.abs(q).sum(axis=1).max(initial=0) * np.abs(c).max(initial=0)
+    if bound < 2**53:
         return (q @ c.T).astype(np.int64)
-    return q.astype(np.int64) @ c.astype(np.int64).T
+    if bound < 2**62:
+        return q.astype(np.int64) @ c.astype(np.int64).T
+    whole = lambda x: np.array([[int(v) for v in row] for row in x], object).reshape(x.shape)
+    return np.clip(whole(q) @ whole(c).T, -MOST, MOST).astype(np.int64)
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -56,7 +64,8 @@ def _counts(k: int, width: int):
         for q_ids, low, _, scores in _cells(batches):
             kth = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(q_ids), np.iinfo(np.int64).min)
             at, col = np.nonzero((scores >= np.maximum(kth, low)[:, None]) & (scores > np.iinfo(np.int64).min))
-            bins = np.minimum((scores[at, col] - low[at]) // width, BINS)  # above the range: bin BINS
+            above = scores[at, col].view(np.uint64) - low[at].view(np.uint64)  # up to twice the largest long
+            bins = np.minimum(above // np.uint64(width), np.uint64(BINS)).astype(np.int64)  # above the range: bin BINS
             keys, n = np.unique(at * (BINS + 1) + bins, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(q_ids[keys // (BINS + 1)]), pa.array(keys % (BINS + 1)), pa.array(n)], schema=schema)
 
@@ -80,13 +89,18 @@ def _winners(k: int):
     return run
 
 
+def _wide(c: str) -> Column:
+    return F.col(c).cast("decimal(20,0)")
+
+
 def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k highest integer inner products of each query: (query_id, rank from 1, vec_id, score), ties to the smaller id.
 
     Components become floor(scale * x). Queries are the rows whose id is divisible by `every`; candidates are all rows with
     another id. Vectors that are null, empty or hold null or non-finite components, and rows with a null id, take no part;
     vectors of different length do not meet. A query with fewer than k candidates returns them all, one without any returns
-    nothing. Repeated rows of one id are candidates each; as a query, the smallest vector of an id counts. Scores are 64-bit.
+    nothing. Repeated rows of one id are candidates each; as a query, the smallest vector of an id counts. Scores are 64-bit; one
+    that would be larger is the largest long, one that would be smaller its negative.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).where(F.col("id").isNotNull() & valid_vector(F.col("v")))
     v = v.withColumn("low", F.lit(0).cast("long"))
@@ -94,7 +108,7 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
     # |q.c| <= |q||c|, so the largest norm bounds all scores.
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x.cast("double") * scale).cast("double") ** 2)
     seen = v.agg(F.max(square).alias("most"), F.count("*").alias("n"), F.count(F.when(F.col("id") % every == 0, 1)).alias("asked")).first()
-    most = int(seen["most"] or 0) + 1
+    most = int(min(seen["most"] or 0, float(2**62))) + 1 if (seen["most"] or 0) < 2**61 else MOST
     sizes = (1 + seen["asked"] // QUERIES_A_BLOCK, 1 + seen["n"] // CANDIDATES_A_BLOCK)
     width = -(-(2 * most + 1) // BINS)
     asked = materialise(v.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).withColumn("low", F.lit(-most).cast("long")), "asked")
@@ -105,7 +119,7 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
         down = W.partitionBy("query_id").orderBy(F.col("bin").desc())
         # The bin where the sum from above reaches k holds the k-th value. A query with fewer candidates has none: all are kept.
         hit = counts.withColumn("above", F.sum("n").over(down)).where(F.col("above") >= k).groupBy("query_id").agg(F.max("bin").alias("bin"))
-        low = F.when(F.col("bin").isNotNull(), F.col("low") + F.col("bin") * width).otherwise(-most).cast("long")
+        low = F.when(F.col("bin").isNotNull(), _wide("low") + _wide("bin") * F.lit(str(width)).cast("decimal(20,0)")).otherwise(-most).cast("long")
         asked = materialise(asked.join(hit, asked["id"] == hit["query_id"], "left").select("id", "v", low.alias("low")), "asked")
         if width == 1:
             break
