@@ -120,22 +120,19 @@ def mac_prefix(mac: Column) -> Column:
 
 # --- text and urls ---------------------------------------------------------------------------------------------------
 
-#: Browsers and systems by the first word that a user agent has, in this order.
-BROWSERS = [("micromessenger", "WeChat"), ("qqbrowser", "QQ"), ("ucbrowser", "UC"), ("edge", "Edge"), ("opr", "Opera"), ("firefox", "Firefox"), ("chrome", "Chrome"), ("safari", "Safari"), ("msie", "IE"), ("trident", "IE")]
-SYSTEMS = [("windows phone", "Windows Phone"), ("windows", "Windows"), ("android", "Android"), ("iphone", "iOS"), ("ipad", "iOS"), ("mac os", "Mac"), ("linux", "Linux")]
-
-
-def _first_key(text: Column, keys: list[tuple[str, str]], other: str) -> Column:
-    low = F.lower(text)
-    return F.coalesce(*[F.when(F.contains(low, F.lit(k)), F.lit(v)) for k, v in keys], F.lit(other))
+#: Names of browsers, of which the first counts that a user agent has, in this order and case; the last stands for none.
+BROWSERS = ["Baiduspider", "UCBrowser", "Firefox", "LBBROWSER", "MQQBrowser", "QQBrowser", "QQ", "360Spider", "Googlebot", "baiduboxapp", "BingPreview", "OppoBrowser", "MicroMessenger", "VivoBrowser", "MiuiBrowser", "huaxiabank", "MetaSr", "Edge", "BIDUBrowser", "TaoBrowser", "MSIE 5", "MSIE 6", "MSIE 7", "MSIE 8", "MSIE 9", "MSIE 10", "MSIE 11", "rv:1", "MSIE 12", "MSIE 13", "MSIE 14", "MSIE", "Chrome", "Safari", "Other"]
+#: Systems and the words, in lower case, that tell them, in this order.
+SYSTEMS = [("ipad", ["ipad"]), ("iphone", ["iphone"]), ("android", ["android"]), ("windows", ["windows", "wow", "win"]), ("mac", ["macintosh", "mac", "ox"])]
 
 
 def browser(agent: Column) -> Column:
-    return _first_key(agent, BROWSERS, "other")
+    return F.coalesce(*[F.when(F.contains(agent, F.lit(k)), F.lit(k)) for k in BROWSERS[:-1]], F.lit(BROWSERS[-1]))
 
 
 def operating_system(agent: Column) -> Column:
-    return _first_key(agent, SYSTEMS, "other")
+    low = F.lower(agent)
+    return F.coalesce(*[F.when(F.contains(low, F.lit(k)), F.lit(name)) for name, keys in SYSTEMS for k in keys], F.lit("other"))
 
 
 def query_map(url: Column) -> Column:

@@ -6,10 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.functions.scalars import android_valid, bound, cookie_valid, device_uuid, idfa_valid, imei_complete, imei_valid, unhex_escapes
+from trailmark.functions.scalars import android_valid, bound, cookie_valid, device_uuid, idfa_valid, imei_complete, imei_valid, rule_holds, unhex_escapes
+
+#: Status of a line (fixed values): what each number says.
+STATUS = {
+    200: "good", 101: "bad format", 102: "bad JSON", 103: "no identifier", 104: "no app id", 105: "missing field", 106: "bad value of a field", 107: "unknown app",
+    108: "no version", 109: "bad url", 120: "bad device id", 121: "probe without signal", 122: "bad id of a device", 404: "not known",
+}
+OK, SHORT, BAD_JSON, NO_APP, MISSING, UNKNOWN_APP, BAD_URL, BAD_ID, FAR, UNKNOWN = 200, 101, 102, 104, 105, 107, 109, 120, 121, 404
+
+
+def status_name(status: Column) -> Column:
+    return F.coalesce(*[F.when(status == k, F.lit(v)) for k, v in STATUS.items()], F.lit("undefined"))
+
 
-#: Status of a line (fixed values): good; bad JSON, missing fields, unknown app, bad device id, bad url, short line, bad frame, not found.
-OK, SHORT, BAD_JSON, NO_APP, MISSING, BAD_URL, BAD_ID, FAR, UNKNOWN = 200, 101, 102, 104, 105, 109, 120, 121, 404
 #: Names of events in the canonical table.
 LOGIN, REGISTER, LOGOUT, LEAD = "login", "register", "logout", "commit_clue"
 LEAD_NAMES = ["get_user_clue", "get_user_club", "commit_free_design"]
@@ -98,14 +108,33 @@ def _android(imei: Column, android_id: Column) -> Column:
     return F.when(android_valid(whole), device_uuid(F.lit("android"), whole)).otherwise(F.lit(""))
 
 
-_V1 = "struct<common:struct<app_identifier:string,app_id:string,app_version:string,app_channel:string,os_name:string,device_uuid:string,device_info:struct<imei:string,android_id:string>>,wj_uid:string,events:array<struct<time:bigint,id:string,type:string,sub_type:string,title:string,data:string,open_time:bigint,x_y:string>>>"
+_V1 = "struct<common:struct<app_identifier:string,app_id:string,app_version:string,app_channel:string,os_name:string,os_version:string,device_model:string,net_type:string,xy_screen:string,mac_id:string,device_uuid:string,device_info:struct<imei:string,android_id:string>>,wj_uid:string,events:array<struct<time:bigint,id:string,type:string,sub_type:string,title:string,data:string,open_time:bigint,x_y:string>>>"
+
 
+def accounts_checked(rows: DataFrame, accounts: DataFrame, userid: str = "userid", account: str = "account") -> DataFrame:
+    """rows with a user id that meets the rule of its app's account, else the empty one; accounts (few): account, kind, rule. See scalars.rule_holds."""
+    rules = F.broadcast(accounts.select(F.col("account").alias(account), F.col("kind").alias("_kind"), F.col("rule").alias("_rule")))
+    return rows.join(rules, account, "left").withColumn(userid, F.when(rule_holds(F.col("_kind"), F.col(userid), F.col("_rule")), F.col(userid)).otherwise("")).drop("_kind", "_rule")
 
-def mobile_v1(bodies: DataFrame) -> DataFrame:
-    """Version-1 payloads (ip, time, json) to many events each; a page stays where it was open for 0 to 10 minutes."""
+
+def _device(common: str) -> Column:
+    """The device map of version-1 payloads: screen, model, system, net and MAC address; what is not given is left out."""
+    f = lambda k: F.col(f"{common}.{k}")
+    side = lambda i: F.get(F.split(f("xy_screen"), "x"), i).try_cast("int").cast("string")
+    given = {"screenWidth": side(0), "screenHeight": side(1), "model": f("device_model"), "system": F.concat_ws(" ", f("os_name"), f("os_version")), "net": f("net_type"), "mac": F.lower(F.replace(f("mac_id"), F.lit(":"), F.lit("")))}
+    return F.map_filter(F.create_map(*[x for k, v in given.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+
+
+def mobile_v1(bodies: DataFrame, apps: DataFrame | None = None, accounts: DataFrame | None = None) -> DataFrame:
+    """Version-1 payloads (ip, time, json) to many events each; a page stays where it was open for 0 to 10 minutes.
+
+    apps (identifier, appid, platform, account): only known apps of ios and android count, and the platform says which device id does.
+    accounts (account, kind, rule): user ids must meet their account's rule.
+    """
     j = bodies.withColumn("_p", F.from_json("json", _V1)).withColumn("e", F.explode_outer("_p.events"))
     kind, sub = F.col("e.type"), F.col("e.sub_type")
     idfa = F.col("_p.common.device_uuid")
+    by_idfa, by_android = device_uuid(F.lit("idfa"), idfa), _android(F.col("_p.common.device_info.imei"), F.col("_p.common.device_info.android_id"))
     uuid = F.when(idfa_valid(idfa), device_uuid(F.lit("idfa"), idfa)).otherwise(_android(F.col("_p.common.device_info.imei"), F.col("_p.common.device_info.android_id")))
     stay = F.col("e.time") - F.col("e.open_time")
     subtype = (
@@ -122,9 +151,18 @@ def mobile_v1(bodies: DataFrame) -> DataFrame:
         .when((kind == "50") & (sub == "1") & (F.col("e.open_time") > 0) & (stay > 0) & (stay < MAX_STAY_MS), F.lit("page"))
     )
     appid = F.coalesce("_p.common.app_identifier", "_p.common.app_id")
-    status = F.when(F.col("_p.common").isNull(), BAD_JSON).when(appid.isNull() | F.col("e").isNull(), MISSING).when(F.length(uuid) != 32, BAD_ID).when(subtype.isNull(), UNKNOWN).otherwise(OK)
+    known = F.lit(None)
+    if apps is not None:
+        by = F.broadcast(apps.select(F.col("identifier").alias("_id"), F.col("appid").alias("_appid"), "platform", "account"))
+        j = j.join(by, appid == F.col("_id"), "left")
+        uuid = F.when(F.col("platform") == "ios", F.when(idfa_valid(idfa), by_idfa)).when(F.col("platform") == "android", by_android)
+        known = F.when(F.col("_appid").isNull(), UNKNOWN_APP).when(~F.col("platform").isin("ios", "android"), UNKNOWN)
+        appid = F.col("_appid")
+    status = F.when(F.col("_p.common").isNull(), BAD_JSON).when(known.isNotNull(), known).when(appid.isNull() | F.col("e").isNull(), MISSING).when(F.coalesce(F.length(uuid) != 32, F.lit(True)), BAD_ID).when(subtype.isNull(), UNKNOWN).otherwise(OK)
     page = F.col("subtype") == "page"
-    out = j.select("ip", appid.alias("appid"), uuid.alias("uuid"), F.coalesce("_p.wj_uid", F.lit("")).alias("userid"), F.col("_p.common.app_version").alias("app_version"), F.col("_p.common.app_channel").alias("channel"), subtype.alias("subtype"), F.col("e.id").alias("pageid"), F.col("e.time").alias("_t"), F.col("e.open_time").alias("_open"), stay.alias("_stay"), F.col("e.title").alias("title"), F.col("e.data").alias("data"), F.col("time").alias("localTime"), status.alias("status"))
+    out = j.select("ip", appid.alias("appid"), uuid.alias("uuid"), F.coalesce("_p.wj_uid", F.lit("")).alias("userid"), F.col("_p.common.app_version").alias("app_version"), F.col("_p.common.app_channel").alias("channel"), subtype.alias("subtype"), F.col("e.id").alias("pageid"), F.col("e.time").alias("_t"), F.col("e.open_time").alias("_open"), stay.alias("_stay"), F.col("e.title").alias("title"), F.col("e.data").alias("data"), F.col("time").alias("localTime"), status.alias("status"), _device("_p.common").alias("device"), *([F.col("account")] if apps is not None else []))
+    if accounts is not None:
+        out = accounts_checked(out, accounts)
     return out.withColumn("logtype", F.when(page, "50").otherwise("40")).withColumn("time", F.when(page, F.col("_open")).otherwise(F.col("_t"))).withColumn("staytime", F.when(page, F.col("_stay")).otherwise(0)).drop("_t", "_open", "_stay")
 
 

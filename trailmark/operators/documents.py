@@ -53,6 +53,18 @@ def keyword_costs(landed: DataFrame) -> DataFrame:
     return landed.select(j).select("j.*").where("day is not null and keyword is not null").withColumn("day", F.col("day").try_cast("date"))
 
 
+def query_costs(landed: DataFrame) -> DataFrame:
+    """Query rows of landed ad reports: what was really asked for, with the keyword and creative that it showed.
+
+    A report is one JSON object a line: day, account and a list of queries (query, keyword_id, creative_id, shown, clicked, cost).
+    Queries without words are left out; rate is clicks a showing, null if nothing was shown.
+    """
+    kind = "struct<day:string,account:string,queries:array<struct<query:string,keyword_id:bigint,creative_id:bigint,shown:bigint,clicked:bigint,cost:double>>>"
+    rows = landed.select(F.from_json("value", kind).alias("j")).select(F.col("j.day").try_cast("date").alias("day"), "j.account", F.explode("j.queries").alias("q"))
+    rows = rows.select("day", "account", "q.*").where("day is not null and length(trim(query)) > 0")
+    return rows.withColumn("rate", F.when(F.col("shown") > 0, F.col("clicked") / F.col("shown")))
+
+
 # --- visits ----------------------------------------------------------------------------------------------------------
 
 

@@ -153,6 +153,18 @@ def shaped(profile: DataFrame, tags: str, sex: str) -> DataFrame:
     return profile.withColumn("tag_keys", F.transform(entries, lambda e: e["k"])).withColumn("tag_values", F.transform(entries, lambda e: e["v"])).withColumn("sex_code", F.when(F.col(sex) > 0, 2).when(F.col(sex) < 0, 1).otherwise(0))
 
 
+def short_form(profile: DataFrame, tags: str, sex: str, consumption: str) -> DataFrame:
+    """shaped with the level of consumption halved towards zero, 0 where it is not known."""
+    half = F.when(F.col(consumption) < 0, F.ceil(F.col(consumption) / 2)).otherwise(F.floor(F.col(consumption) / 2))
+    return shaped(profile, tags, sex).withColumn(consumption, F.coalesce(half, F.lit(0)).cast("int"))
+
+
+def whole_profiles(devices: DataFrame, habits: DataFrame, labels: DataFrame, areas: DataFrame, tags: DataFrame) -> DataFrame:
+    """profiles with the tags of a device's apps: a map of tag to how many apps have it, and the sum of their sex weights."""
+    mapped = tags.groupBy("uuid").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "n")))).alias("app_tags"), F.sum("sex_weight").alias("sex"))
+    return profiles(devices, habits, labels, areas).join(mapped, "uuid", "left")
+
+
 #: How a search's parameter applies to its column. `some` and `every` take lists of array elements, `phrase` and `begins` texts.
 _TESTS = {
     "min": lambda c, v: c >= v,

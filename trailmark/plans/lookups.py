@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from trailmark.operators import documents, reports, sessions
 from trailmark.plans.adapt import EV, events
 from trailmark.plans.people import PAGE_LABEL_SQL, TODAY, label_days
-from trailmark.plans.traffic import FLOW, VIEWS, VISIT_SQL, ranges, views, visited
+from trailmark.plans.traffic import FLOW, VIEWS, VISIT_SQL, views, visited
 
 Q, SQL = {}, {}
 
@@ -43,11 +43,6 @@ def loose_excluded(spark, sf_dir):
     return reports.flow(documents.without_loose(v, documents.page_tags(v, _rules(spark, sf_dir))[1]), "appid")
 
 
-@query("browse_log", f"WITH {VIEWS} SELECT event_id, CASE WHEN contains(ref, 'example.com') THEN 'com' WHEN ref <> '' AND starts_with(ref, 'http') THEN 'web' END AS source, CAST(NULL AS VARCHAR) AS keyword FROM vw")
-def browse_log(spark, sf_dir):
-    return documents.browse_log(views(spark, sf_dir), [(1, "example.com", "com"), (3, "http", "web")]).select("event_id", "source", "keyword")
-
-
 @query("campaign", f"WITH {VIEWS} SELECT event_id, ref FROM vw WHERE appid = '1200' AND contains(ref, 'example') AND contains(url, '/en/')")
 def campaign(spark, sf_dir):
     return documents.campaign(views(spark, sf_dir), "1200", "example", "/en/").select("event_id", "ref")
@@ -65,11 +60,6 @@ def ip_counts(spark, sf_dir):
     return documents.ip_counts(sessions.visits(visited(spark, sf_dir)))
 
 
-@query("visit_documents")
-def visit_documents(spark, sf_dir):
-    return documents.visit_documents(sessions.visits(visited(spark, sf_dir)), ranges(spark, sf_dir))
-
-
 @query("label_lookup", f"""WITH {PAGE_LABEL_SQL} SELECT uuid, name, round(sum(CASE WHEN {TODAY} - day BETWEEN 0 AND 59 THEN (times * 0.7::DOUBLE + stay / 20000::DOUBLE * 0.3::DOUBLE) * 1.5::DOUBLE * (60 - ({TODAY} - day)) / 60::DOUBLE ELSE 0 END), 6) AS value
 FROM pl WHERE day BETWEEN {TODAY} - 59 AND {TODAY} AND uuid IN (SELECT uuid FROM ev WHERE subtype = 'purchase') GROUP BY ALL""")
 def label_lookup(spark, sf_dir):
@@ -88,6 +78,5 @@ def interests(spark, sf_dir):
 
 @query("top_ips", f"WITH {EV}, c AS (SELECT appid, ip, count(*) AS n FROM ev GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY n DESC, ip) AS k FROM c) SELECT appid, string_agg(ip || '=' || n, ',' ORDER BY k) AS ips FROM r WHERE k <= 10 GROUP BY appid")
 def top_ips(spark, sf_dir):
-    counts = events(spark, sf_dir).groupBy("appid", "ip").agg(F.count("*").alias("n"))
-    maps = counts.groupBy("appid").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("ip", "n")))).alias("m"))
-    return maps.select("appid", F.array_join(F.transform(documents.top_entries(F.col("m"), 10), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("ips"))
+    best = reports.top(events(spark, sf_dir).groupBy("appid", "ip").agg(F.count("*").alias("n")), "n", 10, "appid", "ip")
+    return best.groupBy("appid").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "ip", "n"))), lambda e: F.concat_ws("=", e["ip"], e["n"].cast("string"))), ",").alias("ips"))

@@ -370,10 +370,22 @@ def place_labels(spark, sf_dir):
 # --- texts and urls ----------------------------------------------------------------------------------------------------
 
 
-@query("ua_class", f"WITH {EV}, a AS (SELECT DISTINCT browser, system FROM ev) SELECT browser AS b, system AS s, CASE browser WHEN 'UC' THEN 'other' ELSE browser END AS browser, CASE system WHEN 'android' THEN 'Android' WHEN 'windows' THEN 'Windows' ELSE 'other' END AS system FROM a")
+#: User agents of events: a word of the browser's and one of the system's, in the case that agents have.
+AGENT_SQL = "'Mozilla/5.0 (' || ['Linux; Android 9', 'iPhone; CPU', 'Windows NT; WOW64', 'Macintosh', 'X11', 'iPad'][1 + event_id % 6] || ') ' || ['UCBrowser Chrome', 'Chrome Safari', 'MSIE 10.0', 'rv:11.0', 'MQQBrowser', 'QQ/8', 'MicroMessenger Safari', 'Lynx', 'chrome'][1 + event_id % 9]"
+
+
+def agents(e: DataFrame) -> DataFrame:
+    pick = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (F.col("event_id") % len(xs)).cast("int"))
+    system = pick(["Linux; Android 9", "iPhone; CPU", "Windows NT; WOW64", "Macintosh", "X11", "iPad"])
+    return e.withColumn("agent", F.concat(F.lit("Mozilla/5.0 ("), system, F.lit(") "), pick(["UCBrowser Chrome", "Chrome Safari", "MSIE 10.0", "rv:11.0", "MQQBrowser", "QQ/8", "MicroMessenger Safari", "Lynx", "chrome"])))
+
+
+@query("ua_class", f"""WITH {EV}, a AS (SELECT event_id, event_id % 6 AS s, event_id % 9 AS b, {AGENT_SQL} AS agent FROM ev)
+SELECT agent, CASE b WHEN 0 THEN 'UCBrowser' WHEN 1 THEN 'Chrome' WHEN 2 THEN 'MSIE 10' WHEN 3 THEN 'rv:1' WHEN 4 THEN 'MQQBrowser' WHEN 5 THEN 'QQ' WHEN 6 THEN 'MicroMessenger' ELSE 'Other' END AS browser,
+ CASE s WHEN 0 THEN 'android' WHEN 1 THEN 'iphone' WHEN 2 THEN 'windows' WHEN 3 THEN 'mac' WHEN 5 THEN 'ipad' ELSE 'other' END AS system, count(*) AS n FROM a GROUP BY ALL""")
 def ua_class(spark, sf_dir):
-    a = events(spark, sf_dir).select("browser", "system").distinct().withColumn("agent", F.concat_ws(" ", F.lit("Mozilla/5.0"), "browser", "system"))
-    return a.select(F.col("browser").alias("b"), F.col("system").alias("s"), scalars.browser(F.col("agent")).alias("browser"), scalars.operating_system(F.col("agent")).alias("system"))
+    a = agents(events(spark, sf_dir))
+    return a.groupBy("agent", scalars.browser(F.col("agent")).alias("browser"), scalars.operating_system(F.col("agent")).alias("system")).agg(F.count("*").alias("n"))
 
 
 @query("search_keyword", "WITH u AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'baidu' WHEN 1 THEN 'so.com' ELSE 'google' END AS engine FROM pages) SELECT page_id, engine, CASE WHEN engine = 'google' THEN NULL ELSE 'word ' || page_id END AS keyword FROM u")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trailmark.plans import lookups, offers, people, records, streams, traffic
+from trailmark.plans import composed, lookups, offers, people, records, streams, traffic
 
-QUERIES = {**traffic.Q, **people.Q, **offers.Q, **lookups.Q, **streams.Q, **records.Q}
-ORACLE = {**traffic.SQL, **people.SQL, **offers.SQL, **lookups.SQL, **streams.SQL, **records.SQL}
+QUERIES = {**traffic.Q, **people.Q, **offers.Q, **lookups.Q, **streams.Q, **records.Q, **composed.Q}
+ORACLE = {**traffic.SQL, **people.SQL, **offers.SQL, **lookups.SQL, **streams.SQL, **records.SQL, **composed.SQL}
