@@ -53,7 +53,7 @@ IMEI = "lpad(CAST(user_id AS VARCHAR), 15, '1')"
 
 
 @query("clean_mobile_known", f"""WITH {EV} SELECT event_id, CASE WHEN appid IN ('1200', '1201') THEN 'a' || appid WHEN appid = '1202' THEN 'w1202' END AS appid,
- CASE appid WHEN '1200' THEN md5({records.IDFA_SQL}) WHEN '1201' THEN md5({IMEI} || '#a' || user_id) END AS uuid, CASE WHEN appid IN ('1200', '1202') AND user_id % 3 = 0 THEN 'm' || user_id WHEN appid = '1201' AND user_id % 10 = 1 THEN 'u' || user_id ELSE '' END AS userid,
+ CASE appid WHEN '1200' THEN md5({records.IDFA_SQL}) WHEN '1201' THEN md5({IMEI} || '#a' || user_id) END AS uuid, CASE WHEN appid IN ('1200', '1202') AND user_id % 3 = 0 THEN 'm' || user_id WHEN appid = '1201' AND user_id % 10 = 1 AND user_id % 3 > 0 THEN 'u' || user_id ELSE '' END AS userid,
  'mac=0a' || user_id || ',model=M' || user_id % 3 || ',net=wifi,screenHeight=' || sh || ',screenWidth=' || sw || ',system=os 9' AS device,
  CAST(CASE WHEN appid IN ('1203', '1204') THEN 107 WHEN appid = '1202' THEN 404 WHEN subtype = 'error' THEN 404 ELSE 200 END AS INTEGER) AS status FROM ev""")
 def clean_mobile_known(spark, sf_dir):

@@ -339,8 +339,14 @@ def gps_thin(spark, sf_dir):
     return places.thinned(points(spark, sf_dir).select("uuid", "event_id", "time", "lon", "lat"))
 
 
+def tracks(spark, sf_dir) -> DataFrame:
+    """Points that are further apart, so that users have several places."""
+    p = points(spark, sf_dir)
+    return p.withColumns({"lon": F.col("lon") + F.col("event_id") % 5 * (F.col("pageid") % 3) * 0.017, "lat": F.col("lat") + F.col("event_id") % 2 * 0.03})
+
+
 #: Each point with the cluster that takes it; c holds the clusters of its user: centre, points and the time of the last one.
-CLUSTER_SQL = f"""{POINT_SQL}, po AS (SELECT uuid, lon, lat, time, row_number() OVER (PARTITION BY uuid ORDER BY time, event_id) AS i FROM pt),
+CLUSTER_SQL = f"""{POINT_SQL}, po AS (SELECT uuid, lon + (event_id % 5) * (pageid % 3) * 0.017::DOUBLE AS lon, lat + (event_id % 2) * 0.03::DOUBLE AS lat, time, row_number() OVER (PARTITION BY uuid ORDER BY time, event_id) AS i FROM pt),
 cl AS (SELECT uuid, lon, lat, time, i, [{{'x': lon, 'y': lat, 'n': 1, 't': time}}] AS c, 1 AS own FROM po WHERE i = 1
   UNION ALL SELECT uuid, lon, lat, time, i,
     CASE WHEN k IS NULL THEN list_append(c, {{'x': lon, 'y': lat, 'n': 1, 't': time}}) ELSE list_transform(c, lambda z, j: CASE WHEN j = k THEN {{'x': z.x + (lon - z.x) / (z.n + 1), 'y': z.y + (lat - z.y) / (z.n + 1), 'n': z.n + 1, 't': time}} ELSE z END) END,
@@ -351,7 +357,7 @@ ce AS (SELECT uuid, own - 1 AS cluster, count(*) AS n, arg_max(c[own].x, i) AS x
 
 @query("gps_cluster", f"WITH RECURSIVE {CLUSTER_SQL} SELECT uuid, CAST(cluster AS INTEGER) AS cluster, round(x, 6) AS lon, round(y, 6) AS lat, n FROM ce")
 def gps_cluster(spark, sf_dir):
-    return places.clusters(points(spark, sf_dir)).select("uuid", "cluster", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "n")
+    return places.clusters(tracks(spark, sf_dir)).select("uuid", "cluster", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "n")
 
 
 @query("place_labels", f"""WITH RECURSIVE {CLUSTER_SQL}, t AS (SELECT uuid, own - 1 AS cluster, sum(CASE WHEN (time + 28800000) % 86400000 // 3600000 < 7 OR (time + 28800000) % 86400000 // 3600000 > 20 THEN 1.0 ELSE -0.5 END) AS night FROM cl GROUP BY ALL),
@@ -364,7 +370,7 @@ SELECT uuid, CAST(cluster AS INTEGER) AS cluster, label, n FROM l WHERE label IS
 def place_labels(spark, sf_dir):
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"), F.when((F.col("id") < 7) | (F.col("id") > 20), 1.0).otherwise(-0.5).alias("night"))
     calendar = events(spark, sf_dir).select(scalars.day_number(F.col("time")).alias("day_num")).distinct().withColumn("day_off", (F.col("day_num") + 2) % 7 >= 5)
-    return places.place_labels(places.clusters(points(spark, sf_dir)), hours, calendar).select("uuid", "cluster", "label", "n")
+    return places.place_labels(places.clusters(tracks(spark, sf_dir)), hours, calendar).select("uuid", "cluster", "label", "n")
 
 
 # --- texts and urls ----------------------------------------------------------------------------------------------------
