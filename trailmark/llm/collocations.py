@@ -19,12 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import flushed, materialise, private
+from trailmark.llm.shared import materialise, private
 
 MOST_WORDS = 4
 LEAST_COUNT = 30
@@ -36,8 +37,8 @@ NO_LANG = "und"
 SAMPLE, LOWERED, LEAST_SAMPLED = 8, 50, 2
 #: Places of the bitmap, a power of two; 2^27 are 16 MB.
 FILTER_BITS = 1 << 27
-#: Bytes of text whose phrases a task counts at a time, and phrases whose counts it adds up before it gives them.
-CHUNK, HELD = 4 << 20, 400_000
+#: Bytes of text whose phrases a task counts at a time.
+CHUNK = 2 << 20
 #: Salts of a language when its best phrases are picked.
 SALTS = 64
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
@@ -158,37 +159,26 @@ def _hashed(words: _Words, inside: Filter, before: Filter | None, lengths: tuple
                 yield pa.RecordBatch.from_arrays([pa.array(found[s].view(np.int64)), pa.array(~shut[s]), pa.array(count[s])], names=["a", "open", "n"])
 
 
-def _exact(words: _Words, frequent: Filter, counts: Counter) -> None:
-    """Add to counts, by their text, the phrases whose hash is in the filter, told apart by their words, and all words under no text."""
-    names = words.names
+def _exact(words: _Words, frequent: Filter) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, words, n) of the phrases whose hash is in the filter, told apart by their words, and all words under no text."""
+    lang, names = words.lang.decode(), pa.array(words.names, pa.binary()).cast(pa.string())
+
+    def rows(phrase: pa.Array, n: int, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(phrase)), phrase, pa.array(np.full(len(phrase), n, np.int8)), pa.array(counts.astype(np.int64))], schema=_COUNTED)
+
     for n, a, real in words.levels():
         if n == 1:
-            counts[b""] += len(words.fresh(real.copy(), 1))
+            yield rows(pa.array([""]), 0, np.array([len(words.fresh(real.copy(), 1))]))
         at = words.fresh(real & frequent.holds(a), n)
         _, where, which = np.unique(a[at], return_index=True, return_inverse=True)
         numbers = words.at[at[:, None] + np.arange(n)]
         same = (numbers == numbers[where[which]]).all(axis=1)
-        for t, c in zip(numbers[where].tolist(), np.bincount(which[same], minlength=len(where)).tolist(), strict=True):
-            counts[b" ".join([names[i] for i in t])] += c
-        for t in numbers[~same].tolist():  # phrases that share a hash with another one here
-            counts[b" ".join([names[i] for i in t])] += 1
-
-
-def _named(parts: Iterator[_Words], frequent: Filter) -> Iterator[tuple]:
-    """(lang, phrase, words, n) of what `_exact` counts, added up while it fits in memory."""
-    held: dict[bytes, Counter] = {}
-
-    def given() -> Iterator[tuple]:
-        for lang, counts in held.items():
-            for p, n in counts.items():
-                yield lang.decode(), p.decode(), p.count(b" ") + 1 if p else 0, n
-        held.clear()
-
-    for words in parts:
-        _exact(words, frequent, held.setdefault(words.lang, Counter()))
-        if sum(map(len, held.values())) > HELD:
-            yield from given()
-    yield from given()
+        text = lambda x: pc.binary_join_element_wise(*[names.take(pa.array(c)) for c in x.T], " ")
+        for i in range(0, len(where), 1 << 16):
+            s = slice(i, i + (1 << 16))
+            yield rows(text(numbers[where[s]]), n, np.bincount(which[same], minlength=len(where))[s])
+        if not same.all():  # phrases that share a hash with another one here
+            yield rows(text(numbers[~same]), n, np.ones(int((~same).sum())))
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
@@ -239,7 +229,8 @@ def exact_counts(docs: DataFrame, least: int, frequent: Filter) -> DataFrame:
     told = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from flushed(_named(_parts(batches), told.value), _COUNTED, lambda r: len(r[1]))
+        for words in _parts(batches):
+            yield from _exact(words, told.value)
 
     got = docs.select("lang", "text").mapInArrow(run, COUNTED).groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n"))
     got = materialise(got.where((F.col("n") >= least) | (F.col("words") == 0)), "phrases")
