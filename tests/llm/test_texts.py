@@ -272,12 +272,39 @@ def test_similar_texts_match_brute_force(spark, monkeypatch):
                 root[max(x, y)] = min(x, y)
     want = sorted({find(i) for i in range(len(texts))})
     assert len(want) < len(texts) - 30
-    for hot in (256, 3):
-        monkeypatch.setattr(similar, "HOT_BAND", hot)
+    for rounds, representatives in ((2, 16), (1, 1), (0, 1)):
+        monkeypatch.setattr(similar, "ROUNDS", rounds)
+        monkeypatch.setattr(similar, "REPRESENTATIVES", representatives)
         assert sorted(r["doc_id"] for r in similar.deduplicated(docs_of(spark, texts)).collect()) == want
     assert similar.deduplicated(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_a_large_group_of_changed_copies_makes_few_pairs(spark, monkeypatch):
+    """Copies of one text with words changed, not all of which are similar to each other: one class, and far fewer pairs than their square."""
+    rng = random.Random(29)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for n in [rng.choice([1, 2, 3]) for _ in range(200)]:
+        v = list(base)
+        for _ in range(n):
+            v[rng.randrange(len(v))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(v))
+    sizes, real = [], similar._similar
+    monkeypatch.setattr(similar, "_similar", lambda near, docs: (sizes.append(near.count()), real(near, docs))[1])
+    kept = similar.deduplicated(docs_of(spark, texts)).count()
+    near = [[b for b in range(len(texts)) if a != b and jaccard(texts[a], texts[b]) >= 0.8] for a in range(len(texts))]
+    seen, groups = set(), 0
+    for a in range(len(texts)):
+        if a not in seen:
+            groups, todo = groups + 1, [a]
+            while todo:
+                x = todo.pop()
+                if x not in seen:
+                    seen.add(x)
+                    todo += near[x]
+    assert kept == groups and sum(sizes) < 0.5 * len(texts) * (len(texts) - 1) / 2
+
+
 def test_pipeline_stage_drops_near_copies(spark):
     import corpus_pipeline
 
