@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.functions.scalars import day_number, hour_of_day, minute_of_day
@@ -21,13 +20,22 @@ def per_minute(readings: DataFrame) -> DataFrame:
 
 
 def real_devices(readings: DataFrame) -> DataFrame:
-    """Readings of devices with 3 to 5760 of them, seen for more than a minute within a gap of two hours."""
-    dev = W.partitionBy("venue", "mac")
-    cut = F.coalesce((F.col("time") - F.lag("time").over(dev.orderBy("time")) > GAP_MS).cast("int"), F.lit(0))
-    numbered = readings.withColumn("_n", F.count("*").over(dev)).withColumn("_cut", cut).withColumn("_s", F.sum("_cut").over(dev.orderBy("time").rangeBetween(W.unboundedPreceding, 0)))
-    run = W.partitionBy("venue", "mac", "_s")
-    ranged = numbered.withColumn("_span", F.max("time").over(run) - F.min("time").over(run))
-    return ranged.withColumn("_long", F.max("_span").over(dev)).where(F.col("_n").between(FEWEST, MOST) & (F.col("_long") > LEAST_MS)).drop("_n", "_cut", "_s", "_span", "_long")
+    """Readings of devices with 3 to 5760 of them, of which one comes more than a minute, and at most two hours, after its run began.
+
+    A run begins with the first reading, and anew with each that comes more than two hours after its beginning. Only devices of
+    so few readings are folded in order of time.
+    """
+    keys = ["venue", "mac"]
+    some = readings.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n").between(FEWEST, MOST)).drop("_n")
+    times = readings.join(some, keys).groupBy(*keys).agg(F.sort_array(F.collect_list("time")).alias("_t"))
+    begin = F.struct(F.get("_t", 0).alias("start"), F.lit(False).alias("long"))
+
+    def step(run: Column, t: Column) -> Column:
+        since = t - run["start"]
+        return F.struct(F.when(since > GAP_MS, t).otherwise(run["start"]).alias("start"), (run["long"] | since.between(LEAST_MS + 1, GAP_MS)).alias("long"))
+
+    real = times.where(F.aggregate("_t", begin, step, lambda run: run["long"])).select(*keys)
+    return readings.join(real, keys, "left_semi")
 
 
 def visits(readings: DataFrame) -> DataFrame:

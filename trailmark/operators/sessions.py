@@ -1,18 +1,13 @@
 """Stay times, visits and other rules over the ordered events of a user.
 
-Rules that look at neighbours are windows. Rules whose state depends on their own earlier output run in order over one user's
-events of a partition, sorted by Spark, and keep only a few numbers between rows.
+All rules are windows, also those that seem to need state from row to row: what armed or opened last before a row tells it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 PAGE, EVENT = "50", "40"
 GAP_MS = 600_000

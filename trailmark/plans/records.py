@@ -314,11 +314,11 @@ def dimension_rules(spark, sf_dir):
     return tables.dimension(spark, "source", path).drop("active")
 
 
-@query("denied_visitors", f"WITH {EV}, x AS (SELECT DISTINCT '10.0.3.' AS p UNION SELECT '10.0.' || CAST(o_custkey % 7 AS VARCHAR) || '.' || CAST(20 + o_orderkey % 3 AS VARCHAR) FROM orders WHERE o_orderkey % 4 = 0) SELECT event_id FROM ev WHERE NOT EXISTS (FROM x WHERE starts_with(ip, p)) AND ip NOT IN ('10.0.1.1', '10.0.2.2') AND uuid NOT IN (SELECT md5(CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_custkey % 2 = 0)")
+@query("denied_visitors", f"WITH {EV}, x AS (SELECT DISTINCT '10.0.3.' AS p UNION SELECT '10.0.' || CAST(o_custkey % 7 AS VARCHAR) || '.' || CAST(20 + o_orderkey % 3 AS VARCHAR) FROM orders) SELECT event_id FROM ev WHERE NOT EXISTS (FROM x WHERE starts_with(ip, p)) AND ip NOT IN ('10.0.1.1', '10.0.2.2') AND uuid NOT IN (SELECT md5(CAST(c_custkey AS VARCHAR)) FROM customer WHERE c_custkey % 2 = 0)")
 def denied_visitors(spark, sf_dir):
-    """Denied beginnings are a line of each fourth order here, so their number grows with the tables."""
+    """Each order gives a line of a denied beginning here, so their number grows with the tables."""
     path = _path(spark, "lists")
-    orders = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0")
+    orders = table(spark, sf_dir, "orders")
     lines = orders.select(F.concat(F.lit("10.0."), _text(F.col("o_custkey") % 7), F.lit("."), _text(20 + F.col("o_orderkey") % 3), F.lit("*")).alias("value"))
     lines.unionByName(spark.createDataFrame([("10.0.1.1",), ("10.0.2.2 ",), ("10.0.3.*",), ("",)], "value string")).write.text(f"{path}/ips")
     table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.concat(F.md5(_text(F.col("c_custkey"))), F.lit(" ")).alias("value")).write.text(f"{path}/ids")
@@ -329,9 +329,8 @@ def denied_visitors(spark, sf_dir):
 @query("run_log", f"WITH {EV} SELECT 'job ' || appid AS name, min(time) AS start_ms, max(time) AS end_ms, max(time) - min(time) AS took_ms FROM ev GROUP BY appid")
 def run_log(spark, sf_dir):
     path = _path(spark, "runs")
-    # One row per app: five.
-    for r in events(spark, sf_dir).groupBy("appid").agg(F.min("time").alias("a"), F.max("time").alias("b")).collect():
-        tables.log_run(spark, path, f"job {r['appid']}", r["a"], r["b"], "note")
+    runs = events(spark, sf_dir).groupBy("appid").agg(F.min("time").alias("start_ms"), F.max("time").alias("end_ms"))
+    tables.log_runs(runs.select(F.concat(F.lit("job "), "appid").alias("name"), "start_ms", "end_ms", F.lit("note").alias("note")), path)
     return spark.read.schema("name string, start_ms long, end_ms long, took_ms long").json(path)
 
 
@@ -440,8 +439,10 @@ def probe_minutes(spark, sf_dir):
     return probe.per_minute(readings(spark, sf_dir)).select("venue", "mac", "time")
 
 
-@query("probe_real_devices", f"""WITH {EV}, r AS (SELECT *, user_id % 3 AS venue FROM ev), c AS (SELECT *, CASE WHEN time - lag(time) OVER (PARTITION BY uuid ORDER BY time, event_id) > 7200000 THEN 1 ELSE 0 END AS cut FROM r), s AS (SELECT *, sum(cut) OVER (PARTITION BY uuid ORDER BY time, event_id) AS k FROM c),
-g AS (SELECT uuid, k, max(time) - min(time) AS span, count(*) AS n FROM s GROUP BY ALL), d AS (SELECT uuid FROM g GROUP BY uuid HAVING sum(n) BETWEEN 3 AND 5760 AND max(span) > 60000) SELECT event_id, venue FROM r WHERE uuid IN (SELECT uuid FROM d)""")
+@query("probe_real_devices", f"""WITH RECURSIVE {EV}, r AS (SELECT uuid, time, row_number() OVER (PARTITION BY uuid ORDER BY time, event_id) AS i, count(*) OVER (PARTITION BY uuid) AS n FROM ev),
+s AS (SELECT uuid, i, time AS start, false AS long FROM r WHERE i = 1 AND n BETWEEN 3 AND 5760
+  UNION ALL SELECT r.uuid, r.i, CASE WHEN r.time - start > 7200000 THEN r.time ELSE start END, long OR (r.time - start > 60000 AND r.time - start <= 7200000) FROM s JOIN r ON r.uuid = s.uuid AND r.i = s.i + 1)
+SELECT event_id, user_id % 3 AS venue FROM ev WHERE uuid IN (SELECT uuid FROM s WHERE long)""")
 def probe_real_devices(spark, sf_dir):
     return probe.real_devices(readings(spark, sf_dir)).select("event_id", "venue")
 
