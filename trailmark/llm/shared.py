@@ -17,9 +17,11 @@ BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one where unset and all runs on one machine (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(where)
         where = spark.sparkContext.getCheckpointDir()
