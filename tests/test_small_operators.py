@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from trailmark.functions import scalars
@@ -97,3 +98,26 @@ def test_time_guards(spark, rows):
     assert [r[0] for r in rows(t.select(scalars.today_and_not_later(F.col("t"), F.lit(day))))] == [False, True, True]
     assert [r[0] for r in rows(t.select(scalars.within_day(F.col("t"), F.lit(0))))] == [True, True, False]
     assert [r[0] for r in rows(t.select(scalars.same_day(F.col("t"), F.lit(0))))] == [True, False, False]
+
+
+def test_kafka_source_options():
+    """The stream starts at the latest offsets and takes so many at a time; there is no broker to read from here."""
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def load(self):
+            raise ConnectionError
+
+    for most, want in ((None, {}), (500, {"maxOffsetsPerTrigger": "500"})):
+        seen.clear()
+        with pytest.raises(ConnectionError):
+            tables.kafka(type("Session", (), {"readStream": Reader()})(), "a:9092,b:9092", "web,app", most)
+        assert seen == {"format": "kafka", "kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "web,app", "startingOffsets": "latest", **want}

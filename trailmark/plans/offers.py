@@ -80,8 +80,8 @@ def recommend_area(spark, sf_dir):
     return best.select("area", "item_type", "item", "rank")
 
 
-EFFECT_SQL = f"""{EV}, l AS (SELECT DISTINCT uuid FROM ev WHERE logtype = '50' AND pageid < 40), r AS (SELECT DISTINCT uuid FROM ev WHERE user_id % 3 = 0), pg AS (SELECT uuid, pageid, lead(pageid) OVER (PARTITION BY uuid ORDER BY time, event_id) AS nx FROM ev WHERE logtype = '50'),
-h AS (SELECT DISTINCT uuid FROM pg WHERE pageid < 40 AND nx >= 90), t AS (SELECT DISTINCT uuid FROM ev WHERE logtype = '50' AND pageid >= 90 AND event_id % 5 = 0)"""
+EFFECT_SQL = f"""{EV}, l AS (SELECT DISTINCT uuid FROM ev WHERE logtype = '50' AND pageid < 40), r AS (SELECT DISTINCT uuid FROM ev WHERE system = 'ios'), pg AS (SELECT uuid, pageid, lead(pageid) OVER (PARTITION BY uuid ORDER BY time, event_id) AS nx FROM ev WHERE logtype = '50'),
+h AS (SELECT DISTINCT uuid FROM pg WHERE pageid < 40 AND nx >= 90), t AS (SELECT DISTINCT uuid FROM ev WHERE logtype = '50' AND pageid >= 90 AND value > 40)"""
 
 
 @query("recommend_effect", f"""WITH {EFFECT_SQL} SELECT 'seen' AS "group", count(*) AS users FROM l UNION ALL SELECT 'exposed', count(*) FROM l WHERE uuid IN (SELECT uuid FROM r) UNION ALL SELECT 'default', count(*) FROM l WHERE uuid NOT IN (SELECT uuid FROM r)
@@ -89,9 +89,9 @@ UNION ALL SELECT 'default_hit', count(*) FROM l WHERE uuid NOT IN (SELECT uuid F
 def recommend_effect(spark, sf_dir):
     e = events(spark, sf_dir)
     pages = e.where("logtype = '50'")
-    told = pages.where("pageid >= 90 and event_id % 5 = 0").select("uuid").distinct()
+    told = pages.where("pageid >= 90 and value > 40").select("uuid").distinct()
     hits = sessions.followed(pages, F.col("pageid") < 40, F.col("pageid") >= 90)
-    return recommend.effect(pages.where("pageid < 40").select("uuid").distinct(), e.where("user_id % 3 = 0").select("uuid").distinct(), hits, told)
+    return recommend.effect(pages.where("pageid < 40").select("uuid").distinct(), e.where("system = 'ios'").select("uuid").distinct(), hits, told)
 
 
 @query("item_rating", f"WITH {EV}, r AS (SELECT uuid, CAST(pageid AS VARCHAR) AS item, CAST(CASE WHEN subtype IN ('view', 'click') THEN 1 ELSE 2 END AS INTEGER) AS item_type, CASE WHEN logtype = '50' THEN (event_id % 1000) * 10 / 1000.0::DOUBLE ELSE 5 END AS score FROM ev) SELECT uuid, item, item_type, round(sum(score), 6) AS score FROM r GROUP BY ALL")
