@@ -17,6 +17,8 @@ import re
 from collections import Counter
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ NEIGHBOURS = 16
 PRIOR_WEIGHT = 0.05
 THRESHOLD = 0.3
 BINS = 50
+#: Words whose numbers a worker remembers; most words of a text are among the first that it meets.
+CACHED = 50_000
 #: Examples by whose nearness the others are ordered, so that blocks hold examples that are alike.
 PIVOTS = 16
 _words = re.compile(r"[^\W_]+").findall
@@ -67,13 +71,31 @@ class Vocabulary:
         return at[at >= 0], np.fromiter(found.values(), float, len(found))[at >= 0]
 
     def numbers_of(self, found: Collection[str]) -> np.ndarray:
-        """The number of each word, -1 for one that no example has."""
-        asked = hashes_of(found)
+        """The number of each word, -1 for one that no example has. A worker remembers the first CACHED words it has looked up."""
+        out = np.fromiter(map(self.seen.get, found, repeat(-2)), np.int64, len(found))
+        new = np.flatnonzero(out == -2)
+        if len(new):
+            listed = list(found)
+            asked = [listed[i] for i in new.tolist()]
+            out[new] = self._looked_up(asked)
+            if len(self.seen) < CACHED:
+                self.seen.update(zip(asked, out[new].tolist(), strict=True))
+        return out
+
+    @cached_property
+    def seen(self) -> dict[str, int]:
+        return {}
+
+    def _looked_up(self, asked: list[str]) -> np.ndarray:
+        hashes = hashes_of(asked)
         if not len(self):
             return np.full(len(asked), -1, np.int64)
-        at = np.searchsorted(self.hashes, asked)
+        at = np.searchsorted(self.hashes, hashes)
         at[at == len(self)] = 0
-        return np.where(self.hashes[at] == asked, at, -1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def __reduce__(self):
+        return Vocabulary, (self.hashes,)
 
 
 def hashes_of(found: Collection[str]) -> np.ndarray:
