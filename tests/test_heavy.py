@@ -40,6 +40,18 @@ def test_similarities_do_not_depend_on_blocks(spark):
         assert a == b and a
 
 
+def test_pairs_are_made_where_they_are_added_up(spark):
+    """Parts of few pairs and an item that all users have: each a and b have one part, and pairs themselves are not dealt out."""
+    r = spark.createDataFrame([(u, i, float(u % 5 + i)) for u in range(60) for i in {0, u % 7 + 1, u % 11 + 10, u % 13 + 30}], "user int, item int, score double")
+    made = recommend._pairs(r, None, 3, 20).groupBy("_part", "_split", "a", "b").agg(F.count("*").alias("n"))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part" in plan and "a#" not in "".join(x for x in plan.split("\n") if "Exchange hash" in x)
+    got = {(x["a"], x["b"]): x["n"] for x in made.collect()}
+    want = Counter((a, b) for u in range(60) for a in {0, u % 7 + 1, u % 11 + 10, u % 13 + 30} for b in {0, u % 7 + 1, u % 11 + 10, u % 13 + 30} if a < b)
+    assert got == want and made.count() == len(want)
+    assert made.select("_split").distinct().count() > 1
+
+
 def test_many_denied_prefixes(spark, rows):
     short = spark.range(100_000).select(F.concat(F.lit("7."), (F.col("id") % 250).cast("string"), F.lit("."), F.floor(F.col("id") / 250).cast("string"), F.lit(".")).alias("prefix"))
     short = short.unionByName(spark.createDataFrame([("9.",), ("",)], "prefix string"))

@@ -19,29 +19,40 @@ def item_rating(events: DataFrame, fixed: float = 5.0) -> DataFrame:
     return rated.groupBy("uuid", "item", "item_type").agg(F.sum("score").alias("score"))
 
 
-#: Items of a block of a user's items. A user's pairs are made by pairs of blocks, so none of them makes more than the square of this.
+#: Items of a block of a user's items, so that no row holds more of them.
 BLOCK = 512
+#: Pairs of a part of the items, about so many of which are added up in one task.
+PAIRS = 1_000_000
 
 
-def _pairs(ratings: DataFrame, most: int | None, block: int = BLOCK) -> DataFrame:
-    """Items a < b that a user rated, with their scores x and y.
+def _pairs(ratings: DataFrame, most: int | None, block: int = BLOCK, pairs: int = PAIRS) -> DataFrame:
+    """Items a < b that a user rated, with their scores x and y; all pairs of an a and b have the same _part and _split.
 
-    A user's items are dealt over blocks of about `block` by a hash, and each pair of blocks is a key of the join of its own: a
-    user of m items is spread over about (m / block)^2 / 2 keys, and no pair is lost. Only if `most` is given, users with more items
-    give their best ones alone.
+    Pairs are made where they are added up. The items are cut into ranges of about `pairs` pairs, and what is dealt out by part is
+    each user's items a of a range beside the list of its items b, not a row for each pair. An item with more pairs than that has
+    its lists split by a hash of b, and a user's items are dealt over lists of about `block`; no pair is lost. Only if `most` is
+    given, users with more items give their best ones alone.
     """
     r = ratings
     if most is not None:
         w = W.partitionBy("user").orderBy(F.col("score").desc(), "item")
         r = r.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
-    blocks = r.groupBy("user").agg(F.ceil(F.count("*") / block).cast("int").alias("_of"))
-    r = r.join(blocks, "user").withColumn("_own", F.pmod(F.xxhash64("item"), F.col("_of")).cast("int"))
-    a = r.select("user", F.col("_own").alias("_p"), F.explode(F.sequence("_own", F.col("_of") - 1)).alias("_q"), F.col("item").alias("a"), F.col("score").alias("x"))
-    b = r.select("user", F.explode(F.sequence(F.lit(0), "_own")).alias("_p"), F.col("_own").alias("_q"), F.col("item").alias("b"), F.col("score").alias("y"))
-    both = a.join(b, ["user", "_p", "_q"]).where((F.col("_p") < F.col("_q")) | (F.col("a") < F.col("b")))
-    turned = F.col("a") > F.col("b")
-    swapped = lambda one, other: F.when(turned, F.col(other)).otherwise(F.col(one))
-    return both.where("a <> b").select("user", swapped("a", "b").alias("a"), swapped("x", "y").alias("x"), swapped("b", "a").alias("b"), swapped("y", "x").alias("y"))
+    r = r.withColumn("_m", F.count("*").over(W.partitionBy("user")))
+    made = r.agg(F.sum("_m")).first()[0]  # one number: twice the pairs
+    parts = max(1, -(-(made or 0) // (2 * pairs)))
+    ranges = r.select("item", "_m").repartitionByRange(parts, "item").withColumn("_part", F.spark_partition_id())
+    ranges = ranges.groupBy("item", "_part").agg(F.ceil(F.sum("_m") / (2 * pairs)).cast("int").alias("_of"))
+    lists = F.ceil(F.col("_m") / block)
+    r = r.join(ranges, "item").withColumn("_own", F.pmod(F.xxhash64("item"), lists).cast("int"))
+    sorted_lists = lambda *keys: r.groupBy("user", *keys).agg(F.sort_array(F.collect_list(F.struct("item", "score"))).alias("_l"))
+    a = sorted_lists("_own", "_part", "_of").drop("_own").select("user", "_part", "_of", F.col("_l")[0]["item"].alias("_least"), F.col("_l.item").alias("_a"), F.col("_l.score").alias("_x"))
+    b = sorted_lists("_own").select("user", "_l")
+    both = a.join(b, "user").withColumn("_split", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
+    mine = lambda e: (e["item"] > F.col("_least")) & ((F.col("_of") == 1) | (F.pmod(F.xxhash64(e["item"]), F.col("_of")) == F.col("_split")))
+    both = both.withColumn("_l", F.filter("_l", mine)).where(F.size("_l") > 0)
+    dealt = both.select("user", "_part", "_split", "_a", "_x", F.col("_l.item").alias("_b"), F.col("_l.score").alias("_y")).repartition(parts, "_part", "_split")
+    one = dealt.select("user", "_part", "_split", F.inline(F.arrays_zip("_a", "_x")).alias("a", "x"), "_b", "_y")
+    return one.select("user", "_part", "_split", "a", "x", F.inline(F.arrays_zip("_b", "_y")).alias("b", "y")).where("a < b")
 
 
 def cosine(ratings: DataFrame, least: float = 0.2, most: int | None = None, block: int = BLOCK) -> DataFrame:
@@ -49,7 +60,7 @@ def cosine(ratings: DataFrame, least: float = 0.2, most: int | None = None, bloc
     means = ratings.groupBy("user").agg(F.avg("score").alias("_mean"))
     centred = ratings.join(means, "user").withColumn("score", F.col("score") - F.col("_mean")).drop("_mean")
     norms = centred.groupBy("item").agg(F.sum(F.col("score") * F.col("score")).alias("sq"))
-    dots = _pairs(centred, most, block).groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    dots = _pairs(centred, most, block).groupBy("_part", "_split", "a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     out = dots.join(norms.select(F.col("item").alias("a"), F.col("sq").alias("sa")), "a").join(norms.select(F.col("item").alias("b"), F.col("sq").alias("sb")), "b")
     sim = F.col("dot") / F.sqrt(F.col("sa") * F.col("sb"))
     return out.where("sa > 0 and sb > 0").select("a", "b", sim.alias("similarity")).where(F.col("similarity") >= least)
@@ -58,7 +69,7 @@ def cosine(ratings: DataFrame, least: float = 0.2, most: int | None = None, bloc
 def pearson(ratings: DataFrame, most: int | None = None, block: int = BLOCK) -> DataFrame:
     """(a, b, n, similarity): correlation over the users who rated both; 0 where it has no value."""
     x, y, n = F.col("x"), F.col("y"), F.count("*")
-    s = _pairs(ratings, most, block).groupBy("a", "b").agg(n.alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+    s = _pairs(ratings, most, block).groupBy("_part", "_split", "a", "b").agg(n.alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
     below = F.sqrt(F.greatest(F.col("sxx") - F.col("sx") ** 2 / F.col("n"), F.lit(0.0))) * F.sqrt(F.greatest(F.col("syy") - F.col("sy") ** 2 / F.col("n"), F.lit(0.0)))
     return s.select("a", "b", "n", F.when(below > 1e-4, (F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")) / below).otherwise(0.0).alias("similarity"))
 
