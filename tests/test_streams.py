@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,38 @@ def test_presence_over_batches(spark, tmp_path, rows):
     assert sorted(rows(processors.online(got))) == sorted([("v", base + s, 2, 0, 2), ("v", base + 2 * s, 0, 1, 1), ("v", base + 3 * s, 0, 1, 0), ("v", base + 4 * s, 1, 0, 1), ("v", base + 5 * s, 0, 1, 0)])
 
 
+def test_rolling_steps_and_presence_are_told_once(spark, tmp_path, rows):
+    """Rows of one id and step are one row of state and output, and a device that has many steps is called once when all have passed."""
+    base, s = 10_000 * M, 10 * M
+    e = [(i, f"u{i % 2}", "a", base + (i % 4) * M, "50", "x") for i in range(400)]
+    steps = flows.run_to_end(processors.rolling(batches(spark, tmp_path / "r", [e, end(base + 500 * M)]), "appid", {"uv": "uuid"}, 5 * M, M), str(tmp_path / "ro"), typed=True)
+    assert sorted(rows(steps.where("key <> ''").select("id", "end", "n"))) == [(f"u{i % 2}", base + i * M, 100) for i in (0, 2, 1, 3)]
+    assert processors.totals(steps.where("key <> ''"), ["uv"]).where(F.col("end") == base + 3 * M).select("n", "uv").first() == (400, 2)
+    device = processors.Presence(s)
+    calls, waiting, stay = [], [], []
+
+    class State:
+        def __init__(self, of):
+            self.of = of
+
+        exists = lambda self: bool(self.of)
+        clear = lambda self: self.of.clear()
+        get = lambda self: list(self.of) if self.of is waiting else self.of[0]
+
+        def put(self, rows):
+            self.of[:] = rows
+
+        def update(self, row):
+            self.of[:] = [row]
+
+    device.waiting, device.stay, device.call_after = State(waiting), State(stay), lambda *p: calls.extend(p)
+    list(device.handleInputRows(("v", "m"), iter([pd.DataFrame({"end": [s * i for i in range(1, 51)] + [s * 60], "time": [s * i for i in range(1, 51)] + [s * 60]})]), None))
+    assert calls == [s]
+    assert device.passed(("v", "m"), s, 55 * s) == [("v", "m", s, 1, s), ("v", "m", 51 * s, -1, s)] and calls == [s, 60 * s]
+    assert device.passed(("v", "m"), 60 * s, 60 * s + 1) == [("v", "m", 60 * s, 1, 60 * s)] and calls[-1] == 61 * s
+    assert device.passed(("v", "m"), 61 * s, 99 * s) == [("v", "m", 61 * s, -1, 60 * s)] and not waiting and not stay
+
+
 def test_visits_time_pages_when_they_open_or_close(spark, tmp_path, rows):
     at = 1_000 * M  # a watermark begins at 0
     row = lambda i, app, t, kind: (i, "u", app, at + t, kind, "")

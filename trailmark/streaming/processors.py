@@ -1,8 +1,7 @@
-"""Typed state of streams: rolling counts, presence, visits and idle users, with a state of its own for each key and event-time timers.
+"""State of streams: rolling counts; and typed, presence, visits and idle users, with a state of its own for each key and event-time timers.
 
 What a processor gives when time has passed a point does not depend on how rows fell into batches, as long as they come within
-the watermark. Counts come out as changes: a rolling total of a key is the sum of its changes so far. Hot apps and venues are dealt
-over salts, and changes of all salts add up.
+the watermark. Rolling counts come out as the steps of each id, which Spark's own windows make, and are added up by `totals`.
 
 State lives in RocksDB; `flows.run_to_end` sets the provider where a stream asks for it.
 """
@@ -19,8 +18,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 LATE = "10 minutes"
 GAP_MS = 600_000
 DAY_MS, ZONE_MS = 86_400_000, 28_800_000
-#: Parts that the users and addresses of an app, or the devices of a venue, are dealt over.
-SALTS = 16
 
 
 def frame(rows: list[tuple], schema: str) -> pd.DataFrame:
@@ -57,77 +54,43 @@ class Timed(StatefulProcessor):
 
 # --- X1, X9: rolling counts --------------------------------------------------------------------------------------------
 
-CHANGES = "key string, kind string, end long, n long, ids long"
 
-
-class Rolling(Timed):
-    """Changes of the rows and of the different ids of the last `size_ms`, at ends of steps.
-
-    Rows of a step count from its end on and leave size_ms later. An id counts once while any step of the window has it. `steps`
-    has the ids and rows of each step; `last` the latest step of each id that is in the window.
-    """
-
-    schema = CHANGES
-
-    def __init__(self, size_ms: int):
-        self.size_ms = size_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.steps = handle.getMapState("steps", "end long", "ids array<string>, n long")
-        self.last = handle.getMapState("last", "id string", "end long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new: dict[int, tuple[set, int]] = {}
-        for b in rows:
-            for end, id_, n in zip(b["end"].tolist(), b["id"].tolist(), b["n"].tolist(), strict=True):
-                ids, had = new.setdefault(end, (set(), 0))
-                ids.add(id_)
-                new[end] = ids, had + n
-        for end, (ids, n) in new.items():
-            if self.steps.containsKey((end,)):
-                old = self.steps.getValue((end,))
-                ids, n = ids | set(old[0]), n + old[1]
-            self.steps.updateValue((end,), (sorted(ids), n))
-            self.call_after(end, end + self.size_ms)
-        return iter(())
-
-    def passed(self, key: tuple, end: int, watermark: int) -> list[tuple]:
-        rows = ids = 0
-        if self.steps.containsKey((end,)):
-            come, n = self.steps.getValue((end,))
-            rows += n
-            for i in come:
-                ids += not self.last.containsKey((i,))
-                self.last.updateValue((i,), (end,))
-        if self.steps.containsKey((end - self.size_ms,)):
-            gone, n = self.steps.getValue((end - self.size_ms,))
-            rows -= n
-            for i in gone:
-                if self.last.containsKey((i,)) and self.last.getValue((i,))[0] == end - self.size_ms:
-                    ids -= 1
-                    self.last.removeKey((i,))
-            self.steps.removeKey((end - self.size_ms,))
-        return [(key[0], key[1], end, rows, ids)]
+def stepped(events: DataFrame, step_ms: int, late: str) -> DataFrame:
+    """events with their step as a window w. A time at the end of a step belongs to it, so windows are of times less a millisecond."""
+    at = events.withColumn("_at", F.timestamp_millis(F.col("time") - 1)).withWatermark("_at", late)
+    return at.withColumn("w", F.window("_at", f"{step_ms} milliseconds"))
 
 
 def rolling(events: DataFrame, key: str, ids: dict[str, str], size_ms: int, step_ms: int, counted: Column | None = None, late: str = LATE) -> DataFrame:
-    """Changes (key, kind, end, n, ids) of the rows and different ids of each key in the last size_ms, by kind of id (kind: column).
+    """Steps (key, kind, id, end, n, size_ms) of the rows of each id of each key, by kind of id (kind: column), when they have passed.
 
-    counted tells which rows n counts, all if it is None. A salt of the id makes parts of a hot key; changes of a kind add up.
+    counted tells which rows n counts, all if it is None. Rows of a step count from its end on, for size_ms; `totals` adds up what
+    steps have come by then. An id of a step is a row of state of its own, so a hot key is in no one place.
     """
     n = F.lit(1) if counted is None else counted.cast("int")
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("id")) for k, c in ids.items()])
-    rows = events.withWatermark("ts", late).select("ts", F.col(key).cast("string").alias("key"), aligned(F.col("time"), step_ms).alias("end"), n.cast("long").alias("n"), F.inline(kinds))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-    return rows.groupBy("key", "kind", "salt").transformWithStateInPandas(Rolling(size_ms), CHANGES, "append", "eventTime")
+    rows = stepped(events, step_ms, late).select("w", F.col(key).cast("string").alias("key"), n.cast("long").alias("n"), F.inline(kinds))
+    steps = rows.groupBy("w", "key", "kind", "id").agg(F.sum("n").alias("n"))
+    return steps.select("key", "kind", "id", F.unix_millis("w.end").alias("end"), "n", F.lit(size_ms).cast("long").alias("size_ms"))
 
 
-def totals(changes: DataFrame, kinds: list[str]) -> DataFrame:
-    """(key, end, n, each kind): rolling totals at each end at which something changed, from all changes that a stream gave."""
+def totals(steps: DataFrame, kinds: list[str]) -> DataFrame:
+    """(key, end, n, each kind): rolling totals at each end at which rows come or go, from all steps that a stream gave.
+
+    An id counts once while any step of the window has it: it comes with a step if its step before is out of the window, and goes
+    size_ms after a step if its next one is later still.
+    """
     from pyspark.sql import Window as W
 
-    each = changes.where("key is not null").groupBy("key", "end").agg(F.sum(F.when(F.col("kind") == kinds[0], F.col("n"))).alias("n"), *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("ids"))), F.lit(0)).alias(k) for k in kinds])
+    w = W.partitionBy("key", "kind", "id").orderBy("end")
+    known = F.col("id").isNotNull()
+    comes = known & F.coalesce(F.col("end") - F.lag("end").over(w) > F.col("size_ms"), F.lit(True))
+    goes = known & F.coalesce(F.lead("end").over(w) - F.col("end") > F.col("size_ms"), F.lit(True))
+    both = steps.where("key is not null").withColumns({"comes": comes.cast("long"), "goes": goes.cast("long")})
+    change = lambda end, n, ids: F.struct(end.alias("end"), n.alias("n"), ids.alias("ids"))
+    both = both.select("key", "kind", F.inline(F.array(change(F.col("end"), F.col("n"), F.col("comes")), change(F.col("end") + F.col("size_ms"), -F.col("n"), -F.col("goes")))))
+    rows = F.coalesce(F.sum(F.when(F.col("kind") == kinds[0], F.col("n"))), F.lit(0)).alias("n")
+    each = both.groupBy("key", "end").agg(rows, *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("ids"))), F.lit(0)).alias(k) for k in kinds])
     upto = W.partitionBy("key").orderBy("end")
     return each.select("key", "end", *[F.sum(c).over(upto).alias(c) for c in ["n", *kinds]])
 
@@ -140,7 +103,8 @@ PRESENCE = "venue string, mac string, end long, entered int, time long"
 class Presence(Timed):
     """A device enters a venue at the end of the first step with a reading of it and leaves at the end of the first step without one.
 
-    entered is 1 or -1; time is the earliest reading of the step it entered with, or that step again when it leaves.
+    entered is 1 or -1; time is the earliest reading of the step it entered with, or that step again when it leaves. A device has one
+    timer, for its next point; when it is called, all points that have passed are gone through at once.
     """
 
     schema = PRESENCE
@@ -150,32 +114,43 @@ class Presence(Timed):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.steps = handle.getMapState("steps", "end long", "first long")
-        self.since = handle.getValueState("since", "time long")
+        self.waiting = handle.getListState("waiting", "end long, first long")
+        self.stay = handle.getValueState("stay", "since long, last long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new: dict[int, int] = {}
+        steps: dict[int, int] = dict(self.waiting.get()) if self.waiting.exists() else {}
         for b in rows:
             for end, t in zip(b["end"].tolist(), b["time"].tolist(), strict=True):
-                new[end] = min(t, new.get(end, t))
-        for end, t in new.items():
-            if self.steps.containsKey((end,)):
-                t = min(t, self.steps.getValue((end,))[0])
-            self.steps.updateValue((end,), (t,))
-            self.call_after(end, end + self.step_ms)
+                steps[end] = min(t, steps.get(end, t))
+        self.waiting.put(sorted(steps.items()))
+        self.call_after(min(steps))
         return iter(())
 
-    def passed(self, key: tuple, end: int, watermark: int) -> list[tuple]:
-        out = []
-        if self.steps.containsKey((end,)):
-            if not self.since.exists():
-                first = self.steps.getValue((end,))[0]
-                self.since.update((first,))
-                out.append((key[0], key[1], end, 1, first))
-            self.steps.removeKey((end,))
-        elif self.since.exists():
-            out.append((key[0], key[1], end, -1, self.since.get()[0]))
-            self.since.clear()
+    def passed(self, key: tuple, point: int, watermark: int) -> list[tuple]:
+        steps = sorted(self.waiting.get()) if self.waiting.exists() else []
+        was = self.stay.get() if self.stay.exists() else None
+        now, out = was, []
+        for end, first in (x for x in steps if x[0] < watermark):
+            if now and end - now[1] > self.step_ms:
+                out.append((*key, now[1] + self.step_ms, -1, now[0]))
+                now = None
+            if not now:
+                out.append((*key, end, 1, first))
+            now = (now[0] if now else first, end)
+        if now and now[1] + self.step_ms < watermark:
+            out.append((*key, now[1] + self.step_ms, -1, now[0]))
+            now = None
+        left = [x for x in steps if x[0] >= watermark]
+        if len(left) < len(steps):
+            self.waiting.clear()
+            if left:
+                self.waiting.put(left)
+        if now:
+            self.stay.update(now)
+        elif was:
+            self.stay.clear()
+        if left or now:
+            self.call_after(min([x[0] for x in left[:1]] + ([now[1] + self.step_ms] if now else [])))
         return out
 
 
