@@ -151,3 +151,16 @@ def test_a_dimension_is_loaded_again_when_it_is_old(spark, tmp_path):
         read(i, 2000 + 100 * i)
     assert len(list((tmp_path / "d/rows").glob("version=*"))) <= 2 + tables.KEPT
     assert loads[:2] == [1000, 1100]
+
+
+def test_a_piece_is_one_batch_of_many_files(spark, tmp_path, monkeypatch):
+    many, seen = streams.event_batch(spark, DIR).repartition(3), []
+    monkeypatch.setattr(streams, "event_batch", lambda *_: many)
+
+    def put(batch, batch_id):
+        files_ = batch.select(F.input_file_name().alias("f")).distinct().count()
+        seen.append((batch_id, [r[0] for r in batch.select("piece").distinct().collect()], files_, batch.count()))
+
+    streams.fed_by_pieces(spark, DIR, lambda e: e, put, str(tmp_path / "c"))
+    assert [s[:3] for s in seen] == [(i, [i], 3) for i in range(streams.PIECES)]
+    assert sum(s[3] for s in seen) == many.count()

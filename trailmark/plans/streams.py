@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -83,12 +84,16 @@ def with_piece(events: DataFrame) -> DataFrame:
 PIECE = f"pc AS (SELECT ev.*, CAST(least({PIECES - 1}, floor((time - f) * {PIECES} / (t - f + 1))) AS INTEGER) AS piece FROM ev, (SELECT min(time) AS f, max(time) AS t FROM ev))"
 
 
-def pieced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a stream of PIECES batches, with a column piece. A piece is one file here, so that it is one batch."""
+def fed_by_pieces(spark: SparkSession, sf_dir: str, rows: Callable[[DataFrame], DataFrame], put: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """The events, with a column piece, through rows and put(batch, batch_id) in PIECES batches.
+
+    A piece is what has come when the stream runs again from its checkpoint, in as many files as tasks write, so that a batch is
+    one piece of any number of files.
+    """
     path, e = _own(spark, "pieces"), with_piece(event_batch(spark, sf_dir))
-    for i in range(PIECES):  # one after the other: a stream reads files by the time they were written
-        e.where(F.col("piece") == i).coalesce(1).write.parquet(f"{path}/part{i}")
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+    for i in range(PIECES):
+        e.where(F.col("piece") == i).write.parquet(f"{path}/part{i}")
+        flows.fed(rows(spark.readStream.schema(e.schema).parquet(f"{path}/*")), put, checkpoint)
 
 
 def _last(df: DataFrame, *keys: str) -> DataFrame:
@@ -236,17 +241,17 @@ def stream_tap(spark, sf_dir):
 # --- tables that streams keep ------------------------------------------------------------------------------------------
 
 
-def _kept(spark: SparkSession, stream: DataFrame, kept: tables.Keyed, schema: str) -> DataFrame:
-    flows.fed(stream, kept.put, f"{kept.path}/checkpoint")
+def _kept(spark: SparkSession, sf_dir: str, rows: Callable[[DataFrame], DataFrame], kept: tables.Keyed, schema: str) -> DataFrame:
+    fed_by_pieces(spark, sf_dir, rows, kept.put, f"{kept.path}/checkpoint")
     return kept.current(spark, schema)
 
 
 @query("stream_counters", f"WITH {EV} SELECT appid, CAST(time // 60000 * 60000 AS BIGINT) AS minute, CAST(count(*) AS BIGINT) AS n, max(time) AS last_time FROM ev GROUP BY ALL")
 def stream_counters(spark, sf_dir):
     """Counters per app and minute, merged batch by batch into a table of buckets."""
-    rows = pieced_stream(spark, sf_dir).select("appid", (F.floor(F.col("time") / 60_000) * 60_000).cast("long").alias("minute"), F.lit(1).cast("long").alias("n"), F.col("time").alias("last_time"))
+    rows = lambda e: e.select("appid", (F.floor(F.col("time") / 60_000) * 60_000).cast("long").alias("minute"), F.lit(1).cast("long").alias("n"), F.col("time").alias("last_time"))
     kept = tables.Keyed(_own(spark, "counters"), ["appid", "minute"], {"n": F.sum("n"), "last_time": F.max("last_time")}, 16)
-    return _kept(spark, rows, kept, "appid string, minute long, n long, last_time long")
+    return _kept(spark, sf_dir, rows, kept, "appid string, minute long, n long, last_time long")
 
 
 @query("stream_labels", f"""WITH {EV}, {PIECE}, s AS (SELECT *, least(coalesce(lead(time) OVER (PARTITION BY piece, uuid ORDER BY time, event_id) - time, 10000), 600000) AS stay FROM pc)
@@ -254,8 +259,8 @@ SELECT uuid, appid AS company_id, system AS label, round(sum(0.7::DOUBLE + stay
 def stream_labels(spark, sf_dir):
     """Label increments of each batch, added to a table per user, company and label."""
     kept = tables.Keyed(_own(spark, "labels"), ["uuid", "company_id", "label"], {"value": F.sum("value")}, 16)
-    rows = pieced_stream(spark, sf_dir).withColumn("company_id", F.col("appid")).withColumn("label", F.col("system"))
-    flows.fed(rows, lambda batch, i: kept.put(flows.label_increments(batch), i), f"{kept.path}/checkpoint")
+    rows = lambda e: e.withColumn("company_id", F.col("appid")).withColumn("label", F.col("system"))
+    fed_by_pieces(spark, sf_dir, rows, lambda batch, i: kept.put(flows.label_increments(batch), i), f"{kept.path}/checkpoint")
     return kept.current(spark, "uuid string, company_id string, label string, value double").withColumn("value", F.round("value", 6))
 
 
@@ -264,8 +269,8 @@ SELECT uuid, min(time) AS first_time, max(time) AS last_time, arg_min(system, (t
 def stream_devices(spark, sf_dir):
     """Device records that each batch brings up to date."""
     kept = tables.Keyed(_own(spark, "devices"), ["uuid"], state.device_merge(), 16)
-    rows = state.device_rows(pieced_stream(spark, sf_dir))
-    return state.device_records(_kept(spark, rows, kept, rows.schema))
+    schema = state.device_rows(with_piece(event_batch(spark, sf_dir))).schema
+    return state.device_records(_kept(spark, sf_dir, state.device_rows, kept, schema))
 
 
 @query("stream_dimension", f"""WITH RECURSIVE {EV}, {PIECE}, b AS (SELECT piece, max(time) AS now FROM pc GROUP BY piece),
@@ -286,7 +291,7 @@ def stream_dimension(spark, sf_dir):
             found = batch.where("logtype = '50'").join(spent.at(batch.sparkSession, batch_id, now), "uuid").select("event_id", "version", "spent")
             found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    flows.fed(pieced_stream(spark, sf_dir), put, f"{out}/checkpoint")
+    fed_by_pieces(spark, sf_dir, lambda e: e, put, f"{out}/checkpoint")
     return spark.read.schema("event_id long, version long, spent double").parquet(f"{out}/batch=*")
 
 
