@@ -121,3 +121,19 @@ def test_kafka_source_options():
         with pytest.raises(ConnectionError):
             tables.kafka(type("Session", (), {"readStream": Reader()})(), "a:9092,b:9092", "web,app", most)
         assert seen == {"format": "kafka", "kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "web,app", "startingOffsets": "latest", **want}
+
+
+def test_bytes_are_xored_several_at_once(spark):
+    from pyspark.sql import functions as F
+
+    from trailmark.operators import clean
+
+    texts = [bytes((7 * i + n) % 256 for i in range(n)) for n in range(40)]
+    df = spark.createDataFrame([(i, bytearray(x)) for i, x in enumerate(texts)], "i int, b binary")
+    for key in ("k", "sécret", "0123456789abc"):
+        made = clean.xored(F.hex("b"), key)
+        got = {r["i"]: bytes(r["x"]) for r in df.select("i", made.alias("x")).collect()}
+        k = key.encode()
+        assert got == {i: bytes(c ^ k[j % len(k)] for j, c in enumerate(x)) for i, x in enumerate(texts)}
+    # One XOR for several bytes: one key number for each byte of the key, of so many bytes.
+    assert clean.XORED > 1

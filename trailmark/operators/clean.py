@@ -93,14 +93,21 @@ def payload(body: Column, key: str, marker: str = "TGR") -> Column:
     return F.when(F.length(digits) > 0, F.decode(xored(digits, key), "UTF-8"))
 
 
+#: Bytes that are XORed at once; as a number they are a positive long.
+XORED = 7
+
+
 def xored(digits: Column, key: str) -> Column:
-    """Bytes given as hex digits, XORed with a repeating key."""
-    keys = F.array(*[F.lit(b) for b in key.encode()])
+    """Bytes given as hex digits, XORed with a repeating key, XORED bytes at a time."""
+    k = key.encode()
+    spans = [bytes(k[(i * XORED + j) % len(k)] for j in range(XORED)) for i in range(len(k))]
+    keys = F.array(*[F.lit(int.from_bytes(s, "big")).cast("long") for s in spans])
 
-    def byte(pair: Column, i: Column) -> Column:
-        return F.lpad(F.hex(F.conv(pair, 16, 10).cast("long").bitwiseXOR(F.get(keys, i % len(key)).cast("long"))), 2, "0")
+    def some(part: Column, i: Column) -> Column:
+        own = F.call_function("shiftrightunsigned", F.get(keys, i % len(k)), (2 * XORED - F.length(part)) * 4)  # the last part is shorter
+        return F.lpad(F.hex(F.conv(part, 16, 10).cast("long").bitwiseXOR(own)), F.length(part), "0")
 
-    return F.unhex(F.array_join(bound(F.regexp_extract_all(digits, F.lit(".."), F.lit(0)), lambda pairs: F.transform(pairs, byte)), ""))
+    return F.unhex(F.array_join(bound(F.regexp_extract_all(digits, F.lit(f".{{1,{2 * XORED}}}"), F.lit(0)), lambda parts: F.transform(parts, some)), ""))
 
 
 def _android(imei: Column, android_id: Column) -> Column:
