@@ -142,6 +142,16 @@ def test_label_ages(spark, rows):
     assert abs(value - 0.7 * (1 + 1 / 60)) < 1e-9
 
 
+def test_labels_are_added_day_by_day(spark, rows):
+    days = [(day, times, stay) for day, times, stay in zip(range(41, 101), [1, 7, 3, 12, 5] * 12, [1234, 77_771, 13, 600_000] * 15, strict=True)]
+    want = 0.0
+    for day, times, stay in days:
+        want += (times * 0.7 + stay / 20000.0 * 0.3) * 1.5 * (60 - (100 - day)) / 60.0
+    for order in (days, days[::-1], days[::2] + days[1::2]):
+        d = spark.createDataFrame([("u", 1, day, "x", times, stay, 1.0, 0.5) for day, times, stay in order], "uuid string, company_id int, day long, name string, times long, stay long, weight double, base_weight double")
+        assert rows(profile.label_sum(d.coalesce(1), 100).select("value")) == [(want,)]  # to the last bit
+
+
 def test_search_and_pages(spark):
     t = spark.createDataFrame([(i, f"n{i}", ["a", "b"][: i % 3]) for i in range(10)], "id int, name string, tags array<string>")
     assert profile.search(t, id__min=2, id__max=8, tags__holds="a", name__has="n", id__any=None).count() == 5

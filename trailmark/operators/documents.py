@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trailmark.functions.scalars import decayed, web_label_value
+from trailmark.functions.scalars import added_in_order, decayed, web_label_value
 from trailmark.operators import lookup
 
 
@@ -107,7 +107,7 @@ def labels_of(label_days: DataFrame, keys: DataFrame, first: int, last: int, tod
     """Decayed label values of the asked devices from a range of days."""
     value = decayed(web_label_value(F.col("times"), F.col("stay"), F.col("weight"), F.col("base_weight")), F.lit(today) - F.col("day"))
     asked = label_days.where(F.col("day").between(first, last)).join(keys.select("uuid"), "uuid", "left_semi")
-    return asked.groupBy("uuid", "name").agg(F.sum(value).alias("value"))
+    return asked.groupBy("uuid", "name").agg(added_in_order(F.col("day"), value).alias("value"))
 
 
 def interests(labels: DataFrame, n: int = 10) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.functions.scalars import LABEL_DAYS, day_number, decayed, half_hour_slot, web_label_value
+from trailmark.functions.scalars import LABEL_DAYS, added_in_order, day_number, decayed, half_hour_slot, web_label_value
 from trailmark.operators.sessions import PAGE, is_page
 
 LIVENESS = "_sf_liveness"
@@ -106,10 +106,14 @@ def merged_labels(labels: DataFrame) -> DataFrame:
 
 
 def label_sum(label_days: DataFrame, today: int) -> DataFrame:
-    """Decayed sums over 60 days of (uuid, company_id, day, name, times, stay, weight, base_weight); very small ones are dropped."""
+    """Decayed sums over 60 days of (uuid, company_id, day, name, times, stay, weight, base_weight); very small ones are dropped.
+
+    Values are added day by day. Sums that lie half-way between two rounded ones (16.80515 to four places) otherwise round by the
+    order in which rows arrive. A label has few rows a day, so a list of them stays short.
+    """
     value = decayed(web_label_value(F.col("times"), F.col("stay"), F.col("weight"), F.col("base_weight")), F.lit(today) - F.col("day"))
     near = label_days.where(F.col("day").between(today - LABEL_DAYS + 1, today))
-    return near.groupBy("uuid", "company_id", "name").agg(F.sum(value).alias("value")).where(F.col("value") > LEAST_LABEL)
+    return near.groupBy("uuid", "company_id", "name").agg(added_in_order(F.col("day"), value).alias("value")).where(F.col("value") > LEAST_LABEL)
 
 
 def guide_labels(answers: DataFrame, names: DataFrame) -> DataFrame:
@@ -142,7 +146,7 @@ def app_tags(installed: DataFrame, tags: DataFrame) -> DataFrame:
 
 def profiles(devices: DataFrame, habits: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
     """One row a device that has both a record and a habit, with its labels (all companies summed) and the area of its address."""
-    summed = labels.groupBy("uuid", "name").agg(F.sum("value").alias("value"))
+    summed = labels.groupBy("uuid", "name").agg(added_in_order(F.col("value"), F.col("value")).alias("value"))
     mapped = summed.groupBy("uuid").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "value")))).alias("labels"))
     return devices.join(habits, "uuid").join(mapped, "uuid", "left").join(areas, "uuid", "left")
 
