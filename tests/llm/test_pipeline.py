@@ -67,3 +67,39 @@ def test_mix_of_clashing_columns_takes_what_it_says(spark):
     planned = mixing.mix(docs)
     assert planned.where("text is null").first()["size"] == 0 and planned.where("doc_id = 8").first()["size"] == 60_000
     assert mixing.mixed(docs).count() == planned.agg(F.sum("copies")).first()[0]
+
+
+def test_a_worker_lets_go_of_the_tokenizer(tmp_path):
+    import gc
+    import weakref
+
+    import public_tokenizers
+
+    from trailmark.llm import bpe, shared
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    kept = weakref.ref(bpe.model(path))
+    assert bpe.model(path) is kept()
+    gc.disable()
+    try:
+        shared.let_go()  # as tasks of another operator do when they begin
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
+def test_dense_columns_are_as_wide_as_postings():
+    import numpy as np
+
+    from trailmark.llm.toxicity import Index
+
+    rng = np.random.default_rng(3)
+    row, word = np.nonzero(rng.random((300, 40)) < 0.5)
+    index = Index.of(300, 40, row, word, rng.random(len(row)).astype(np.float32))
+    q = np.arange(40), rng.random(40)
+    rows, near = index.nearest([q], 5)[0]
+    every = np.zeros((300, 40))
+    every[index.example, np.repeat(np.arange(40), index.sizes)] = index.weight
+    want = (every @ q[1]).round(12)
+    best = np.lexsort((np.arange(300), -want))[:5]
+    assert index.heads.dtype == np.float32 and rows.tolist() == best.tolist() and np.abs(near - want[best]).max() < 1e-9

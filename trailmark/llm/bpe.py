@@ -13,14 +13,13 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from trailmark.llm.shared import flushed
+from trailmark.llm.shared import flushed, held
 
 #: White space of the tokenizer's pattern (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -128,9 +127,9 @@ class _Chunks(dict):
         return packed
 
 
-@lru_cache(maxsize=2)
 def model(path: str) -> WordBpe:
-    return WordBpe(path)
+    """The tokenizer with the words it has met, held by the worker until tasks of another operator need the memory."""
+    return held(("bpe", path), lambda: WordBpe(path))
 
 
 def encode_decode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = True) -> DataFrame:

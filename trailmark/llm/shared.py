@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -40,6 +41,25 @@ def sent_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+_held: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """make(), which the worker holds for its later tasks of that key. What it held under another key goes first."""
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """For the start of tasks that need memory of their own: what the worker holds for another operator's tasks goes."""
+    if _held:
+        _held.clear()
+        gc.collect()  # a tokenizer and its words refer to each other
+    pa.default_memory_pool().release_unused()
+
+
 def flushed(rows: Iterable[tuple], schema: pa.Schema, weigh: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
     """Batches of rows, cut whenever their weight in bytes passes BATCH_BYTES."""
     held: list[tuple] = []

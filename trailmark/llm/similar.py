@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm.components import components
-from trailmark.llm.shared import materialise, sent_if_small
+from trailmark.llm.shared import let_go, materialise, sent_if_small
 from trailmark.llm.simhash import one_of_each, row_hash
 
 WORDS = 5
@@ -69,6 +69,7 @@ def _bits(places: np.ndarray) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for b in batches:
         sizes, keys, bits = [], [], []
         for t in b.column(1):
@@ -82,6 +83,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for b in batches:
         for i in range(0, b.num_rows, 256):
             part = b.slice(i, 256)

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmark.llm.shared import materialise
+from trailmark.llm.shared import let_go, materialise
 
 #: Bounds of the fit, for each class.
 EXAMPLES, EXAMPLE_BYTES = 6000, 64 << 20
@@ -120,10 +120,10 @@ class Index:
         often = np.flatnonzero(self.sizes * DENSE > self.n)
         self.head = np.full(len(self.sizes), -1, np.int32)
         self.head[often] = np.arange(len(often))
-        heads = np.zeros((self.blocks, len(often), BLOCK))
+        heads = np.zeros((self.blocks, len(often), BLOCK), self.weight.dtype)  # as wide as the postings; products are of doubles
         post = _ranges(self.start[often], self.sizes[often])
         heads[self.example[post] // BLOCK, np.repeat(np.arange(len(often)), self.sizes[often]), self.example[post] % BLOCK] = self.weight[post]
-        self.heads, self.head_best = heads, np.ascontiguousarray(heads.max(axis=2).T) if self.n else np.zeros((0, 0))
+        self.heads, self.head_best = heads, np.ascontiguousarray(heads.max(axis=2).T, float) if self.n else np.zeros((0, 0))
         block = self.example // BLOCK
         fresh = np.ones(len(block), bool)
         fresh[1:] = block[1:] != block[:-1]
@@ -347,6 +347,7 @@ def _calibrate(model: Model, vectors: DataFrame) -> None:
     shared = vectors.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = shared.value
         place = {id_: i for i, id_ in enumerate(model.ids)}
         for b in batches:
@@ -366,6 +367,7 @@ def _calibrate(model: Model, vectors: DataFrame) -> None:
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    let_go()
     for b in batches:
         for i in range(0, b.num_rows, 256):
             found = set().union(*(words(t.as_py()) for t in b.column(0)[i : i + 256]))
@@ -374,6 +376,7 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _frequencies(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         vocabulary, total = told.value, 0
         df = np.zeros(len(vocabulary) + 1, np.int64)  # the last place stands for -1
         for b in batches:
@@ -388,6 +391,7 @@ def _frequencies(told: Broadcast):
 
 def _vectors(told: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
@@ -410,6 +414,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     ids = pa.array(model.ids) if model.ids else pa.array([], pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         model = shared.value
         for b in batches:
             for i in range(0, b.num_rows, SEARCHES):
