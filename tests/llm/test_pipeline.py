@@ -103,3 +103,20 @@ def test_dense_columns_are_as_wide_as_postings():
     want = (every @ q[1]).round(12)
     best = np.lexsort((np.arange(300), -want))[:5]
     assert index.heads.dtype == np.float32 and rows.tolist() == best.tolist() and np.abs(near - want[best]).max() < 1e-9
+
+
+def test_near_duplicates_are_proposed_by_fingerprints(spark):
+    prints = [0, 0b11, 0b111, 0b11, -1, 1 << 63 | 5]
+    rows = [(10 * i, p - (1 << 64) if p >= 1 << 63 else p) for i, p in enumerate(prints)]
+    got = {tuple(r) for r in similar.simhash_pairs(spark.createDataFrame(rows, "fp long, print long")).collect()}
+    assert got == {(0, 10), (10, 20), (10, 30), (20, 50)}
+
+
+def test_near_duplicates_are_fingerprinted_with_bands(spark):
+    import pyarrow as pa
+
+    texts = ["a b c d e f g", "a b c d e f g h", ""]
+    (b,) = similar._sketches(iter([pa.RecordBatch.from_pydict({"fp": [1, 2, 3], "text": texts})]))
+    for t, p in zip(texts, b.column("print").to_pylist(), strict=True):
+        hashes = similar.shingles(t).tolist()
+        assert p % (1 << 64) == sum((2 * sum(h >> i & 1 for h in hashes) > len(hashes)) << i for i in range(64))

@@ -38,10 +38,11 @@ def fingerprint(text: str | None) -> int:
     k = min(SHINGLE_WORDS, len(words))
     digest = xxhash.xxh64_intdigest
     hashes = [digest(whole[i:j], SEED) for i, j in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)]
-    return _majority(np.array(hashes, np.uint64))
+    return majority(np.array(hashes, np.uint64))
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes; as a signed integer."""
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):  # long texts in slices, so memory stays bounded
         counts += np.unpackbits(hashes[i : i + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)

@@ -1,8 +1,10 @@
 """Near-duplicates by the similarity of their shingles.
 
-Two texts are near-duplicates if the sets of their five-word shingles have a Jaccard similarity of at least 0.8. Candidates are
-texts whose MinHash sketches agree on one of 16 bands of four places; each is verified on the true sets, so no pair is linked that
-is not similar. A pair of similarity 0.8 shares a band with a probability of 0.9998.
+Two texts are near-duplicates if the sets of their five-word shingles have a Jaccard similarity of at least 0.8. The first candidates
+are those of SimHash: texts whose fingerprints over these shingles differ in at most two bits, found by the signatures of operator 10.
+Of texts of similarity 0.8 fingerprints differ in about ten bits, so further candidates are texts whose MinHash sketches agree on
+one of 16 bands of four places. Each candidate is verified on the true sets, so no pair is linked that is not similar. A pair of
+similarity 0.8 shares a band with a probability of 0.9998.
 
 A band that n texts share is not joined with itself at once: its members are first compared with its smallest one, then, in bands
 whose members are still in different components, with a few representatives in each of some rounds, and only members that are then
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from trailmark.llm.components import components
 from trailmark.llm.shared import let_go, materialise, sent_if_small
-from trailmark.llm.simhash import one_of_each, row_hash
+from trailmark.llm.simhash import links, majority, one_of_each, row_hash
 
 WORDS = 5
 LEAST = 0.8
@@ -71,15 +73,16 @@ def _bits(places: np.ndarray) -> np.ndarray:
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     let_go()
     for b in batches:
-        sizes, keys, bits = [], [], []
+        sizes, prints, keys, bits = [], [], [], []
         for t in b.column(1):
             hashes = shingles(t.as_py())
             places = sketch(hashes)
             sizes.append(len(hashes))
+            prints.append(majority(hashes))
             keys.append(np.array([xxhash.xxh64_intdigest(places[i * ROWS : (i + 1) * ROWS].tobytes(), i) for i in range(BANDS)], np.uint64).view(np.int64))
             bits.append(_bits(places))
         columns = np.array(bits, np.int64).reshape(-1, len(BITS)).T
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), *[pa.array(c) for c in columns]], names=["fp", "n", "keys", *BITS])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int32()), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int64())), *[pa.array(c) for c in columns]], names=["fp", "n", "print", "keys", *BITS])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,16 +146,26 @@ def _components(groups: DataFrame, found: DataFrame) -> DataFrame:
     return groups.select("fp").join(linked, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"))
 
 
+def simhash_pairs(prints: DataFrame) -> DataFrame:
+    """Pairs a < b of texts (fp, print) by their fingerprints: each text and the least one of its fingerprint, and the least ones of fingerprints that differ in at most two bits."""
+    least = materialise(prints.groupBy("print").agg(F.min("fp").alias("least")), "fingerprints")
+    own = prints.join(least, "print").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b"))
+    of = lambda x: least.select(F.col("print").alias(x), F.col("least").alias(f"least_{x}"))
+    linked = links(least.select(F.col("print").alias("fp"))).join(of("a"), "a").join(of("b"), "b")
+    return own.unionByName(linked.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b")))
+
+
 def classes(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(fp, component) of each different text: fp is its xxhash64, component the smallest fp that links of similar texts reach."""
     texts = _texts(docs, text_col)
-    made = texts.mapInArrow(_sketches, ", ".join(["fp long, n int, keys array<long>", *[f"{w} long" for w in BITS]]))
+    made = texts.mapInArrow(_sketches, ", ".join(["fp long, n int, print long, keys array<long>", *[f"{w} long" for w in BITS]]))
     groups = materialise(made.dropDuplicates(["fp"]), "sketches")
     signed = groups.select("fp", F.explode("keys").alias("key"))
-    groups = groups.drop("keys")
+    by_prints = simhash_pairs(groups.select("fp", "print"))
+    groups = groups.drop("keys", "print")
     counted = signed.groupBy("key").agg(F.count("*").alias("size"), F.min("fp").alias("least")).where("size > 1").drop("size")
     signed = materialise(signed.join(counted, "key"), "bands")
-    pairs = signed.where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct()
+    pairs = signed.where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).unionByName(by_prints).distinct()
     pairs = pairs.join(_of(groups, "a"), "a").join(_of(groups, "b"), "b").where(_near())
     found = _similar(materialise(pairs.select("a", "b", "n_a", "n_b"), "candidates"), texts)
     of = materialise(_components(groups, found), "components")
