@@ -120,3 +120,35 @@ def test_near_duplicates_are_fingerprinted_with_bands(spark):
     for t, p in zip(texts, b.column("print").to_pylist(), strict=True):
         hashes = similar.shingles(t).tolist()
         assert p % (1 << 64) == sum((2 * sum(h >> i & 1 for h in hashes) > len(hashes)) << i for i in range(64))
+
+
+def test_parities_leave_out_only_pairs_that_are_not_similar(spark):
+    """Of a large group of near copies, of which few are similar enough, few pairs are left to be verified, and every similar one is."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(31)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(120):
+        v = list(base)
+        for i in rng.sample(range(150), rng.choice([1, 2, 3, 5, 6, 7])):
+            v[i] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(v))
+    (b,) = similar._sketches(iter([pa.RecordBatch.from_pydict({"fp": list(range(120)), "text": texts})]))
+    df = spark.createDataFrame([{c: r[c] for c in r if c not in ("keys", "print")} for r in b.to_pylist()], ", ".join(["fp long", "n int", *[f"{w} long" for w in similar.BITS + similar.ODD]]))
+    left = {tuple(r) for r in similar._of(df, "a").crossJoin(similar._of(df, "b")).where("a < b").where(similar._near()).select("a", "b").collect()}
+    sets = [set(similar.shingles(t).tolist()) for t in texts]
+    near = {(x, y): len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for y in range(120) for x in range(y)}
+    wanted = {p for p, s in near.items() if s >= 0.8}
+    assert wanted and wanted <= left and len(left - wanted) < 0.1 * sum(0.7 <= s < 0.8 for s in near.values())
+
+
+def test_few_labels_of_components_are_sent_and_many_shuffled(spark, monkeypatch):
+    from trailmark.llm import components
+
+    edges = spark.createDataFrame([(7, 3), (3, 5), (5, 3), (9, 8), (8, 10), (4, 4)], "a long, b long")
+    for most in (0, 1_000_000):
+        monkeypatch.setattr(components, "BROADCAST_ROWS", most)
+        assert sorted(tuple(r) for r in components.components(edges).collect()) == [(3, 3), (5, 3), (7, 3), (8, 8), (9, 8), (10, 8)]
