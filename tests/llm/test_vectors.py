@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from trailmark.llm import ann, topk
+from trailmark.llm import ann, blocks, topk
 
 
 def frame(spark, rows):
@@ -72,6 +72,24 @@ def test_top_k_of_few_rows(spark):
     assert topk.exact_top_k(frame(spark, []), 5, 50).count() == 0
 
 
+def test_queries_sent_to_many_places_are_not_broadcast(spark):
+    """Spark sizes an exploded table as before the explode, so it would broadcast any number of copies."""
+    v = spark.createDataFrame([(i, [float(i), 1.0], 0) for i in range(40)], "id long, v array<double>, low long")
+    q, c = blocks.pack(v.where("id % 10 = 0"), 1).persist(), blocks.pack(v, 1).persist()
+    assert (q.count(), c.count()) == (4, 40)
+    made = blocks.paired(q, c, 4, 30)
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    got = [(blocks.unpack(r["q_ids"], r["q_data"], 2)[0][0], blocks.unpack(r["ids"], r["data"], 2)[0][0]) for r in made.collect()]
+    assert sorted(got) == [(i, j) for i in range(0, 40, 10) for j in range(40)]
+
+
+@pytest.mark.parametrize("values, width", [([1.0, -32768.0, 32767.0], 2), ([1.0, 32768.0, 0.5], 4), ([1.0, 2.0**24 + 1, 0.1], 8), ([1.0, 1e39, -1e300], 8)])
+def test_blocks_hold_the_same_numbers_in_few_bytes(spark, values, width):
+    r = blocks.pack(spark.createDataFrame([(7, values, 0)], "id long, v array<double>, low long"), 10).first()
+    ids, data = blocks.unpack(r["ids"], r["data"], 3)
+    assert (ids.tolist(), data.tolist(), len(r["data"])) == ([7], [values], 3 * width)
+
+
 def test_nearest_recall_and_scores(spark, monkeypatch):
     monkeypatch.setattr(ann, "ROWS_A_SHARD", 1000)
     x = vectors(3000, 32) * np.random.default_rng(2).uniform(0.5, 1.5, (3000, 1)).astype(np.float32)

@@ -232,7 +232,7 @@ def nearest(vectors: DataFrame, k: int, every: int, id_col: str = "vec_id", vect
     index = materialise(build_index(v), "index").withColumn("block", F.col("shard"))
     asked = v.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
     queries = materialise(pack(asked.withColumn("low", F.lit(0).cast("long")), QUERIES_A_BLOCK).drop("low"), "queries")
-    found = paired(queries, index, max(1, queries.count()), max(1, index.count())).mapInArrow(_search(k), "query_id long, row long")
+    found = paired(queries, index, max(1, queries.count()), max(1, min(index.count(), every))).mapInArrow(_search(k), "query_id long, row long")
     q, c = asked.select(F.col("id").alias("query_id"), F.col("v").alias("q")), v.select("row", F.col("id").alias("vec_id"), "v")
     dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, x: a + x)
     scored = found.join(c, "row").join(q, "query_id").select("query_id", "vec_id", "row", dot.alias("score"))

@@ -23,7 +23,7 @@ _SCHEMA = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("ids", pa.bina
 
 
 def pack(vectors: DataFrame, rows: int, scale: float | None = None) -> DataFrame:
-    """(id long, v array, low long) to blocks of at most `rows` vectors of one length: ids and low as int64, data as float64.
+    """(id long, v array, low long) to blocks of at most `rows` vectors of one length: ids and low as int64, data by `_narrow`.
 
     scale: components become floor(scale * x). Vectors must be valid; see shared.valid_vector.
     """
@@ -36,7 +36,7 @@ def pack(vectors: DataFrame, rows: int, scale: float | None = None) -> DataFrame
             nonlocal count
             count += 1
             data = np.clip(np.floor(data * scale), -LARGEST, LARGEST) if scale else data
-            row = ([(part << 32) + count], [dim], [ids[:, 0].tobytes()], [data.tobytes()], [ids[:, 1].tobytes()])
+            row = ([(part << 32) + count], [dim], [ids[:, 0].tobytes()], [_narrow(data).tobytes()], [ids[:, 1].tobytes()])
             return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _SCHEMA, strict=True)], schema=_SCHEMA)
 
         for b in batches:
@@ -61,8 +61,21 @@ def pack(vectors: DataFrame, rows: int, scale: float | None = None) -> DataFrame
     return vectors.select("id", "v", "low").mapInArrow(run, BLOCK)
 
 
+def _narrow(data: np.ndarray) -> np.ndarray:
+    """The same numbers as int16 or as float32 where one of them holds them all exactly."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        for kind in (np.int16, np.float32):
+            small = data.astype(kind)
+            if (small == data).all():
+                return small
+    return data
+
+
 def unpack(ids: bytes, data: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(data, np.float64).reshape(-1, dim)
+    """Ids as int64 and vectors as float64."""
+    of = np.frombuffer(ids, np.int64)
+    kind = {2: np.int16, 4: np.float32, 8: np.float64}[len(data) // (len(of) * dim)]
+    return of, np.frombuffer(data, kind).reshape(-1, dim).astype(np.float64)
 
 
 def _upto(n: int) -> Column:
@@ -73,11 +86,14 @@ def paired(queries: DataFrame, candidates: DataFrame, query_blocks: int, groups:
     """Every block of queries beside every block of candidates: columns of queries with q_ before the name, and of candidates.
 
     Both frames have a column block. Candidates are heavy, so each is sent to one place for every BLOCKS_A_PLACE blocks of queries,
-    mostly once; the light queries are sent to each of the `groups` places, about the number of blocks of candidates. Each pair
-    meets once, and no place has more than about BLOCKS_A_PLACE blocks of queries for a block of candidates.
+    mostly once; the light queries are sent to each of the `groups` places. These should be no more than the blocks of candidates, nor
+    than the candidates are heavier than the queries, so that what is sent grows with the candidates. Each pair meets once, and no
+    place has more than about BLOCKS_A_PLACE blocks of queries for a block of candidates.
+
+    The hint keeps Spark from broadcasting one side: it takes a table to be no larger after an explode than before.
     """
     query_groups = -(-query_blocks // BLOCKS_A_PLACE)
     q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns])
     q = q.withColumn("_q", F.pmod(F.xxhash64("q_block"), F.lit(query_groups))).withColumn("_c", F.explode(_upto(groups)))
     c = candidates.withColumn("_c", F.pmod(F.xxhash64("block"), F.lit(groups))).withColumn("_q", F.explode(_upto(query_groups)))
-    return c.join(q, ["_c", "_q"]).drop("_c", "_q")
+    return c.join(q.hint("merge"), ["_c", "_q"]).drop("_c", "_q")

@@ -109,7 +109,8 @@ def exact_top_k(vectors: DataFrame, k: int, every: int, scale: float = 256.0, id
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + F.floor(x.cast("double") * scale).cast("double") ** 2)
     seen = v.agg(F.max(square).alias("most"), F.count("*").alias("n"), F.count(F.when(F.col("id") % every == 0, 1)).alias("asked")).first()
     most = int(min(seen["most"] or 0, float(2**62))) + 1 if (seen["most"] or 0) < 2**61 else MOST
-    sizes = (1 + seen["asked"] // QUERIES_A_BLOCK, 1 + seen["n"] // CANDIDATES_A_BLOCK)
+    # At most as many groups as there are candidates for a query, so that queries sent to each add up to about the candidates.
+    sizes = (1 + seen["asked"] // QUERIES_A_BLOCK, 1 + min(seen["n"] // CANDIDATES_A_BLOCK, seen["n"] // max(1, seen["asked"])))
     width = -(-(2 * most + 1) // BINS)
     asked = materialise(v.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).withColumn("low", F.lit(-most).cast("long")), "asked")
     while True:
