@@ -212,6 +212,25 @@ def test_simhash_classes(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
 
 
+def written_joins(monkeypatch, module):
+    """The joins of each table that a module writes, the last one first, by the table's name."""
+    joins = {}
+
+    def kept(df, name, f=module.materialise):
+        joins[name] = [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in line]
+        return f(df, name)
+
+    monkeypatch.setattr(module, "materialise", kept)
+    return joins
+
+
+def test_signatures_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes an exploded table as before the explode, so it would broadcast 64 signatures of each fingerprint."""
+    joins = written_joins(monkeypatch, simhash)
+    assert sorted(map(tuple, simhash.links(spark.createDataFrame([(0,), (1,), (7,)], "fp long")).collect())) == [(0, 1), (1, 7)]
+    assert len(joins["signatures"]) == 1 and "SortMergeJoin" in joins["signatures"][0]
+
+
 def test_links_are_all_pairs_within_two_bits_also_in_hot_signatures(spark, monkeypatch):
     rng = random.Random(11)
     mask = (1 << 64) - 1

@@ -14,6 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.llm.shared import shuffled
+
 #: A component that scaling takes beyond the doubles is the largest of them.
 LARGEST = np.finfo(np.float64).max
 #: Blocks of queries that a place takes before candidates are sent to a second one.
@@ -89,11 +91,9 @@ def paired(queries: DataFrame, candidates: DataFrame, query_blocks: int, groups:
     mostly once; the light queries are sent to each of the `groups` places. These should be no more than the blocks of candidates, nor
     than the candidates are heavier than the queries, so that what is sent grows with the candidates. Each pair meets once, and no
     place has more than about BLOCKS_A_PLACE blocks of queries for a block of candidates.
-
-    The hint keeps Spark from broadcasting one side: it takes a table to be no larger after an explode than before.
     """
     query_groups = -(-query_blocks // BLOCKS_A_PLACE)
     q = queries.select(*[F.col(c).alias(f"q_{c}") for c in queries.columns])
     q = q.withColumn("_q", F.pmod(F.xxhash64("q_block"), F.lit(query_groups))).withColumn("_c", F.explode(_upto(groups)))
     c = candidates.withColumn("_c", F.pmod(F.xxhash64("block"), F.lit(groups))).withColumn("_q", F.explode(_upto(query_groups)))
-    return c.join(q.hint("merge"), ["_c", "_q"]).drop("_c", "_q")
+    return c.join(shuffled(q), ["_c", "_q"]).drop("_c", "_q")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmark.llm.shared import BROADCAST_ROWS, materialise
+from trailmark.llm.shared import BROADCAST_ROWS, materialise, shuffled
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -20,7 +20,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     ways = F.array(way("a", "b"), way("b", "a"), way("a", "a"), way("b", "b"))  # a node is its own neighbour too
     both = materialise(edges.where("a <> b").select(F.inline(ways)).distinct(), "edges")
     labels = materialise(both.groupBy("node").agg(F.min("other").alias("component")), "labels")
-    sent = F.broadcast if labels.count() <= BROADCAST_ROWS else lambda df: df
+    sent = F.broadcast if labels.count() <= BROADCAST_ROWS else shuffled
     for _ in range(max_rounds):
         of = labels.select(F.col("node").alias("other"), F.col("component").alias("seen"))
         own = F.max(F.when(F.col("node") == F.col("other"), F.col("seen")))

@@ -36,9 +36,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join of which neither side may be broadcast: Spark takes a table to be no larger after an explode than before."""
+    return df.hint("merge")
+
+
 def sent_if_small(df: DataFrame) -> DataFrame:
-    """A written table of two or three numbers a row, marked for broadcast where a count shows that it is small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A written table of two or three numbers a row, marked for broadcast where a count shows that it is small, and never broadcast otherwise."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else shuffled(df)
 
 
 _held: dict[tuple, object] = {}

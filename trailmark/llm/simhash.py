@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmark.llm.components import components
-from trailmark.llm.shared import comparable, materialise, private, sent_if_small
+from trailmark.llm.shared import comparable, materialise, private, sent_if_small, shuffled
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -82,7 +82,7 @@ def _signatures(fps: DataFrame) -> DataFrame:
 def _pairs(signed: DataFrame, keys: list[str]) -> DataFrame:
     a = signed.select(*keys, F.col("fp").alias("a"))
     b = signed.select(*keys, F.col("fp").alias("b"))
-    return a.join(b, keys).where((F.col("a") < F.col("b")) & (_differ(F.col("a"), F.col("b")) <= MAX_BITS)).select("a", "b")
+    return a.join(shuffled(b), keys).where((F.col("a") < F.col("b")) & (_differ(F.col("a"), F.col("b")) <= MAX_BITS)).select("a", "b")
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def links(fps: DataFrame) -> DataFrame:
     """
     signed = _signatures(fps)
     counted = signed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    signed = materialise(signed.join(counted, "key").select("key", "fp", "n"), "signatures")
+    signed = materialise(signed.join(shuffled(counted), "key").select("key", "fp", "n"), "signatures")
     few = _pairs(signed.where(F.col("n") <= HOT_SIGNATURE), ["key"])
     many = signed.where(F.col("n") > HOT_SIGNATURE)
     other = F.when(F.shiftrightunsigned("key", 32) < 32, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp").bitwiseAND(0xFFFFFFFF))
