@@ -231,6 +231,14 @@ def test_signatures_are_not_broadcast(spark, monkeypatch):
     assert len(joins["signatures"]) == 1 and "SortMergeJoin" in joins["signatures"][0]
 
 
+def test_bands_are_not_broadcast(spark, monkeypatch):
+    joins = written_joins(monkeypatch, similar)
+    texts = [" ".join(f"w{j + 100 * (i // 2)}" for j in range(100 - i % 2)) for i in range(8)]
+    of = similar.classes(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert of.select("component").distinct().count() == 4 and of.count() == 8
+    assert "SortMergeJoin" in joins["bands"][0] and "SortMergeJoin" in joins["candidates"][0]
+
+
 def test_links_are_all_pairs_within_two_bits_also_in_hot_signatures(spark, monkeypatch):
     rng = random.Random(11)
     mask = (1 << 64) - 1

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.llm.components import components
-from trailmark.llm.shared import let_go, materialise, sent_if_small
+from trailmark.llm.shared import let_go, materialise, sent_if_small, shuffled
 from trailmark.llm.simhash import links, majority, one_of_each, row_hash
 
 WORDS = 5
@@ -185,10 +185,10 @@ def classes(docs: DataFrame, text_col: str = "text") -> DataFrame:
     by_prints = simhash_pairs(groups.select("fp", "print"))
     groups = groups.drop("keys", "print")
     counted = signed.groupBy("key").agg(F.count("*").alias("size"), _first().alias("first")).where("size > 1").drop("size")
-    signed = materialise(signed.join(counted, "key"), "bands")
+    signed = materialise(signed.join(shuffled(counted), "key"), "bands")
     met = signed.select("fp", F.explode("first").alias("other")).where("fp <> other")
     pairs = met.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).unionByName(by_prints).distinct()
-    pairs = pairs.join(_of(groups, "a"), "a").join(_of(groups, "b"), "b").where(_near())
+    pairs = pairs.join(shuffled(_of(groups, "a")), "a").join(shuffled(_of(groups, "b")), "b").where(_near())
     found = _similar(materialise(pairs.select("a", "b", "n_a", "n_b"), "candidates"), texts)
     of = _merged(groups.select("fp", F.col("fp").alias("component")), found.select("a", "b"))
 
