@@ -52,6 +52,59 @@ def test_pairs_are_made_where_they_are_added_up(spark):
     assert made.select("_split").distinct().count() > 1
 
 
+@pytest.mark.parametrize("pairs, kind", [(20, "int"), (10**6, "long"), (20, "string")])
+def test_sums_of_packed_pairs(spark, monkeypatch, pairs, kind):
+    """Few pairs a part, an item that all users have, a heavy user in blocks, and slices of some rows; texts as items take the plain way."""
+    rng = random.Random(5)
+    monkeypatch.setattr(recommend, "SLICE", 50)
+    of = {u: {i * 1000 - 7000: rng.randrange(1, 50) / 2 for i in {0, *rng.sample(range(40), 4)}} for u in range(60)} | {99: {i * 1000 - 7000: float(i % 5) for i in range(40)}}
+    r = spark.createDataFrame([(u, i, s) for u, items in of.items() for i, s in items.items()], "user int, item long, score double").withColumn("item", F.col("item").cast(kind))
+    want = {}
+    for items in of.values():
+        for a in items:
+            for b in items:
+                if (str(a) < str(b)) if kind == "string" else (a < b):
+                    x, y = items[a], items[b]
+                    want[a, b] = np.add(want.get((a, b), np.zeros(6)), [1, x, y, x * x, y * y, x * y])
+    made = recommend._sums(r, None, 7, pairs)
+    assert (made is None) == (kind == "string")
+    if made is not None:
+        assert dict(made.dtypes)["a"] == r.schema["item"].dataType.simpleString()
+        got = [((x["a"], x["b"]), [x[c] for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]) for x in made.collect()]
+        assert len(got) == len(want) and {k: v for k, v in got} == {k: v.tolist() for k, v in want.items()}
+    got = {(int(x["a"]), int(x["b"])): x["n"] for x in recommend.pearson(r, block=7).collect()}
+    assert got == {k: v[0] for k, v in want.items()}
+    nulls = r.unionByName(spark.createDataFrame([(1, 1, None), (None, 2, 1.0)], "user int, item long, score double").withColumn("item", F.col("item").cast(kind)))
+    assert recommend._sums(nulls, None, 7) is None and recommend.pearson(nulls).count() >= len(want)
+
+
+def test_few_pairs_leave_the_task_that_adds_them_up(spark):
+    """Pairs that are surely not similar are left out before they meet their norms, so they are not shuffled for that."""
+    rng = random.Random(6)
+    of = {u: {i: float(rng.randrange(1, 50)) for i in rng.sample(range(200), 20)} for u in range(300)}
+    of |= {1000 + u: {500: 1.0 + u, 501: 1.0 + u, 502: 60.0} for u in range(9)} | {2000: {600: 3.0, 601: 3.0}}
+    r = spark.createDataFrame([(u, i, s) for u, items in of.items() for i, s in items.items()], "user int, item int, score double")
+    z, sq, dots = {}, Counter(), Counter()
+    for u, items in of.items():
+        mean = sum(items.values()) / len(items)
+        z[u] = {i: s - mean for i, s in items.items()}
+        for i, x in z[u].items():
+            sq[i] += x * x
+        for a in items:
+            for b in items:
+                if a < b:
+                    dots[a, b] += z[u][a] * z[u][b]
+    want = {p: d / (sq[p[0]] * sq[p[1]]) ** 0.5 for p, d in dots.items() if sq[p[0]] > 0 and sq[p[1]] > 0 and d / (sq[p[0]] * sq[p[1]]) ** 0.5 >= 0.2}
+    made = recommend.cosine(r)
+    got = {(x["a"], x["b"]): x["similarity"] for x in made.collect()}
+    assert set(got) == set(want) and (500, 501) in got and all(abs(got[p] - want[p]) < 1e-9 for p in got)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan
+    weighed = r.join(r.groupBy("user").agg(F.avg("score").alias("mean")), "user").withColumn("weight", F.lit(0).cast("long"))
+    weighed = weighed.drop("weight").join(spark.createDataFrame([(i, int(np.floor(8 * np.log2(s))) if s else -20_000) for i, s in sq.items()], "item int, weight long"), "item")
+    assert len(want) <= recommend._sums(weighed, None, 512, least=0.2).count() < min(1.5 * len(want) + 20, len(dots) / 4)
+
+
 def test_many_denied_prefixes(spark, rows):
     short = spark.range(100_000).select(F.concat(F.lit("7."), (F.col("id") % 250).cast("string"), F.lit("."), F.floor(F.col("id") / 250).cast("string"), F.lit(".")).alias("prefix"))
     short = short.unionByName(spark.createDataFrame([("9.",), ("",)], "prefix string"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmark.operators import recommend, sessions
 from trailmark.plans.adapt import EV, RATINGS, events, ratings, table
+from trailmark.plans.streams import folder
 
 Q, SQL = {}, {}
 
@@ -21,17 +24,24 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+def stored_ratings(spark, sf_dir) -> DataFrame:
+    """Ratings, written once, as sums of pairs read them several times."""
+    r, path = ratings(spark, sf_dir), f"{folder(spark)}/ratings-{uuid.uuid4().hex}"
+    r.write.parquet(path)
+    return spark.read.schema(r.schema).parquet(path)
+
+
 @query("item_cosine", f"""WITH {RATINGS}, c AS (SELECT "user", item, score - avg(score) OVER (PARTITION BY "user") AS score FROM rt), n AS (SELECT item, sum(score * score) AS sq FROM c GROUP BY item),
 d AS (SELECT a.item AS a, b.item AS b, sum(a.score * b.score) AS dot FROM c a JOIN c b ON a."user" = b."user" AND a.item < b.item GROUP BY ALL)
 SELECT a, b, round(dot / sqrt(x.sq * y.sq), 6) AS similarity FROM d JOIN n x ON a = x.item JOIN n y ON b = y.item WHERE x.sq > 0 AND y.sq > 0 AND dot / sqrt(x.sq * y.sq) >= 0.2""")
 def item_cosine(spark, sf_dir):
-    return recommend.cosine(ratings(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
+    return recommend.cosine(stored_ratings(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
 
 
 @query("item_pearson", f"""WITH {RATINGS}, s AS (SELECT a.item AS a, b.item AS b, count(*) AS n, sum(a.score) AS sx, sum(b.score) AS sy, sum(a.score * a.score) AS sxx, sum(b.score * b.score) AS syy, sum(a.score * b.score) AS sxy FROM rt a JOIN rt b ON a."user" = b."user" AND a.item < b.item GROUP BY ALL),
 d AS (SELECT *, sqrt(greatest(sxx - sx * sx / n, 0)) * sqrt(greatest(syy - sy * sy / n, 0)) AS below FROM s) SELECT a, b, n, round(CASE WHEN below > 1e-4 THEN (sxy - sx * sy / n) / below ELSE 0 END, 6) AS similarity FROM d""")
 def item_pearson(spark, sf_dir):
-    return recommend.pearson(ratings(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
+    return recommend.pearson(stored_ratings(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
 
 
 SCORE_SQL = f"{RATINGS}, sc AS (SELECT \"user\", (item * 7 + 11) % 2000 AS item, 1 + item % 2 AS item_type, score FROM rt), sg AS (SELECT \"user\", item, item_type, max(score) AS score FROM sc GROUP BY ALL), re AS (SELECT \"user\", item, CASE WHEN item % 4 = 0 THEN 0 ELSE 1 END AS stay FROM rt)"
